@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 # Escape sequences of terminals: control sequences, titles, two-character escapes.
 _ANSI = r"\x1B(?:\[[0-?]*[ -/]*[@-~]|\][^\x07\x1B]*(?:\x07|\x1B\\)|[ -/]*[0-Z\\^-~])"
-_EDGE_SPACE = r"(?U)^\s++|(?<!\s)\s++\z"
+_ESCAPE = "\x1b"
+# Characters with the Unicode property White_Space (fixed values).
+_WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Line layout (fixed values): level, ISO time with a fraction, message. The separator
 # before the fraction may be any character here; only a dot passes the time check.
@@ -26,7 +31,10 @@ _EVENT = rf"(?dU)^{_PARTS}"
 
 def clean_line(message: Column) -> Column:
     """Remove terminal escapes, then white space at both ends."""
-    return F.regexp_replace(F.regexp_replace(message, _ANSI, ""), _EDGE_SPACE, "")
+    bare = F.when(
+        message.contains(_ESCAPE), F.regexp_replace(message, _ANSI, "")
+    ).otherwise(message)
+    return F.btrim(bare, F.lit(_WHITE_SPACE))
 
 
 def parse_utc(text: Column) -> Column:
@@ -40,16 +48,30 @@ def find_event(cleaned: Column) -> Column:
     return F.regexp_extract(cleaned, _LINE, 0)
 
 
-def event_parts(event: Column) -> Column:
-    """Struct ``level, event_ts, message`` of a found event; null when its time is invalid."""
-    event_ts = parse_utc(F.regexp_extract(event, _EVENT, 2))
-    return F.when(
-        event_ts.isNotNull(),
-        F.struct(
-            F.regexp_extract(event, _EVENT, 1).alias("level"),
-            event_ts.alias("event_ts"),
-            F.regexp_extract(event, _EVENT, 3).alias("message"),
-        ),
+def first_word(text: Column) -> Column:
+    return F.substring_index(text, " ", 1)
+
+
+def after_first_word(text: Column) -> Column:
+    return F.ltrim(F.substring(text, F.length(first_word(text)) + 1, F.length(text)))
+
+
+def event_time(event: Column, after_level: Column) -> Column:
+    """Text of the time of a found event.
+
+    It is the word after the level, unless that word is too long or has no fraction, as with
+    several times glued together.
+    """
+    word = first_word(after_level)
+    plain = (F.substring(word, 20, 1) == ".") & (F.length(word) <= 29)
+    return F.when(plain, word).otherwise(F.regexp_extract(event, _EVENT, 2))
+
+
+def event_message(event: Column, after_level: Column, time: Column) -> Column:
+    """Message of a found event."""
+    plain = first_word(after_level) == time
+    return F.when(plain, after_first_word(after_level)).otherwise(
+        F.regexp_extract(event, _EVENT, 3)
     )
 
 

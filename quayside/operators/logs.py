@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.text import bare_path, clean_line, event_parts, find_event, path_part
+from quayside.functions import text as X
 from quayside.operators.lookups import lookup_join
 from quayside.schemas import LOG_COLUMNS
 from quayside.settings import Deployment
@@ -46,30 +46,38 @@ def split_path(lines: DataFrame, log_root: str, with_pod: bool = False) -> DataF
 
     A path that does not lie below ``log_root`` is left as it is, with a null container.
     """
-    path = bare_path(F.col("file"))
+    path = X.bare_path(F.col("file"))
     first = 2 if with_pod else 1
     taken = {
-        "container": path_part(path, log_root, first, with_pod),
-        "file": F.coalesce(path_part(path, log_root, first + 1, with_pod), F.col("file")),
+        "container": X.path_part(path, log_root, first, with_pod),
+        "file": F.coalesce(X.path_part(path, log_root, first + 1, with_pod), F.col("file")),
     }
     if with_pod:
-        taken["pod"] = path_part(path, log_root, 1, with_pod)
+        taken["pod"] = X.path_part(path, log_root, 1, with_pod)
     # withColumns evaluates all of these on the old columns.
     return lines.withColumns(taken).drop("source_type")
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Read level, time and message from lines that have them; leave the others unchanged."""
-    parts = F.col("__parts")
-    # One search per line; the parts are then cut from what it found.
-    found = lines.withColumn("__event", find_event(clean_line(F.col("message"))))
-    return found.withColumn("__parts", event_parts(F.col("__event"))).withColumns(
+    event, rest, time = F.col("__event"), F.col("__rest"), F.col("__time")
+    # One search per line; the parts are then cut from what it found, step by step, so that
+    # no step is computed twice.
+    cut = (
+        lines.withColumn("__event", X.find_event(X.clean_line(F.col("message"))))
+        .withColumn("__rest", X.after_first_word(event))
+        .withColumn("__time", X.event_time(event, rest))
+        .withColumn("event_ts", X.parse_utc(time))
+    )
+    parsed = F.col("event_ts").isNotNull()
+    return cut.withColumns(
         {
-            "event_ts": parts["event_ts"],
-            "level": F.coalesce(parts["level"], F.col("level")),
-            "message": F.coalesce(parts["message"], F.col("message")),
+            "level": F.when(parsed, X.first_word(event)).otherwise(F.col("level")),
+            "message": F.when(parsed, X.event_message(event, rest, time)).otherwise(
+                F.col("message")
+            ),
         }
-    ).drop("__event", "__parts")
+    ).drop("__event", "__rest", "__time")
 
 
 def java_lines(lines: DataFrame) -> DataFrame:

@@ -14,6 +14,11 @@ def _failed() -> Column:
     return ~F.coalesce(F.col("ok"), F.lit(False))
 
 
+def _position(order: Sequence[str]) -> Column:
+    """Place of a part in its request; a single number keeps the aggregation hash-based."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(name) for name in order])
+
+
 def part_status(parts: DataFrame, order: Sequence[str] = ("ordinal",)) -> DataFrame:
     """Status of each part when a request stops at its first failure.
 
@@ -22,11 +27,9 @@ def part_status(parts: DataFrame, order: Sequence[str] = ("ordinal",)) -> DataFr
     are ``not_attempted``. Instead of a window, which would sort a whole request in one task,
     the first failures are aggregated (partly before the shuffle) and joined back.
     """
-    position = F.struct(*[F.col(name) for name in order])
+    position = _position(order)
     first = (
-        parts.where(_failed())
-        .groupBy("request_id")
-        .agg(F.min(position).alias("first_failure"))
+        parts.where(_failed()).groupBy("request_id").agg(F.min(position).alias("first_failure"))
     )
     marked = lookup_join(parts, first, "request_id", measure_lookup=False)
     before = F.col("first_failure").isNull() | (position < F.col("first_failure"))
@@ -39,15 +42,20 @@ def part_status(parts: DataFrame, order: Sequence[str] = ("ordinal",)) -> DataFr
 
 
 def request_outcome(parts: DataFrame, order: Sequence[str] = ("ordinal",)) -> DataFrame:
-    """One row per request: success, or the first failure in part order."""
-    position = [F.col(name) for name in order]
-    failure = F.when(_failed(), F.struct(*position, F.col("error")))
-    return (
-        parts.groupBy("request_id")
-        .agg(F.every(~_failed()).alias("ok"), F.min(failure).alias("first_failure"))
-        .select(
-            "request_id",
-            F.when(F.col("ok"), "success").otherwise("error").alias("status"),
-            F.col("first_failure.error").alias("error"),
-        )
+    """One row per request: success, or the first failure in part order.
+
+    All parts go through a hash aggregation of their flag; only failures, which are few, go
+    through the sorting aggregation that carries texts. Both results are spread by request,
+    so joining them moves no rows again.
+    """
+    first = (
+        parts.where(_failed())
+        .groupBy("request_id")
+        .agg(F.min(F.struct(_position(order).alias("position"), "error")).alias("first_failure"))
+    )
+    requests = parts.groupBy("request_id").agg(F.every(~_failed()).alias("ok"))
+    return requests.join(first, "request_id", "left").select(
+        "request_id",
+        F.when(F.col("ok"), "success").otherwise("error").alias("status"),
+        F.col("first_failure.error").alias("error"),
     )

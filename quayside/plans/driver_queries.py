@@ -893,10 +893,10 @@ def q_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = LS.log_events(
         f"{_below_scheme(root)}/landing",
         DEPLOYMENT,
-        stdout=LS.read_lines(spark, f"{root}/landing/*/{LS.STDOUT_GLOB}"),
-        stderr=LS.read_lines(spark, f"{root}/landing/*/{LS.STDERR_GLOB}"),
+        stdout=LS.read_lines(spark, f"{root}/landing/*", LS.STDOUT_FILES),
+        stderr=LS.read_lines(spark, f"{root}/landing/*", LS.STDERR_FILES),
     )
-    LS.start_store(events, f"{root}/store", f"{root}/checkpoint").awaitTermination()
+    LS.start_store(events, f"{root}/store", f"{root}/checkpoint", files_per_date=2).awaitTermination()
     return _stored(spark, f"{root}/store").select(
         "container", "file", "logger", "level", _naive("event_ts"), "message",
         "namespace", "cluster", "role", "roleGroup",
@@ -921,7 +921,7 @@ def q_agent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = LS.log_events(
         LOG_ROOT, DEPLOYMENT, "INFO", agent=LS.read_agent_records(spark, f"{root}/landing")
     )
-    LS.start_store(events, f"{root}/store", f"{root}/checkpoint").awaitTermination()
+    LS.start_store(events, f"{root}/store", f"{root}/checkpoint", files_per_date=2).awaitTermination()
     return _stored(spark, f"{root}/store").select(
         "message", "processed_file", "pod", _naive("timestamp"), "container", "level", "logger",
         "log_date",
@@ -952,10 +952,10 @@ def q_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     def run() -> None:
-        closed = LS.read_closed_files(spark, f"{root}/landing/*/*/{LS.JAVA_GLOB}")
+        closed = LS.read_closed_files(spark, f"{root}/landing/*/*")
         kept = LS.drop_copies(closed, f"{_below_scheme(root)}/landing")
         events = LS.log_events(LOG_ROOT, DEPLOYMENT, java=LS.file_lines(kept))
-        LS.start_store(events, f"{root}/store", f"{root}/checkpoint").awaitTermination()
+        LS.start_store(events, f"{root}/store", f"{root}/checkpoint", files_per_date=2).awaitTermination()
 
     # Rotation gives a re-delivered file the next index.
     index = F.col("file_no") % 10

@@ -13,9 +13,10 @@ from quayside import schemas as S
 from quayside.operators import logs as L
 from quayside.settings import Deployment
 
-STDOUT_GLOB = "*.stdout.log"
-STDERR_GLOB = "*.stderr.log"
-JAVA_GLOB = "*.logger"
+# Names of the files of each source (fixed values).
+STDOUT_FILES = "*.stdout.log"
+STDERR_FILES = "*.stderr.log"
+JAVA_FILES = "*.logger"
 
 # Copies of one file are spread over this many tasks before they meet in one.
 COPY_SALTS = 64
@@ -31,13 +32,21 @@ def _reader(spark: SparkSession, streaming: bool, files_per_trigger: int | None)
 
 
 def read_lines(
-    spark: SparkSession, glob: str, streaming: bool = True, files_per_trigger: int | None = None
+    spark: SparkSession,
+    folders: str,
+    names: str,
+    streaming: bool = True,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Lines of text files, each with its path and the time of its file."""
+    """Lines of the files called ``names`` in ``folders``, with path and time of the file.
+
+    Folders are given apart from names, so that folders are listed and not single files.
+    """
     return (
         _reader(spark, streaming, files_per_trigger)
         .format("text")
-        .load(glob)
+        .option("pathGlobFilter", names)
+        .load(folders)
         .select(
             F.col("value").alias("message"),
             F.col("_metadata.file_path").alias("file"),
@@ -54,7 +63,11 @@ def read_agent_records(
 
 
 def read_closed_files(
-    spark: SparkSession, glob: str, streaming: bool = True, files_per_trigger: int | None = None
+    spark: SparkSession,
+    folders: str,
+    names: str = JAVA_FILES,
+    streaming: bool = True,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Rotated files as a whole, with a hash of their content.
 
@@ -66,7 +79,8 @@ def read_closed_files(
         _reader(spark, streaming, files_per_trigger)
         .format("text")
         .option("wholetext", True)
-        .load(glob)
+        .option("pathGlobFilter", names)
+        .load(folders)
         .select(
             F.col("value").alias("content"),
             F.col("_metadata.file_path").alias("file"),
@@ -144,9 +158,21 @@ def log_events(
 
 
 def start_store(
-    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    files_per_date: int | None = None,
 ) -> StreamingQuery:
-    """Append events to the log store, by default until all landed files are read."""
+    """Append events to the log store, by default until all landed files are read.
+
+    Every task writes one file per date it sees. Live traffic has one or two dates per batch,
+    so nothing is moved. To catch up on many dates, set ``files_per_date``: each date of a
+    batch then goes to that many tasks, however many rows it has.
+    """
+    if files_per_date:
+        spread = F.pmod(F.xxhash64("pod", "container", "file", "message"), F.lit(files_per_date))
+        events = events.repartition("log_date", spread)
     return (
         events.writeStream.format("parquet")
         .partitionBy("log_date")
