@@ -9,8 +9,9 @@
   keys are repeated, once per salt.
 
 Let K be the number of shuffle partitions. A key is hot when it holds more than 1/K of the
-rows, so there are fewer than K hot keys, and since a key gets one salt per 1/K of the rows,
-at most 2 K lookup rows are added per distinct key value.
+rows, so there are fewer than K hot keys. A hot key gets four salts per 1/K of the rows, so its
+rows fall into pieces of a quarter of an average partition, and a lookup table with unique keys
+grows by at most 5 K rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # Bounds of the frequent-item sketch, and so of what is brought to the driver.
 MAX_HOT_KEYS = 4_096
 _TRACKED_ITEMS = 10_000
+_SALTS_PER_PARTITION = 4
 
 _HASH, _SALTS, _SALT = "__key_hash", "__salts", "__salt"
 
@@ -63,7 +65,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], pieces: int | None = None) ->
         F.count(F.lit(1)).alias("total"),
     ).first()
     return {
-        entry["item"]: -(-entry["count"] * pieces // found["total"])
+        entry["item"]: -(-entry["count"] * pieces * _SALTS_PER_PARTITION // found["total"])
         for entry in found["top"]
         if entry["count"] * pieces > found["total"]
     }
