@@ -75,10 +75,18 @@ def event_message(event: Column, after_level: Column, time: Column) -> Column:
     )
 
 
+def without_scheme(uri: Column) -> Column:
+    """Path of a file URI: no scheme and no authority."""
+    return F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
+
+
 def bare_path(uri: Column) -> Column:
-    """Path of a file URI: no scheme, no authority, percent escapes decoded."""
-    path = F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
-    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    """Path of an encoded URI, such as file metadata give, with percent escapes decoded."""
+    path = without_scheme(uri)
+    return F.when(
+        path.contains("%"),
+        F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path),
+    ).otherwise(path)
 
 
 def path_part(path: Column, log_root: str, group: int, with_pod: bool = False) -> Column:

@@ -40,8 +40,8 @@ NOT_ROUTED = "the source type is not served here"
 NO_SOURCE = "the source object does not exist"
 
 _PLAN_COLUMNS = [
-    "request_id", "source_uri", "source_endpoint", "target_uri", "target_endpoint",
-    "target_bucket", "target_object", "plan_error",
+    "request_id", "source_uri", "source_endpoint", "source_bucket", "source_object",
+    "target_uri", "target_endpoint", "target_bucket", "target_object", "plan_error",
 ]
 _MEASURED = ", ".join(f"{name} STRING" for name in _PLAN_COLUMNS) + ", length LONG, store_error STRING"
 _COPIED = "request_id STRING, chunk LONG, bytes LONG, digest STRING, store_error STRING"
@@ -50,7 +50,7 @@ _FINISHED = "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, store_er
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Look up the length of every source object; one request per row."""
-    from quayside.sources.store_io import Store, StoreError, check_name
+    from quayside.sources.store_io import Store, StoreError, check_address
 
     store = Store()
     for batch in batches:
@@ -59,7 +59,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             length, error = None, None
             if row["plan_error"] is None:
                 try:
-                    check_name(row["target_object"])
+                    check_address(row["source_bucket"], row["source_object"])
+                    check_address(row["target_bucket"], row["target_object"])
                     length = store.length(row["source_uri"], row["source_endpoint"])
                     error = NO_SOURCE if length is None else None
                 except (StoreError, OSError) as failure:

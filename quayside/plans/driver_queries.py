@@ -24,7 +24,13 @@ from quayside.plans.copy_job import copy_objects
 from quayside.session import configure, scratch_dir
 from quayside.settings import Deployment, TransferSettings
 from quayside.sources import documents as D
-from quayside.sources.objects import list_objects, scan_objects, with_object_name, write_objects
+from quayside.sources.objects import (
+    fetch_objects,
+    list_objects,
+    scan_objects,
+    with_object_name,
+    write_objects,
+)
 from quayside.streaming import log_stream as LS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +116,25 @@ def q_object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("name", "length")
 
 
+@query("""
+SELECT CASE WHEN page_id % 4 = 1 THEN 'missing-' ELSE 'page-' END || page_id || '.html' AS name,
+       CASE WHEN page_id % 4 <> 1 THEN CAST(octet_length(encode(html)) AS BIGINT) END AS length,
+       CASE WHEN page_id % 4 <> 1 THEN sha256(html) END AS sha256,
+       CASE WHEN page_id % 4 = 1 THEN 'the object does not exist' END AS error
+FROM pages
+""")
+def q_object_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _written_pages(spark, sf_dir)
+    pattern = F.when(F.col("page_id") % 4 == 1, "missing-").otherwise("page-")
+    names = _table(spark, sf_dir, "pages").select(
+        F.lit("pages").alias("bucket"),
+        F.concat(pattern, _text("page_id"), F.lit(".html")).alias("name"),
+    )
+    return fetch_objects(names, root).select(
+        "name", "length", F.sha2("content", 256).alias("sha256"), "error"
+    )
+
+
 @query("""
 WITH requests AS (
   SELECT lpad(CAST(page_id AS VARCHAR), 12, '0') AS request_id, html, page_id % 20 AS variant,

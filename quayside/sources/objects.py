@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from quayside.functions.text import bare_path
+from quayside.functions.text import without_scheme
 from quayside.session import ship_package
 
 
 def scan_objects(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
-    """Objects below a path with their bytes: ``path, modificationTime, length, content``."""
+    """Objects below a path with their bytes: ``path, modificationTime, length, content``.
+
+    Spark's file scan leaves out empty files; ``fetch_objects`` answers for those too.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
@@ -30,8 +33,8 @@ def list_objects(spark: SparkSession, path: str, name_glob: str | None = None) -
 def with_object_name(objects: DataFrame, root: str) -> DataFrame:
     """Add ``bucket`` and ``name`` of objects below a root."""
     base = root if root.endswith("/") else root + "/"
-    skip = F.length(bare_path(F.lit(base)))
-    below = F.substring(bare_path(F.col("path")), skip + 1, F.length("path"))
+    skip = F.length(without_scheme(F.lit(base)))
+    below = F.substring(without_scheme(F.col("path")), skip + 1, F.length("path"))
     return objects.withColumns(
         {
             "bucket": F.substring_index(below, "/", 1),
@@ -40,6 +43,57 @@ def with_object_name(objects: DataFrame, root: str) -> DataFrame:
     )
 
 
+# A row holds a whole object only up to this length.
+FETCH_BYTES = 1024 * 1024 * 1024
+_FETCHED = "bucket STRING, name STRING, length LONG, content BINARY, error STRING"
+
+
+def _fetcher(root: str, endpoint: str | None):
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quayside.sources.store_io import Store, StoreError, check_address
+
+        store = Store()
+        for batch in batches:
+            for row in batch.to_pylist():
+                length, content, error = None, None, None
+                uri = f"{root}/{row['bucket']}/{row['name']}"
+                try:
+                    check_address(row["bucket"], row["name"])
+                    length = store.length(uri, endpoint)
+                    if length is None:
+                        raise StoreError("the object does not exist")
+                    if length > FETCH_BYTES:
+                        raise StoreError("the object is too long for a row")
+                    content = b"".join(store.blocks(uri, 0, length, endpoint))
+                except (StoreError, OSError) as failure:
+                    error = str(failure)
+                # One object per batch, so that no batch holds many large objects.
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["bucket"]], pa.string()),
+                        pa.array([row["name"]], pa.string()),
+                        pa.array([length], pa.int64()),
+                        pa.array([content], pa.binary()),
+                        pa.array([error], pa.string()),
+                    ],
+                    names=["bucket", "name", "length", "content", "error"],
+                )
+
+    return fetch
+
+
+def fetch_objects(names: DataFrame, root: str, endpoint: str | None = None) -> DataFrame:
+    """Bytes of the objects named by rows ``bucket, name``.
+
+    Every row is answered: ``length, content`` of an object, empty ones included, or null
+    content with an ``error``. Nothing is listed, so the work is spread as the rows are.
+    """
+    ship_package(names.sparkSession)
+    return names.select("bucket", "name").mapInArrow(
+        _fetcher(root.rstrip("/"), endpoint), _FETCHED
+    )
+
+
 @dataclass
 class Written(WriterCommitMessage):
     objects: int
@@ -53,18 +107,18 @@ class ObjectWriter(DataSourceArrowWriter):
         self.create_buckets = options.get("createbuckets", "false").lower() == "true"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        from quayside.sources.store_io import Store, StoreError, check_name
+        from quayside.sources.store_io import Store, StoreError, check_address
 
         store, objects, total = Store(), 0, 0
         for batch in iterator:
             buckets, names = batch.column("bucket"), batch.column("name")
             contents = batch.column("content")
             for row in range(batch.num_rows):
-                name = names[row].as_py()
-                check_name(name)
+                bucket, name = buckets[row].as_py(), names[row].as_py()
+                check_address(bucket, name)
                 if not contents[row].is_valid:
                     raise StoreError(f"part {name} has no bytes")
-                uri = f"{self.root}/{buckets[row].as_py()}/{name}"
+                uri = f"{self.root}/{bucket}/{name}"
                 if not self.create_buckets:
                     store.require_bucket(uri, name, self.endpoint)
                 length, _ = store.write(uri, [contents[row].as_buffer()], self.endpoint)

@@ -40,8 +40,10 @@ def local_path(uri: str) -> str:
     return re.sub("^file:(//[^/]*)?", "", uri)
 
 
-def check_name(name: str | None) -> None:
-    """Refuse names that would leave the folder of their bucket."""
+def check_address(bucket: str | None, name: str | None) -> None:
+    """Refuse buckets and names that would lead out of their root or bucket."""
+    if not bucket or "/" in bucket or bucket in (".", ".."):
+        raise StoreError("the bucket name is not valid")
     if not name:
         raise StoreError("the object has no name")
     if name.startswith("/") or ".." in name.split("/"):
