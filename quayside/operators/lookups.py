@@ -87,7 +87,7 @@ def salted_join(
     left = (
         rows.withColumn(_HASH, _key_hash(on))
         .join(hot, _HASH, "left")
-        .withColumn(_SALT, F.coalesce(spread, F.lit(0)))
+        .withColumn(_SALT, F.when(F.col(_SALTS).isNotNull(), spread).otherwise(F.lit(0)))
         .drop(_HASH, _SALTS)
     )
     last = F.coalesce(F.col(_SALTS), F.lit(1)) - 1

@@ -119,7 +119,10 @@ def _finisher(run: str):
             for row in batch.to_pylist():
                 target = row.pop("target_uri")
                 try:
-                    _publish(target, run, row["bytes"])
+                    if row["store_error"] is None:
+                        _publish(target, run, row["bytes"])
+                    else:
+                        _discard(target, run)
                 except OSError as failure:
                     row["store_error"] = str(failure)
                 done.append(row)
@@ -134,12 +137,19 @@ def _publish(target_uri: str, run: str, length: int) -> None:
     hidden, path = _hidden_path(target_uri, run), local_path(target_uri)
     if os.path.exists(hidden):
         if os.path.getsize(hidden) != length:
+            _discard(target_uri, run)
             raise OSError("the collected ranges have another length")
         os.replace(hidden, path)
     elif not os.path.exists(path) or os.path.getsize(path) != length:
         raise OSError("the collected ranges are gone")
 
 
+def _discard(target_uri: str, run: str) -> None:
+    hidden = _hidden_path(target_uri, run)
+    if os.path.exists(hidden):
+        os.remove(hidden)
+
+
 def _batch(rows: list[dict], ddl: str) -> pa.RecordBatch:
     kinds = {"STRING": pa.string(), "LONG": pa.int64()}
     fields = [field.split() for field in ddl.split(", ")]
@@ -155,32 +165,39 @@ def plan_copies(manifest: DataFrame, registry: DataFrame, settings: TransferSett
     return planned.withColumn("plan_error", error).select(*_PLAN_COLUMNS)
 
 
-def _mark_superseded(plan: DataFrame) -> DataFrame:
-    """Of several requests for one target only the one with the greatest id is carried out.
+def _is_ready() -> Column:
+    return F.col("plan_error").isNull() & F.col("store_error").isNull()
+
 
-    Run one after the other they would leave the same object; run side by side they would
+def _last_requests(ready: DataFrame) -> DataFrame:
+    """Of several requests for one target keep the one with the greatest id.
+
+    Carried out one after the other they would leave the same object; side by side they would
     leave any of them.
     """
     contested = (
-        plan.where(F.col("plan_error").isNull() & F.col("store_error").isNull())
-        .groupBy("target_uri")
+        ready.groupBy("target_uri")
         .agg(F.count(F.lit(1)).alias("requests"), F.max("request_id").alias("last_request"))
         .where(F.col("requests") > 1)
         .drop("requests")
     )
-    marked = lookup_join(plan, contested, "target_uri")
-    return marked.withColumn(
-        "superseded", F.coalesce(F.col("last_request") > F.col("request_id"), F.lit(False))
-    ).drop("last_request")
+    marked = lookup_join(ready, contested, "target_uri")
+    is_last = F.coalesce(F.col("last_request") == F.col("request_id"), F.lit(True))
+    return marked.where(is_last).drop("last_request")
 
 
-def _cut(ready: DataFrame, chunk_bytes: int) -> DataFrame:
-    """One row per range; only targets on mounted file systems take ranges."""
+def _chunk_count(chunk_bytes: int) -> Column:
+    """Number of ranges of an object; only targets on mounted file systems take ranges."""
     local = F.col("target_uri").startswith("file:") | F.col("target_uri").startswith("/")
     pieces = F.ceil(F.col("length") / F.lit(chunk_bytes)).cast("long")
-    cut = ready.withColumn(
-        "chunks", F.when(local, F.greatest(pieces, F.lit(1))).otherwise(F.lit(1)).cast("long")
-    ).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    return F.when(local, F.greatest(pieces, F.lit(1))).otherwise(F.lit(1)).cast("long")
+
+
+def _cut(ready: DataFrame, chunk_bytes: int) -> DataFrame:
+    """One row per range."""
+    cut = ready.withColumn("chunks", _chunk_count(chunk_bytes)).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    )
     offset = F.col("chunk") * F.lit(chunk_bytes)
     whole = F.col("chunks") == 1
     return cut.withColumns(
@@ -193,12 +210,10 @@ def _cut(ready: DataFrame, chunk_bytes: int) -> DataFrame:
     )
 
 
-def _task_count(chunks: DataFrame) -> int:
-    load = chunks.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
-    by_bytes = -(-(load["bytes"] or 0) // TASK_BYTES)
-    by_rows = -(-load["rows"] // TASK_CHUNKS)
-    parallel = chunks.sparkSession.sparkContext.defaultParallelism
-    return max(1, by_bytes, by_rows, min(parallel, load["rows"]))
+def _task_count(ready_bytes: int, ready_chunks: int, parallelism: int) -> int:
+    by_bytes = -(-ready_bytes // TASK_BYTES)
+    by_chunks = -(-ready_chunks // TASK_CHUNKS)
+    return max(1, by_bytes, by_chunks, min(parallelism, ready_chunks))
 
 
 def _checksum() -> Column:
@@ -231,13 +246,16 @@ def copy_objects(
     )
     measured = planned.repartition(spread, "request_id").mapInArrow(_measure, _MEASURED)
     measured.write.mode("overwrite").parquet(f"{work_dir}/plan")
-    plan = _mark_superseded(spark.read.parquet(f"{work_dir}/plan"))
-
-    to_copy = plan.where(
-        F.col("plan_error").isNull() & F.col("store_error").isNull() & ~F.col("superseded")
-    )
-    chunks = _cut(to_copy, chunk_bytes)
-    copied = chunks.repartition(_task_count(chunks), "request_id", "chunk").select(
+    plan = spark.read.parquet(f"{work_dir}/plan")
+    ready = plan.where(_is_ready())
+
+    load = ready.withColumn("chunks", _chunk_count(chunk_bytes)).agg(
+        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("chunks"), F.lit(0)).alias("chunks"),
+        F.coalesce(F.max("chunks"), F.lit(0)).alias("most_chunks"),
+    ).first()
+    tasks = _task_count(load["bytes"], load["chunks"], spark.sparkContext.defaultParallelism)
+    copied = _cut(_last_requests(ready), chunk_bytes).repartition(tasks, "request_id", "chunk").select(
         "request_id", "source_uri", "source_endpoint", "target_uri", "target_endpoint",
         "target_object", "chunks", "chunk", "offset", "size",
     ).mapInArrow(_copier(run), _COPIED)
@@ -256,30 +274,30 @@ def copy_objects(
         .withColumn("store_error", F.col("failure.store_error"))
         .drop("failure")
     )
+    if load["most_chunks"] > 1:
+        results = _finish_ranges(results, plan, run)
     # One row per request on both sides.
     known = plan.withColumnRenamed("store_error", "plan_store_error").join(
         results, "request_id", "left"
     )
-    in_ranges = (F.col("chunks") > 1) & F.col("store_error").isNull()
-    outcome = _with_status(known)
-    if chunks.where(F.col("chunks") > 1).isEmpty():
-        final = outcome
-    else:
-        finished = (
-            known.where(in_ranges)
-            .select("request_id", "target_uri", "chunks", "bytes", "sha256", "store_error")
-            .mapInArrow(_finisher(run), _FINISHED)
-        )
-        renamed = plan.withColumnRenamed("store_error", "plan_store_error").join(
-            finished, "request_id"
-        )
-        others = known.where(~F.coalesce(in_ranges, F.lit(False)))
-        final = _with_status(others).unionByName(_with_status(renamed))
-    final.write.mode("overwrite").parquet(f"{work_dir}/status")
+    _with_status(known).write.mode("overwrite").parquet(f"{work_dir}/status")
     return spark.read.parquet(f"{work_dir}/status")
 
 
+def _finish_ranges(results: DataFrame, plan: DataFrame, run: str) -> DataFrame:
+    """Give the objects that were copied in ranges their names, or drop what is incomplete."""
+    in_ranges = F.col("chunks") > 1
+    finished = (
+        results.where(in_ranges)
+        .join(plan.select("request_id", "target_uri"), "request_id")
+        .select("request_id", "target_uri", "chunks", "bytes", "sha256", "store_error")
+        .mapInArrow(_finisher(run), _FINISHED)
+    )
+    return results.where(~in_ranges).unionByName(finished)
+
+
 def _with_status(known: DataFrame) -> DataFrame:
+    """Status of every request: one that was ready but not copied gave way to a later one."""
     reason = F.coalesce("plan_store_error", "store_error")
     failed = F.col("plan_error").isNotNull() | reason.isNotNull()
     message = F.coalesce(
@@ -288,12 +306,13 @@ def _with_status(known: DataFrame) -> DataFrame:
             reason.isNotNull(), write_failure(F.col("target_object"), F.col("target_bucket"), reason)
         ),
     )
-    done = ~failed & ~F.col("superseded")
+    superseded = F.col("chunks").isNull()
+    done = ~failed & ~superseded
     return known.select(
         "request_id",
         "source_uri",
         "target_uri",
-        F.when(failed, "error").when(F.col("superseded"), "superseded").otherwise("ok").alias("status"),
+        F.when(failed, "error").when(superseded, "superseded").otherwise("ok").alias("status"),
         F.when(done, F.col("bytes")).alias("bytes"),
         F.when(done, F.col("sha256")).alias("sha256"),
         F.when(done, F.col("chunks")).alias("chunks"),

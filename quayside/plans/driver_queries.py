@@ -7,10 +7,10 @@ log lines, Spark derives them from table rows, one per row.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside import schemas as S
 from quayside.functions import addresses as A
@@ -21,6 +21,7 @@ from quayside.operators import outcomes as O
 from quayside.operators import provisioning as P
 from quayside.operators import requests as R
 from quayside.plans.copy_job import copy_objects
+from quayside.plans.transfer import run_transfers
 from quayside.session import configure, scratch_dir
 from quayside.settings import Deployment, TransferSettings
 from quayside.sources import documents as D
@@ -79,6 +80,10 @@ def _address(kind: Column, key_name: Column, **properties: Column) -> Column:
 # ---------------------------------------------------------------- objects
 
 
+def _settings_below(root: str) -> TransferSettings:
+    return replace(SETTINGS, source_root=root, target_root=root)
+
+
 def _page_parts(pages: DataFrame) -> DataFrame:
     return pages.select(
         F.lit("pages").alias("bucket"),
@@ -179,14 +184,53 @@ def q_object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
             bucketName=F.lit("PAGES"),
         ).alias("dst"),
     )
-    settings = TransferSettings(
-        SETTINGS.store_type,
-        SETTINGS.default_endpoint,
-        SETTINGS.connector_endpoint,
-        source_root=root,
-        target_root=root,
+    work_dir = scratch_dir(spark, "copy")
+    status = copy_objects(manifest, _registry(spark, sf_dir), _settings_below(root), work_dir)
+    return status.select("request_id", "status", "bytes", "sha256", "error")
+
+
+@query("""
+SELECT 'transfer-' || page_id AS request_id,
+       CASE WHEN page_id % 5 IN (1, 2) THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN page_id % 5 NOT IN (1, 2) THEN CAST(octet_length(encode(html)) AS BIGINT) END AS bytes,
+       CASE WHEN page_id % 5 NOT IN (1, 2) THEN sha256(html) END AS sha256,
+       CASE page_id % 5 WHEN 1 THEN 'no such agreement'
+                        WHEN 2 THEN 'agreement is for another asset' END AS error
+FROM pages
+""")
+def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Asset and transfer documents are read, resolved, copied and reported on."""
+    root = _written_pages(spark, sf_dir)
+    pages, documents = _table(spark, sf_dir, "pages"), scratch_dir(spark, "documents")
+    page, variant = F.col("page_id"), F.col("page_id") % 5
+    pages.select(
+        F.format_string(
+            '{"asset":{"@id":"asset-%d","properties":{"name":"page"}},"dataAddress":{"type":"Outer",'
+            '"properties":{"type":"%s","bucketName":"Pages","blobName":"page-%d.html",'
+            '"keyName":"received/%d.html"}}}',
+            page, F.lit(SETTINGS.store_type), page, page,
+        ).alias("value")
+    ).write.text(f"{documents}/assets")
+    pages.select(
+        F.format_string(
+            '{"@id":"transfer-%d","contractId":"contract-%d","assetId":"asset-%d","dataDestination":'
+            '{"type":"%s","bucketName":"pages","keyName":"Customer#%09d"},"managedResources":false}',
+            page, F.when(variant == 1, -1).otherwise(page), page,
+            F.lit(SETTINGS.store_type), page,
+        ).alias("value")
+    ).write.text(f"{documents}/transfers")
+    agreements = pages.select(
+        F.format_string("contract-%d", page).alias("contract_id"),
+        F.format_string("asset-%d", F.when(variant == 2, page + 1).otherwise(page)).alias("agreed_asset"),
+    )
+    status = run_transfers(
+        D.read_transfers(spark, f"{documents}/transfers"),
+        agreements,
+        D.read_assets(spark, f"{documents}/assets"),
+        _registry(spark, sf_dir),
+        _settings_below(root),
+        scratch_dir(spark, "transfer"),
     )
-    status = copy_objects(manifest, _registry(spark, sf_dir), settings, scratch_dir(spark, "copy"))
     return status.select("request_id", "status", "bytes", "sha256", "error")
 
 

@@ -33,6 +33,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    # Many small log files: a listing task for each of them would cost more than the listing.
+    listing_tasks = min(10_000, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", listing_tasks)
     return spark
 
 

@@ -1,8 +1,8 @@
 """Object reads and writes of single tasks, used inside Python workers.
 
 Stores are reached through Arrow file systems. On a mounted file system objects appear by
-renaming a hidden file; on object stores by completing the upload. Either way a reader sees
-a whole object or none, and a task that runs twice leaves the same object.
+renaming a hidden file; on object stores by completing the upload, and an upload that fails
+half-way is deleted. A task that runs twice leaves the same object.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import uuid
 from pyarrow import fs
 
 BLOCK = 8 * 1024 * 1024
+# File systems whose URIs name a host, and which rename files.
+ON_HOST = ("hdfs://", "viewfs://")
 
 
 class StoreError(Exception):
@@ -59,7 +61,7 @@ class Store:
 
     def locate(self, uri: str, endpoint: str | None = None) -> tuple[fs.FileSystem, str]:
         scheme, _, rest = uri.partition("://")
-        on_host = scheme in ("hdfs", "viewfs")
+        on_host = uri.startswith(ON_HOST)
         key = (f"{scheme}://{rest.partition('/')[0]}" if on_host else scheme, endpoint)
         if is_local(uri):
             key = ("file", None)
@@ -89,18 +91,28 @@ class Store:
         """Write an object from an iterable of byte blocks; gives its length and hash."""
         system, path = self.locate(uri, endpoint)
         digest, length = hashlib.sha256(), 0
-        target = path
-        if is_local(uri):
-            folder, base = os.path.split(path)
-            os.makedirs(folder, exist_ok=True)
+        target, renames = path, is_local(uri) or uri.startswith(ON_HOST)
+        if renames:
+            folder = os.path.dirname(path)
+            system.create_dir(folder, recursive=True)
             target = os.path.join(folder, f".{uuid.uuid4().hex}.tmp")
-        with system.open_output_stream(target) as out:
-            for block in blocks:
-                out.write(block)
-                digest.update(block)
-                length += len(block)
-        if target != path:
+        try:
+            with system.open_output_stream(target) as out:
+                for block in blocks:
+                    out.write(block)
+                    digest.update(block)
+                    length += len(block)
+        except Exception:
+            # Closing the stream has left what was written so far.
+            if system.get_file_info(target).type == fs.FileType.File:
+                system.delete_file(target)
+            raise
+        if is_local(uri):
             os.replace(target, path)
+        elif renames:
+            if system.get_file_info(path).type != fs.FileType.NotFound:
+                system.delete_file(path)
+            system.move(target, path)
         return length, digest.hexdigest()
 
     def blocks(self, uri: str, offset: int, length: int, endpoint: str | None = None):

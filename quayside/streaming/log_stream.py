@@ -133,11 +133,13 @@ def log_events(
     java: DataFrame | None = None,
     agent: DataFrame | None = None,
     with_pod: bool = False,
+    pod: str | None = None,
 ) -> DataFrame:
     """Events of all given sources in the columns of the log store.
 
     ``stdout`` and ``stderr`` are lines with paths, ``java`` is the result of ``file_lines``
-    (or lines with paths), ``agent`` are structured records.
+    (or lines with paths), ``agent`` are structured records. The pod comes from the record or,
+    ``with_pod``, from the path; ``pod`` is the value for events that name none.
     """
     parts = []
     captured = [
@@ -153,6 +155,8 @@ def log_events(
     if agent is not None:
         parts.append(L.flatten_records(L.filter_level(agent, threshold)))
     events = L.as_log_events(L.label(L.fan_in(*parts), deployment))
+    if pod is not None:
+        events = events.withColumn("pod", F.coalesce("pod", F.lit(pod)))
     stored = events.withColumn("timestamp", F.coalesce("event_ts", "timestamp"))
     return stored.withColumn("log_date", F.to_date("timestamp"))
 

@@ -17,6 +17,7 @@ from quayside.sources.objects import (
     with_object_name,
     write_objects,
 )
+from quayside.sources.store_io import Store, StoreError
 
 REGISTRY = "key_name STRING, has_token BOOLEAN, expires_at TIMESTAMP"
 
@@ -218,3 +219,39 @@ def test_no_secret_reaches_the_plan(spark, store):
     )
     assert "s3cr3t" not in str(plan.collect())
     assert plan.where(F.col("plan_error").isNotNull()).isEmpty()
+
+
+def test_failed_write_leaves_nothing(tmp_path):
+    store, target = Store(), f"file://{tmp_path}/b/k"
+
+    def blocks():
+        yield b"some"
+        raise StoreError("the source object became shorter")
+
+    store.write(target, [b"old"])
+    with pytest.raises(StoreError):
+        store.write(target, blocks())
+    assert os.listdir(tmp_path / "b") == ["k"]
+    assert (tmp_path / "b" / "k").read_bytes() == b"old"
+
+
+def test_addresses_of_other_stores():
+    store = Store()
+    store._systems = {("s3a", None): "plain", ("s3a", "e"): "named", ("hdfs://h:1", None): "hdfs"}
+    assert store.locate("s3a://bucket/deep/k#?%20") == ("plain", "bucket/deep/k#?%20")
+    assert store.locate("s3a://bucket/k", "e") == ("named", "bucket/k")
+    assert store.locate("hdfs://h:1/bucket/k") == ("hdfs", "/bucket/k")
+
+
+def test_failed_range_drops_the_collected_ranges(spark, store):
+    """One of several ranges fails: the request is an error and no part of it stays."""
+    tmp_path, contents, settings = store
+    target = f"file://{tmp_path}/dst/out/k"
+    hidden = copy_job._hidden_path(target, "work")
+    with open(hidden, "wb") as out:
+        out.write(b"123")
+    schema = "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, store_error STRING"
+    results = spark.createDataFrame([("r", 2, 3, "x", "broken")], schema)
+    plan = spark.createDataFrame([("r", target)], "request_id STRING, target_uri STRING")
+    assert copy_job._finish_ranges(results, plan, "work").first()["store_error"] == "broken"
+    assert not os.path.exists(hidden) and not os.path.exists(tmp_path / "dst" / "out" / "k")
