@@ -22,13 +22,19 @@ JAVA_FILES = "*.logger"
 COPY_SALTS = 64
 
 
-def _reader(spark: SparkSession, streaming: bool, files_per_trigger: int | None):
+# The file source ignores files that are this much older than the newest it has seen.
+MAX_FILE_AGE = "36500d"
+
+
+def _reader(spark: SparkSession, streaming: bool, options: dict | None):
+    """Reader for files; ``options`` are those of Spark's file source.
+
+    No file is skipped for its age. Where files carry the time at which they landed, a shorter
+    ``maxFileAge`` together with ``cleanSource`` bounds what the driver remembers of them.
+    """
     if not streaming:
-        return spark.read
-    reader = spark.readStream
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader
+        return spark.read.options(**(options or {}))
+    return spark.readStream.options(**{"maxFileAge": MAX_FILE_AGE, **(options or {})})
 
 
 def read_lines(
@@ -36,14 +42,14 @@ def read_lines(
     folders: str,
     names: str,
     streaming: bool = True,
-    files_per_trigger: int | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """Lines of the files called ``names`` in ``folders``, with path and time of the file.
 
     Folders are given apart from names, so that folders are listed and not single files.
     """
     return (
-        _reader(spark, streaming, files_per_trigger)
+        _reader(spark, streaming, options)
         .format("text")
         .option("pathGlobFilter", names)
         .load(folders)
@@ -56,10 +62,10 @@ def read_lines(
 
 
 def read_agent_records(
-    spark: SparkSession, path: str, streaming: bool = True, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, streaming: bool = True, options: dict | None = None
 ) -> DataFrame:
     """Structured records, one JSON document per line."""
-    return _reader(spark, streaming, files_per_trigger).schema(S.AGENT_RECORD).json(path)
+    return _reader(spark, streaming, options).schema(S.AGENT_RECORD).json(path)
 
 
 def read_closed_files(
@@ -67,7 +73,7 @@ def read_closed_files(
     folders: str,
     names: str = JAVA_FILES,
     streaming: bool = True,
-    files_per_trigger: int | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """Rotated files as a whole, with a hash of their content.
 
@@ -76,7 +82,7 @@ def read_closed_files(
     names: new content under a known name would be skipped.
     """
     return (
-        _reader(spark, streaming, files_per_trigger)
+        _reader(spark, streaming, options)
         .format("text")
         .option("wholetext", True)
         .option("pathGlobFilter", names)
@@ -93,22 +99,23 @@ def read_closed_files(
 def drop_copies(files: DataFrame, log_root: str, delay: str = "7 days") -> DataFrame:
     """Keep one of the files of a container that have the same content.
 
-    ``delay`` is how long a file is remembered, so it must exceed the time within which
-    copies are delivered. Copies are first removed per salt, which leaves at most one per
-    salt for the second step, however many copies one file has.
+    ``delay`` is how long a file is remembered after its arrival, so it must exceed the time
+    within which copies are delivered. The time of arrival and not the time of the file moves the
+    watermark: a file is never late, however old it is. Copies are first removed per salt, which
+    leaves at most one per salt for the second step, however many copies one file has.
     """
     located = L.split_path(files, log_root, with_pod=True)
     identity = ["pod", "container", "file_id"]
     if not files.isStreaming:
         return located.dropDuplicates(identity)
-    salted = located.withColumn(
-        "salt", F.pmod(F.xxhash64("pod", "container", "file"), F.lit(COPY_SALTS))
-    )
+    salt = F.pmod(F.xxhash64("pod", "container", "file"), F.lit(COPY_SALTS))
     return (
-        salted.withWatermark("timestamp", delay)
+        located.withColumns({"salt": salt, "arrived": F.current_timestamp()})
+        .withWatermark("arrived", delay)
         .dropDuplicatesWithinWatermark([*identity, "salt"])
         .drop("salt")
         .dropDuplicatesWithinWatermark(identity)
+        .drop("arrived")
     )
 
 

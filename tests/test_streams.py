@@ -110,6 +110,30 @@ def test_rotation(spark, tmp_path):
     assert run() == expected
 
 
+def test_old_files_that_arrive_late_are_kept(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
+
+    def run():
+        closed = LS.read_closed_files(spark, f"{root}/*/*", options={"maxFilesPerTrigger": 1})
+        kept = LS.drop_copies(closed, root, "1 hour")
+        found = LS.log_events(root, DEPLOYMENT, java=LS.file_lines(kept))
+        LS.start_store(found, store, checkpoint).awaitTermination()
+        return sorted(row["message"][-1] for row in spark.read.parquet(store).collect())
+
+    for n, text in enumerate("abc"):
+        land_closed(root, "p", "svc", f"svc.{n}", text)
+    assert run() == ["a", "b", "c"]
+    # Far older than anything seen so far; the copy of a known file is as old.
+    for n, text in ((7, "d"), (8, "e"), (9, "a")):
+        land_closed(root, "p", "svc", f"svc.{n}", text)
+    for folder, _, names in os.walk(root):
+        for name in names:
+            if name[4] in "789":
+                os.utime(os.path.join(folder, name), (1_000_000_000, 1_000_000_000))
+    assert run() == ["a", "b", "c", "d", "e"]
+
+
 def test_copies_in_one_batch(spark, tmp_path):
     """Two hundred copies that arrive together leave one file."""
     root = str(tmp_path / "landing")
