@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from quayside.operators import lookups
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -22,8 +23,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
-def test_query_matches_sql(spark, database, name):
+def matches_sql(spark, database, name):
     df = entry.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
     found = sorted((tuple(row[c] for c in columns) for row in df.collect()), key=repr)
@@ -36,6 +36,34 @@ def test_query_matches_sql(spark, database, name):
     assert found == expected
 
 
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query_matches_sql(spark, database, name):
+    matches_sql(spark, database, name)
+
+
+JOINS = "q_log_enrich q_request_resolve q_offers q_endpoint q_preflight q_completion q_part_status q_object_copy"
+
+
+@pytest.mark.parametrize("name", JOINS.split())
+def test_joins_without_broadcast_and_with_many_hot_keys(spark, database, name, monkeypatch):
+    """The same rows when no lookup counts as small and very many keys as hot."""
+    measured = lookups.hot_keys
+    found = []
+
+    def hot_keys(rows, keys):
+        found.append(measured(rows, keys, pieces=4096))
+        return found[-1]
+
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(lookups, "hot_keys", hot_keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        matches_sql(spark, database, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert any(found)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 1000
 
