@@ -82,4 +82,11 @@ def object_uri(root: str, bucket: Column, name: Column) -> Column:
 
 def write_failure(name: Column, bucket: Column, reason: Column) -> Column:
     """Message of a failed part."""
-    return F.format_string("Error writing the %s object on the %s bucket: %s", name, bucket, reason)
+    return F.concat(
+        F.lit("Error writing the "),
+        F.coalesce(name, F.lit("null")),
+        F.lit(" object on the "),
+        F.coalesce(bucket, F.lit("null")),
+        F.lit(" bucket: "),
+        reason,
+    )

@@ -70,6 +70,16 @@ def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
+def _id(prefix: str, *columns: str | Column) -> Column:
+    """``<prefix><value>-<value>...``"""
+    return F.concat(F.lit(prefix), F.concat_ws("-", *columns))
+
+
+def _customer_name(key: Column) -> Column:
+    """Name of the customer with this key, as in the customer table."""
+    return F.concat(F.lit("Customer#"), F.lpad(key.cast("string"), 9, "0"))
+
+
 def _address(kind: Column, key_name: Column, **properties: Column) -> Column:
     entries = [part for key, value in properties.items() for part in (F.lit(key), value)]
     return F.struct(
@@ -180,7 +190,7 @@ def q_object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("src"),
         _address(
             F.lit(SETTINGS.store_type),
-            F.format_string("Customer#%09d", "page_id"),
+            _customer_name(F.col("page_id")),
             bucketName=F.lit("PAGES"),
         ).alias("dst"),
     )
@@ -220,7 +230,7 @@ def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("value")
     ).write.text(f"{documents}/transfers")
     agreements = pages.select(
-        F.format_string("contract-%d", page).alias("contract_id"),
+        _id("contract-", page).alias("contract_id"),
         F.format_string("asset-%d", F.when(variant == 2, page + 1).otherwise(page)).alias("agreed_asset"),
     )
     status = run_transfers(
@@ -422,7 +432,7 @@ def _agent_records(events: DataFrame) -> DataFrame:
         F.when(F.col("event_id") % 2 == 0, F.format_string("agent-%d.log", "user_id")).alias("file"),
         F.col("user_id").alias("pid"),
         F.lit("internal_logs").alias("source_type"),
-        F.format_string("pod-%d", "user_id").alias("pod"),
+        _id("pod-", "user_id").alias("pod"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.struct(
             _event_level().alias("level"), json_text(F.col("props"), "k").alias("module_path")
@@ -479,7 +489,7 @@ WHERE ts BETWEEN TIMESTAMP '2024-01-03 06:00:00' AND TIMESTAMP '2024-01-20 18:30
 def q_log_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _table(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("timestamp"),
-        F.format_string("pod-%d", "user_id").alias("pod"),
+        _id("pod-", "user_id").alias("pod"),
         F.col("event_type").alias("container"),
         F.lit(L.ROOT_LOGGER).alias("logger"),
         F.lit(L.STDOUT_LEVEL).alias("level"),
@@ -571,7 +581,7 @@ def q_asset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     document = F.struct(
         F.struct(
-            F.format_string("asset-%d", "p_partkey").alias("@id"),
+            _id("asset-", "p_partkey").alias("@id"),
             F.struct(
                 F.col("p_name").alias("name"), F.lit("application/json").alias("contenttype")
             ).alias("properties"),
@@ -607,9 +617,7 @@ LEFT JOIN orders ON r.contract_id = o_orderkey LEFT JOIN part ON r.asset_id = p_
 def q_request_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
     requests = _table(spark, sf_dir, "lineitem").select(
-        F.format_string(
-            "request-%d-%d-%d-%d", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
-        ).alias("request_id"),
+        _id("request-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("request_id"),
         F.when(line == 1, -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey")).alias("contract_id"),
         F.when(line == 7, F.col("l_partkey")).otherwise(F.col("l_orderkey") % 997).alias("asset_id"),
     )
@@ -668,19 +676,19 @@ def q_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_manifest(orders: DataFrame, kind: Column) -> DataFrame:
     key = F.col("o_orderkey")
     blob = F.when(key % 3 == 0, F.lit(None)).when(key % 3 == 1, "").otherwise(
-        F.format_string("object-%d", key)
+        _id("object-", key)
     )
     source_bucket = F.when(key % 4 == 0, "  ").otherwise(F.col("o_orderstatus"))
     target_bucket = F.when(key % 5 == 0, F.lit(None)).otherwise(F.lit("Target"))
     storage = F.when(key % 3 == 0, F.lit(None)).when(key % 3 == 1, "").otherwise(
-        F.format_string("store-%d", key)
+        _id("store-", key)
     )
     return orders.select(
         _text("o_orderkey").alias("request_id"),
         _address(kind, _text("o_orderkey"), blobName=blob, bucketName=source_bucket).alias("src"),
         _address(
             kind,
-            F.format_string("Customer#%09d", F.col("o_custkey") * 2),
+            _customer_name(F.col("o_custkey") * 2),
             bucketName=target_bucket,
             storage=storage,
         ).alias("dst"),
@@ -761,7 +769,7 @@ def q_bucket_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("c_custkey").alias("request_id"),
         _address(
             F.lit(SETTINGS.store_type),
-            F.format_string("key-%d", "c_custkey"),
+            _id("key-", "c_custkey"),
             bucketName=F.col("c_mktsegment"),
             blobName=F.col("c_name"),
         ).alias("src"),
@@ -797,8 +805,8 @@ def q_token_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _definitions(orders: DataFrame) -> DataFrame:
     return orders.select(
         _text("o_orderkey").alias("definition_id"),
-        F.format_string("process-%d", "o_orderkey").alias("transfer_process_id"),
-        F.format_string("Customer#%09d", F.col("o_custkey") * 2).alias("bucket_raw"),
+        _id("process-", "o_orderkey").alias("transfer_process_id"),
+        _customer_name(F.col("o_custkey") * 2).alias("bucket_raw"),
         F.lit(None).cast("string").alias("storage"),
     )
 
@@ -826,11 +834,11 @@ FROM orders
 """)
 def q_provision(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = _table(spark, sf_dir, "orders").select(
-        F.format_string("process-%d", "o_orderkey").alias("request_id"),
+        _id("process-", "o_orderkey").alias("request_id"),
         _address(
             F.lit(SETTINGS.store_type),
             F.lit("key"),
-            bucketName=F.format_string("Customer#%09d", F.col("o_custkey") * 2),
+            bucketName=_customer_name(F.col("o_custkey") * 2),
             storage=F.when(F.col("o_orderkey") % 2 == 0, "store"),
         ).alias("dst"),
     )
@@ -853,16 +861,16 @@ LEFT JOIN known ON lower(coalesce(first.bucket, 'B' || o_custkey)) = known.bucke
 def q_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = _table(spark, sf_dir, "orders").select(
         _text("o_orderkey").alias("request_id"),
-        F.format_string("B%d", "o_custkey").alias("dest_bucket"),
+        _id("B", "o_custkey").alias("dest_bucket"),
     )
     resources = _table(spark, sf_dir, "lineitem").select(
         _text("l_orderkey").alias("request_id"),
         # Line numbers repeat within an order, so the part key decides between equal ones.
         F.struct("l_linenumber", "l_partkey").alias("ord"),
-        F.format_string("P%d", "l_partkey").alias("bucket"),
+        _id("P", "l_partkey").alias("bucket"),
     )
-    name = F.when(F.col("p_size") > 25, F.format_string("P%d", "p_partkey")).otherwise(
-        F.format_string("B%d", "p_partkey")
+    name = F.when(F.col("p_size") > 25, _id("P", "p_partkey")).otherwise(
+        _id("B", "p_partkey")
     )
     inventory = _table(spark, sf_dir, "part").select(name.alias("bucket"))
     return P.completion(requests, resources, inventory).select(
@@ -882,8 +890,8 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(
             F.col("l_returnflag") == "R",
             A.write_failure(
-                F.format_string("part-%d", "l_partkey"),
-                F.format_string("supplier-%d", "l_suppkey"),
+                _id("part-", "l_partkey"),
+                _id("supplier-", "l_suppkey"),
                 F.lit("returned"),
             ),
         ).alias("error"),

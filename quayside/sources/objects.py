@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fnmatch import translate
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from quayside.functions.text import without_scheme
-from quayside.session import ship_package
+from quayside.session import scratch_dir, ship_package
 
 
 def scan_objects(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
     """Objects below a path with their bytes: ``path, modificationTime, length, content``.
 
-    Spark's file scan leaves out empty files; ``fetch_objects`` answers for those too.
+    Spark's file scan leaves out empty files and names that begin with ``_`` or ``.``. A scan
+    of everything is ``fetch_objects`` over ``list_objects``.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if name_glob:
@@ -25,9 +28,62 @@ def scan_objects(spark: SparkSession, path: str, name_glob: str | None = None) -
     return reader.load(path)
 
 
-def list_objects(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
-    """Objects below a path without their bytes; no content is read."""
-    return scan_objects(spark, path, name_glob).select("path", "modificationTime", "length")
+_LISTED = "path STRING, modificationTime TIMESTAMP, length LONG, is_folder BOOLEAN"
+_LISTED_ROWS = 10_000
+
+
+def _lister(endpoint: str | None):
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quayside.sources.store_io import Store
+
+        store = Store()
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                entries = store.entries(folder, endpoint)
+                while part := list(islice(entries, _LISTED_ROWS)):
+                    names, seconds, lengths, folders = zip(*part, strict=True)
+                    base = folder if folder.endswith("/") else folder + "/"
+                    micros = [None if at is None else int(at * 1_000_000) for at in seconds]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([base + name for name in names], pa.string()),
+                            pa.array(micros, pa.timestamp("us", "UTC")),
+                            pa.array(lengths, pa.int64()),
+                            pa.array(folders, pa.bool_()),
+                        ],
+                        names=["path", "modificationTime", "length", "is_folder"],
+                    )
+
+    return listing
+
+
+def list_objects(
+    spark: SparkSession,
+    path: str,
+    name_glob: str | None = None,
+    work_dir: str | None = None,
+    endpoint: str | None = None,
+) -> DataFrame:
+    """All objects below a path, empty ones included: ``path, modificationTime, length``.
+
+    Folders are listed by tasks, one job per level of nesting, and what they hold goes to
+    tables below the work folder. The driver never holds the listing.
+    """
+    ship_package(spark)
+    work_dir = work_dir or scratch_dir(spark, "listing")
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    folders, levels = spark.createDataFrame([(path,)], "path STRING"), []
+    while not folders.isEmpty():
+        levels.append(f"{work_dir}/level-{len(levels)}")
+        found = folders.repartition(tasks, "path").mapInArrow(_lister(endpoint), _LISTED)
+        found.write.mode("overwrite").parquet(levels[-1])
+        folders = spark.read.parquet(levels[-1]).where("is_folder").select("path")
+    objects = spark.read.parquet(*levels).where(~F.col("is_folder")).drop("is_folder")
+    if name_glob:
+        objects = objects.where(F.substring_index("path", "/", -1).rlike(translate(name_glob)))
+    return objects
 
 
 def with_object_name(objects: DataFrame, root: str) -> DataFrame:

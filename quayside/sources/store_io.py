@@ -42,6 +42,11 @@ def local_path(uri: str) -> str:
     return re.sub("^file:(//[^/]*)?", "", uri)
 
 
+def is_collecting(name: str) -> bool:
+    """Whether a file of this name holds an object that is not complete yet."""
+    return name.startswith(".") and name.endswith(".tmp")
+
+
 def check_address(bucket: str | None, name: str | None) -> None:
     """Refuse buckets and names that would lead out of their root or bucket."""
     if not bucket or "/" in bucket or bucket in (".", ".."):
@@ -78,6 +83,26 @@ class Store:
         info = system.get_file_info(path)
         return info.size if info.type == fs.FileType.File else None
 
+    def entries(self, uri: str, endpoint: str | None = None):
+        """Children of a folder: ``name, modification time in seconds, length, is_folder``.
+
+        Files that a write is still collecting are left out.
+        """
+        system, path = self.locate(uri, endpoint)
+        if is_local(uri):
+            with os.scandir(path) as found:
+                for entry in found:
+                    status = entry.stat(follow_symlinks=False)
+                    folder = entry.is_dir(follow_symlinks=False)
+                    if folder or not is_collecting(entry.name):
+                        yield entry.name, status.st_mtime, status.st_size, folder
+            return
+        for info in system.get_file_info(fs.FileSelector(path)):
+            folder = info.type == fs.FileType.Directory
+            seconds = info.mtime.timestamp() if info.mtime else None
+            if folder or not is_collecting(info.base_name):
+                yield info.base_name, seconds, info.size, folder
+
     def require_bucket(self, uri: str, name: str, endpoint: str | None = None) -> None:
         bucket_uri = uri[: len(uri) - len(name) - 1]
         key = (bucket_uri, endpoint)

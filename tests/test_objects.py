@@ -57,13 +57,23 @@ def test_fetch_answers_every_row(spark, tmp_path, rows):
     ]
 
 
-def test_listing_reads_no_content(spark, tmp_path):
-    write_objects(
-        spark.createDataFrame([("b", "n", bytearray(b"x"))], "bucket STRING, name STRING, content BINARY"),
-        f"file://{tmp_path}", create_buckets=True,
-    )
-    plan = list_objects(spark, f"file://{tmp_path}")._jdf.queryExecution().toString()
-    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
+def test_listing_finds_everything(spark, tmp_path, rows):
+    root = f"file://{tmp_path}/store"
+    names = ["a/x.html", "a/b/c/d/x.html", "a/empty", "a/_under", "a/.dot", "b/ü %20.html", "b/x.tmp"]
+    for name in [*names, "a/.0123.tmp", "a/.x.run.tmp"]:
+        path = tmp_path / "store" / name
+        os.makedirs(path.parent, exist_ok=True)
+        path.write_bytes(b"" if name == "a/empty" else b"12")
+    os.makedirs(tmp_path / "store" / "bare")
+    listed = list_objects(spark, root)
+    found = with_object_name(listed, root).select(F.concat_ws("/", "bucket", "name"), "length")
+    assert rows(found) == sorted((name, 0 if name == "a/empty" else 2) for name in names)
+    seconds = listed.select(F.unix_seconds(F.min("modificationTime"))).first()[0]
+    assert abs(seconds - os.path.getmtime(tmp_path / "store" / "a" / "x.html")) < 60
+    assert list_objects(spark, root, "*.html").count() == 3
+    assert list_objects(spark, f"{root}/bare").count() == 0
+    everything = with_object_name(listed, root).select("bucket", "name")
+    assert fetch_objects(everything, root).where("error IS NULL").count() == len(names)
 
 
 @pytest.mark.parametrize("part", [("b", "n", b"x"), ("b", "../n", b"x"), ("b", "n", None), ("b", None, b"x")])
