@@ -1032,7 +1032,12 @@ def q_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
         closed = LS.read_closed_files(spark, f"{root}/landing/*/*")
         kept = LS.drop_copies(closed, f"{_below_scheme(root)}/landing")
         events = LS.log_events(LOG_ROOT, DEPLOYMENT, java=LS.file_lines(kept))
-        LS.start_store(events, f"{root}/store", f"{root}/checkpoint", files_per_date=2).awaitTermination()
+        LS.start_store(
+            events,
+            f"{root}/store",
+            f"{root}/checkpoint",
+            state_partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
 
     # Rotation gives a re-delivered file the next index.
     index = F.col("file_no") % 10

@@ -174,22 +174,33 @@ def start_store(
     checkpoint: str,
     trigger: dict | None = None,
     files_per_date: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append events to the log store, by default until all landed files are read.
 
     Every task writes one file per date it sees. Live traffic has one or two dates per batch,
     so nothing is moved. To catch up on many dates, set ``files_per_date``: each date of a
     batch then goes to that many tasks, however many rows it has.
+
+    ``state_partitions`` is the number of partitions for remembered files, by default that of
+    all shuffles. It is fixed by the first run with a checkpoint.
     """
     if files_per_date:
         spread = F.pmod(F.xxhash64("pod", "container", "file", "message"), F.lit(files_per_date))
         events = events.repartition("log_date", spread)
-    return (
+    writer = (
         events.writeStream.format("parquet")
         .partitionBy("log_date")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    # A stream keeps the settings of its session as they are when it starts.
+    settings, key = events.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = settings.get(key)
+    settings.set(key, state_partitions or before)
+    try:
+        return writer.start()
+    finally:
+        settings.set(key, before)
