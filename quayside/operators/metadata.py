@@ -25,6 +25,26 @@ def agreement_id(replies: DataFrame, vocabulary: str, document: str = "document"
     return replies.withColumn("agreement_id", json_text(F.col(document), key))
 
 
+def reached_agreements(
+    negotiations: DataFrame, replies: DataFrame, vocabulary: str
+) -> DataFrame:
+    """Agreements ``contract_id, agreed_asset`` for ``resolve_requests``.
+
+    ``negotiations(negotiation_id, asset_id)`` with unique ids, and ``replies(document)``, of
+    which there may be many per negotiation; those without an agreement do not count.
+    """
+    reached = (
+        agreement_id(negotiation_id(replies), vocabulary)
+        .select("negotiation_id", F.col("agreement_id").alias("contract_id"))
+        .where(F.col("contract_id").isNotNull())
+        .distinct()
+    )
+    assets = negotiations.select("negotiation_id", F.col("asset_id").alias("agreed_asset"))
+    return lookup_join(reached, assets, "negotiation_id", "inner").select(
+        "contract_id", "agreed_asset"
+    )
+
+
 def resolve_requests(requests: DataFrame, agreements: DataFrame, assets: DataFrame) -> DataFrame:
     """Find the source address of every transfer request.
 

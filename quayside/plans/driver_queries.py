@@ -670,6 +670,32 @@ def q_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.resolve_offers(offers, definitions, policies, assets)
 
 
+@query("""
+SELECT 'agreement-' || o_orderkey AS contract_id, 'asset-' || o_custkey AS agreed_asset
+FROM orders WHERE o_orderstatus <> 'P'
+""")
+def q_agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order is a negotiation; pending ones have replies, but no agreement yet."""
+    orders = _table(spark, sf_dir, "orders")
+    negotiations = orders.select(
+        _id("negotiation-", "o_orderkey").alias("negotiation_id"),
+        _id("asset-", "o_custkey").alias("asset_id"),
+    )
+    early = orders.select(
+        F.concat(F.lit('{"@id":"negotiation-'), "o_orderkey", F.lit('"}')).alias("document")
+    )
+    agreed = F.concat(
+        F.lit('{"@id":"negotiation-'), "o_orderkey", F.lit('","v:contractAgreementId":"agreement-'),
+        "o_orderkey", F.lit('"}'),
+    )
+    pending = F.concat(F.lit('{"@id":"negotiation-'), "o_orderkey", F.lit('"}'))
+    late = orders.select(
+        F.when(F.col("o_orderstatus") == "P", pending).otherwise(agreed).alias("document")
+    )
+    replies = early.unionByName(late).unionByName(late)
+    return M.reached_agreements(negotiations, replies, "v")
+
+
 # ---------------------------------------------------------------- requests
 
 

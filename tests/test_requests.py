@@ -174,3 +174,18 @@ def test_reply_ids(spark, vocabulary):
     replies = spark.createDataFrame([(document,)], "document STRING")
     row = M.agreement_id(M.negotiation_id(M.catalogue_offer_id(replies)), vocabulary).first()
     assert (row["offer_id"], row["negotiation_id"], row["agreement_id"]) == ("o1", "n1", "c1")
+
+
+def test_reached_agreements(spark, rows):
+    negotiations = spark.createDataFrame(
+        [("n1", "a1"), ("n2", "a2"), ("n3", "a3")], "negotiation_id STRING, asset_id STRING"
+    )
+    documents = [
+        '{"@id":"n1","v:state":"REQUESTED"}',
+        '{"@id":"n1","v:contractAgreementId":"c1"}',
+        '{"@id":"n1","v:contractAgreementId":"c1"}',
+        '{"@id":"n2","v:contractAgreementId":"c2"}',
+        '{"@id":"n9","v:contractAgreementId":"c9"}',
+    ]
+    replies = spark.createDataFrame([(document,) for document in documents], "document STRING")
+    assert rows(M.reached_agreements(negotiations, replies, "v")) == [("c1", "a1"), ("c2", "a2")]
