@@ -12,6 +12,8 @@ Let K be the number of shuffle partitions. A key is hot when it holds more than
 rows, so there are fewer than K hot keys. A hot key gets four salts per 1/K of the rows, so its
 rows fall into pieces of a quarter of an average partition, and a lookup table with unique keys
 grows by at most 5 K rows.
+
+A stream is joined to a large table with a fixed number of salts for every key.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ MAX_HOT_KEYS = 4_096
 _TRACKED_ITEMS = 10_000
 _SALTS_PER_PARTITION = 4
 
+# A stream cannot be measured, so each of its keys is spread over this many salts.
+STREAM_SALTS = 16
+
 _HASH, _SALTS, _SALT = "__key_hash", "__salts", "__salt"
 
 
@@ -100,6 +105,17 @@ def salted_join(
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
 
+def _evenly_salted_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
+) -> DataFrame:
+    """Join of a stream, whose hot keys are not known beforehand: every key is spread."""
+    plain = [F.col(f"`{name}`") for name, kind in rows.dtypes if "map<" not in kind]
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(STREAM_SALTS - 1).cast("long"))
+    left = rows.withColumn(_SALT, F.pmod(F.xxhash64(*plain), F.lit(STREAM_SALTS)))
+    right = lookup.withColumn(_SALT, F.explode(salts))
+    return left.join(right, [*on, _SALT], how).drop(_SALT)
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -119,7 +135,7 @@ def lookup_join(
     if measure_lookup and is_small(lookup):
         return rows.join(F.broadcast(lookup), keys, how)
     if rows.isStreaming:
-        return rows.join(lookup, keys, how)
+        return _evenly_salted_join(rows, lookup, keys, how)
     salts = hot_keys(rows if measured_on is None else measured_on, keys)
     if not salts:
         return rows.join(lookup, keys, how)

@@ -8,6 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 from quayside.operators import logs as L
+from quayside.operators import lookups
 from quayside.settings import Deployment
 from quayside.streaming import log_stream as LS
 
@@ -145,3 +146,34 @@ def test_copies_in_one_batch(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 2
     batch = LS.drop_copies(LS.read_closed_files(spark, f"{root}/*/*", streaming=False), root)
     assert LS.file_lines(batch).count() == 2
+
+
+def test_stream_is_labelled_from_a_large_table(spark, tmp_path, monkeypatch, rows):
+    """Beyond the bounds of a broadcast, a third of the lines come from one source."""
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    root = str(tmp_path / "logs")
+    for n in range(30):
+        container = "hot" if n % 3 == 0 else f"c{n}"
+        land(root, f"{container}/f{n}.stdout.log", f"line {n}\nline {n}\n")
+    names = "container STRING, namespace STRING, cluster STRING, role STRING, roleGroup STRING"
+    deployments = spark.createDataFrame(
+        [(name, f"ns-{name}", "c", "r", "g") for name in ("hot", "c1", "c2", "unused")], names
+    )
+
+    def labelled(streaming):
+        lines = LS.read_lines(spark, f"{root}/*", LS.STDOUT_FILES, streaming)
+        return L.label_by(L.split_path(lines, root), deployments, "container")
+
+    try:
+        query = (
+            labelled(True).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        found = spark.read.parquet(str(tmp_path / "out")).select("container", "message", "namespace")
+        assert rows(found) == rows(labelled(False).select("container", "message", "namespace"))
+        assert found.count() == 60
+        assert found.where("namespace = 'ns-hot'").count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
