@@ -33,16 +33,15 @@ def reached_agreements(
     ``negotiations(negotiation_id, asset_id)`` with unique ids, and ``replies(document)``, of
     which there may be many per negotiation; those without an agreement do not count.
     """
+    ids = F.json_tuple("document", "@id", f"{vocabulary}:contractAgreementId")
     reached = (
-        agreement_id(negotiation_id(replies), vocabulary)
-        .select("negotiation_id", F.col("agreement_id").alias("contract_id"))
+        replies.select(ids.alias("negotiation_id", "contract_id"))
         .where(F.col("contract_id").isNotNull())
         .distinct()
     )
     assets = negotiations.select("negotiation_id", F.col("asset_id").alias("agreed_asset"))
-    return lookup_join(reached, assets, "negotiation_id", "inner").select(
-        "contract_id", "agreed_asset"
-    )
+    # Replies are brought down to one row per agreement first, so no key can be hot here.
+    return reached.join(assets, "negotiation_id").select("contract_id", "agreed_asset")
 
 
 def resolve_requests(requests: DataFrame, agreements: DataFrame, assets: DataFrame) -> DataFrame:
