@@ -1,0 +1,281 @@
+"""Secret scans with DataFrame functions only: known patterns, and windows of high entropy.
+
+Base kinds are regular expressions, leftmost and without overlap. Further spans (kind
+``entropy``) come from candidate strings: a window of fixed length slides over each candidate,
+with the counts of its characters updated by the one that enters and the one that leaves, and
+with them the sum of c * log2(c). The Shannon entropy of the window is log2(w) minus that sum
+over w. Each character class (hex, alphanumeric, base64) has its own limit. Windows beyond it
+are merged; candidates on the allow-list (example values, identifiers, paths) give none, nor do
+spans that lie inside a base span.
+
+Positions are code points. Places come from the lengths of matches and of the text between them;
+they are added up in blocks, so that many matches in one text don't cost their square.
+
+Nulls and empty texts have no spans. Rows are independent of each other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Fixed values of the contract.
+ASSIGN = (
+    r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+)
+# A shorter run fails as a whole, so the least length may stand in the pattern.
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
+ASSIGN_LEAST = 6
+KINDS = ("assign", "access", "hex")
+
+WINDOW = 20
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
+ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
+# Class of a candidate, by the first pattern that fits, and least entropy of a window in bits.
+CLASSES = (("hex", "^[0-9a-fA-F]+$", 3.0), ("alnum", "^[0-9A-Za-z]+$", 3.6), ("base64", "", 3.8))
+# A window must also mix digits with letters, as words of prose and plain numbers do not.
+LEAST_DIGITS = 2
+ALLOWED = (
+    "(?i)example|sample|dummy|placeholder|changeme|test|0123456789|abcdefgh"
+    "|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    "|^/?([a-z_-]+/)+|(.)\\2{7,}"
+)
+BLOCK = 500
+
+
+def bound(value: Column, then) -> Column:
+    """then(value) with the value computed once, however often it is used there."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+MATCHES = "array<struct<start:int,end:int,match:string>>"
+
+
+def located(text: Column, pattern: str) -> Column:
+    """Matches as array<struct<start, end, match>>, in code points."""
+    quoted = F.lit(pattern)
+
+    def parts(matches: Column) -> Column:
+        return F.zip_with(
+            F.slice(F.split(text, pattern, -1), 1, F.size(matches)),
+            matches,
+            lambda piece, match: F.struct(F.char_length(piece).alias("gap"), match.alias("match")),
+        )
+
+    def blocks(parts: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")),
+            lambda i: _placed(F.slice(parts, i * BLOCK + 1, F.lit(BLOCK))),
+        )
+
+    def joined(blocks: Column) -> Column:
+        begins = F.aggregate(
+            blocks,
+            F.array(F.lit(0)),
+            lambda sums, block: F.concat(sums, F.array(F.element_at(sums, -1) + block["at"])),
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(begins, 1, F.size(blocks)), _shifted))
+
+    found = bound(bound(bound(F.regexp_extract_all(text, quoted, F.lit(0)), parts), blocks), joined)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(MATCHES))
+
+
+def _shifted(block: Column, begin: Column) -> Column:
+    return F.transform(
+        block["found"],
+        lambda x: F.struct(
+            (x["start"] + begin).alias("start"), (x["end"] + begin).alias("end"), x["match"].alias("match")
+        ),
+    )
+
+
+def _placed(parts: Column) -> Column:
+    return F.aggregate(
+        parts,
+        F.struct(F.lit(0).alias("at"), F.array().cast(MATCHES).alias("found")),
+        lambda s, x: F.struct(
+            (s["at"] + x["gap"] + F.char_length(x["match"])).alias("at"),
+            F.concat(
+                s["found"],
+                F.array(
+                    F.struct(
+                        (s["at"] + x["gap"]).alias("start"),
+                        (s["at"] + x["gap"] + F.char_length(x["match"])).alias("end"),
+                        x["match"].alias("match"),
+                    )
+                ),
+            ).alias("found"),
+        ),
+    )
+
+
+def base_spans(text: Column) -> Column:
+    """Spans of the base kinds as array<struct<start, order, kind, end>>, sorted."""
+    found = []
+    for order, (kind, pattern) in enumerate(zip(KINDS, (ASSIGN, ACCESS, HEX))):
+        matches = located(text, pattern)
+        if kind == "assign":
+            matches = F.filter(
+                matches,
+                lambda m: F.char_length(F.regexp_extract(m["match"], ASSIGN, 2)) >= ASSIGN_LEAST,
+            )
+        found.append(_spans(matches, order, kind))
+    return F.array_sort(F.concat(*found))
+
+
+def _spans(matches: Column, order: int, kind: str) -> Column:
+    return F.transform(matches, lambda m: _span(m["start"], order, kind, m["end"]))
+
+
+def _span(start: Column, order: int, kind: str, end: Column) -> Column:
+    return F.struct(
+        start.alias("start"), F.lit(order).alias("order"), F.lit(kind).alias("kind"), end.alias("end")
+    )
+
+
+def _weight(count: Column) -> Column:
+    """c * log2(c), and 0 for 0."""
+    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+
+
+def entropy_spans(candidate: Column, window: int = WINDOW) -> Column:
+    """Merged windows of high entropy in one candidate as array<struct<start, end>>."""
+    limit = F.lit(CLASSES[-1][2])
+    for _, pattern, least in reversed(CLASSES[:-1]):
+        limit = F.when(candidate.rlike(pattern), F.lit(least)).otherwise(limit)
+    span = "struct<start:int,end:int>"
+
+    def step(s: Column, enters: Column) -> Column:
+        # The character that leaves goes first; the counts it changes are those the next one sees.
+        leaves = F.when(s["at"] >= window, F.element_at(s["recent"], 1)).otherwise(F.lit(0))
+        return bound(leaves, lambda leaves: _slide(s, enters, leaves, window, limit))
+
+    start = F.struct(
+        F.lit(0).alias("at"),
+        F.array().cast("array<int>").alias("recent"),
+        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
+        F.lit(0.0).alias("total"),
+        F.lit(0).alias("digits"),
+        F.lit(None).cast(span).alias("open"),
+        F.array().cast(f"array<{span}>").alias("done"),
+    )
+    found = F.aggregate(
+        F.transform(F.split(candidate, ""), lambda c: F.position(c, F.lit(ALPHABET))),
+        start,
+        step,
+        lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))),
+    )
+    plain = candidate.rlike(ALLOWED) | ~candidate.rlike("[0-9]") | ~candidate.rlike("[A-Za-z]")
+    return F.when(plain, F.array().cast(f"array<{span}>")).otherwise(found)
+
+
+def _slide(s: Column, enters: Column, leaves: Column, window: int, limit: Column) -> Column:
+    """The state of the window one character further on."""
+    at = s["at"] + 1
+    full = leaves > 0
+    recent = F.concat(F.when(full, F.slice(s["recent"], 2, window)).otherwise(s["recent"]), F.array(enters))
+    before = F.when(full, F.element_at(s["counts"], F.greatest(leaves, F.lit(1)))).otherwise(F.lit(0))
+    count = F.element_at(s["counts"], enters) - F.when(leaves == enters, 1).otherwise(0)
+    total = (
+        s["total"]
+        - F.when(full, _weight(before) - _weight(before - 1)).otherwise(F.lit(0.0))
+        + _weight(count + 1)
+        - _weight(count)
+    )
+    counts = F.when(leaves == enters, s["counts"]).otherwise(
+        F.transform(
+            s["counts"],
+            lambda c, k: F.when(k == leaves - 1, c - 1).when(k == enters - 1, c + 1).otherwise(c),
+        )
+    )
+    digits = (
+        s["digits"]
+        + F.when(enters <= 10, 1).otherwise(0)
+        - F.when((leaves >= 1) & (leaves <= 10), 1).otherwise(0)
+    )
+
+    def moved(now: Column) -> Column:
+        entropy = F.log2(F.lit(float(window))) - now["total"] / window
+        high = (
+            (at >= window)
+            & (entropy >= limit)
+            & now["digits"].between(LEAST_DIGITS, window - LEAST_DIGITS)
+        )
+        joins = s["open"].isNotNull() & (at - window <= s["open"]["end"])
+        begin = F.when(joins, s["open"]["start"]).otherwise(at - window)
+        return F.struct(
+            at.alias("at"),
+            recent.alias("recent"),
+            counts.alias("counts"),
+            now["total"].alias("total"),
+            now["digits"].alias("digits"),
+            F.when(high, F.struct(begin.alias("start"), at.alias("end"))).otherwise(s["open"]).alias("open"),
+            F.when(high & s["open"].isNotNull() & ~joins, F.concat(s["done"], F.array(s["open"])))
+            .otherwise(s["done"])
+            .alias("done"),
+        )
+
+    return bound(F.struct(total.alias("total"), digits.alias("digits")), moved)
+
+
+def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """All columns of the documents, and base and spans: array<struct<start, order, kind, end>>.
+
+    base holds the spans of the known kinds, spans these and those of high entropy, both sorted by
+    start and kind. Columns of these names are replaced.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = docs.drop("base", "spans").withColumn("base", base_spans(text))
+    # As a column of its own, so that it is computed once.
+    found = found.withColumn("_seen", located(text, CANDIDATE % window))
+    high = F.flatten(
+        F.transform(
+            F.col("_seen"),
+            lambda c: F.transform(
+                entropy_spans(c["match"], window),
+                lambda s: _span(c["start"] + s["start"], len(KINDS), "entropy", c["start"] + s["end"]),
+            ),
+        )
+    )
+    added = F.filter(
+        high,
+        lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
+    )
+    return found.withColumn("spans", F.array_sort(F.concat("base", added))).drop("_seen")
+
+
+def listed(spans: Column) -> Column:
+    """kind:start:end, comma-joined."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """The documents with each found span (merged where they overlap) replaced by the mark."""
+    merged = F.aggregate(
+        F.col("spans"),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps")),
+        lambda s, x: F.struct(
+            F.greatest(s["at"], x["end"]).alias("at"),
+            F.when(
+                x["start"] >= s["at"],
+                F.concat(s["gaps"], F.array(F.struct(s["at"].alias("start"), x["start"].alias("end")))),
+            )
+            .otherwise(s["gaps"])
+            .alias("gaps"),
+        ),
+    )
+    text = F.col("text")
+    pieces = F.transform(
+        F.col("_merged.gaps"), lambda g: F.substring(text, g["start"] + 1, g["end"] - g["start"])
+    )
+    rest = F.substring(text, F.col("_merged.at") + 1, F.char_length(text))
+    clean = F.concat(F.array_join(pieces, mark), F.lit(mark), rest)
+    return (
+        scan(docs)
+        .withColumn("_merged", F.when(F.size("spans") > 0, merged))
+        .withColumn("text", F.when(F.col("_merged").isNull(), text).otherwise(clean))
+        .drop("base", "spans", "_merged")
+    )
