@@ -171,11 +171,8 @@ class Runs:
 class Bits:
     """Low bits of hashes, as made by common.hash_bits: no false negatives."""
 
-    def __init__(self, found: list[tuple[int, int]], bits: int):
-        self.words = np.zeros(1 << max(0, bits - 6), dtype=np.int64)
-        for word, flags in found:
-            self.words[word] = flags
-        self.words = self.words.view(U64)
+    def __init__(self, words: np.ndarray, bits: int):
+        self.words = words.view(U64)
         self.mask = U64((1 << bits) - 1)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +34,27 @@ def fold_number(column: str = "doc_id", folds: int = 3) -> Column:
     return F.pmod(F.crc32(F.encode(text, "UTF-8")), F.lit(folds)).cast("int")
 
 
-def hash_bits(hashes: DataFrame, column: str, bits: int) -> list[tuple[int, int]]:
-    """Which of 2**bits numbers occur as low bits of a hash: pairs of (word number, 64 bits).
+def hash_bits(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which of 2**bits numbers occur as low bits of a hash, 64 flags in a number.
 
-    At most 2**(bits - 6) pairs reach the driver, whatever the number of hashes is.
+    At most 2**(bits - 6) rows reach the driver, whatever the number of hashes is.
     """
     low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
-    return [
-        (row.word, row.flags)
-        for row in hashes.select(low.alias("low"))
+    found = (
+        hashes.select(low.alias("low"))
         .groupBy(F.shiftright("low", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(low & 63 as int))")).alias("flags"))
-        .collect()
-    ]
+        .toArrow()
+    )
+    words = np.zeros(1 << max(0, bits - 6), dtype=np.int64)
+    words[found.column("word").to_numpy()] = found.column("flags").to_numpy()
+    return words
+
+
+#: Hash bits for each value that is looked for, and the bounds of the table (2**n bits).
+BITS_EACH, LEAST_BITS, MOST_BITS = 32, 20, 28
+
+
+def bits_for(count: int) -> int:
+    """Number of low hash bits that keep false positives at about one in BITS_EACH or less."""
+    return min(MOST_BITS, max(LEAST_BITS, (count * BITS_EACH).bit_length()))

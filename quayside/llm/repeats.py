@@ -30,12 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import arrays
-from quayside.llm.common import hash_bits, prepare, stored
+from quayside.llm.common import bits_for, hash_bits, prepare, stored
 
 WINDOW = 50
 ANCHOR = 10
-#: Hash bits for each anchor that is looked for, and the bounds of the table (2**n bits).
-BITS_EACH, LEAST_BITS, MOST_BITS = 32, 20, 28
 
 SEED_SCHEMA = pa.schema(
     [
@@ -190,7 +188,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
         .select("anchor"),
         "edges",
     )
-    n_bits = min(MOST_BITS, max(LEAST_BITS, (edges.count() * BITS_EACH).bit_length()))
+    n_bits = bits_for(edges.count())
     flags = spark.sparkContext.broadcast(hash_bits(edges, "anchor", n_bits))
     windows = stored(
         known.mapInArrow(
