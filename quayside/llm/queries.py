@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, repeats, secrets
+from quayside.llm import decontaminate, jaccard, langid, quality, repeats, secrets
+from quayside.llm.common import fold_number
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,34 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows of this fold are held out from learning.
+HELD_OUT = 1
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.learn(docs, labels.filter(fold_number() != HELD_OUT))
+    return quality.score(docs, model).select(
+        "doc_id",
+        (fold_number() == HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.filter(fold_number() != HELD_OUT))
+    return langid.predict(docs.drop("lang"), model).select(
+        "doc_id",
+        (fold_number() == HELD_OUT).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.transform("mixture", lambda m: m["lang"]).alias("languages"),
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -32,6 +61,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "copy_id", "n_links", "shingles")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [
@@ -51,7 +85,10 @@ def _of_kind(kind: str):
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
 }
 
