@@ -1,4 +1,9 @@
-"""A corpus pipeline of the operators for training data."""
+"""A corpus pipeline of the operators for training data.
+
+Five stages, each of which works on all rows that the one before kept: language identification,
+near-duplicate removal, benchmark decontamination, secret removal and encoding. Clean documents
+stay. Rows with a null id or text pass every stage except the first, which rejects texts without a letter.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +12,77 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from quayside.llm import secrets  # noqa: E402
+from quayside.llm import decontaminate, jaccard, langid, pieces, queries, secret_scan  # noqa: E402
 from quayside.llm.common import stored  # noqa: E402
 
+#: Documents go whose main language has less than this share of their words.
+LEAST_SHARE = 1 / 3
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a letter or without a main language; lang becomes what was found."""
+    model = langid.learn(docs.select("lang", "text"))
+    found = langid.predict(docs, model).filter(
+        (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    )
+    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class stays, the one with the least id."""
+    found = jaccard.near_duplicates(docs)
+    losers = found.filter("doc_id <> class_id").select("doc_id", "text_hash").distinct()
+    keys = [F.col("doc_id").cast("long") == F.col("_doc_id"), F.xxhash64("text") == F.col("_text_hash")]
+    kept = docs.join(losers.toDF("_doc_id", "_text_hash"), keys, "left_anti")
+    # Repeated rows have the same id; one of them is enough.
+    with_id = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    return with_id.unionByName(kept.filter("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.decontaminate(docs, items).filter("n_hit > 0")
+    return docs.join(
+        found.select(F.col("doc_id").alias("_doc_id")).distinct(),
+        F.col("doc_id") == F.col("_doc_id"),
+        "left_anti",
+    )
+
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in texts by a mark; every document stays."""
-    return secrets.redact(docs)
+    return (
+        secret_scan.redact(docs)
+        .withColumn("n_chars", F.char_length("text").cast("long"))
+        .select(*docs.columns)
+    )
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their pieces, checked by decoding them again."""
+    vocabulary = pieces.load(os.path.join(queries.TOKENIZERS, queries.PIECE_MODEL))
+    found = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    # The mark of a space is the only character that decoding does not give back.
+    same = F.col("decoded") == F.replace("text", F.lit(pieces.MARK), F.lit(" "))
+    return found.select(
+        *docs.columns, "ids", F.size("ids").cast("long").alias("n_pieces"), same.alias("round_trip")
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", keep_languages),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
     ("secret scans", redact_secrets),
+    ("SentencePiece encoding and decoding", encode_pieces),
 ]
 
+# Expectation-maximisation and the merges of a vocabulary are not for SQL.
 ORACLE_SQL: str | None = None
 
 

@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, jaccard, langid, quality, repeats, secrets
+from quayside.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    langid,
+    neighbours,
+    pieces,
+    quality,
+    repeats,
+    secret_scan,
+    sharding,
+)
 from quayside.llm.common import fold_number
 
 
@@ -26,6 +39,40 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chat.rotate(_table(spark, sf_dir, "conversations"))
+    return found.withColumn("mask", _spans("mask"))
+
+
+def _spans(column: str):
+    """start-end, comma-joined."""
+    return F.array_join(F.transform(column, lambda m: F.concat_ws("-", m["start"], m["end"])), ",")
+
+
+OP2_SQL = f"""
+with turns as (select distinct conv_id, turn, role, text from conversations),
+placed as (
+    select *, row_number() over (
+        partition by conv_id order by turn nulls first, role nulls first, text nulls first) - 1 as place
+    from turns),
+seen as (
+    select p.conv_id, s.participant, place // {chat.BLOCK} as block, place, p.role is not distinct from s.participant as own,
+        case when p.role is not distinct from s.participant then '{chat.BEGIN}assistant' || chr(10)
+            else '{chat.BEGIN}user' || coalesce(' name=' || replace(p.role, '<|', '< |'), '') || chr(10) end as head,
+        replace(coalesce(p.text, ''), '<|', '< |') || '{chat.END}' as body
+    from placed p join (select distinct conv_id, role as participant from turns where role is not null) s
+        on p.conv_id is not distinct from s.conv_id),
+summed as (
+    select *, sum(length(head) + length(body) + 1) over (
+        partition by conv_id, participant, block order by place) - length(body) - 1 as start
+    from seen)
+select conv_id, participant, block, count(*) as n_turns, count(*) filter (own) as n_targets,
+    string_agg(head || body || chr(10), '' order by place) as text,
+    coalesce(string_agg(start::bigint || '-' || (start + length(body))::bigint, ',' order by place) filter (own), '') as mask
+from summed group by conv_id, participant, block
+"""
+
+
 #: Rows of this fold are held out from learning.
 HELD_OUT = 1
 
@@ -66,16 +113,51 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "copy_id", "n_links", "shingles")
 
 
+def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "size",
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+#: Where the files of public tokenizers are, on the driver.
+TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def op8_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load(os.path.join(TOKENIZERS, PIECE_MODEL))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return found.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [
-        F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS
+        F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS
     ]
     return found.select(
         "doc_id",
         *counts,
-        F.sha2(F.encode(secrets.listed(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"),
+        F.sha2(F.encode(secret_scan.listed(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
     )
 
 
@@ -85,11 +167,15 @@ def _of_kind(kind: str):
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_perspective_rotation": op2_perspective_rotation,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_sampled_splitters": op7_sampled_splitters,
+    "op8_suffix_array_pieces": op8_suffix_array_pieces,
+    "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_perspective_rotation": OP2_SQL}
