@@ -84,13 +84,15 @@ class Texts:
         return self.bytes[self.at[row] : self.at[row + 1]].tobytes()
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Parts of the batches of about SLICE_BYTES of text, at least one row each."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Parts of the batches of about ``limit`` bytes of text, at least one row each."""
     for batch in batches:
         if not batch.num_rows:
             continue
         lengths = np.diff(Texts(batch.column(column)).at)
-        part = (np.cumsum(lengths) - lengths) // SLICE_BYTES
+        part = (np.cumsum(lengths) - lengths) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
         for begin, end in zip(cuts, cuts[1:]):
             piece = batch.slice(begin, end - begin)

@@ -38,6 +38,8 @@ BATCH = 16
 RATE = 2.0
 SEED = 7
 SPACE = 32
+#: Features take about a hundred bytes of memory for each byte of text.
+SLICE_BYTES = 1 << 20
 
 U64 = arrays.U64
 
@@ -81,7 +83,7 @@ class Features:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets and shares of features per text."""
-    for batch, texts in arrays.slices(batches, "text"):
+    for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
         found = Features(texts)
         cell = np.concatenate([owner * BUCKETS + bucket for owner, bucket in found.kinds])
         cell, n = np.unique(cell, return_counts=True)
@@ -189,7 +191,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def _scores(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = model.value.weights.astype(np.float64)
-        for batch, texts in arrays.slices(batches, "text"):
+        for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
             total, n = np.zeros(len(texts)), np.zeros(len(texts))
             for owner, bucket in Features(texts).kinds:
                 total += np.bincount(owner, weights[bucket], minlength=len(texts))
