@@ -13,6 +13,7 @@ from quayside.llm import (
     jaccard,
     langid,
     neighbours,
+    oracles,
     pieces,
     quality,
     repeats,
@@ -49,30 +50,6 @@ def _spans(column: str):
     return F.array_join(F.transform(column, lambda m: F.concat_ws("-", m["start"], m["end"])), ",")
 
 
-OP2_SQL = f"""
-with turns as (select distinct conv_id, turn, role, text from conversations),
-placed as (
-    select *, row_number() over (
-        partition by conv_id order by turn nulls first, role nulls first, text nulls first) - 1 as place
-    from turns),
-seen as (
-    select p.conv_id, s.participant, place // {chat.BLOCK} as block, place, p.role is not distinct from s.participant as own,
-        case when p.role is not distinct from s.participant then '{chat.BEGIN}assistant' || chr(10)
-            else '{chat.BEGIN}user' || coalesce(' name=' || replace(p.role, '<|', '< |'), '') || chr(10) end as head,
-        replace(coalesce(p.text, ''), '<|', '< |') || '{chat.END}' as body
-    from placed p join (select distinct conv_id, role as participant from turns where role is not null) s
-        on p.conv_id is not distinct from s.conv_id),
-summed as (
-    select *, sum(length(head) + length(body) + 1) over (
-        partition by conv_id, participant, block order by place) - length(body) - 1 as start
-    from seen)
-select conv_id, participant, block, count(*) as n_turns, count(*) filter (own) as n_targets,
-    string_agg(head || body || chr(10), '' order by place) as text,
-    coalesce(string_agg(start::bigint || '-' || (start + length(body))::bigint, ',' order by place) filter (own), '') as mask
-from summed group by conv_id, participant, block
-"""
-
-
 #: Rows of this fold are held out from learning.
 HELD_OUT = 1
 
@@ -178,4 +155,10 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES = {"op2_perspective_rotation": OP2_SQL}
+# Learning, sampling and merges are tested against brute force instead.
+ORACLES = {
+    "op1_decontaminate": oracles.DECONTAMINATE,
+    "op2_perspective_rotation": oracles.PERSPECTIVES,
+    "op5_substring_dedup": oracles.REPEATS,
+    "op10_secret_scan": oracles.SECRETS,
+}
