@@ -7,9 +7,10 @@ tokens that two sets share with a probability of their Jaccard similarity.
 1. Split: a node of the tree samples signature places by a hash of its path; its sets go to one
    child for each sampled place and value. Buckets of one set end, buckets up to a bound are
    searched, larger ones are split again, down to a greatest depth.
-2. Search: all signatures of a bucket are compared. Buckets that stay large, because their
-   sets are alike, are searched in pairs of blocks by many tasks. A bucket gives the links of
-   its sets to the least one of their local component, so as many rows as it has sets.
+2. Search: all signatures of a bucket are compared, those of buckets that stay large in pairs of
+   blocks. A task gives the links of its sets to the least one of their local component, so no
+   more rows than it has sets. Large buckets whose sets are alike would not be divided by more
+   tokens; they are linked as a whole, and all their pairs are left to the verification.
 3. Runs: as many trees as bring a pair at the threshold to the target recall.
 4. Verification: links make candidate components (no driver involved). All pairs of sets in a
    component, not only those that met in a bucket, get their exact similarity, large components
@@ -44,6 +45,12 @@ RECALL = 0.9999
 BUCKET = 400
 #: Signatures may agree less than the sets do; with 64 places this is 4 standard deviations.
 SLACK = 0.2
+#: Signature places that are looked at to see whether the sets of a large bucket are alike, and the
+#: share of pairs that then agree.
+PROBES = 8
+#: Links that a task holds before it hands them on.
+HELD = 500_000
+DENSE = 0.5
 
 U64 = arrays.U64
 SHINGLES_SCHEMA = "doc_id long, text_hash long, low long, high long, shingles long, signature binary"
@@ -156,27 +163,81 @@ def _children(branches: float, runs: int, places: int):
     return run
 
 
-def _buckets(sets: DataFrame, branches: float, runs: int, places: int, depth: int, bucket: int) -> DataFrame:
-    """Rows (bucket, node, members) of all buckets that are to be searched."""
-    rows = sets.select("node", "signature").mapInArrow(
-        _children(branches, runs, places), "bucket long, node long"
+def _probes(places: int):
+    """Values of a few signature places of the sets of each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = np.linspace(0, places - 1, min(PROBES, places)).astype(np.int64)
+        for batch in batches:
+            signature = _matrix(batch.column("signature"))
+            bucket = batch.column("bucket").to_numpy()
+            for place in chosen:
+                cells = np.rec.fromarrays([bucket, signature[:, place].astype(np.int64)], names="bucket,value")
+                found, n = np.unique(cells, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.ascontiguousarray(found["bucket"])),
+                        pa.array(np.full(len(found), place)),
+                        pa.array(np.ascontiguousarray(found["value"])),
+                        pa.array(n),
+                    ],
+                    ["bucket", "place", "value", "n"],
+                )
+
+    return run
+
+
+def _dense(large: DataFrame, places: int) -> DataFrame:
+    """Buckets whose sets are alike: two of them agree in at least half of their signatures."""
+    return (
+        large.select("bucket", "signature")
+        .mapInArrow(_probes(places), "bucket long, place long, value long, n long")
+        .groupBy("bucket", "place", "value")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("bucket", "place")
+        .agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("agreeing"))
+        .groupBy("bucket")
+        .agg(F.avg(F.col("agreeing") / (F.col("all") * F.col("all"))).alias("alike"))
+        .filter(F.col("alike") >= DENSE)
+        .select("bucket")
     )
-    leaves = None
+
+
+def _buckets(
+    sets: DataFrame, branches: float, runs: int, places: int, depth: int, bucket: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (bucket, node, members) of the buckets to be searched, and links (u, v) of dense ones."""
+    children = _children(branches, runs, places)
+    rows = sets.select("node", "signature").mapInArrow(children, "bucket long, node long")
+    leaves = links = None
     for level in range(1, depth + 1):
         rows = stored(rows, "paths")
         shared = stored(
-            rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "shared"
+            rows.groupBy("bucket")
+            .agg(F.count("*").alias("members"), F.min("node").alias("least"))
+            .filter("members > 1"),
+            "shared",
         )
-        counted = stored(rows.join(shared, "bucket"), "counted")
-        ends = counted if level == depth else counted.filter(F.col("members") <= bucket)
-        leaves = ends if leaves is None else leaves.unionByName(ends)
-        large = counted.filter(F.col("members") > bucket).select("bucket", "node")
-        if level == depth or large.isEmpty():
-            break
-        rows = large.join(sets.select("node", "signature"), "node").mapInArrow(
-            _children(branches, runs, places), "bucket long, node long"
+        counted = rows.join(shared, "bucket")
+        if shared.filter(F.col("members") > bucket).isEmpty():
+            ends = counted.drop("least")
+            return (ends if leaves is None else leaves.unionByName(ends)), links
+        counted = stored(counted, "counted")
+        large = stored(
+            counted.filter(F.col("members") > bucket).join(sets.select("node", "signature"), "node"), "large"
         )
-    return leaves
+        dense = stored(_dense(large, places), "dense")
+        # Splitting does not divide sets that are alike. They become one candidate component, in
+        # which the verification compares all pairs.
+        stars = large.join(dense, "bucket").select(F.col("node").alias("u"), F.col("least").alias("v"))
+        links = stars if links is None else links.unionByName(stars)
+        ends = counted.filter(F.col("members") <= bucket).drop("least")
+        sparse = large.join(dense, "bucket", "left_anti")
+        if level == depth:
+            ends = ends.unionByName(sparse.select("bucket", "node", "members"))
+        leaves = ends if leaves is None else leaves.unionByName(ends)
+        rows = sparse.mapInArrow(children, "bucket long, node long")
+    return leaves, links
 
 
 def _blocked(rows: DataFrame, group: str, key: str, bucket: int) -> DataFrame:
@@ -228,6 +289,24 @@ def local_roots(linked: np.ndarray) -> np.ndarray:
         roots = lower
 
 
+def contracted(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links with the same components, one for each node but the least of its component."""
+    nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = place[: len(u)], place[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        lower = root.copy()
+        least = np.minimum(root[a], root[b])
+        np.minimum.at(lower, root[a], least)
+        np.minimum.at(lower, root[b], least)
+        lower = lower[lower]
+        if np.array_equal(lower, root):
+            break
+        root = lower
+    some = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[some], nodes[root[some]]
+
+
 def _meeting(side: np.ndarray) -> np.ndarray:
     """Which rows of a part are to be compared: all of one block, or those of different blocks."""
     meets = (side[:, None] != side[None, :]) | (side[:, None] < 0)
@@ -237,13 +316,14 @@ def _meeting(side: np.ndarray) -> np.ndarray:
 
 def _alike(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, dtype=np.int64),) * 2
         for table in parts(batches):
             table = table.combine_chunks()
             part, side = table.column("part").to_numpy(), table.column("side").to_numpy()
             node = table.column("node").to_numpy()
             signature = _matrix(table.column("signature").combine_chunks())
             new = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
-            left, right = [], []
+            left, right = [held[0]], [held[1]]
             size = np.diff(new)
             # Buckets of two sets are most of all, so they are compared at once.
             pairs = new[:-1][size == 2]
@@ -260,9 +340,11 @@ def _alike(least: float):
                 moved = np.flatnonzero(roots != np.arange(end - begin))
                 left.append(node[begin:end][moved])
                 right.append(node[begin:end][roots[moved]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["u", "v"]
-            )
+            held = contracted(np.concatenate(left), np.concatenate(right))
+            if len(held[0]) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["u", "v"])
+                held = (np.zeros(0, dtype=np.int64),) * 2
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["u", "v"])
 
     return run
 
@@ -384,11 +466,12 @@ def near_duplicates(
         "sets",
     ).withColumn("node", F.col("low"))
     runs = runs_needed(threshold, recall, branches, depth)
-    leaves = _buckets(sets, branches, runs, places, depth, bucket)
+    leaves, links = _buckets(sets, branches, runs, places, depth, bucket)
     searched = _blocked(leaves, "bucket", "node", bucket).drop("bucket")
     edges = _by_part(searched.join(sets.select("node", "signature"), "node")).mapInArrow(
         _alike(threshold - SLACK), "u long, v long"
     )
+    edges = edges if links is None else edges.unionByName(links)
     candidates = stored(components(edges), "candidates")
     wanted = stored(
         sets.drop("signature").join(candidates, "node"),
