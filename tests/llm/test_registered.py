@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from quayside.llm import decontaminate, jaccard, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def database():
+    connection = duckdb.connect()
+    for name in os.listdir(SF):
+        connection.execute(f"create view {name.removesuffix('.parquet')} as select * from '{SF}/{name}'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_equals_sql(spark, database, name):
+    frame = queries.QUERIES[name](spark, SF)
+    columns = sorted(frame.columns)
+    result = database.execute(queries.ORACLES[name])
+    place = [[d[0] for d in result.description].index(c) for c in columns]
+    want = sorted((tuple(row[i] for i in place) for row in result.fetchall()), key=repr)
+    assert sorted(map(tuple, frame.select(columns).collect()), key=repr) == want
+
+
+def test_ten_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op9_hash_prefix_forest"}))
+def test_a_row_for_each_document(spark, name):
+    ids = [r.doc_id for r in queries.QUERIES[name](spark, SF).select("doc_id").collect()]
+    want = [r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()]
+    assert sorted(ids) == sorted(want)
+
+
+def test_pipeline_by_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").cache()
+    stages = dict(corpus_pipeline.STAGES)
+    assert [s for s, _ in corpus_pipeline.STAGES] == [
+        "language ID",
+        "n-gram Jaccard join",
+        "benchmark decontamination",
+        "secret scans",
+        "SentencePiece encoding and decoding",
+    ]
+    for name in list(stages)[:-1]:
+        assert stages[name](spark, docs, SF).columns == docs.columns
+    ids = lambda frame: {r.doc_id for r in frame.select("doc_id").collect()}
+    assert ids(stages["language ID"](spark, docs, SF)) == ids(docs)
+    classes = {r.class_id for r in jaccard.near_duplicates(docs).select("class_id").collect()}
+    assert ids(stages["n-gram Jaccard join"](spark, docs, SF)) == classes
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    clean = decontaminate.decontaminate(docs, items).filter("n_hit = 0")
+    assert ids(stages["benchmark decontamination"](spark, docs, SF)) == ids(clean)
+    more = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    scanned = stages["secret scans"](spark, more, SF)
+    assert ids(scanned) == ids(more) and scanned.filter("text like '%token = \"%'").count() == 0
+    assert scanned.filter("text like '%[secret]%'").count() > 0
+
+
+def test_pipeline_runs_on_odd_rows(spark, tmp_path):
+    rows = [(1, None, None, None, None), (None, "some text of words", "en", "s", 1), (2, "", "en", "s", 0)]
+    rows += [(3, "a text with words", "en", "s", 1), (3, "a text with words", "en", "s", 1), (4, "1 2 3", "x", "s", 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.round_trip) for r in got), key=repr) == [(3, True), (None, True)]
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none/documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none/benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
