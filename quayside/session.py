@@ -27,6 +27,8 @@ RUNTIME_SETTINGS = {
 }
 
 _shipped: set[str] = set()
+# The temporary folder of local sessions, once one is needed.
+_local_scratch: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -42,21 +44,36 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, empty folder below the shared folder named by ``spark.checkpoint.dir``.
 
+    A folder without a scheme is one of Hadoop's default file system. If that is the disk of each
+    machine, a cluster needs ``file://`` in the setting, which says that the folder is a shared mount.
     Only a local session without that setting gets a temporary folder of this machine.
     """
+    local = spark.conf.get("spark.master", "local").split("[")[0] == "local"
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not local:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="quayside-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set(CHECKPOINT_DIR, base)
+        if not _local_scratch:
+            _local_scratch.append("file://" + tempfile.mkdtemp(prefix="quayside-"))
+            atexit.register(shutil.rmtree, _local_scratch[0].removeprefix("file://"), ignore_errors=True)
+        base = _local_scratch[0]
     if base.startswith("/"):
-        default_fs = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
-        base = ("file://" if default_fs.startswith("file:") else default_fs.rstrip("/")) + base
+        default_fs = default_file_system(spark)
+        if not default_fs.startswith("file:"):
+            base = default_fs.rstrip("/") + base
+        elif local:
+            base = "file://" + base
+        else:
+            raise ValueError(f"{CHECKPOINT_DIR} has no scheme: write file:// if all machines share it")
     return f"{base.rstrip('/')}/quayside/{label}-{uuid.uuid4().hex}"
 
 
+def default_file_system(spark: SparkSession) -> str:
+    """``fs.defaultFS`` as Hadoop's own files and Spark's settings give it."""
+    found = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return spark.conf.get("spark.hadoop.fs.defaultFS", None) or found or "file:///"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers of the session."""
     context = spark.sparkContext
