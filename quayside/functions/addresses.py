@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quayside.functions.text import WHITE_SPACE
 from quayside.schemas import BLOB_NAME, BUCKET_NAME, STORAGE
 from quayside.settings import TransferSettings
 
+# Message of a failed part (fixed value).
+WRITE_FAILURE = "Error writing the %s object on the %s bucket: %s"
+
 
 def property_of(address: Column, key: str) -> Column:
     """Value of a property, null when absent."""
@@ -15,7 +19,7 @@ def property_of(address: Column, key: str) -> Column:
 
 
 def is_blank(value: Column) -> Column:
-    return value.isNull() | (F.trim(value) == "")
+    return value.isNull() | (F.btrim(value, F.lit(WHITE_SPACE)) == "")
 
 
 def _missing(address: Column, *keys: str) -> Column:
@@ -82,11 +86,4 @@ def object_uri(root: str, bucket: Column, name: Column) -> Column:
 
 def write_failure(name: Column, bucket: Column, reason: Column) -> Column:
     """Message of a failed part."""
-    return F.concat(
-        F.lit("Error writing the "),
-        F.coalesce(name, F.lit("null")),
-        F.lit(" object on the "),
-        F.coalesce(bucket, F.lit("null")),
-        F.lit(" bucket: "),
-        reason,
-    )
+    return F.when(reason.isNotNull(), F.format_string(WRITE_FAILURE, name, bucket, reason))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 _ANSI = r"\x1B(?:\[[0-?]*[ -/]*[@-~]|\][^\x07\x1B]*(?:\x07|\x1B\\)|[ -/]*[0-Z\\^-~])"
 _ESCAPE = "\x1b"
 # Characters with the Unicode property White_Space (fixed values).
-_WHITE_SPACE = (
+WHITE_SPACE = (
     "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
@@ -19,7 +19,7 @@ _WHITE_SPACE = (
 # Line layout (fixed values): level, ISO time with a fraction, message. The separator
 # before the fraction may be any character here; only a dot passes the time check.
 _TIME = (
-    r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
+    r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[1-2][0-9]|3[0-1])"
     r"T(?:2[0-3]|[01][0-9]):[0-5][0-9]:[0-5][0-9].[0-9]+"
 )
 # Possessive quantifiers and the look-behind keep the search linear in long words. When
@@ -34,7 +34,7 @@ def clean_line(message: Column) -> Column:
     bare = F.when(
         message.contains(_ESCAPE), F.regexp_replace(message, _ANSI, "")
     ).otherwise(message)
-    return F.btrim(bare, F.lit(_WHITE_SPACE))
+    return F.btrim(bare, F.lit(WHITE_SPACE))
 
 
 def parse_utc(text: Column) -> Column:

@@ -10,10 +10,14 @@ causes finished work to be planned or copied again:
 Large objects are cut into ranges where the target is a mounted file system, so one object
 keeps many tasks busy; object stores only take whole objects, which are streamed block by
 block. No task ever holds more than one block of an object in memory.
+
+Of several requests for one target the last one in their order counts. If it fails while it is
+copied, the others follow, the latest first, until one succeeds.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 
@@ -38,19 +42,26 @@ TASK_CHUNKS = 20_000
 
 NOT_ROUTED = "the source type is not served here"
 NO_SOURCE = "the source object does not exist"
+NO_ID = "the request has no id"
+REPEATED_ID = "the request id is not unique"
 
 _PLAN_COLUMNS = [
     "request_id", "source_uri", "source_endpoint", "source_bucket", "source_object",
     "target_uri", "target_endpoint", "target_bucket", "target_object", "plan_error",
 ]
-_MEASURED = ", ".join(f"{name} STRING" for name in _PLAN_COLUMNS) + ", length LONG, store_error STRING"
-_COPIED = "request_id STRING, chunk LONG, bytes LONG, digest STRING, store_error STRING"
-_FINISHED = "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, store_error STRING"
+_MEASURED = (
+    ", ".join(f"{name} STRING" for name in _PLAN_COLUMNS)
+    + ", sequence LONG, length LONG, store_error STRING"
+)
+_COPIED = "request_id STRING, chunk LONG, bytes LONG, digest STRING, ranges STRING, store_error STRING"
+_FINISHED = (
+    "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, range_sha256 STRING, store_error STRING"
+)
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Look up the length of every source object; one request per row."""
-    from quayside.sources.store_io import Store, StoreError, check_address
+    from quayside.sources.store_io import FAILURES, Store, check_address
 
     store = Store()
     for batch in batches:
@@ -63,7 +74,10 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     check_address(row["target_bucket"], row["target_object"])
                     length = store.length(row["source_uri"], row["source_endpoint"])
                     error = NO_SOURCE if length is None else None
-                except (StoreError, OSError) as failure:
+                    store.require_bucket(
+                        row["target_uri"], row["target_object"], row["target_endpoint"]
+                    )
+                except FAILURES as failure:
                     error = str(failure)
             lengths.append(length)
             errors.append(error)
@@ -75,37 +89,57 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _hidden_path(target_uri: str, run: str) -> str:
     """File that collects the ranges of an object until all of them are there."""
-    from quayside.sources.store_io import local_path
+    from quayside.sources.store_io import collecting_name, local_path
 
     folder, base = os.path.split(local_path(target_uri))
-    return os.path.join(folder, f".{base}.{run}.tmp")
+    # A hash, as a name that is long already would become too long.
+    return os.path.join(folder, collecting_name(hashlib.sha256(f"{base} {run}".encode()).hexdigest()))
+
+
+def _copied(store, row: dict, run: str, chunk_bytes: int) -> dict:
+    """Copy one range, or a whole object if it is the only one."""
+    from quayside.sources.store_io import FAILURES
+
+    result = {"request_id": row["request_id"], "chunk": row["chunk"]}
+    blocks = store.blocks(row["source_uri"], row["offset"], row["size"], row["source_endpoint"])
+    target, endpoint = row["target_uri"], row["target_endpoint"]
+    try:
+        if row["chunks"] == 1:
+            done = store.write(target, blocks, endpoint, chunk_bytes, row["size"])
+            result |= {"bytes": done.length, "digest": done.whole(), "ranges": done.ranges()}
+        else:
+            done = store.write_range(_hidden_path(target, run), row["offset"], blocks)
+            result |= {"bytes": done.length, "ranges": done.whole()}
+    except FAILURES as failure:
+        result["store_error"] = str(failure)
+    return result
+
+
+def _copier(run: str, chunk_bytes: int):
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quayside.sources.store_io import Store
 
+        store = Store()
+        for batch in batches:
+            yield _batch([_copied(store, row, run, chunk_bytes) for row in batch.to_pylist()], _COPIED)
+
+    return copy
+
+
+def _substitute(run: str, chunk_bytes: int):
+    """For rows sorted by target: copy until one request for the target succeeds."""
 
-def _copier(run: str):
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from quayside.sources.store_io import Store, StoreError
+        from quayside.sources.store_io import Store
 
-        store = Store()
+        store, served = Store(), None
         for batch in batches:
             done = []
             for row in batch.to_pylist():
-                result = {"request_id": row["request_id"], "chunk": row["chunk"]}
-                blocks = store.blocks(
-                    row["source_uri"], row["offset"], row["size"], row["source_endpoint"]
-                )
-                target, endpoint = row["target_uri"], row["target_endpoint"]
-                try:
-                    store.require_bucket(target, row["target_object"], endpoint)
-                    if row["chunks"] == 1:
-                        length, digest = store.write(target, blocks, endpoint)
-                    else:
-                        length, digest = store.write_range(
-                            _hidden_path(target, run), row["offset"], blocks
-                        )
-                    result |= {"bytes": length, "digest": digest}
-                except (StoreError, OSError) as failure:
-                    result["store_error"] = str(failure)
-                done.append(result)
+                if row["target_uri"] != served:
+                    done.append(_copied(store, row, run, chunk_bytes))
+                    if "store_error" not in done[-1]:
+                        served = row["target_uri"]
             yield _batch(done, _COPIED)
 
     return copy
@@ -114,6 +148,8 @@ def _copier(run: str):
 def _finisher(run: str):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Give objects that were copied in ranges their name; safe to run twice."""
+        from quayside.sources.store_io import FAILURES
+
         for batch in batches:
             done = []
             for row in batch.to_pylist():
@@ -123,7 +159,7 @@ def _finisher(run: str):
                         _publish(target, run, row["bytes"])
                     else:
                         _discard(target, run)
-                except OSError as failure:
+                except FAILURES as failure:
                     row["store_error"] = str(failure)
                 done.append(row)
             yield _batch(done, _FINISHED)
@@ -159,33 +195,71 @@ def _batch(rows: list[dict], ddl: str) -> pa.RecordBatch:
 
 def plan_copies(manifest: DataFrame, registry: DataFrame, settings: TransferSettings) -> DataFrame:
     """Everything about a request that is known without touching the stores."""
-    checked = route_requests(validate_requests(manifest), settings)
+    checked = route_requests(validate_requests(_with_checked_ids(manifest)), settings)
     planned = name_objects(resolve_endpoints(checked, registry, settings), settings)
-    error = F.coalesce("error", F.when(~F.col("routed"), F.lit(NOT_ROUTED)))
-    return planned.withColumn("plan_error", error).select(*_PLAN_COLUMNS)
+    error = F.coalesce("id_error", "error", F.when(~F.col("routed"), F.lit(NOT_ROUTED)))
+    return planned.withColumn("plan_error", error).select(*_PLAN_COLUMNS, "sequence")
+
+
+def _with_checked_ids(manifest: DataFrame) -> DataFrame:
+    """Requests with ``sequence`` and, if their id is null or not unique, an ``id_error``."""
+    if "sequence" not in manifest.columns:
+        manifest = manifest.withColumn("sequence", F.lit(None).cast("long"))
+    repeated = (
+        manifest.groupBy("request_id")
+        .agg(F.count(F.lit(1)).alias("uses"))
+        .where("uses > 1 AND request_id IS NOT NULL")
+    )
+    error = F.when(F.col("request_id").isNull(), NO_ID).when(F.col("uses").isNotNull(), REPEATED_ID)
+    return (
+        lookup_join(manifest, repeated, "request_id")
+        .withColumns({"id_error": error, "sequence": F.col("sequence").cast("long")})
+        .drop("uses")
+    )
 
 
 def _is_ready() -> Column:
     return F.col("plan_error").isNull() & F.col("store_error").isNull()
 
 
+def _order() -> Column:
+    """Order of the requests for one target: by sequence; without one, by a hash of the id."""
+    return F.struct(
+        F.col("sequence").isNotNull().alias("given"),
+        "sequence",
+        F.xxhash64("request_id").alias("hash"),
+        "request_id",
+    )
+
+
 def _last_requests(ready: DataFrame) -> DataFrame:
-    """Of several requests for one target keep the one with the greatest id.
+    """Of several requests for one target keep the last one.
 
     Carried out one after the other they would leave the same object; side by side they would
     leave any of them.
     """
     contested = (
         ready.groupBy("target_uri")
-        .agg(F.count(F.lit(1)).alias("requests"), F.max("request_id").alias("last_request"))
+        .agg(F.count(F.lit(1)).alias("requests"), F.max(_order()).alias("last"))
         .where(F.col("requests") > 1)
-        .drop("requests")
+        .select("target_uri", F.col("last.request_id").alias("last_request"))
     )
     marked = lookup_join(ready, contested, "target_uri")
     is_last = F.coalesce(F.col("last_request") == F.col("request_id"), F.lit(True))
     return marked.where(is_last).drop("last_request")
 
 
+def _substitutes(ready: DataFrame, copied: DataFrame) -> DataFrame:
+    """Requests that were not carried out for targets whose last request failed."""
+    tried = copied.select("request_id").distinct()
+    failed = (
+        ready.join(copied.where("store_error IS NOT NULL").select("request_id").distinct(), "request_id")
+        .select("target_uri")
+        .distinct()
+    )
+    return ready.join(failed, "target_uri", "left_semi").join(tried, "request_id", "left_anti")
+
+
 def _chunk_count(chunk_bytes: int) -> Column:
     """Number of ranges of an object; only targets on mounted file systems take ranges."""
     local = F.col("target_uri").startswith("file:") | F.col("target_uri").startswith("/")
@@ -216,11 +290,10 @@ def _task_count(ready_bytes: int, ready_chunks: int, parallelism: int) -> int:
     return max(1, by_bytes, by_chunks, min(parallelism, ready_chunks))
 
 
-def _checksum() -> Column:
-    """Hash of the object; for an object copied in ranges, hash of the joined range hashes."""
-    ordered = F.array_sort(F.collect_list(F.struct("chunk", "digest")))
-    joined = F.array_join(F.transform(ordered, lambda part: part["digest"]), "")
-    return F.when(F.count(F.lit(1)) == 1, F.max("digest")).otherwise(F.sha2(joined, 256))
+def _range_checksum() -> Column:
+    """Hash of the joined hashes of the ranges, which are the same for every kind of target."""
+    ordered = F.array_sort(F.collect_list(F.struct("chunk", "ranges")))
+    return F.sha2(F.array_join(F.transform(ordered, lambda part: part["ranges"]), ""), 256)
 
 
 def copy_objects(
@@ -230,10 +303,16 @@ def copy_objects(
     work_dir: str,
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Carry out a manifest ``request_id, src, dst`` with unique ids; gives the status table.
+    """Carry out a manifest ``request_id, src, dst``; gives the status table.
+
+    A column ``sequence`` (a number) orders the requests for one target; without it their order is
+    arbitrary, but the same in every run. Requests whose id is null or used twice are errors.
 
     The result is read from ``<work_dir>/status``: ``request_id, source_uri, target_uri,
-    status, bytes, sha256, chunks, error`` with status ``ok``, ``error`` or ``superseded``.
+    status, bytes, range_sha256, sha256, chunks, error`` with status ``ok``, ``error`` or
+    ``superseded``. ``range_sha256`` is the hash of the joined hashes of the object's ranges of
+    ``chunk_bytes``, for every object and target; ``sha256`` is the hash of the content where it was
+    copied in one piece, else null.
     """
     spark = manifest.sparkSession
     ship_package(spark)
@@ -255,19 +334,33 @@ def copy_objects(
         F.coalesce(F.max("chunks"), F.lit(0)).alias("most_chunks"),
     ).first()
     tasks = _task_count(load["bytes"], load["chunks"], spark.sparkContext.defaultParallelism)
-    copied = _cut(_last_requests(ready), chunk_bytes).repartition(tasks, "request_id", "chunk").select(
+    work = [
         "request_id", "source_uri", "source_endpoint", "target_uri", "target_endpoint",
-        "target_object", "chunks", "chunk", "offset", "size",
-    ).mapInArrow(_copier(run), _COPIED)
-    copied.write.mode("overwrite").parquet(f"{work_dir}/chunks")
+        "chunks", "chunk", "offset", "size",
+    ]
+    copied = _cut(_last_requests(ready), chunk_bytes).repartition(tasks, "request_id", "chunk")
+    copied.select(*work).mapInArrow(_copier(run, chunk_bytes), _COPIED).write.mode(
+        "overwrite"
+    ).parquet(f"{work_dir}/chunks/last")
+    copied = spark.read.parquet(f"{work_dir}/chunks/last")
+    if not copied.where("store_error IS NOT NULL").isEmpty():
+        whole = {"chunks": F.lit(1), "chunk": F.lit(0), "offset": F.lit(0), "size": F.col("length")}
+        others = _substitutes(ready, copied).withColumns({k: v.cast("long") for k, v in whole.items()})
+        ordered = others.repartition(spread, "target_uri").sortWithinPartitions(
+            "target_uri", _order().desc()
+        )
+        ordered.select(*work).mapInArrow(_substitute(run, chunk_bytes), _COPIED).write.mode(
+            "overwrite"
+        ).parquet(f"{work_dir}/chunks/substitutes")
+        copied = copied.unionByName(spark.read.parquet(f"{work_dir}/chunks/substitutes"))
 
     results = (
-        spark.read.parquet(f"{work_dir}/chunks")
-        .groupBy("request_id")
+        copied.groupBy("request_id")
         .agg(
             F.count(F.lit(1)).alias("chunks"),
             F.sum("bytes").alias("bytes"),
-            _checksum().alias("sha256"),
+            F.max("digest").alias("sha256"),
+            _range_checksum().alias("range_sha256"),
             F.min(F.when(F.col("store_error").isNotNull(), F.struct("chunk", "store_error")))
             .alias("failure"),
         )
@@ -290,7 +383,7 @@ def _finish_ranges(results: DataFrame, plan: DataFrame, run: str) -> DataFrame:
     finished = (
         results.where(in_ranges)
         .join(plan.select("request_id", "target_uri"), "request_id")
-        .select("request_id", "target_uri", "chunks", "bytes", "sha256", "store_error")
+        .select("request_id", "target_uri", "chunks", "bytes", "sha256", "range_sha256", "store_error")
         .mapInArrow(_finisher(run), _FINISHED)
     )
     return results.where(~in_ranges).unionByName(finished)
@@ -314,6 +407,7 @@ def _with_status(known: DataFrame) -> DataFrame:
         "target_uri",
         F.when(failed, "error").when(superseded, "superseded").otherwise("ok").alias("status"),
         F.when(done, F.col("bytes")).alias("bytes"),
+        F.when(done, F.col("range_sha256")).alias("range_sha256"),
         F.when(done, F.col("sha256")).alias("sha256"),
         F.when(done, F.col("chunks")).alias("chunks"),
         message.alias("error"),

@@ -152,7 +152,7 @@ def q_object_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH requests AS (
-  SELECT lpad(CAST(page_id AS VARCHAR), 12, '0') AS request_id, html, page_id % 20 AS variant,
+  SELECT 'request-' || page_id AS request_id, page_id, html, page_id % 20 AS variant,
          CASE WHEN page_id % 3 = 0 THEN 'latest.html' ELSE 'page-' || page_id || '.html' END AS target
   FROM pages),
 checked AS (
@@ -163,16 +163,21 @@ checked AS (
            || ' object on the pages bucket: the source object does not exist' END AS error
   FROM requests),
 ranked AS (
-  SELECT *, max(request_id) FILTER (WHERE error IS NULL) OVER (PARTITION BY target) AS last_request
-  FROM checked)
+  SELECT *, max(page_id) FILTER (WHERE error IS NULL) OVER (PARTITION BY target) AS last_request,
+         octet_length(encode(html)) AS size
+  FROM checked),
+pieces AS (
+  SELECT page_id, i, sha256(unhex(substr(hex(encode(html)), 2000 * i + 1, 2000))) AS digest
+  FROM (SELECT page_id, html, unnest(range(greatest(1, CAST(ceil(size / 1000) AS BIGINT)))) AS i FROM ranked)),
+hashed AS (SELECT page_id, sha256(string_agg(digest, '' ORDER BY i)) AS digest FROM pieces GROUP BY page_id)
 SELECT request_id,
-       CASE WHEN error IS NOT NULL THEN 'error' WHEN request_id < last_request THEN 'superseded'
+       CASE WHEN error IS NOT NULL THEN 'error' WHEN page_id < last_request THEN 'superseded'
             ELSE 'ok' END AS status,
-       CASE WHEN error IS NULL AND request_id = last_request
-            THEN CAST(octet_length(encode(html)) AS BIGINT) END AS bytes,
-       CASE WHEN error IS NULL AND request_id = last_request THEN sha256(html) END AS sha256,
+       CASE WHEN error IS NULL AND page_id = last_request THEN CAST(size AS BIGINT) END AS bytes,
+       CASE WHEN error IS NULL AND page_id = last_request THEN digest END AS range_sha256,
+       CASE WHEN error IS NULL AND page_id = last_request AND size <= 1000 THEN sha256(html) END AS sha256,
        error
-FROM ranked
+FROM ranked JOIN hashed USING (page_id)
 """)
 def q_object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _written_pages(spark, sf_dir)
@@ -184,7 +189,8 @@ def q_object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     blob = F.when(variant == 7, "").when(variant == 3, "missing.html").otherwise(name)
     kind = F.when(variant == 11, "Other").otherwise(SETTINGS.store_type)
     manifest = pages.select(
-        F.lpad(_text("page_id"), 12, "0").alias("request_id"),
+        _id("request-", "page_id").alias("request_id"),
+        F.col("page_id").alias("sequence"),
         _address(
             kind, F.concat(F.lit("copies/"), target), bucketName=F.lit("Pages"), blobName=blob
         ).alias("src"),
@@ -195,8 +201,11 @@ def q_object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("dst"),
     )
     work_dir = scratch_dir(spark, "copy")
-    status = copy_objects(manifest, _registry(spark, sf_dir), _settings_below(root), work_dir)
-    return status.select("request_id", "status", "bytes", "sha256", "error")
+    # Pages are short, so that short ranges are needed to have several of an object.
+    status = copy_objects(
+        manifest, _registry(spark, sf_dir), _settings_below(root), work_dir, chunk_bytes=1000
+    )
+    return status.select("request_id", "status", "bytes", "range_sha256", "sha256", "error")
 
 
 @query("""
@@ -233,6 +242,8 @@ def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("contract-", page).alias("contract_id"),
         F.format_string("asset-%d", F.when(variant == 2, page + 1).otherwise(page)).alias("agreed_asset"),
     )
+    # Every agreement is there twice, as it is when replies are read twice.
+    agreements = agreements.unionByName(agreements)
     status = run_transfers(
         D.read_transfers(spark, f"{documents}/transfers"),
         agreements,

@@ -26,13 +26,15 @@ def run_transfers(
     ``copy_objects``; requests that do not resolve are errors with the reason.
     """
     resolved_path = f"{work_dir}/resolved"
+    if "sequence" not in requests.columns:
+        requests = requests.withColumn("sequence", F.lit(None).cast("long"))
     resolve_requests(requests, agreements, assets).select(
-        "request_id", "src", "dst", "resolution"
+        "request_id", "sequence", "src", "dst", "resolution"
     ).write.mode("overwrite").parquet(resolved_path)
     resolved = requests.sparkSession.read.parquet(resolved_path)
 
     found = F.col("resolution") == "resolved"
-    manifest = resolved.where(found).select("request_id", "src", "dst")
+    manifest = resolved.where(found).select("request_id", "sequence", "src", "dst")
     status = copy_objects(manifest, registry, settings, work_dir, chunk_bytes)
     unresolved = resolved.where(~found).select(
         "request_id", F.lit("error").alias("status"), F.col("resolution").alias("error")

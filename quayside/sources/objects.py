@@ -16,18 +16,6 @@ from quayside.functions.text import without_scheme
 from quayside.session import scratch_dir, ship_package
 
 
-def scan_objects(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
-    """Objects below a path with their bytes: ``path, modificationTime, length, content``.
-
-    Spark's file scan leaves out empty files and names that begin with ``_`` or ``.``. A scan
-    of everything is ``fetch_objects`` over ``list_objects``.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(path)
-
-
 _LISTED = "path STRING, modificationTime TIMESTAMP, length LONG, is_folder BOOLEAN"
 _LISTED_ROWS = 10_000
 
@@ -90,7 +78,10 @@ def with_object_name(objects: DataFrame, root: str) -> DataFrame:
     """Add ``bucket`` and ``name`` of objects below a root."""
     base = root if root.endswith("/") else root + "/"
     skip = F.length(without_scheme(F.lit(base)))
-    below = F.substring(without_scheme(F.col("path")), skip + 1, F.length("path"))
+    # Listings begin with the root as it was given; other readers may write the scheme differently.
+    below = F.when(
+        F.col("path").startswith(base), F.substring(F.col("path"), len(base) + 1, F.length("path"))
+    ).otherwise(F.substring(without_scheme(F.col("path")), skip + 1, F.length("path")))
     return objects.withColumns(
         {
             "bucket": F.substring_index(below, "/", 1),
@@ -99,55 +90,123 @@ def with_object_name(objects: DataFrame, root: str) -> DataFrame:
     )
 
 
-# A row holds a whole object only up to this length.
-FETCH_BYTES = 1024 * 1024 * 1024
-_FETCHED = "bucket STRING, name STRING, length LONG, content BINARY, error STRING"
+# Bytes of an object that one row holds; longer objects are several rows.
+RANGE_BYTES = 64 * 1024 * 1024
+_MEASURED = "bucket STRING, name STRING, uri STRING, length LONG, error STRING"
 
 
-def _fetcher(root: str, endpoint: str | None):
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from quayside.sources.store_io import Store, StoreError, check_address
+def _measurer(root: str, endpoint: str | None):
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quayside.sources.store_io import FAILURES, Store, StoreError, check_address
 
         store = Store()
         for batch in batches:
+            uris, lengths, errors = [], [], []
             for row in batch.to_pylist():
-                length, content, error = None, None, None
+                length, error = None, None
                 uri = f"{root}/{row['bucket']}/{row['name']}"
                 try:
                     check_address(row["bucket"], row["name"])
                     length = store.length(uri, endpoint)
                     if length is None:
                         raise StoreError("the object does not exist")
-                    if length > FETCH_BYTES:
-                        raise StoreError("the object is too long for a row")
-                    content = b"".join(store.blocks(uri, 0, length, endpoint))
-                except (StoreError, OSError) as failure:
+                except FAILURES as failure:
                     error = str(failure)
-                # One object per batch, so that no batch holds many large objects.
+                uris.append(uri)
+                lengths.append(length)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("bucket"),
+                    batch.column("name"),
+                    pa.array(uris, pa.string()),
+                    pa.array(lengths, pa.int64()),
+                    pa.array(errors, pa.string()),
+                ],
+                names=["bucket", "name", "uri", "length", "error"],
+            )
+
+    return measure
+
+
+def _reader(endpoint: str | None, range_bytes: int):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quayside.sources.store_io import FAILURES, Store
+
+        store = Store()
+        for batch in batches:
+            for at, row in enumerate(batch.to_pylist()):
+                content, error = None, row["error"]
+                if error is None:
+                    size = min(range_bytes, row["length"] - row["offset"])
+                    try:
+                        blocks = store.blocks(row["uri"], row["offset"], size, endpoint)
+                        content = b"".join(blocks)
+                    except FAILURES as failure:
+                        error = str(failure)
+                kept = batch.slice(at, 1)
+                # One range per batch, so that no batch holds many of them.
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["bucket"]], pa.string()),
-                        pa.array([row["name"]], pa.string()),
-                        pa.array([length], pa.int64()),
+                        *(kept.column(n) for n in batch.schema.names if n not in ("uri", "error")),
                         pa.array([content], pa.binary()),
                         pa.array([error], pa.string()),
                     ],
-                    names=["bucket", "name", "length", "content", "error"],
+                    names=[*(n for n in batch.schema.names if n not in ("uri", "error")), "content", "error"],
                 )
 
-    return fetch
+    return read
 
 
-def fetch_objects(names: DataFrame, root: str, endpoint: str | None = None) -> DataFrame:
+def _ranges(objects: DataFrame, endpoint: str | None, range_bytes: int) -> DataFrame:
+    """Rows with ``offset, content, error`` for every range of objects ``uri, length, error``.
+
+    Ranges are dealt to tasks one by one, so a long object keeps many of them busy.
+    """
+    spark = objects.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    last = F.greatest(F.ceil(F.coalesce("length", F.lit(0)) / range_bytes) - 1, F.lit(0))
+    cut = objects.withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
+    cut = cut.withColumn("offset", F.col("place") * range_bytes).drop("place")
+    kept = [f"`{n}` {kind}" for n, kind in cut.dtypes if n not in ("uri", "error")]
+    return cut.repartition(tasks, "uri", "offset").mapInArrow(
+        _reader(endpoint, range_bytes), ", ".join([*kept, "content BINARY", "error STRING"])
+    )
+
+
+def fetch_objects(
+    names: DataFrame, root: str, endpoint: str | None = None, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
     """Bytes of the objects named by rows ``bucket, name``.
 
-    Every row is answered: ``length, content`` of an object, empty ones included, or null
-    content with an ``error``. Nothing is listed, so the work is spread as the rows are.
+    Gives ``bucket, name, length, offset, content, error``: a row for each range of an object, one
+    for an empty object, and a row with an ``error`` and no content for what can't be read. Nothing
+    is listed.
     """
     ship_package(names.sparkSession)
-    return names.select("bucket", "name").mapInArrow(
-        _fetcher(root.rstrip("/"), endpoint), _FETCHED
+    measured = names.select("bucket", "name").mapInArrow(
+        _measurer(root.rstrip("/"), endpoint), _MEASURED
     )
+    return _ranges(measured, endpoint, range_bytes)
+
+
+def scan_objects(
+    spark: SparkSession,
+    path: str,
+    name_glob: str | None = None,
+    endpoint: str | None = None,
+    range_bytes: int = RANGE_BYTES,
+) -> DataFrame:
+    """All objects below a path with their bytes, whatever their names and lengths.
+
+    Gives ``path, modificationTime, length, offset, content, error``, a row for each range of an
+    object, one for an empty object.
+    """
+    listed = list_objects(spark, path, name_glob, endpoint=endpoint)
+    objects = listed.withColumns({"uri": F.col("path"), "error": F.lit(None).cast("string")})
+    return _ranges(objects, endpoint, range_bytes)
 
 
 @dataclass
@@ -177,8 +236,8 @@ class ObjectWriter(DataSourceArrowWriter):
                 uri = f"{self.root}/{bucket}/{name}"
                 if not self.create_buckets:
                     store.require_bucket(uri, name, self.endpoint)
-                length, _ = store.write(uri, [contents[row].as_buffer()], self.endpoint)
-                objects, total = objects + 1, total + length
+                written = store.write(uri, [contents[row].as_buffer()], self.endpoint)
+                objects, total = objects + 1, total + written.length
         return Written(objects, total)
 
     def commit(self, messages: list[Written | None]) -> None:

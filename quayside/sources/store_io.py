@@ -1,8 +1,10 @@
 """Object reads and writes of single tasks, used inside Python workers.
 
 Stores are reached through Arrow file systems. On a mounted file system objects appear by
-renaming a hidden file; on object stores by completing the upload, and an upload that fails
-half-way is deleted. A task that runs twice leaves the same object.
+renaming a hidden file. On object stores they are written under a key of their own, copied to the
+target by the store when they are whole, and deleted there; a write that fails never touches the
+target. Objects beyond the length that stores copy in one request are written to the target
+directly. A task that runs twice leaves the same object.
 """
 
 from __future__ import annotations
@@ -12,17 +14,26 @@ import os
 import re
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs
 
 BLOCK = 8 * 1024 * 1024
 # File systems whose URIs name a host, and which rename files.
 ON_HOST = ("hdfs://", "viewfs://")
+# Object stores copy objects up to this length in one request.
+COPY_BYTES = 5 * 1024 * 1024 * 1024
+# Files and keys of objects that are not complete yet.
+COLLECTING, COLLECTING_END = ".quayside-", ".part"
 
 
 class StoreError(Exception):
     """A request that cannot be served; its text becomes the error of the status row."""
 
 
+# What a single bad row may raise: Arrow refuses some names and schemes with a ValueError.
+FAILURES = (StoreError, OSError, ValueError, pa.ArrowException)
+
+
 def is_local(uri: str) -> bool:
     return uri.startswith(("/", "file:"))
 
@@ -44,17 +55,52 @@ def local_path(uri: str) -> str:
 
 def is_collecting(name: str) -> bool:
     """Whether a file of this name holds an object that is not complete yet."""
-    return name.startswith(".") and name.endswith(".tmp")
+    return name.startswith(COLLECTING) and name.endswith(COLLECTING_END)
+
+
+def collecting_name(mark: str) -> str:
+    return f"{COLLECTING}{mark}{COLLECTING_END}"
+
+
+class Digests:
+    """SHA-256 of some bytes, and of each of their ranges of a fixed length."""
+
+    def __init__(self, range_bytes: int | None = None) -> None:
+        self.length = 0
+        self._whole, self._range = hashlib.sha256(), hashlib.sha256()
+        self._range_bytes, self._ranges = range_bytes, []
+
+    def update(self, block) -> None:
+        self._whole.update(block)
+        view = memoryview(block)
+        while len(view) and self._range_bytes:
+            if self.length and self.length % self._range_bytes == 0:
+                self._ranges.append(self._range.hexdigest())
+                self._range = hashlib.sha256()
+            part = view[: self._range_bytes - self.length % self._range_bytes]
+            self._range.update(part)
+            self.length += len(part)
+            view = view[len(part) :]
+        self.length += len(view)
+
+    def whole(self) -> str:
+        return self._whole.hexdigest()
+
+    def ranges(self) -> str:
+        """Digests of the ranges, joined; an object without bytes has one empty range."""
+        return "".join([*self._ranges, self._range.hexdigest()])
 
 
 def check_address(bucket: str | None, name: str | None) -> None:
-    """Refuse buckets and names that would lead out of their root or bucket."""
-    if not bucket or "/" in bucket or bucket in (".", ".."):
+    """Refuse buckets and names that lead out of their root or bucket, or that files can't have."""
+    if not bucket or "/" in bucket or "\0" in bucket or bucket in (".", ".."):
         raise StoreError("the bucket name is not valid")
     if not name:
         raise StoreError("the object has no name")
     if name.startswith("/") or ".." in name.split("/"):
         raise StoreError("the object name leaves its bucket")
+    if "\0" in name:
+        raise StoreError("the object name is not valid")
 
 
 class Store:
@@ -90,6 +136,7 @@ class Store:
         """
         system, path = self.locate(uri, endpoint)
         if is_local(uri):
+            # Only mounted file systems hold hidden files of writes.
             with os.scandir(path) as found:
                 for entry in found:
                     status = entry.stat(follow_symlinks=False)
@@ -100,8 +147,7 @@ class Store:
         for info in system.get_file_info(fs.FileSelector(path)):
             folder = info.type == fs.FileType.Directory
             seconds = info.mtime.timestamp() if info.mtime else None
-            if folder or not is_collecting(info.base_name):
-                yield info.base_name, seconds, info.size, folder
+            yield info.base_name, seconds, info.size, folder
 
     def require_bucket(self, uri: str, name: str, endpoint: str | None = None) -> None:
         bucket_uri = uri[: len(uri) - len(name) - 1]
@@ -112,24 +158,31 @@ class Store:
         if not self._buckets[key]:
             raise StoreError("the bucket does not exist")
 
-    def write(self, uri: str, blocks, endpoint: str | None = None) -> tuple[int, str]:
-        """Write an object from an iterable of byte blocks; gives its length and hash."""
+    def write(
+        self,
+        uri: str,
+        blocks,
+        endpoint: str | None = None,
+        range_bytes: int | None = None,
+        expected: int = 0,
+    ) -> Digests:
+        """Write an object from an iterable of byte blocks; gives its length and hashes."""
         system, path = self.locate(uri, endpoint)
-        digest, length = hashlib.sha256(), 0
-        target, renames = path, is_local(uri) or uri.startswith(ON_HOST)
+        digests = Digests(range_bytes)
+        renames = is_local(uri) or uri.startswith(ON_HOST)
+        folder = os.path.dirname(path)
         if renames:
-            folder = os.path.dirname(path)
             system.create_dir(folder, recursive=True)
-            target = os.path.join(folder, f".{uuid.uuid4().hex}.tmp")
+        direct = not renames and expected > COPY_BYTES
+        target = path if direct else f"{folder}/{collecting_name(uuid.uuid4().hex)}"
         try:
             with system.open_output_stream(target) as out:
                 for block in blocks:
                     out.write(block)
-                    digest.update(block)
-                    length += len(block)
+                    digests.update(block)
         except Exception:
             # Closing the stream has left what was written so far.
-            if system.get_file_info(target).type == fs.FileType.File:
+            if not direct and system.get_file_info(target).type == fs.FileType.File:
                 system.delete_file(target)
             raise
         if is_local(uri):
@@ -138,7 +191,10 @@ class Store:
             if system.get_file_info(path).type != fs.FileType.NotFound:
                 system.delete_file(path)
             system.move(target, path)
-        return length, digest.hexdigest()
+        elif not direct:
+            system.copy_file(target, path)
+            system.delete_file(target)
+        return digests
 
     def blocks(self, uri: str, offset: int, length: int, endpoint: str | None = None):
         """Bytes ``offset .. offset + length`` of an object, block by block."""
@@ -153,18 +209,18 @@ class Store:
                 left -= len(block)
                 yield block
 
-    def write_range(self, path: str, offset: int, blocks) -> tuple[int, str]:
+    def write_range(self, path: str, offset: int, blocks) -> Digests:
         """Write blocks at a position of a file on a mounted file system."""
-        digest, length = hashlib.sha256(), 0
+        digests, at = Digests(), offset
         os.makedirs(os.path.dirname(path), exist_ok=True)
         handle = os.open(path, os.O_WRONLY | os.O_CREAT, 0o644)
         try:
             for block in blocks:
                 view = memoryview(block)
                 while view:
-                    done = os.pwrite(handle, view, offset + length)
-                    view, length = view[done:], length + done
-                digest.update(block)
+                    done = os.pwrite(handle, view, at)
+                    view, at = view[done:], at + done
+                digests.update(block)
         finally:
             os.close(handle)
-        return length, digest.hexdigest()
+        return digests

@@ -4,7 +4,9 @@ import hashlib
 import os
 
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.plans import copy_job
 from quayside.plans.copy_job import copy_objects
@@ -36,8 +38,11 @@ def test_round_trip(spark, tmp_path, rows):
     def found(df):
         return sorted((r["bucket"], r["name"], bytes(r["content"])) for r in df.collect())
 
-    filled = [part for part in parts if part[2]]
-    assert found(with_object_name(scan_objects(spark, root), root)) == sorted(filled)
+    assert found(with_object_name(scan_objects(spark, root), root)) == sorted(parts)
+    ranges = fetch_objects(table, root, range_bytes=999).where("name = 'x.bin' AND bucket = 'b'").collect()
+    assert [r["offset"] for r in sorted(ranges, key=lambda r: r["offset"])] == list(range(0, 10_000, 999))
+    joined = b"".join(bytes(r["content"]) for r in sorted(ranges, key=lambda r: r["offset"]))
+    assert joined == parts[0][2]
     assert found(fetch_objects(table, root)) == sorted(parts)
     listed = with_object_name(list_objects(spark, root, "*.bin"), root)
     assert rows(listed.select("bucket", "name", "length")) == [("b", "x.bin", 10_000), ("c", "x.bin", 1)]
@@ -46,11 +51,12 @@ def test_round_trip(spark, tmp_path, rows):
 def test_fetch_answers_every_row(spark, tmp_path, rows):
     root = f"file://{tmp_path}"
     names = spark.createDataFrame(
-        [("b", "n"), ("b", "../n"), ("b", None), (None, "n")], "bucket STRING, name STRING"
+        [("b", "n"), ("b", "../n"), ("b", "a\0"), ("b", None), (None, "n")], "bucket STRING, name STRING"
     )
     found = fetch_objects(names, root).select("bucket", "name", "content", "error")
     assert rows(found) == [
         ("b", "../n", None, "the object name leaves its bucket"),
+        ("b", "a\0", None, "the object name is not valid"),
         ("b", "n", None, "the object does not exist"),
         ("b", None, None, "the object has no name"),
         (None, "n", None, "the bucket name is not valid"),
@@ -60,7 +66,8 @@ def test_fetch_answers_every_row(spark, tmp_path, rows):
 def test_listing_finds_everything(spark, tmp_path, rows):
     root = f"file://{tmp_path}/store"
     names = ["a/x.html", "a/b/c/d/x.html", "a/empty", "a/_under", "a/.dot", "b/ü %20.html", "b/x.tmp"]
-    for name in [*names, "a/.0123.tmp", "a/.x.run.tmp"]:
+    names += ["a/.x.tmp", "a/.0123.tmp"]
+    for name in [*names, "a/.quayside-0123.part"]:
         path = tmp_path / "store" / name
         os.makedirs(path.parent, exist_ok=True)
         path.write_bytes(b"" if name == "a/empty" else b"12")
@@ -105,7 +112,9 @@ def store(tmp_path):
 
 
 def run(spark, tmp_path, settings, requests, **options):
-    table = spark.createDataFrame(requests, MANIFEST)
+    sequence = [n if isinstance(n := r[0], int) else None for r in requests]
+    requests = [(None if r[0] is None else str(r[0]), *r[1:], s) for r, s in zip(requests, sequence)]
+    table = spark.createDataFrame(requests, T.StructType([*MANIFEST, T.StructField("sequence", T.LongType())]))
     registry = spark.createDataFrame([], REGISTRY)
     status = copy_objects(table, registry, settings, f"file://{tmp_path}/work", **options)
     return {row["request_id"]: row.asDict() for row in status.collect()}
@@ -125,11 +134,10 @@ def test_copy_matches_source_bytes(spark, store, chunk_bytes):
         assert (tmp_path / "dst" / "out" / "copy" / name).read_bytes() == content
         pieces = [content[at : at + chunk_bytes] for at in range(0, len(content), chunk_bytes)]
         assert found[name]["chunks"] == max(len(pieces), 1)
-        if len(pieces) > 1:
-            joined = "".join(hashlib.sha256(piece).hexdigest() for piece in pieces)
-            assert found[name]["sha256"] == hashlib.sha256(joined.encode()).hexdigest()
-        else:
-            assert found[name]["sha256"] == hashlib.sha256(content).hexdigest()
+        joined = "".join(hashlib.sha256(piece).hexdigest() for piece in pieces or [b""])
+        assert found[name]["range_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        whole = hashlib.sha256(content).hexdigest()
+        assert found[name]["sha256"] == (whole if len(pieces) <= 1 else None)
     assert not [name for name in os.listdir(tmp_path / "dst" / "out" / "copy") if name.startswith(".")]
 
 
@@ -149,9 +157,13 @@ def test_copy_errors_become_rows(spark, store):
             ("spy", address(key="k7", bucketName="in", blobName="../../work"), to),
             ("up", address(key="k8", bucketName="..", blobName="src/in/o1"), to),
             ("nameless", address(key=None, bucketName="in", blobName="o1"), to),
+            ("nul", address(key="a\0b", bucketName="in", blobName="o1"), to),
+            ("twice", address(key="k9", bucketName="in", blobName="o1"), to),
+            ("twice", address(key="k10", bucketName="in", blobName="o1"), to),
+            (None, address(key="k11", bucketName="in", blobName="o1"), to),
         ],
     )
-    assert len(found) == 9
+    assert len(found) == 12
     assert found["ok"]["error"] is None and found["ok"]["status"] == "ok"
     errors = {name: row["error"] for name, row in found.items() if name != "ok"}
     assert errors == {
@@ -163,6 +175,9 @@ def test_copy_errors_become_rows(spark, store):
         "spy": "Error writing the k7 object on the out bucket: the object name leaves its bucket",
         "up": "Error writing the k8 object on the out bucket: the bucket name is not valid",
         "nameless": "Error writing the null object on the out bucket: the object has no name",
+        "nul": "Error writing the a\0b object on the out bucket: the object name is not valid",
+        "twice": "the request id is not unique",
+        None: "the request has no id",
     }
     assert {row["status"] for name, row in found.items() if name != "ok"} == {"error"}
     assert not (tmp_path / "k6").exists()
@@ -174,14 +189,14 @@ def test_many_requests_for_one_target(spark, store):
     names = sorted(contents)
     requests = [
         (
-            f"{n:04}",
+            n,
             address(key="same" if n % 3 == 0 else f"t{n}", bucketName="in", blobName=names[n % 5]),
             address(bucketName="out"),
         )
         for n in range(300)
     ]
     found = run(spark, tmp_path, settings, requests)
-    states = [found[f"{n:04}"]["status"] for n in range(300)]
+    states = [found[str(n)]["status"] for n in range(300)]
     assert states.count("superseded") == 99
     assert [n for n in range(0, 300, 3) if states[n] == "ok"] == [297]
     assert (tmp_path / "dst" / "out" / "same").read_bytes() == contents[names[297 % 5]]
@@ -200,6 +215,48 @@ def test_failed_last_request_does_not_hide_an_earlier_one(spark, store):
     assert (tmp_path / "dst" / "out" / "t").read_bytes() == contents["o2"]
 
 
+def test_request_that_fails_while_it_is_copied_gives_way(spark, store):
+    """The last two requests read a file that is shorter than it says; then the latest one counts."""
+    tmp_path, contents, settings = store
+    os.symlink("/sys/kernel/mm/transparent_hugepage/enabled", tmp_path / "src" / "in" / "short")
+    blobs = ["o1", "o2", "o5", "short", "short"]
+    requests = [
+        (n, address(key="t", bucketName="in", blobName=blob), address(bucketName="out"))
+        for n, blob in zip((7, 8, 9, 10, 11), blobs)
+    ]
+    found = run(spark, tmp_path, settings, requests, chunk_bytes=1500)
+    states = [found[str(n)]["status"] for n in (7, 8, 9, 10, 11)]
+    assert states == ["superseded", "superseded", "ok", "error", "error"]
+    assert (tmp_path / "dst" / "out" / "t").read_bytes() == contents["o5"]
+    assert found["10"]["error"].endswith("the source object became shorter")
+
+
+def test_objects_of_a_store_appear_whole(tmp_path):
+    """An Arrow file system stands for an object store: keys are copied, never renamed."""
+    os.makedirs(tmp_path / "b")
+    store = Store()
+    store._systems = {("s3a", None): fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())}
+
+    def blocks():
+        yield b"some"
+        raise StoreError("the source object became shorter")
+
+    digests = store.write("s3a://b/k", [b"abc", b"defg"], range_bytes=2)
+    assert digests.length == 7
+    assert digests.ranges() == "".join(hashlib.sha256(p).hexdigest() for p in (b"ab", b"cd", b"ef", b"g"))
+    with pytest.raises(StoreError):
+        store.write("s3a://b/k", blocks())
+    assert os.listdir(tmp_path / "b") == ["k"]
+    assert (tmp_path / "b" / "k").read_bytes() == b"abcdefg"
+
+
+def test_bucket_below_a_bare_scheme(spark, rows):
+    paths = spark.createDataFrame([("s3a://pages/x/y.html",), ("s3a://b/k",)], "path STRING")
+    assert rows(with_object_name(paths, "s3a://").select("bucket", "name")) == [("b", "k"), ("pages", "x/y.html")]
+    files = spark.createDataFrame([("file:/r/b/k",)], "path STRING")
+    assert rows(with_object_name(files, "file:///r").select("bucket", "name")) == [("b", "k")]
+
+
 def test_copy_may_run_again(spark, store):
     tmp_path, contents, settings = store
     requests = [("r", address(key="k", bucketName="in", blobName="o20"), address(bucketName="out"))]
@@ -260,8 +317,8 @@ def test_failed_range_drops_the_collected_ranges(spark, store):
     hidden = copy_job._hidden_path(target, "work")
     with open(hidden, "wb") as out:
         out.write(b"123")
-    schema = "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, store_error STRING"
-    results = spark.createDataFrame([("r", 2, 3, "x", "broken")], schema)
+    schema = "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, range_sha256 STRING, store_error STRING"
+    results = spark.createDataFrame([("r", 2, 3, None, "x", "broken")], schema)
     plan = spark.createDataFrame([("r", target)], "request_id STRING, target_uri STRING")
     assert copy_job._finish_ranges(results, plan, "work").first()["store_error"] == "broken"
     assert not os.path.exists(hidden) and not os.path.exists(tmp_path / "dst" / "out" / "k")

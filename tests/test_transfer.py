@@ -17,7 +17,7 @@ def test_demo_transfer(spark, tmp_path):
     (tmp_path / "store" / "source-bucket" / "device.csv").write_bytes(content)
 
     asset = {
-        "asset": {"@id": "assetId", "properties": {"name": "n", "contenttype": "application/json"}},
+        "asset": {"@id": "asset-1", "properties": {"name": "n", "contenttype": "application/json"}},
         "dataAddress": {
             "type": "Outer",
             "properties": {
@@ -36,13 +36,13 @@ def test_demo_transfer(spark, tmp_path):
         }
 
     (tmp_path / "assets.json").write_text(json.dumps(asset))
-    requests = [transfer("t1", "c1", "assetId"), transfer("t2", "c9", "assetId"), transfer("t3", "c2", "gone")]
+    requests = [transfer("t1", "c1", "asset-1"), transfer("t2", "c9", "asset-1"), transfer("t3", "c2", "gone")]
     (tmp_path / "transfers.json").write_text("\n".join(map(json.dumps, requests)))
 
     root = f"file://{tmp_path}/store"
     settings = TransferSettings("ObjectStore", "default", "connector", root, root)
     agreements = spark.createDataFrame(
-        [("c1", "assetId"), ("c2", "gone")], "contract_id STRING, agreed_asset STRING"
+        [("c1", "asset-1"), ("c1", "asset-1"), ("c2", "gone")], "contract_id STRING, agreed_asset STRING"
     )
     registry = spark.createDataFrame([], "key_name STRING, has_token BOOLEAN, expires_at TIMESTAMP")
     status = run_transfers(
