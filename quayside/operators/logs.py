@@ -132,10 +132,15 @@ def label(events: DataFrame, deployment: Deployment) -> DataFrame:
     )
 
 
-def label_by(events: DataFrame, deployments: DataFrame, on: str) -> DataFrame:
-    """Add the labels of many deployments, found by the key of the source."""
+def label_by(
+    events: DataFrame, deployments: DataFrame, on: str, salted: bool = False
+) -> DataFrame:
+    """Add the labels of many deployments, found by the key of the source.
+
+    ``salted`` spreads the events of each key; see ``lookup_join``.
+    """
     labels = deployments.select(on, "namespace", "cluster", "role", "roleGroup")
-    return lookup_join(events, labels, on)
+    return lookup_join(events, labels, on, salted=salted)
 
 
 def as_log_events(events: DataFrame) -> DataFrame:

@@ -1,19 +1,18 @@
 """Joins of a large table to a lookup table whose keys may be very unevenly used.
 
-``lookup_join`` picks one of three plans, none of which drops or limits rows:
+``lookup_join`` is a plain equi join by default, planned without a job of its own: Spark broadcasts
+the lookup side by its known size, and adaptive execution splits partitions that turn out
+uneven. Measured on eight cores that was the fastest way, also with a third of the rows in one key.
 
-* the lookup side is counted and small: it is broadcast;
-* no key holds more rows than an average shuffle partition: a plain equi join, which
-  adaptive execution may still split;
-* some keys do: their rows are spread over several salts, and only the lookup rows of those
-  keys are repeated, once per salt.
+With ``salted=True`` rows of hot keys are spread over several salts, and only the lookup
+rows of those keys are repeated, once per salt. That needs one pass over the key columns, so
+it pays where one key would keep a single task busy for long.
 
 Let K be the number of shuffle partitions. A key is hot when it holds more than 1/K of the
 rows, so there are fewer than K hot keys. A hot key gets four salts per 1/K of the rows, so its
 rows fall into pieces of a quarter of an average partition, and a lookup table with unique keys
-grows by at most 5 K rows.
-
-A stream is joined to a large table with a fixed number of salts for every key.
+grows by at most 5 K rows. A stream cannot be measured: each of its keys gets as many salts as
+there are shuffle partitions.
 """
 
 from __future__ import annotations
@@ -23,17 +22,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table within both bounds is broadcast.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-# Bounds of the frequent-item sketch, and so of what is brought to the driver.
-MAX_HOT_KEYS = 4_096
-_TRACKED_ITEMS = 10_000
 _SALTS_PER_PARTITION = 4
-
-# A stream cannot be measured, so each of its keys is spread over this many salts.
-STREAM_SALTS = 16
+# Bounds of Spark's sketch: keys that it returns, and items that it follows.
+_MOST_KEYS, _LEAST_TRACKED, _MOST_TRACKED = 100_000, 10_000, 1_000_000
 
 _HASH, _SALTS, _SALT = "__key_hash", "__salts", "__salt"
 
@@ -42,30 +33,19 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(key) for key in keys])
 
 
-def is_small(lookup: DataFrame) -> bool:
-    """Whether a table may be broadcast, found by counting it and then adding up its bytes."""
-    if lookup.count() > BROADCAST_ROWS:
-        return False
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
-         for name in lookup.columns),
-        F.lit(16),
-    )
-    total = lookup.agg(F.sum(width).alias("bytes")).first()["bytes"]
-    return (total or 0) <= BROADCAST_BYTES
-
-
 def hot_keys(rows: DataFrame, keys: Sequence[str], pieces: int | None = None) -> dict[int, int]:
     """Number of salts for the hash of every key that holds more than ``1 / pieces`` of the rows.
 
-    One pass over the key columns: every task keeps a sketch of fixed size, so neither the
-    shuffle nor the result grows with the data or with the number of keys.
+    One pass over the key columns: every task keeps a sketch whose size follows ``pieces``, by
+    default the number of shuffle partitions, so neither the shuffle nor the result grows with the data
+    or with the number of keys.
     """
     pieces = pieces or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(pieces, MAX_HOT_KEYS)
+    wanted = min(pieces, _MOST_KEYS)
+    tracked = min(_MOST_TRACKED, max(_LEAST_TRACKED, 4 * wanted))
     found = rows.agg(
         F.call_function(
-            "approx_top_k", _key_hash(keys), F.lit(wanted), F.lit(_TRACKED_ITEMS)
+            "approx_top_k", _key_hash(keys), F.lit(wanted), F.lit(tracked)
         ).alias("top"),
         F.count(F.lit(1)).alias("total"),
     ).first()
@@ -109,9 +89,10 @@ def _evenly_salted_join(
     rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
 ) -> DataFrame:
     """Join of a stream, whose hot keys are not known beforehand: every key is spread."""
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = [F.col(f"`{name}`") for name, kind in rows.dtypes if "map<" not in kind]
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(STREAM_SALTS - 1).cast("long"))
-    left = rows.withColumn(_SALT, F.pmod(F.xxhash64(*plain), F.lit(STREAM_SALTS)))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))
+    left = rows.withColumn(_SALT, F.pmod(F.xxhash64(*plain), F.lit(spread).cast("long")))
     right = lookup.withColumn(_SALT, F.explode(salts))
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
@@ -121,22 +102,16 @@ def lookup_join(
     lookup: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    measure_lookup: bool = True,
-    measured_on: DataFrame | None = None,
+    salted: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` on equally named columns.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. Pass
-    ``measure_lookup=False`` when the lookup side is costly to compute and known to grow with
-    the data; it is then never broadcast by hint. ``measured_on`` names a cheaper table with the
-    same keys, usually the input of an earlier join, on which to look for hot keys.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if measure_lookup and is_small(lookup):
-        return rows.join(F.broadcast(lookup), keys, how)
+    if not salted:
+        return rows.join(lookup, keys, how)
     if rows.isStreaming:
         return _evenly_salted_join(rows, lookup, keys, how)
-    salts = hot_keys(rows if measured_on is None else measured_on, keys)
-    if not salts:
-        return rows.join(lookup, keys, how)
-    return salted_join(rows, lookup, keys, how, salts)
+    salts = hot_keys(rows, keys)
+    return salted_join(rows, lookup, keys, how, salts) if salts else rows.join(lookup, keys, how)

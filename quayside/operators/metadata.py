@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.text import json_text
 from quayside.operators.lookups import lookup_join
@@ -31,7 +32,8 @@ def reached_agreements(
     """Agreements ``contract_id, agreed_asset`` for ``resolve_requests``.
 
     ``negotiations(negotiation_id, asset_id)`` with unique ids, and ``replies(document)``, of
-    which there may be many per negotiation; those without an agreement do not count.
+    which there may be many per negotiation; those without an agreement do not count. A reply to
+    an unknown negotiation is an agreement for no asset, which no request can use.
     """
     ids = F.json_tuple("document", "@id", f"{vocabulary}:contractAgreementId")
     reached = (
@@ -41,28 +43,61 @@ def reached_agreements(
     )
     assets = negotiations.select("negotiation_id", F.col("asset_id").alias("agreed_asset"))
     # Replies are brought down to one row per agreement first, so no key can be hot here.
-    return reached.join(assets, "negotiation_id").select("contract_id", "agreed_asset")
+    return reached.join(assets, "negotiation_id", "left").select("contract_id", "agreed_asset")
 
 
 def resolve_requests(requests: DataFrame, agreements: DataFrame, assets: DataFrame) -> DataFrame:
     """Find the source address of every transfer request.
 
     ``requests(request_id, contract_id, asset_id, dst)``, ``agreements(contract_id,
-    agreed_asset)`` and ``assets(asset_id, src)`` with unique keys. Requests that do not
-    resolve stay in the result, with the reason in ``resolution``.
+    agreed_asset)`` and ``assets(asset_id, src)``. Equal rows of these count once; rows that
+    contradict each other resolve nothing. Requests that do not resolve stay in the result, with the
+    reason in ``resolution``.
     """
-    agreed = agreements.select("contract_id", "agreed_asset", F.lit(True).alias("has_agreement"))
-    offered = assets.select("asset_id", "src", F.lit(True).alias("has_asset"))
-    found = lookup_join(
-        lookup_join(requests, agreed, "contract_id"), offered, "asset_id", measured_on=requests
+    agreed = agreements.groupBy("contract_id").agg(
+        F.min("agreed_asset").alias("agreed_asset"),
+        F.max("agreed_asset").alias("other_asset"),
+        F.count("agreed_asset").alias("named"),
+        F.count(F.lit(1)).alias("agreements"),
+    )
+    # Maps can't be compared, and have no order; as text with sorted entries they can.
+    described = F.to_json(
+        F.struct(
+            *[
+                (
+                    F.array_sort(F.map_entries(F.col("src")[field.name]))
+                    if isinstance(field.dataType, T.MapType)
+                    else F.col("src")[field.name]
+                ).alias(field.name)
+                for field in assets.schema["src"].dataType
+            ]
+        )
+    )
+    offered = (
+        assets.select("asset_id", "src", described.alias("described"))
+        .groupBy("asset_id")
+        .agg(
+            F.min_by("src", F.coalesce("described", F.lit(""))).alias("src"),
+            F.min("described").alias("described"),
+            F.max("described").alias("other"),
+        )
+        .withColumn("has_asset", F.lit(True))
+    )
+    found = lookup_join(lookup_join(requests, agreed, "contract_id"), offered, "asset_id")
+    contradicted = (F.col("agreed_asset") != F.col("other_asset")) | (
+        (F.col("named") > 0) & (F.col("named") < F.col("agreements"))
     )
     resolution = (
-        F.when(F.col("has_agreement").isNull(), "no such agreement")
+        F.when(F.col("agreements").isNull(), "no such agreement")
+        .when(contradicted, "agreements contradict each other")
         .when(~F.col("agreed_asset").eqNullSafe(F.col("asset_id")), "agreement is for another asset")
         .when(F.col("has_asset").isNull(), "no such asset")
+        .when(F.col("described") != F.col("other"), "descriptions of the asset contradict each other")
         .otherwise("resolved")
     )
-    return found.withColumn("resolution", resolution).drop("has_agreement", "has_asset")
+    return found.withColumn("resolution", resolution).drop(
+        "other_asset", "named", "agreements", "described", "other", "has_asset"
+    )
 
 
 def definitions_with_policies(definitions: DataFrame, policies: DataFrame) -> DataFrame:
@@ -74,10 +109,7 @@ def definitions_with_policies(definitions: DataFrame, policies: DataFrame) -> Da
         F.col("policy_id").alias("contract_policy_id"), F.lit(True).alias("has_contract_policy")
     )
     return lookup_join(
-        lookup_join(definitions, access, "access_policy_id"),
-        contract,
-        "contract_policy_id",
-        measured_on=definitions,
+        lookup_join(definitions, access, "access_policy_id"), contract, "contract_policy_id"
     )
 
 
@@ -101,9 +133,7 @@ def resolve_offers(
         F.lit(True).alias("has_definition"),
     )
     listed = assets.select("asset_id", F.lit(True).alias("has_asset"))
-    found = lookup_join(
-        lookup_join(offers, terms, "definition_id"), listed, "asset_id", measured_on=offers
-    )
+    found = lookup_join(lookup_join(offers, terms, "definition_id"), listed, "asset_id")
     status = (
         F.when(F.col("has_definition").isNull(), "no such definition")
         .when(~F.col("offers_all"), "asset selectors are not supported")

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from quayside.operators.lookups import lookup_join
 
 
+_REQUEST = "__request"
+
+
 def _failed() -> Column:
     return ~F.coalesce(F.col("ok"), F.lit(False))
 
@@ -24,21 +27,28 @@ def part_status(parts: DataFrame, order: Sequence[str] = ("ordinal",)) -> DataFr
 
     ``parts(request_id, ok, error, <order>)``; ``order`` must be unique within a request. A
     part before the first failure is ``ok``, the failure itself is ``failed``, and later parts
-    are ``not_attempted``. Instead of a window, which would sort a whole request in one task,
-    the first failures are aggregated (partly before the shuffle) and joined back.
+    are ``not_attempted``. Parts without a request id are those of one request, and a part
+    without a position comes before all others. Instead of a window, which would sort a whole
+    request in one task, the first failures are aggregated (partly before the shuffle) and joined
+    back.
     """
     position = _position(order)
+    nowhere = position.isNull()
     first = (
-        parts.where(_failed()).groupBy("request_id").agg(F.min(position).alias("first_failure"))
+        parts.where(_failed())
+        .groupBy("request_id")
+        .agg(F.min(position).alias("first_failure"), F.max(nowhere).alias("failed_nowhere"))
+        # A struct with a null inside is no null, so that rows without an id find each other.
+        .select(F.struct("request_id").alias(_REQUEST), "first_failure", "failed_nowhere")
     )
-    marked = lookup_join(parts, first, "request_id", measure_lookup=False)
-    before = F.col("first_failure").isNull() | (position < F.col("first_failure"))
-    status = (
-        F.when(before, "ok")
-        .when(position == F.col("first_failure"), "failed")
-        .otherwise("not_attempted")
+    marked = lookup_join(parts.withColumn(_REQUEST, F.struct("request_id")), first, _REQUEST)
+    at_start = F.coalesce("failed_nowhere", F.lit(False))
+    failed = _failed() & (nowhere | ~at_start) & (nowhere | position.eqNullSafe(F.col("first_failure")))
+    before = nowhere | (
+        ~at_start & (F.col("first_failure").isNull() | (position < F.col("first_failure")))
     )
-    return marked.withColumn("status", status).drop("first_failure")
+    status = F.when(failed, "failed").when(before, "ok").otherwise("not_attempted")
+    return marked.withColumn("status", status).drop("first_failure", "failed_nowhere", _REQUEST)
 
 
 def request_outcome(parts: DataFrame, order: Sequence[str] = ("ordinal",)) -> DataFrame:

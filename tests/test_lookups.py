@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import lookups
-from quayside.operators.lookups import hot_keys, is_small, lookup_join, salted_join
+from quayside.operators.lookups import hot_keys, lookup_join, salted_join
 
 
 @pytest.fixture
@@ -26,18 +27,14 @@ def table(spark):
     ).unionByName(spark.createDataFrame([(None, 1)], "k LONG, v LONG"))
 
 
-@pytest.fixture
-def large_only(monkeypatch):
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", -1)
-
-
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_plans_agree(spark, skewed, table, how, large_only):
+def test_plans_agree(spark, skewed, table, how):
     expected = skewed.join(table, ["k"], how)
     salts = hot_keys(skewed, ["k"])
     assert salts
     for found in (
         lookup_join(skewed, table, "k", how),
+        lookup_join(skewed, table, "k", how, salted=True),
         salted_join(skewed, table, ["k"], how, salts),
     ):
         assert found.columns == expected.columns
@@ -79,15 +76,20 @@ def test_lookup_rows_of_cold_keys_are_not_repeated(spark, skewed, table):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_small_lookup_is_broadcast_after_its_check(spark, skewed, table):
-    assert is_small(table)
-    assert "BroadcastHashJoin" in lookup_join(skewed, table, "k")._jdf.queryExecution().toString()
+def jobs(spark, plan):
+    """Number of jobs that start while a query is planned."""
+    group = f"planning-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        plan()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_wide_lookup_is_not_small(spark, monkeypatch):
-    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 10_000)
-    assert not is_small(spark.range(10).select("id", F.repeat(F.lit("x"), 2000).alias("t")))
-    assert is_small(spark.range(10))
+def test_a_lookup_starts_no_job_before_it_runs(spark, skewed, table):
+    assert jobs(spark, lambda: lookup_join(skewed, table, "k")) == 0
+    assert 1 <= jobs(spark, lambda: lookup_join(skewed, table, "k", salted=True)) <= 2
 
 
 def test_salts_do_not_depend_on_row_order(spark, table):

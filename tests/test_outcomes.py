@@ -43,6 +43,24 @@ def test_against_plain_loop(spark, flags):
         assert {row["request_id"]: (row["status"], row["error"]) for row in found} == outcomes
 
 
+def test_nulls_in_ids_and_positions(spark, rows):
+    parts = [
+        (None, 1, True, None), (None, 2, False, "x"), (None, 3, True, None),
+        ("a", None, False, "y"), ("a", 1, True, None), ("b", None, True, None), ("b", 2, False, "z"),
+    ]
+    table = spark.createDataFrame(parts, PARTS)
+    want = {
+        (None, 1): "ok", (None, 2): "failed", (None, 3): "not_attempted", ("a", None): "failed",
+        ("a", 1): "not_attempted", ("b", None): "ok", ("b", 2): "failed",
+    }
+    for order in (("ordinal",), ("ordinal", "request_id")):
+        found = part_status(table, order)
+        assert found.columns == [*table.columns, "status"]
+        assert {(r["request_id"], r["ordinal"]): r["status"] for r in found.collect()} == want
+    outcomes = {r["request_id"]: r["error"] for r in request_outcome(table).collect()}
+    assert outcomes == {None: "x", "a": "y", "b": "z"}
+
+
 def test_one_request_may_hold_a_third_of_all_parts(spark):
     n = F.col("id")
     table = spark.range(0, 60_000, 1, 8).select(

@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from quayside.operators import lookups
+from quayside.operators import logs, lookups
+from quayside.plans import driver_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -24,10 +25,10 @@ def database():
 
 
 def matches_sql(spark, database, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = driver_queries.QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     found = sorted((tuple(row[c] for c in columns) for row in df.collect()), key=repr)
-    result = database.execute(entry.oracle_sql()[name])
+    result = database.execute(driver_queries.ORACLES[name])
     names = [column[0] for column in result.description]
     assert sorted(names) == columns
     places = [names.index(column) for column in columns]
@@ -36,7 +37,7 @@ def matches_sql(spark, database, name):
     assert found == expected
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(driver_queries.QUERIES))
 def test_query_matches_sql(spark, database, name):
     matches_sql(spark, database, name)
 
@@ -54,8 +55,9 @@ def test_joins_without_broadcast_and_with_many_hot_keys(spark, database, name, m
         found.append(measured(rows, keys, pieces=4096))
         return found[-1]
 
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(lookups, "hot_keys", hot_keys)
+    monkeypatch.setattr(lookups.lookup_join, "__defaults__", ("left", True))
+    monkeypatch.setattr(logs.label_by, "__defaults__", (True,))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         matches_sql(spark, database, name)
@@ -72,14 +74,19 @@ def test_entry(spark):
 WRITTEN = ("q_object", "q_transfer", "q_log_stream", "q_agent_stream", "q_rotation")
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith(WRITTEN)])
+@pytest.mark.parametrize("name", [n for n in driver_queries.QUERIES if not n.startswith(WRITTEN)])
 def test_plans_hold_no_cross_join_and_no_window(spark, name):
-    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().toString()
+    plan = driver_queries.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "PythonUDF", "MapInPandas"):
         assert word not in plan
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = entry.queries()["q_preflight"](spark, SF_DIR)._jdf.queryExecution().toString()
+    plan = driver_queries.QUERIES["q_preflight"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     assert "ReadSchema: struct<c_name:string>" in plan
+
+
+def test_entry_registers_all_of_them():
+    assert set(driver_queries.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -188,4 +188,29 @@ def test_reached_agreements(spark, rows):
         '{"@id":"n9","v:contractAgreementId":"c9"}',
     ]
     replies = spark.createDataFrame([(document,) for document in documents], "document STRING")
-    assert rows(M.reached_agreements(negotiations, replies, "v")) == [("c1", "a1"), ("c2", "a2")]
+    assert rows(M.reached_agreements(negotiations, replies, "v")) == [
+        ("c1", "a1"), ("c2", "a2"), ("c9", None),
+    ]
+
+
+def test_repeated_and_contradicting_lookup_rows(spark):
+    requests = spark.createDataFrame(
+        [("r1", "c1", "a1"), ("r2", "c2", "a1"), ("r3", "c3", "a3"), ("r4", "c4", "a1")],
+        "request_id STRING, contract_id STRING, asset_id STRING",
+    )
+    agreements = spark.createDataFrame(
+        [("c1", "a1"), ("c1", "a1"), ("c2", "a1"), ("c2", "a2"), ("c3", "a3"), ("c4", "a1"), ("c4", None)],
+        "contract_id STRING, agreed_asset STRING",
+    )
+    assets = spark.createDataFrame(
+        [("a1", ("t", {"x": "1", "y": "2"})), ("a1", ("t", {"y": "2", "x": "1"})), ("a3", ("t", {})), ("a3", ("u", {}))],
+        "asset_id STRING, src STRUCT<type STRING, properties MAP<STRING, STRING>>",
+    )
+    found = M.resolve_requests(requests, agreements, assets).collect()
+    assert {row["request_id"]: row["resolution"] for row in found} == {
+        "r1": "resolved",
+        "r2": "agreements contradict each other",
+        "r3": "descriptions of the asset contradict each other",
+        "r4": "agreements contradict each other",
+    }
+    assert len(found) == 4
