@@ -116,6 +116,7 @@ LOG_COLUMNS = (
     "roleGroup",
 )
 
+# Columns of the sensor asset (fixed values).
 SENSOR_READING = _struct(
     id=T.IntegerType(),
     eid=T.IntegerType(),

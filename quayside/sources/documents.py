@@ -68,11 +68,35 @@ def read_negotiations(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _with_ids(documents: DataFrame, prefix: str) -> DataFrame:
+    """``request_id``: the id of a document or, without one, a hash of the document and its number
+    among equal documents."""
+    named = documents.where("`@id` IS NOT NULL").withColumn("request_id", F.col("`@id`"))
+    whole = F.struct(*[F.col(f"`{name}`") for name in documents.columns])
+    unnamed = documents.where("`@id` IS NULL").select(
+        whole.alias("document"), F.sha2(F.to_json(whole), 256).alias("digest")
+    )
+    # Equal documents are counted and not gathered, however many there are.
+    numbered = (
+        unnamed.groupBy("digest")
+        .agg(F.first("document").alias("document"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .select(
+            "document.*",
+            F.concat(F.lit(prefix), "digest", F.lit("-"), F.col("number").cast("string")).alias("request_id"),
+        )
+    )
+    return named.unionByName(numbered)
+
+
 def read_transfers(spark: SparkSession, path: str) -> DataFrame:
-    """``request_id, contract_id, asset_id, dst, managed_resources``."""
+    """``request_id, contract_id, asset_id, dst, managed_resources``.
+
+    Documents need not have an id; one is then made from their content.
+    """
     target = F.col("dataDestination")
-    return _read(spark, path, S.TRANSFER_DOCUMENT).select(
-        F.col("`@id`").alias("request_id"),
+    return _with_ids(_read(spark, path, S.TRANSFER_DOCUMENT), "transfer-").select(
+        "request_id",
         F.col("connectorId").alias("connector_id"),
         F.col("connectorAddress").alias("connector_address"),
         "protocol",

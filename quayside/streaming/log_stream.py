@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside import schemas as S
@@ -51,10 +52,11 @@ def read_lines(
     return (
         _reader(spark, streaming, options)
         .format("text")
+        .option("lineSep", "\n")
         .option("pathGlobFilter", names)
         .load(folders)
         .select(
-            F.col("value").alias("message"),
+            F.regexp_replace("value", r"\r\z", "").alias("message"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_modification_time").alias("timestamp"),
         )
@@ -64,8 +66,39 @@ def read_lines(
 def read_agent_records(
     spark: SparkSession, path: str, streaming: bool = True, options: dict | None = None
 ) -> DataFrame:
-    """Structured records, one JSON document per line."""
-    return _reader(spark, streaming, options).schema(S.AGENT_RECORD).json(path)
+    """Structured records, one JSON document per line.
+
+    A line that is no record becomes an event of its own: its text as the message, with level
+    ERROR and the time of its file.
+    """
+    broken, schema = "_broken", S.AGENT_RECORD
+    records = (
+        _reader(spark, streaming, options)
+        .schema(T.StructType([*schema, T.StructField(broken, T.StringType())]))
+        .option("lineSep", "\n")
+        .option("columnNameOfCorruptRecord", broken)
+        .json(path)
+        .select("*", F.col("_metadata.file_modification_time").alias("_file_time"))
+    )
+    is_broken = F.col(broken).isNotNull()
+    level = schema["metadata"].dataType
+    fields = [
+        (F.lit("ERROR") if f.name == "level" else F.lit(None).cast(f.dataType)).alias(f.name) for f in level
+    ]
+    given = {
+        "message": F.regexp_replace(broken, r"\r\z", ""),
+        "timestamp": F.col("_file_time"),
+        "metadata": F.struct(*fields),
+    }
+    return records.select(
+        *[
+            F.when(is_broken, given[f.name].cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+            if f.name in given
+            else F.col(f.name)
+            for f in schema
+            if f.name != broken
+        ]
+    )
 
 
 def read_closed_files(

@@ -73,3 +73,17 @@ def test_sensor_asset(spark, tmp_path, rows):
     table = D.read_delimited(spark, str(path), SENSOR_READING)
     D.write_delimited(table, copy)
     assert rows(D.read_delimited(spark, copy, SENSOR_READING)) == rows(table)
+
+
+def test_transfers_without_an_id_get_one(spark, tmp_path):
+    documents = [
+        '{"contractId":"c1","assetId":"a1","dataDestination":{"type":"t"}}',
+        '{"contractId":"c1","assetId":"a1","dataDestination":{"type":"t"}}',
+        '{"contractId":"c2","assetId":"a1","dataDestination":{"type":"t"}}',
+        '{"@id":"own","contractId":"c2","assetId":"a1","dataDestination":{"type":"t"}}',
+    ]
+    (tmp_path / "transfers.json").write_text("\n".join(documents))
+    found = [r["request_id"] for r in D.read_transfers(spark, str(tmp_path / "transfers.json")).collect()]
+    assert None not in found and len(set(found)) == 4 and "own" in found
+    again = [r["request_id"] for r in D.read_transfers(spark, str(tmp_path / "transfers.json")).collect()]
+    assert sorted(found) == sorted(again)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import hashlib
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import logs as L
-from quayside.operators import lookups
 from quayside.settings import Deployment
 from quayside.streaming import log_stream as LS
 
@@ -37,14 +37,15 @@ def events(spark, root, streaming):
 def test_stream_equals_batch(spark, tmp_path, rows):
     root = str(tmp_path / "logs")
     land(root, "svc/svc.stdout.log", "plain\nWARN 2024-07-24T10:11:12.5 hello\n")
-    land(root, "svc/svc.stderr.log", "boom\n")
+    land(root, "svc/svc.stderr.log", "boom\r\na\rb\n")
     land(root, "svc/svc.0.logger", "INFO: started\n\n")
     land(root, "svc/ignored.txt", "nothing\n")
     land(
         root,
         "agent/a.json",
         '{"message":"m1","file":"f","pid":1,"pod":"p","timestamp":"2024-07-24T00:00:00.000001Z",'
-        '"metadata":{"level":"WARN","module_path":"x"}}\n{"message":"m2","metadata":{"level":"INFO"}}\n',
+        '"metadata":{"level":"WARN","module_path":"x"}}\n{"message":"m2","metadata":{"level":"INFO"}}\n'
+        'no {record\r\n',
     )
     store, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
     LS.start_store(events(spark, root, True), store, checkpoint).awaitTermination()
@@ -59,6 +60,8 @@ def test_stream_equals_batch(spark, tmp_path, rows):
         ("svc", "svc.stdout.log", None, "INFO", "plain"),
         ("svc", "svc.stdout.log", None, "WARN", "hello"),
         ("svc", "svc.stderr.log", None, "ERROR", "boom"),
+        ("svc", "svc.stderr.log", None, "ERROR", "a\rb"),
+        ("vector", None, None, "ERROR", "no {record"),
         ("svc", "svc.0.logger", None, "INFO", "Java Logging: INFO: started"),
         ("svc", "svc.0.logger", None, "INFO", "Java Logging: "),
         ("vector", None, "f", "WARN", "m1"),
@@ -69,7 +72,7 @@ def test_stream_equals_batch(spark, tmp_path, rows):
     land(root, "other/new.stdout.log", "later\n")
     LS.start_store(events(spark, root, True), store, checkpoint, files_per_date=3).awaitTermination()
     assert spark.read.parquet(store).where("message = 'later'").count() == 1
-    assert spark.read.parquet(store).count() == 7
+    assert spark.read.parquet(store).count() == 9
 
 
 def land_closed(root, pod, container, base, text):
@@ -148,9 +151,9 @@ def test_copies_in_one_batch(spark, tmp_path):
     assert LS.file_lines(batch).count() == 2
 
 
-def test_stream_is_labelled_from_a_large_table(spark, tmp_path, monkeypatch, rows):
-    """Beyond the bounds of a broadcast, a third of the lines come from one source."""
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", -1)
+@pytest.mark.parametrize("salted", [False, True])
+def test_stream_is_labelled_from_a_large_table(spark, tmp_path, rows, salted):
+    """Without broadcasts, while a third of the lines come from one source."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     root = str(tmp_path / "logs")
     for n in range(30):
@@ -163,7 +166,7 @@ def test_stream_is_labelled_from_a_large_table(spark, tmp_path, monkeypatch, row
 
     def labelled(streaming):
         lines = LS.read_lines(spark, f"{root}/*", LS.STDOUT_FILES, streaming)
-        return L.label_by(L.split_path(lines, root), deployments, "container")
+        return L.label_by(L.split_path(lines, root), deployments, "container", salted=salted)
 
     try:
         query = (
