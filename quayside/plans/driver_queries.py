@@ -1085,3 +1085,71 @@ def q_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_objects(again, f"{root}/landing", create_buckets=True)
     run()
     return _stored(spark, f"{root}/store").select("pod", "container", "message", "file", "level")
+
+
+@query(f"""
+WITH {_SQL_LINES},
+found AS (
+  SELECT event_type AS container, 'ROOT' AS logger, message, event_ts AS found_at, 'ns-' || event_type AS namespace,
+         coalesce(level, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END) AS level
+  FROM parsed
+  UNION ALL
+  SELECT event_type, 'ROOT', 'Java Logging: ' || event_type || ' ' || event_id, NULL, 'ns-' || event_type, 'INFO'
+  FROM events
+  UNION ALL
+  SELECT container, logger, message, timestamp, NULL, level
+  FROM ({_SQL_AGENT}) WHERE level IS NULL OR level NOT IN ('TRACE', 'DEBUG'))
+SELECT container, logger, level, message, namespace FROM found
+WHERE found_at IS NULL OR found_at >= TIMESTAMP '2024-01-10 12:00:00'
+""")
+def q_log_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Output, error output, Java logs and agent records of many deployments, stored and searched."""
+    root = scratch_dir(spark, "log-pipeline")
+    events = _table(spark, sf_dir, "events")
+    files = _as_files(_event_lines(events), "event_type")
+    suffix = F.when(F.col("event_type") == "error", ".stderr.log").otherwise(".stdout.log")
+    captured = files.select(
+        F.concat(F.lit("pod-a/"), "event_type", F.lit("/events-"), _text("file_no"), suffix).alias("name"),
+        "content",
+    )
+    lines = events.select(
+        "event_id", "event_type", F.concat_ws(" ", "event_type", _text("event_id")).alias("message")
+    )
+    java = _as_files(lines, "event_type").select(
+        F.concat(
+            F.lit("pod-a/"), "event_type", F.lit("/service."), _text("file_no"), F.lit("."),
+            F.sha2("content", 256), F.lit(".logger"),
+        ).alias("name"),
+        "content",
+    )
+    landed = captured.unionByName(java).withColumn("bucket", F.lit("landing"))
+    write_objects(landed, root, create_buckets=True)
+    _agent_records(events).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(
+        f"{root}/agent"
+    )
+    deployments = events.select(F.col("event_type").alias("container")).distinct().select(
+        "container", F.concat(F.lit("ns-"), "container").alias("namespace"),
+        F.lit("c").alias("cluster"), F.lit("r").alias("role"), F.lit("g").alias("roleGroup"),
+    )
+    log_root, folders = f"{_below_scheme(root)}/landing", f"{root}/landing/*/*"
+    stream = LS.log_events(
+        log_root,
+        deployments,
+        stdout=LS.read_lines(spark, folders, LS.STDOUT_FILES),
+        stderr=LS.read_lines(spark, folders, LS.STDERR_FILES),
+        java=LS.file_lines(LS.drop_copies(LS.read_closed_files(spark, folders), log_root)),
+        agent=LS.read_agent_records(spark, f"{root}/agent"),
+        with_pod=True,
+    )
+    LS.start_store(
+        stream,
+        f"{root}/store",
+        f"{root}/checkpoint",
+        files_per_date=2,
+        state_partitions=spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
+    # Events without a time of their own have that of their file, which is now.
+    found = _stored(spark, f"{root}/store").where("log_date >= DATE '2024-01-10'")
+    return found.where(F.col("timestamp") >= F.lit("2024-01-10 12:00:00").cast("timestamp")).select(
+        "container", "logger", "level", "message", "namespace"
+    )

@@ -166,7 +166,7 @@ def file_lines(files: DataFrame) -> DataFrame:
 
 def log_events(
     log_root: str,
-    deployment: Deployment,
+    deployment: Deployment | DataFrame,
     threshold: str = "INFO",
     stdout: DataFrame | None = None,
     stderr: DataFrame | None = None,
@@ -177,6 +177,9 @@ def log_events(
 ) -> DataFrame:
     """Events of all given sources in the columns of the log store.
 
+    ``deployment`` is the one that all events come from, or a table of many
+    (``container, namespace, cluster, role, roleGroup``).
+
     ``stdout`` and ``stderr`` are lines with paths, ``java`` is the result of ``file_lines``
     (or lines with paths), ``agent`` are structured records. The pod comes from the record or,
     ``with_pod``, from the path; ``pod`` is the value for events that name none.
@@ -194,7 +197,11 @@ def log_events(
         parts.append(L.java_lines(located))
     if agent is not None:
         parts.append(L.flatten_records(L.filter_level(agent, threshold)))
-    events = L.as_log_events(L.label(L.fan_in(*parts), deployment))
+    merged = L.fan_in(*parts)
+    one = isinstance(deployment, Deployment)
+    events = L.as_log_events(
+        L.label(merged, deployment) if one else L.label_by(merged, deployment, "container")
+    )
     if pod is not None:
         events = events.withColumn("pod", F.coalesce("pod", F.lit(pod)))
     stored = events.withColumn("timestamp", F.coalesce("event_ts", "timestamp"))

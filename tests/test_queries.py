@@ -71,7 +71,7 @@ def test_entry(spark):
 
 
 # Their result is read from a written table.
-WRITTEN = ("q_object", "q_transfer", "q_log_stream", "q_agent_stream", "q_rotation")
+WRITTEN = ("q_object", "q_transfer", "q_log_stream", "q_log_pipeline", "q_agent_stream", "q_rotation")
 
 
 @pytest.mark.parametrize("name", [n for n in driver_queries.QUERIES if not n.startswith(WRITTEN)])
