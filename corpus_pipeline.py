@@ -66,7 +66,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their pieces, checked by decoding them again."""
     vocabulary = pieces.load(os.path.join(queries.TOKENIZERS, queries.PIECE_MODEL))
-    found = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    found = pieces.encode(docs, vocabulary, and_decode=True)
     # The mark of a space is the only character that decoding does not give back.
     same = F.col("decoded") == F.replace("text", F.lit(pieces.MARK), F.lit(" "))
     return found.select(

@@ -38,6 +38,8 @@ MARK = "▁"
 #: Characters of a code that a 64-bit key holds: 16 bits each.
 PACKED = 4
 CACHE = 1 << 20
+#: Bytes of text that are indexed at once; the index takes about 200 times as much memory.
+SLICE_BYTES = 1 << 20
 U64 = arrays.U64
 
 
@@ -401,17 +403,20 @@ def _tools(vocabulary) -> tuple[Encoder, Decoder]:
     return _ready[id(vocabulary)]
 
 
-def _encoded(vocabulary):
+def _encoded(vocabulary, and_decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, _ = _tools(vocabulary.value)
-        for batch, _ in arrays.slices(batches, "text"):
+        encoder, decoder = _tools(vocabulary.value)
+        for batch, _ in arrays.slices(batches, "text", SLICE_BYTES):
             texts = batch.column("text")
+            none = texts.is_null()
             ids, bounds = encoder.encode(texts.fill_null("").to_pylist())
-            lists = pa.ListArray.from_arrays(
-                pa.array(bounds, pa.int32()), pa.array(ids), mask=texts.is_null()
-            )
+            added = {"ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids), mask=none)}
+            if and_decode:
+                back = decoder.decode(ids, bounds)
+                added["decoded"] = pa.array(back, pa.string(), mask=none.to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in batch.schema.names), lists], [*batch.schema.names, "ids"]
+                [*(batch.column(c) for c in batch.schema.names), *added.values()],
+                [*batch.schema.names, *added],
             )
 
     return run
@@ -445,13 +450,17 @@ def _schema(docs: DataFrame, added: str) -> str:
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), added])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The columns of docs (with a text) and ids, the pieces of the text. An ids column is replaced."""
+def encode(docs: DataFrame, vocabulary: Vocabulary, and_decode: bool = False) -> DataFrame:
+    """The columns of docs (with a text) and ids, the pieces of the text. An ids column is replaced.
+
+    ``and_decode`` adds what ``decode`` would, in the same tasks.
+    """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.drop("ids").withColumn("text", F.col("text").cast("string"))
+    added = "ids array<int>" + ", decoded string" * and_decode
+    docs = docs.drop("ids", *["decoded"] * and_decode).withColumn("text", F.col("text").cast("string"))
     return docs.mapInArrow(
-        _encoded(spark.sparkContext.broadcast(vocabulary)), _schema(docs, "ids array<int>")
+        _encoded(spark.sparkContext.broadcast(vocabulary), and_decode), _schema(docs, added)
     )
 
 

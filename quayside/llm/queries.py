@@ -111,7 +111,7 @@ PIECE_MODEL = "piece_bpe_32k.model"
 def op8_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.load(os.path.join(TOKENIZERS, PIECE_MODEL))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    found = pieces.encode(docs, vocabulary, and_decode=True)
     return found.select(
         "doc_id",
         "ids",

@@ -63,4 +63,6 @@ def test_rows(documents, vocabulary, library):
     assert sorted(((r.doc_id, r.decoded) for r in rows), key=repr) == sorted(docs, key=repr)
     for r in rows:
         assert r.ids == (None if r.text is None else library.encode(r.text))
+    both = P.encode(documents(docs), vocabulary, and_decode=True).collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, rows))
     assert P.decode(P.encode(documents([]), vocabulary), vocabulary).count() == 0
