@@ -44,10 +44,11 @@ NOT_ROUTED = "the source type is not served here"
 NO_SOURCE = "the source object does not exist"
 NO_ID = "the request has no id"
 REPEATED_ID = "the request id is not unique"
+EXPIRED = "the credential has expired"
 
 _PLAN_COLUMNS = [
     "request_id", "source_uri", "source_endpoint", "source_bucket", "source_object",
-    "target_uri", "target_endpoint", "target_bucket", "target_object", "plan_error",
+    "target_uri", "target_endpoint", "target_alias", "target_bucket", "target_object", "plan_error",
 ]
 _MEASURED = (
     ", ".join(f"{name} STRING" for name in _PLAN_COLUMNS)
@@ -59,32 +60,40 @@ _FINISHED = (
 )
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Look up the length of every source object; one request per row."""
-    from quayside.sources.store_io import FAILURES, Store, check_address
+def _measurer(credentials_root: str | None):
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Look up the length of every source object; one request per row."""
+        from quayside.sources.store_io import Store
+
+        store = Store(credentials_root)
+        for batch in batches:
+            found = [_length(store, row) for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns,
+                    pa.array([length for length, _ in found], pa.int64()),
+                    pa.array([error for _, error in found], pa.string()),
+                ],
+                names=[*batch.schema.names, "length", "store_error"],
+            )
+
+    return measure
 
-    store = Store()
-    for batch in batches:
-        lengths, errors = [], []
-        for row in batch.to_pylist():
-            length, error = None, None
-            if row["plan_error"] is None:
-                try:
-                    check_address(row["source_bucket"], row["source_object"])
-                    check_address(row["target_bucket"], row["target_object"])
-                    length = store.length(row["source_uri"], row["source_endpoint"])
-                    error = NO_SOURCE if length is None else None
-                    store.require_bucket(
-                        row["target_uri"], row["target_object"], row["target_endpoint"]
-                    )
-                except FAILURES as failure:
-                    error = str(failure)
-            lengths.append(length)
-            errors.append(error)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(lengths, pa.int64()), pa.array(errors, pa.string())],
-            names=[*batch.schema.names, "length", "store_error"],
-        )
+
+def _length(store, row: dict) -> tuple[int | None, str | None]:
+    from quayside.sources.store_io import FAILURES, check_address
+
+    if row["plan_error"] is not None:
+        return None, None
+    try:
+        check_address(row["source_bucket"], row["source_object"])
+        check_address(row["target_bucket"], row["target_object"])
+        length = store.length(row["source_uri"], row["source_endpoint"])
+        target = (row["target_uri"], row["target_object"], row["target_endpoint"], row["target_alias"])
+        store.require_bucket(*target)
+        return length, NO_SOURCE if length is None else None
+    except FAILURES as failure:
+        return None, str(failure)
 
 
 def _hidden_path(target_uri: str, run: str) -> str:
@@ -105,7 +114,7 @@ def _copied(store, row: dict, run: str, chunk_bytes: int) -> dict:
     target, endpoint = row["target_uri"], row["target_endpoint"]
     try:
         if row["chunks"] == 1:
-            done = store.write(target, blocks, endpoint, chunk_bytes, row["size"])
+            done = store.write(target, blocks, endpoint, chunk_bytes, row["size"], row["target_alias"])
             result |= {"bytes": done.length, "digest": done.whole(), "ranges": done.ranges()}
         else:
             done = store.write_range(_hidden_path(target, run), row["offset"], blocks)
@@ -115,24 +124,24 @@ def _copied(store, row: dict, run: str, chunk_bytes: int) -> dict:
     return result
 
 
-def _copier(run: str, chunk_bytes: int):
+def _copier(run: str, chunk_bytes: int, credentials_root: str | None):
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from quayside.sources.store_io import Store
 
-        store = Store()
+        store = Store(credentials_root)
         for batch in batches:
             yield _batch([_copied(store, row, run, chunk_bytes) for row in batch.to_pylist()], _COPIED)
 
     return copy
 
 
-def _substitute(run: str, chunk_bytes: int):
+def _substitute(run: str, chunk_bytes: int, credentials_root: str | None):
     """For rows sorted by target: copy until one request for the target succeeds."""
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from quayside.sources.store_io import Store
 
-        store, served = Store(), None
+        store, served = Store(credentials_root), None
         for batch in batches:
             done = []
             for row in batch.to_pylist():
@@ -197,8 +206,14 @@ def plan_copies(manifest: DataFrame, registry: DataFrame, settings: TransferSett
     """Everything about a request that is known without touching the stores."""
     checked = route_requests(validate_requests(_with_checked_ids(manifest)), settings)
     planned = name_objects(resolve_endpoints(checked, registry, settings), settings)
-    error = F.coalesce("id_error", "error", F.when(~F.col("routed"), F.lit(NOT_ROUTED)))
-    return planned.withColumn("plan_error", error).select(*_PLAN_COLUMNS, "sequence")
+    expired = F.col("has_token") & (F.col("expires_at") <= F.current_timestamp())
+    error = F.coalesce(
+        "id_error", "error", F.when(~F.col("routed"), F.lit(NOT_ROUTED)), F.when(expired, F.lit(EXPIRED))
+    )
+    alias = F.when(F.col("has_token"), F.col("key_name"))
+    return planned.withColumns({"plan_error": error, "target_alias": alias}).select(
+        *_PLAN_COLUMNS, "sequence"
+    )
 
 
 def _with_checked_ids(manifest: DataFrame) -> DataFrame:
@@ -323,7 +338,9 @@ def copy_objects(
     spread = max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    measured = planned.repartition(spread, "request_id").mapInArrow(_measure, _MEASURED)
+    measured = planned.repartition(spread, "request_id").mapInArrow(
+        _measurer(settings.credentials_root), _MEASURED
+    )
     measured.write.mode("overwrite").parquet(f"{work_dir}/plan")
     plan = spark.read.parquet(f"{work_dir}/plan")
     ready = plan.where(_is_ready())
@@ -336,10 +353,10 @@ def copy_objects(
     tasks = _task_count(load["bytes"], load["chunks"], spark.sparkContext.defaultParallelism)
     work = [
         "request_id", "source_uri", "source_endpoint", "target_uri", "target_endpoint",
-        "chunks", "chunk", "offset", "size",
+        "target_alias", "chunks", "chunk", "offset", "size",
     ]
     copied = _cut(_last_requests(ready), chunk_bytes).repartition(tasks, "request_id", "chunk")
-    copied.select(*work).mapInArrow(_copier(run, chunk_bytes), _COPIED).write.mode(
+    copied.select(*work).mapInArrow(_copier(run, chunk_bytes, settings.credentials_root), _COPIED).write.mode(
         "overwrite"
     ).parquet(f"{work_dir}/chunks/last")
     copied = spark.read.parquet(f"{work_dir}/chunks/last")
@@ -349,7 +366,7 @@ def copy_objects(
         ordered = others.repartition(spread, "target_uri").sortWithinPartitions(
             "target_uri", _order().desc()
         )
-        ordered.select(*work).mapInArrow(_substitute(run, chunk_bytes), _COPIED).write.mode(
+        ordered.select(*work).mapInArrow(_substitute(run, chunk_bytes, settings.credentials_root), _COPIED).write.mode(
             "overwrite"
         ).parquet(f"{work_dir}/chunks/substitutes")
         copied = copied.unionByName(spark.read.parquet(f"{work_dir}/chunks/substitutes"))

@@ -14,6 +14,11 @@ class TransferSettings:
     ``connector_endpoint`` when there is no credential. ``source_root`` and
     ``target_root`` are the URIs under which buckets are found (``s3a://``,
     ``file:///mount/objects``).
+
+    ``credentials_root`` is a folder that is mounted on every executor, with a folder for each
+    credential alias that holds the files ``access_key`` and ``secret_key``. Targets of requests whose
+    alias has a token are opened with them; without this folder, and for sources, the
+    environment of the executors counts.
     """
 
     store_type: str
@@ -21,6 +26,7 @@ class TransferSettings:
     connector_endpoint: str
     source_root: str = "s3a://"
     target_root: str = "s3a://"
+    credentials_root: str | None = None
 
 
 @dataclass(frozen=True)

@@ -38,12 +38,30 @@ def is_local(uri: str) -> bool:
     return uri.startswith(("/", "file:"))
 
 
-def open_store(uri: str, endpoint: str | None = None) -> tuple[fs.FileSystem, str]:
-    """File system and path of an object. Credentials come from the worker's environment."""
+def read_credential(root: str, alias: str) -> dict[str, str]:
+    """The key pair of an alias from a folder that is mounted on this machine."""
+    if not alias or "/" in alias or "\0" in alias or alias in (".", ".."):
+        raise StoreError("the credential alias is not valid")
+    found = {}
+    for name in ("access_key", "secret_key"):
+        path = os.path.join(local_path(root), alias, name)
+        if not os.path.isfile(path):
+            raise StoreError("the credential is not there")
+        with open(path) as file:
+            found[name] = file.read().strip()
+    return found
+
+
+def open_store(
+    uri: str, endpoint: str | None = None, credential: dict[str, str] | None = None
+) -> tuple[fs.FileSystem, str]:
+    """File system and path of an object. Without a credential the worker's environment counts."""
     if is_local(uri):
         return fs.LocalFileSystem(), local_path(uri)
     if uri.startswith(("s3a://", "s3n://", "s3://")):
-        options = {"endpoint_override": endpoint} if endpoint else {}
+        options = dict(credential or {})
+        if endpoint:
+            options["endpoint_override"] = endpoint
         return fs.S3FileSystem(**options), uri.partition("://")[2]
     return fs.FileSystem.from_uri(uri)
 
@@ -106,18 +124,25 @@ def check_address(bucket: str | None, name: str | None) -> None:
 class Store:
     """Objects below one root, with the file systems and bucket checks of a task kept."""
 
-    def __init__(self) -> None:
-        self._systems: dict[tuple[str, str | None], fs.FileSystem] = {}
-        self._buckets: dict[tuple[str, str | None], bool] = {}
+    def __init__(self, credentials_root: str | None = None) -> None:
+        self._credentials_root = credentials_root
+        self._systems: dict[tuple[str, str | None, str | None], fs.FileSystem] = {}
+        self._buckets: dict[tuple[str, str | None, str | None], bool] = {}
 
-    def locate(self, uri: str, endpoint: str | None = None) -> tuple[fs.FileSystem, str]:
+    def locate(
+        self, uri: str, endpoint: str | None = None, alias: str | None = None
+    ) -> tuple[fs.FileSystem, str]:
         scheme, _, rest = uri.partition("://")
         on_host = uri.startswith(ON_HOST)
-        key = (f"{scheme}://{rest.partition('/')[0]}" if on_host else scheme, endpoint)
+        alias = alias if self._credentials_root else None
+        key = (f"{scheme}://{rest.partition('/')[0]}" if on_host else scheme, endpoint, alias)
         if is_local(uri):
-            key = ("file", None)
+            key = ("file", None, None)
         if key not in self._systems:
-            self._systems[key] = open_store(uri, endpoint)[0]
+            credential = None
+            if alias is not None and not is_local(uri):
+                credential = read_credential(self._credentials_root, alias)
+            self._systems[key] = open_store(uri, endpoint, credential)[0]
         system = self._systems[key]
         if is_local(uri):
             return system, local_path(uri)
@@ -149,11 +174,13 @@ class Store:
             seconds = info.mtime.timestamp() if info.mtime else None
             yield info.base_name, seconds, info.size, folder
 
-    def require_bucket(self, uri: str, name: str, endpoint: str | None = None) -> None:
+    def require_bucket(
+        self, uri: str, name: str, endpoint: str | None = None, alias: str | None = None
+    ) -> None:
         bucket_uri = uri[: len(uri) - len(name) - 1]
-        key = (bucket_uri, endpoint)
+        key = (bucket_uri, endpoint, alias)
         if key not in self._buckets:
-            system, path = self.locate(bucket_uri, endpoint)
+            system, path = self.locate(bucket_uri, endpoint, alias)
             self._buckets[key] = system.get_file_info(path).type == fs.FileType.Directory
         if not self._buckets[key]:
             raise StoreError("the bucket does not exist")
@@ -165,9 +192,10 @@ class Store:
         endpoint: str | None = None,
         range_bytes: int | None = None,
         expected: int = 0,
+        alias: str | None = None,
     ) -> Digests:
         """Write an object from an iterable of byte blocks; gives its length and hashes."""
-        system, path = self.locate(uri, endpoint)
+        system, path = self.locate(uri, endpoint, alias)
         digests = Digests(range_bytes)
         renames = is_local(uri) or uri.startswith(ON_HOST)
         folder = os.path.dirname(path)

@@ -30,9 +30,9 @@ def losing_first_result(stage, name):
     return work
 
 
-measure, copier, finisher = copy_job._measure, copy_job._copier, copy_job._finisher
-copy_job._measure = losing_first_result(measure, "measure")
-copy_job._copier = lambda run: losing_first_result(copier(run), "copy")
+measure, copier, finisher = copy_job._measurer, copy_job._copier, copy_job._finisher
+copy_job._measurer = lambda *a: losing_first_result(measure(*a), "measure")
+copy_job._copier = lambda *a: losing_first_result(copier(*a), "copy")
 copy_job._finisher = lambda run: losing_first_result(finisher(run), "finish")
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from datetime import datetime
 
 import pytest
 from pyarrow import fs
@@ -19,6 +20,7 @@ from quayside.sources.objects import (
     with_object_name,
     write_objects,
 )
+from quayside.sources import store_io
 from quayside.sources.store_io import Store, StoreError
 
 REGISTRY = "key_name STRING, has_token BOOLEAN, expires_at TIMESTAMP"
@@ -235,7 +237,7 @@ def test_objects_of_a_store_appear_whole(tmp_path):
     """An Arrow file system stands for an object store: keys are copied, never renamed."""
     os.makedirs(tmp_path / "b")
     store = Store()
-    store._systems = {("s3a", None): fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())}
+    store._systems = {("s3a", None, None): fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())}
 
     def blocks():
         yield b"some"
@@ -257,6 +259,44 @@ def test_bucket_below_a_bare_scheme(spark, rows):
     assert rows(with_object_name(files, "file:///r").select("bucket", "name")) == [("b", "k")]
 
 
+def test_two_aliases_in_one_run(tmp_path, monkeypatch):
+    """Each alias opens the store with its own key pair, without one the environment counts."""
+    for alias in ("one", "two"):
+        os.makedirs(tmp_path / alias)
+        (tmp_path / alias / "access_key").write_text(f"id-{alias}\n")
+        (tmp_path / alias / "secret_key").write_text(f"key-{alias}\n")
+    monkeypatch.setattr(store_io.fs, "S3FileSystem", lambda **options: options)
+    store = Store(f"file://{tmp_path}")
+    pairs = [store.locate("s3a://b/k", "e", alias)[0] for alias in ("one", "two", None)]
+    assert [p.get("access_key") for p in pairs] == ["id-one", "id-two", None]
+    assert [p.get("secret_key") for p in pairs] == ["key-one", "key-two", None]
+    assert {p["endpoint_override"] for p in pairs} == {"e"}
+    for alias in ("gone", "../one", ""):
+        with pytest.raises(StoreError, match="credential"):
+            store.locate("s3a://b/k", "e", alias)
+    assert Store().locate("s3a://b/k", "e", "gone")[0] == {"endpoint_override": "e"}
+
+
+def test_expired_credential_is_an_error(spark, store):
+    tmp_path, contents, settings = store
+    requests = [
+        (name, address(key=name, bucketName="in", blobName="o1"), address(key=name, bucketName="out"), None)
+        for name in ("old", "new", "none")
+    ]
+    schema = T.StructType([*MANIFEST, T.StructField("sequence", T.LongType())])
+    registry = spark.createDataFrame(
+        [("old", True, datetime(2020, 1, 1)), ("new", True, datetime(2999, 1, 1))], REGISTRY
+    )
+    status = copy_objects(
+        spark.createDataFrame(requests, schema), registry, settings, f"file://{tmp_path}/work"
+    )
+    found = {row["request_id"]: row["error"] for row in status.collect()}
+    assert found == {"old": "the credential has expired", "new": None, "none": None}
+    plan = spark.read.parquet(f"{tmp_path}/work/plan")
+    aliases = {row["request_id"]: row["target_alias"] for row in plan.collect()}
+    assert aliases == {"old": "old", "new": "new", "none": None}
+
+
 def test_copy_may_run_again(spark, store):
     tmp_path, contents, settings = store
     requests = [("r", address(key="k", bucketName="in", blobName="o20"), address(bucketName="out"))]
@@ -304,7 +344,9 @@ def test_failed_write_leaves_nothing(tmp_path):
 
 def test_addresses_of_other_stores():
     store = Store()
-    store._systems = {("s3a", None): "plain", ("s3a", "e"): "named", ("hdfs://h:1", None): "hdfs"}
+    store._systems = {
+        ("s3a", None, None): "plain", ("s3a", "e", None): "named", ("hdfs://h:1", None, None): "hdfs",
+    }
     assert store.locate("s3a://bucket/deep/k#?%20") == ("plain", "bucket/deep/k#?%20")
     assert store.locate("s3a://bucket/k", "e") == ("named", "bucket/k")
     assert store.locate("hdfs://h:1/bucket/k") == ("hdfs", "/bucket/k")
