@@ -52,7 +52,7 @@ _PLAN_COLUMNS = [
 ]
 _MEASURED = (
     ", ".join(f"{name} STRING" for name in _PLAN_COLUMNS)
-    + ", sequence LONG, length LONG, store_error STRING"
+    + ", sequence LONG, managed BOOLEAN, length LONG, store_error STRING"
 )
 _COPIED = "request_id STRING, chunk LONG, bytes LONG, digest STRING, ranges STRING, store_error STRING"
 _FINISHED = (
@@ -90,8 +90,13 @@ def _length(store, row: dict) -> tuple[int | None, str | None]:
         check_address(row["target_bucket"], row["target_object"])
         length = store.length(row["source_uri"], row["source_endpoint"])
         target = (row["target_uri"], row["target_object"], row["target_endpoint"], row["target_alias"])
-        store.require_bucket(*target)
-        return length, NO_SOURCE if length is None else None
+        if length is None:
+            return None, NO_SOURCE
+        if row["managed"]:
+            store.create_bucket(*target)
+        else:
+            store.require_bucket(*target)
+        return length, None
     except FAILURES as failure:
         return None, str(failure)
 
@@ -212,14 +217,15 @@ def plan_copies(manifest: DataFrame, registry: DataFrame, settings: TransferSett
     )
     alias = F.when(F.col("has_token"), F.col("key_name"))
     return planned.withColumns({"plan_error": error, "target_alias": alias}).select(
-        *_PLAN_COLUMNS, "sequence"
+        *_PLAN_COLUMNS, "sequence", "managed"
     )
 
 
 def _with_checked_ids(manifest: DataFrame) -> DataFrame:
-    """Requests with ``sequence`` and, if their id is null or not unique, an ``id_error``."""
-    if "sequence" not in manifest.columns:
-        manifest = manifest.withColumn("sequence", F.lit(None).cast("long"))
+    """Requests with ``sequence``, ``managed`` and, if their id is null or not unique, ``id_error``."""
+    for name, kind in (("sequence", "long"), ("managed", "boolean")):
+        if name not in manifest.columns:
+            manifest = manifest.withColumn(name, F.lit(None).cast(kind))
     repeated = (
         manifest.groupBy("request_id")
         .agg(F.count(F.lit(1)).alias("uses"))
@@ -321,7 +327,8 @@ def copy_objects(
     """Carry out a manifest ``request_id, src, dst``; gives the status table.
 
     A column ``sequence`` (a number) orders the requests for one target; without it their order is
-    arbitrary, but the same in every run. Requests whose id is null or used twice are errors.
+    arbitrary, but the same in every run. A column ``managed`` tells which requests create their
+    bucket; for others it must be there. Requests whose id is null or used twice are errors.
 
     The result is read from ``<work_dir>/status``: ``request_id, source_uri, target_uri,
     status, bytes, range_sha256, sha256, chunks, error`` with status ``ok``, ``error`` or

@@ -210,15 +210,18 @@ def q_object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT 'transfer-' || page_id AS request_id,
-       CASE WHEN page_id % 5 IN (1, 2) THEN 'error' ELSE 'ok' END AS status,
-       CASE WHEN page_id % 5 NOT IN (1, 2) THEN CAST(octet_length(encode(html)) AS BIGINT) END AS bytes,
-       CASE WHEN page_id % 5 NOT IN (1, 2) THEN sha256(html) END AS sha256,
-       CASE page_id % 5 WHEN 1 THEN 'no such agreement'
-                        WHEN 2 THEN 'agreement is for another asset' END AS error
-FROM pages
+       CASE WHEN error IS NULL THEN 'ok' ELSE 'error' END AS status,
+       CASE WHEN error IS NULL THEN CAST(octet_length(encode(html)) AS BIGINT) END AS bytes,
+       CASE WHEN error IS NULL THEN sha256(html) END AS sha256,
+       error,
+       true AS complete
+FROM (SELECT *, CASE page_id % 5 WHEN 1 THEN 'no such agreement'
+                                 WHEN 2 THEN 'agreement is for another asset'
+                                 WHEN 4 THEN 'Bucket:PAGES exists' END AS error
+      FROM pages)
 """)
 def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Asset and transfer documents are read, resolved, copied and reported on."""
+    """Asset and transfer documents are read and resolved, buckets provided, objects copied and audited."""
     root = _written_pages(spark, sf_dir)
     pages, documents = _table(spark, sf_dir, "pages"), scratch_dir(spark, "documents")
     page, variant = F.col("page_id"), F.col("page_id") % 5
@@ -233,9 +236,11 @@ def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages.select(
         F.format_string(
             '{"@id":"transfer-%d","contractId":"contract-%d","assetId":"asset-%d","dataDestination":'
-            '{"type":"%s","bucketName":"pages","keyName":"Customer#%09d"},"managedResources":false}',
+            '{"type":"%s","bucketName":"%s","keyName":"Customer#%09d"},"managedResources":%s}',
             page, F.when(variant == 1, -1).otherwise(page), page,
-            F.lit(SETTINGS.store_type), page,
+            F.lit(SETTINGS.store_type), F.when(variant == 3, F.format_string("New-%d", page % 100))
+            .when(variant == 4, "PAGES").otherwise("pages"), page,
+            F.when(variant >= 3, "true").otherwise("false"),
         ).alias("value")
     ).write.text(f"{documents}/transfers")
     agreements = pages.select(
@@ -251,8 +256,9 @@ def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
         _registry(spark, sf_dir),
         _settings_below(root),
         scratch_dir(spark, "transfer"),
+        inventory=pages.select(F.lit("Pages").alias("bucket")).distinct(),
     )
-    return status.select("request_id", "status", "bytes", "sha256", "error")
+    return status.select("request_id", "status", "bytes", "sha256", "error", "complete")
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions import addresses as A
 from quayside.operators.metadata import resolve_requests
+from quayside.operators.provisioning import completion, preflight
 from quayside.plans.copy_job import CHUNK_BYTES, copy_objects
+from quayside.schemas import BUCKET_NAME
 from quayside.settings import TransferSettings
 
 
@@ -18,25 +21,57 @@ def run_transfers(
     settings: TransferSettings,
     work_dir: str,
     chunk_bytes: int = CHUNK_BYTES,
+    inventory: DataFrame | None = None,
 ) -> DataFrame:
-    """Resolve transfer requests, copy what resolves, and report on every request.
+    """Resolve transfer requests, provide their buckets, copy what resolves, and audit every request.
 
-    ``requests(request_id, contract_id, asset_id, dst)``, ``agreements(contract_id,
-    agreed_asset)``, ``assets(asset_id, src)``. The result has the columns of
-    ``copy_objects``; requests that do not resolve are errors with the reason.
+    ``requests(request_id, contract_id, asset_id, dst)`` with, if known, ``sequence`` and
+    ``managed_resources``; ``agreements(contract_id, agreed_asset)``, ``assets(asset_id, src)``,
+    ``inventory(bucket)``, the buckets that exist. The bucket of a request with managed resources
+    is created by this run, so it must not be in the inventory; requests of one run may share it.
+
+    The result has the columns of ``copy_objects`` and ``complete``, whether the bucket of the request
+    is there now. Requests that do not resolve are errors with the reason.
     """
+    spark = requests.sparkSession
+    for name, kind in (("sequence", "long"), ("managed_resources", "boolean")):
+        if name not in requests.columns:
+            requests = requests.withColumn(name, F.lit(None).cast(kind))
+    if inventory is None:
+        inventory = spark.createDataFrame([], "bucket STRING")
+    bucket = A.property_of(F.col("dst"), BUCKET_NAME)
+    checked = preflight(
+        resolve_requests(requests, agreements, assets).withColumn("bucket_raw", bucket), inventory
+    )
+    managed = F.coalesce("managed_resources", F.lit(False))
+    problem = F.coalesce(
+        F.when(F.col("resolution") != "resolved", F.col("resolution")), F.when(managed, F.col("error"))
+    )
     resolved_path = f"{work_dir}/resolved"
-    if "sequence" not in requests.columns:
-        requests = requests.withColumn("sequence", F.lit(None).cast("long"))
-    resolve_requests(requests, agreements, assets).select(
-        "request_id", "sequence", "src", "dst", "resolution"
+    checked.select(
+        "request_id", "sequence", "src", "dst", "bucket_raw", managed.alias("managed"), problem.alias("problem")
     ).write.mode("overwrite").parquet(resolved_path)
-    resolved = requests.sparkSession.read.parquet(resolved_path)
+    resolved = spark.read.parquet(resolved_path)
 
-    found = F.col("resolution") == "resolved"
-    manifest = resolved.where(found).select("request_id", "sequence", "src", "dst")
+    manifest = resolved.where("problem IS NULL").drop("problem", "bucket_raw")
     status = copy_objects(manifest, registry, settings, work_dir, chunk_bytes)
-    unresolved = resolved.where(~found).select(
-        "request_id", F.lit("error").alias("status"), F.col("resolution").alias("error")
+    refused = resolved.where("problem IS NOT NULL").select(
+        "request_id", F.lit("error").alias("status"), F.col("problem").alias("error")
+    )
+    outcome = status.unionByName(refused, allowMissingColumns=True)
+    return outcome.join(_audit(resolved, status, inventory), "request_id", "left")
+
+
+def _audit(resolved: DataFrame, status: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Whether the bucket of each request is there, now that objects were copied."""
+    # Requests without a unique id are errors and have no audit of their own.
+    known = (
+        resolved.groupBy("request_id")
+        .agg(F.min("bucket_raw").alias("dest_bucket"), F.count(F.lit(1)).alias("uses"))
+        .where("uses = 1 AND request_id IS NOT NULL")
+        .drop("uses")
     )
-    return status.unionByName(unresolved, allowMissingColumns=True)
+    written = known.join(status.where("status = 'ok'").select("request_id"), "request_id", "left_semi")
+    now = inventory.select("bucket").unionByName(written.select(F.col("dest_bucket").alias("bucket")))
+    resources = known.sparkSession.createDataFrame([], "request_id STRING, ord INT, bucket STRING")
+    return completion(known, resources, now).select("request_id", "complete")

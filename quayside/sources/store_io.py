@@ -185,6 +185,14 @@ class Store:
         if not self._buckets[key]:
             raise StoreError("the bucket does not exist")
 
+    def create_bucket(
+        self, uri: str, name: str, endpoint: str | None = None, alias: str | None = None
+    ) -> None:
+        """Create the bucket of an object if it is not there; safe to run twice."""
+        bucket_uri = uri[: len(uri) - len(name) - 1]
+        system, path = self.locate(bucket_uri, endpoint, alias)
+        system.create_dir(path, recursive=is_local(uri) or uri.startswith(ON_HOST))
+
     def write(
         self,
         uri: str,

@@ -53,6 +53,7 @@ def test_demo_transfer(spark, tmp_path):
         settings,
         f"file://{tmp_path}/work",
     )
+    assert {row["request_id"]: row["complete"] for row in status.collect()} == {"t1": True, "t2": True, "t3": True}
     found = {row["request_id"]: (row["status"], row["bytes"], row["error"]) for row in status.collect()}
     assert found == {
         "t1": ("ok", len(content), None),
