@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quayside.llm import decontaminate, jaccard, langid, pieces, queries, secret_scan  # noqa: E402
-from quayside.llm.common import stored  # noqa: E402
+from quayside.llm.common import lookup, stored  # noqa: E402
 
 #: Documents go whose main language has less than this share of their words.
 LEAST_SHARE = 1 / 3
@@ -34,24 +34,26 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, the one with the least id."""
-    found = jaccard.near_duplicates(docs)
+    found = stored(jaccard.near_duplicates(docs), "near-duplicates")
     losers = found.filter("doc_id <> class_id").select("doc_id", "text_hash").distinct()
+    losers = lookup(losers.toDF("_doc_id", "_text_hash"), "losers")
     keys = [F.col("doc_id").cast("long") == F.col("_doc_id"), F.xxhash64("text") == F.col("_text_hash")]
-    kept = docs.join(losers.toDF("_doc_id", "_text_hash"), keys, "left_anti")
-    # Repeated rows have the same id; one of them is enough.
-    with_id = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return with_id.unionByName(kept.filter("doc_id is null"))
+    kept = docs.join(losers, keys, "left_anti")
+    # Of rows with the same id and text one stays. Only such rows are shuffled.
+    repeated = found.filter("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
+    repeated = lookup(repeated.filter("n > 1").drop("n").toDF("_doc_id", "_text_hash"), "repeated")
+    once = kept.join(repeated, keys, "left_anti")
+    return once.unionByName(kept.join(repeated, keys, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.decontaminate(docs, items).filter("n_hit > 0")
-    return docs.join(
-        found.select(F.col("doc_id").alias("_doc_id")).distinct(),
-        F.col("doc_id") == F.col("_doc_id"),
-        "left_anti",
-    )
+    hit = found.select("doc_id", "text_hash").distinct().toDF("_doc_id", "_text_hash")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
+    keys = [same, F.xxhash64("text") == F.col("_text_hash")]
+    return docs.join(lookup(hit, "contaminated"), keys, "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,3 +58,13 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 32, 20, 28
 def bits_for(count: int) -> int:
     """Number of low hash bits that keep false positives at about one in BITS_EACH or less."""
     return min(MOST_BITS, max(LEAST_BITS, (count * BITS_EACH).bit_length()))
+
+
+#: Rows of short columns that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
+
+
+def lookup(rows: DataFrame, label: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows as a table, to be broadcast in joins if their number is within a bound."""
+    rows = stored(rows, label)
+    return F.broadcast(rows) if rows.count() <= most else rows

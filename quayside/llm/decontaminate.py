@@ -146,8 +146,8 @@ def decontaminate(
 ) -> DataFrame:
     """Which words of documents stand in an occurrence of a window of an item.
 
-    Returns a row per document: doc_id, n_words, n_hit, items (ids as sorted strings) and spans
-    (start and end of the hits in words, merged).
+    Returns a row per document: doc_id, text_hash (xxhash64 of the text), n_words, n_hit, items (ids as
+    sorted strings) and spans (start and end of the hits in words, merged).
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -237,7 +237,7 @@ def decontaminate(
         .withColumn("spans", _merged("spans"))
         .withColumn("n_hit", F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)"))
         .withColumn("_row", F.explode(F.expr("sequence(1L, rows)")))
-        .select("doc_id", "n_words", "n_hit", "items", "spans")
+        .select("doc_id", "text_hash", "n_words", "n_hit", "items", "spans")
     )
 
 

@@ -69,8 +69,10 @@ def test_pipeline_runs_on_odd_rows(spark, tmp_path):
     rows = [(1, None, None, None, None), (None, "some text of words", "en", "s", 1), (2, "", "en", "s", 0)]
     rows += [(3, "a text with words", "en", "s", 1), (3, "a text with words", "en", "s", 1), (4, "1 2 3", "x", "s", 5)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows += [(None, "so this passage is of a benchmark", "en", "s", 1)]
     spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    items = [(1, "this passage is of a benchmark")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(((r.doc_id, r.round_trip) for r in got), key=repr) == [(3, True), (None, True)]
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none/documents.parquet"))
