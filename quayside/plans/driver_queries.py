@@ -167,15 +167,15 @@ ranked AS (
          octet_length(encode(html)) AS size
   FROM checked),
 pieces AS (
-  SELECT page_id, i, sha256(unhex(substr(hex(encode(html)), 2000 * i + 1, 2000))) AS digest
-  FROM (SELECT page_id, html, unnest(range(greatest(1, CAST(ceil(size / 1000) AS BIGINT)))) AS i FROM ranked)),
+  SELECT page_id, i, sha256(unhex(substr(hex(encode(html)), 5000 * i + 1, 5000))) AS digest
+  FROM (SELECT page_id, html, unnest(range(greatest(1, CAST(ceil(size / 2500) AS BIGINT)))) AS i FROM ranked)),
 hashed AS (SELECT page_id, sha256(string_agg(digest, '' ORDER BY i)) AS digest FROM pieces GROUP BY page_id)
 SELECT request_id,
        CASE WHEN error IS NOT NULL THEN 'error' WHEN page_id < last_request THEN 'superseded'
             ELSE 'ok' END AS status,
        CASE WHEN error IS NULL AND page_id = last_request THEN CAST(size AS BIGINT) END AS bytes,
        CASE WHEN error IS NULL AND page_id = last_request THEN digest END AS range_sha256,
-       CASE WHEN error IS NULL AND page_id = last_request AND size <= 1000 THEN sha256(html) END AS sha256,
+       CASE WHEN error IS NULL AND page_id = last_request AND size <= 2500 THEN sha256(html) END AS sha256,
        error
 FROM ranked JOIN hashed USING (page_id)
 """)
@@ -203,7 +203,7 @@ def q_object_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     work_dir = scratch_dir(spark, "copy")
     # Pages are short, so that short ranges are needed to have several of an object.
     status = copy_objects(
-        manifest, _registry(spark, sf_dir), _settings_below(root), work_dir, chunk_bytes=1000
+        manifest, _registry(spark, sf_dir), _settings_below(root), work_dir, chunk_bytes=2500
     )
     return status.select("request_id", "status", "bytes", "range_sha256", "sha256", "error")
 
