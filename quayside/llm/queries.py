@@ -126,7 +126,7 @@ def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), by_window=True)
     counts = [
         F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS
     ]

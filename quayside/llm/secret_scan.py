@@ -5,8 +5,11 @@ Base kinds are regular expressions, leftmost and without overlap. Further spans
 with the counts of its characters updated by the one that enters and the one that leaves, and
 with them the sum of c * log2(c). The Shannon entropy of the window is log2(w) minus that sum
 over w. Each character class (hex, alphanumeric, base64) has its own limit. Windows beyond it
-are merged; candidates on the allow-list (example values, identifiers, paths) give none, nor do
-spans that lie inside a base span.
+are merged; spans that lie inside a base span are left out.
+
+The queries and ``redact`` clear by windows: a window that holds an example value is not high, and of
+whole candidates only UUIDs and paths made of words and UUIDs are cleared. The SQL, and ``scan``
+without ``by_window``, clear a whole candidate where any part of it is on the allow-list, and so find less.
 
 Positions are code points. Places come from the lengths of matches and of the text between them;
 they are added up in blocks, so that many matches in one text don't cost their square.
@@ -41,6 +44,11 @@ ALLOWED = (
     "|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
     "|^/?([a-z_-]+/)+|(.)\\2{7,}"
 )
+# Example values, which clear the windows that hold them; not for SQL, which clears by ALLOWED.
+EXAMPLES = r"(?i:example|sample|dummy|placeholder|changeme|test|0123456789|abcdefgh)|(.)\1{7,}"
+# Parts of a path that is cleared: UUIDs, words of one case with a short number, short numbers.
+UUID = "(?i)(?<![^/])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![^/])"
+PATH_WORD = "^(?:[A-Z]?[a-z]{1,20}|[A-Z]{1,20})?[0-9]{0,4}$"
 BLOCK = 500
 
 
@@ -139,8 +147,22 @@ def _weight(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
 
-def entropy_spans(candidate: Column, window: int = WINDOW) -> Column:
+def _harmless(candidate: Column) -> Column:
+    """Whether all of a candidate is a UUID or a path of words and UUIDs."""
+    # Split first: a repeated group over all of a long candidate would exhaust the stack of the matcher.
+    rest = F.regexp_replace(candidate, UUID, "")
+    words = F.forall(F.split(rest, "[/_-]+"), lambda word: word.rlike(PATH_WORD))
+    return (candidate.contains("/") | (rest == "")) & words
+
+
+def entropy_spans(candidate: Column, window: int = WINDOW, by_window: bool = False) -> Column:
     """Merged windows of high entropy in one candidate as array<struct<start, end>>."""
+    if by_window:
+        return bound(located(candidate, EXAMPLES), lambda m: _entropy_spans(candidate, window, m))
+    return _entropy_spans(candidate, window, None)
+
+
+def _entropy_spans(candidate: Column, window: int, examples: Column | None) -> Column:
     limit = F.lit(CLASSES[-1][2])
     for _, pattern, least in reversed(CLASSES[:-1]):
         limit = F.when(candidate.rlike(pattern), F.lit(least)).otherwise(limit)
@@ -149,7 +171,7 @@ def entropy_spans(candidate: Column, window: int = WINDOW) -> Column:
     def step(s: Column, enters: Column) -> Column:
         # The character that leaves goes first; the counts it changes are those the next one sees.
         leaves = F.when(s["at"] >= window, F.element_at(s["recent"], 1)).otherwise(F.lit(0))
-        return bound(leaves, lambda leaves: _slide(s, enters, leaves, window, limit))
+        return bound(leaves, lambda leaves: _slide(s, enters, leaves, window, limit, examples))
 
     start = F.struct(
         F.lit(0).alias("at"),
@@ -157,6 +179,8 @@ def entropy_spans(candidate: Column, window: int = WINDOW) -> Column:
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(0).alias("digits"),
+        F.lit(0).alias("passed"),
+        F.lit(-1).alias("barred"),
         F.lit(None).cast(span).alias("open"),
         F.array().cast(f"array<{span}>").alias("done"),
     )
@@ -166,11 +190,14 @@ def entropy_spans(candidate: Column, window: int = WINDOW) -> Column:
         step,
         lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))),
     )
-    plain = candidate.rlike(ALLOWED) | ~candidate.rlike("[0-9]") | ~candidate.rlike("[A-Za-z]")
+    allowed = candidate.rlike(ALLOWED) if examples is None else _harmless(candidate)
+    plain = allowed | ~candidate.rlike("[0-9]") | ~candidate.rlike("[A-Za-z]")
     return F.when(plain, F.array().cast(f"array<{span}>")).otherwise(found)
 
 
-def _slide(s: Column, enters: Column, leaves: Column, window: int, limit: Column) -> Column:
+def _slide(
+    s: Column, enters: Column, leaves: Column, window: int, limit: Column, examples: Column | None
+) -> Column:
     """The state of the window one character further on."""
     at = s["at"] + 1
     full = leaves > 0
@@ -195,12 +222,20 @@ def _slide(s: Column, enters: Column, leaves: Column, window: int, limit: Column
         - F.when((leaves >= 1) & (leaves <= 10), 1).otherwise(0)
     )
 
+    # Examples that ended up to here, and where the last of them starts.
+    passed, barred = s["passed"], s["barred"]
+    if examples is not None:
+        next_ = F.get(examples, passed)
+        ends = F.coalesce(next_["end"] == at, F.lit(False))
+        passed, barred = passed + F.when(ends, 1).otherwise(0), F.when(ends, next_["start"]).otherwise(barred)
+
     def moved(now: Column) -> Column:
         entropy = F.log2(F.lit(float(window))) - now["total"] / window
         high = (
             (at >= window)
             & (entropy >= limit)
             & now["digits"].between(LEAST_DIGITS, window - LEAST_DIGITS)
+            & (now["barred"] < at - window)
         )
         joins = s["open"].isNotNull() & (at - window <= s["open"]["end"])
         begin = F.when(joins, s["open"]["start"]).otherwise(at - window)
@@ -210,20 +245,23 @@ def _slide(s: Column, enters: Column, leaves: Column, window: int, limit: Column
             counts.alias("counts"),
             now["total"].alias("total"),
             now["digits"].alias("digits"),
+            now["passed"].alias("passed"),
+            now["barred"].alias("barred"),
             F.when(high, F.struct(begin.alias("start"), at.alias("end"))).otherwise(s["open"]).alias("open"),
             F.when(high & s["open"].isNotNull() & ~joins, F.concat(s["done"], F.array(s["open"])))
             .otherwise(s["done"])
             .alias("done"),
         )
 
-    return bound(F.struct(total.alias("total"), digits.alias("digits")), moved)
+    now = (total.alias("total"), digits.alias("digits"), passed.alias("passed"), barred.alias("barred"))
+    return bound(F.struct(*now), moved)
 
 
-def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def scan(docs: DataFrame, window: int = WINDOW, by_window: bool = False) -> DataFrame:
     """All columns of the documents, and base and spans: array<struct<start, order, kind, end>>.
 
     base holds the spans of the known kinds, spans these and those of high entropy, both sorted by
-    start and kind. Columns of these names are replaced.
+    start and kind. Columns of these names are replaced. by_window finds more, see above.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = docs.drop("base", "spans").withColumn("base", base_spans(text))
@@ -233,7 +271,7 @@ def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.transform(
             F.col("_seen"),
             lambda c: F.transform(
-                entropy_spans(c["match"], window),
+                entropy_spans(c["match"], window, by_window),
                 lambda s: _span(c["start"] + s["start"], len(KINDS), "entropy", c["start"] + s["end"]),
             ),
         )
@@ -274,7 +312,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     rest = F.substring(text, F.col("_merged.at") + 1, F.char_length(text))
     clean = F.concat(F.array_join(pieces, mark), F.lit(mark), rest)
     return (
-        scan(docs)
+        scan(docs, by_window=True)
         .withColumn("_merged", F.when(F.size("spans") > 0, merged))
         .withColumn("text", F.when(F.col("_merged").isNull(), text).otherwise(clean))
         .drop("base", "spans", "_merged")

@@ -94,3 +94,47 @@ def test_redact(documents):
 
 def test_empty_table(documents):
     assert S.scan(documents([])).count() == 0
+
+
+KEY = "Zx9Qm4Tr7LpW2vBn8KcY5Hd3Jf6Gs"
+# Name, text, and the part that must lie in entropy spans or be cleared.
+PLANTED = [
+    ("slash after letters", "wJalrXUt/9f2KMq7nbPxRfiC4yLz83TgHdQ5sVo1E", True),
+    ("behind a path", "config/prod/" + KEY, True),
+    ("example at the end", KEY + "/test", True),
+    ("example before", "sk_test_" + KEY, True),
+    ("run before", "x" * 9 + KEY, True),
+    ("path of words", "usr/lib/python3/dist-packages/django/contrib/x86", False),
+    ("path with a date", "/archive/2024/03/15/Annual_report-final2/images", False),
+    ("path with a UUID", "users/123e4567-e89b-12d3-a456-426614174000/orders", False),
+    ("UUID", "123e4567-e89b-12d3-a456-426614174000", False),
+    ("run of hex", "AAAAAAAA01234567BCDE", False),
+]
+
+
+def test_allow_list_clears_windows_only(documents):
+    docs = [(i, f"say {text} now") for i, (_, text, _) in enumerate(PLANTED)]
+    got = {r.doc_id: r for r in S.scan(documents(docs), by_window=True).collect()}
+    for i, (name, text, secret) in enumerate(PLANTED):
+        spans = [(x.start, x.end) for x in got[i].spans if x.kind == "entropy"]
+        assert bool(spans) == secret, name
+        if secret and KEY in text:
+            assert any(a <= docs[i][1].index(KEY) + 9 and b >= docs[i][1].index(KEY) + 20 for a, b in spans), name
+    gone = {r.doc_id: r.text for r in S.redact(documents(docs, extra=False)).collect()}
+    for i, (name, text, secret) in enumerate(PLANTED):
+        assert (gone[i] == docs[i][1]) != secret and (not secret or KEY[9:20] not in gone[i]), name
+
+
+def test_by_window_equals_brute_force(documents):
+    """Texts without words of the allow-list in them have the spans of the other way."""
+    docs = [(i, t) for i, t in enumerate(texts()) if t and not ALLOWED.search(t) and "/" not in t]
+    one, two = (
+        {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=b).collect()} for b in (False, True)
+    )
+    assert len(one) > 50 and one == two
+
+
+def test_long_paths(documents):
+    docs = [(1, "ab1/" * 20_000), (2, "ab-" * 20_000 + KEY), (3, "test1" * 4_000)]
+    got = {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=True).collect()}
+    assert got[1] == [] and len(got[2]) == 1 and got[3] == []
