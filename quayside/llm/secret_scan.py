@@ -10,6 +10,8 @@ are merged; spans that lie inside a base span are left out.
 The queries and ``redact`` clear by windows: a window that holds an example value is not high, and of
 whole candidates only UUIDs and paths made of words and UUIDs are cleared. The SQL, and ``scan``
 without ``by_window``, clear a whole candidate where any part of it is on the allow-list, and so find less.
+They also ask for two digits in each window; by windows a digit and a letter anywhere in the
+candidate are enough. ``redact`` removes the whole candidate that holds a high window.
 
 Positions are code points. Places come from the lengths of matches and of the text between them;
 they are added up in blocks, so that many matches in one text don't cost their square.
@@ -37,7 +39,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 # Class of a candidate, by the first pattern that fits, and least entropy of a window in bits.
 CLASSES = (("hex", "^[0-9a-fA-F]+$", 3.0), ("alnum", "^[0-9A-Za-z]+$", 3.6), ("base64", "", 3.8))
-# A window must also mix digits with letters, as words of prose and plain numbers do not.
+# A window must also mix digits with letters, as words of prose and plain numbers do not (not by_window).
 LEAST_DIGITS = 2
 ALLOWED = (
     "(?i)example|sample|dummy|placeholder|changeme|test|0123456789|abcdefgh"
@@ -231,12 +233,11 @@ def _slide(
 
     def moved(now: Column) -> Column:
         entropy = F.log2(F.lit(float(window))) - now["total"] / window
-        high = (
-            (at >= window)
-            & (entropy >= limit)
-            & now["digits"].between(LEAST_DIGITS, window - LEAST_DIGITS)
-            & (now["barred"] < at - window)
-        )
+        high = (at >= window) & (entropy >= limit)
+        if examples is None:
+            high &= now["digits"].between(LEAST_DIGITS, window - LEAST_DIGITS)
+        else:
+            high &= now["barred"] < at - window
         joins = s["open"].isNotNull() & (at - window <= s["open"]["end"])
         begin = F.when(joins, s["open"]["start"]).otherwise(at - window)
         return F.struct(
@@ -264,6 +265,16 @@ def scan(docs: DataFrame, window: int = WINDOW, by_window: bool = False) -> Data
     start and kind. Columns of these names are replaced. by_window finds more, see above.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return _scan(docs, text, window, lambda c: entropy_spans(c, window, by_window))
+
+
+def _whole(candidate: Column) -> Column:
+    """All of a candidate that holds a window of high entropy, as array<struct<start, end>>."""
+    span = F.struct(F.lit(0).alias("start"), F.char_length(candidate).alias("end"))
+    return F.transform(F.slice(entropy_spans(candidate, WINDOW, by_window=True), 1, 1), lambda _: span)
+
+
+def _scan(docs: DataFrame, text: Column, window: int, of_candidate) -> DataFrame:
     found = docs.drop("base", "spans").withColumn("base", base_spans(text))
     # As a column of its own, so that it is computed once.
     found = found.withColumn("_seen", located(text, CANDIDATE % window))
@@ -271,7 +282,7 @@ def scan(docs: DataFrame, window: int = WINDOW, by_window: bool = False) -> Data
         F.transform(
             F.col("_seen"),
             lambda c: F.transform(
-                entropy_spans(c["match"], window, by_window),
+                of_candidate(c["match"]),
                 lambda s: _span(c["start"] + s["start"], len(KINDS), "entropy", c["start"] + s["end"]),
             ),
         )
@@ -291,7 +302,10 @@ def listed(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """The documents with each found span (merged where they overlap) replaced by the mark."""
+    """The documents with each found span (merged where they overlap) replaced by the mark.
+
+    Of a candidate with a window of high entropy no character stays.
+    """
     merged = F.aggregate(
         F.col("spans"),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps")),
@@ -312,7 +326,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     rest = F.substring(text, F.col("_merged.at") + 1, F.char_length(text))
     clean = F.concat(F.array_join(pieces, mark), F.lit(mark), rest)
     return (
-        scan(docs, by_window=True)
+        _scan(docs, F.coalesce(F.col("text").cast("string"), F.lit("")), WINDOW, _whole)
         .withColumn("_merged", F.when(F.size("spans") > 0, merged))
         .withColumn("text", F.when(F.col("_merged").isNull(), text).otherwise(clean))
         .drop("base", "spans", "_merged")

@@ -125,13 +125,30 @@ def test_allow_list_clears_windows_only(documents):
         assert (gone[i] == docs[i][1]) != secret and (not secret or KEY[9:20] not in gone[i]), name
 
 
-def test_by_window_equals_brute_force(documents):
-    """Texts without words of the allow-list in them have the spans of the other way."""
+def test_by_window_equals_brute_force(documents, monkeypatch):
+    """Texts with nothing of the allow-list have the spans of all windows beyond the limits."""
     docs = [(i, t) for i, t in enumerate(texts()) if t and not ALLOWED.search(t) and "/" not in t]
-    one, two = (
-        {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=b).collect()} for b in (False, True)
-    )
-    assert len(one) > 50 and one == two
+    got = {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=True).collect()}
+    monkeypatch.setattr(S, "LEAST_DIGITS", 0)
+    assert len(docs) > 50
+    for doc, text in docs:
+        known = base(text)
+        more = [(a, 3, "entropy", b) for a, b in high(text) if not any(x[0] <= a and b <= x[3] for x in known)]
+        assert [tuple(x) for x in got[doc]] == sorted(known + more)
+
+
+def test_few_digits_in_a_window(documents):
+    keys = ["aQwErTyUiOpLkJhGf7Dz", "MnBvCxZlKjHgFdSaPoIuYtReWq48QmXw", "48QmXwMnBvCxZlKjHgFdSaPoIuYtReWq+"]
+    docs = [(i, f"({key})") for i, key in enumerate(keys)]
+    got = {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=True).collect()}
+    assert all([(x.start, x.end) for x in got[i]] == [(1, 1 + len(k))] for i, k in enumerate(keys))
+    assert {r.text for r in S.redact(documents(docs, extra=False)).collect()} == {"([secret])"}
+
+
+def test_redact_leaves_nothing_of_a_token(documents):
+    rows = [(1, "x aaaaaaaaaaaaaaaaaaaaaaaaa" + KEY + "aaaaaaaaaaaaaaaaaaaaaaaaa y"), (2, f"a {KEY} test/{KEY} b")]
+    got = {r.doc_id: r.text for r in S.redact(documents(rows, extra=False)).collect()}
+    assert got == {1: "x [secret] y", 2: "a [secret] [secret] b"}
 
 
 def test_long_paths(documents):
