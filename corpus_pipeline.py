@@ -2,7 +2,7 @@
 
 Five stages, each of which works on all rows that the one before kept: language identification,
 near-duplicate removal, benchmark decontamination, secret removal and encoding. Clean documents
-stay. Rows with a null id or text pass every stage except the first, which rejects texts without a letter.
+stay. Texts that are null or have no letter are rejected by the first stage. Rows with a null id take part in all.
 """
 
 from __future__ import annotations
@@ -33,15 +33,36 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one with the least id."""
-    found = stored(jaccard.near_duplicates(docs), "near-duplicates")
-    losers = found.filter("doc_id <> class_id").select("doc_id", "text_hash").distinct()
-    losers = lookup(losers.toDF("_doc_id", "_text_hash"), "losers")
-    keys = [F.col("doc_id").cast("long") == F.col("_doc_id"), F.xxhash64("text") == F.col("_text_hash")]
-    kept = docs.join(losers, keys, "left_anti")
+    """One document of each class stays: that with the least id, of equal ids the least hash of the text.
+
+    Null ids come last. Texts without a word are in no class; of those with the same id one stays.
+    """
+    # Ids may be null or stand for several texts, so documents are compared by ids of their own.
+    own = F.xxhash64(F.lit(1), "doc_id", "text")
+    names = docs.select(
+        own.alias("own"), F.col("doc_id").cast("long").alias("_doc_id"), F.xxhash64("text").alias("text_hash")
+    ).distinct()
+    found = stored(jaccard.near_duplicates(docs.withColumn("doc_id", own)), "near-duplicates")
+    crowded = found.groupBy("class_id").agg(F.count("*").alias("n")).filter("n > 1").select("class_id")
+    members = (
+        found.join(lookup(crowded, "crowded"), "class_id", "left_semi")
+        .groupBy(F.col("doc_id").alias("own"), "text_hash", "class_id")
+        .agg(F.count("*").alias("n"), F.max("shingles").alias("shingles"))
+    )
+    members = members.join(names, ["own", "text_hash"]).filter("_doc_id is not null or shingles > 0")
+    place = F.struct(F.col("_doc_id").isNull().alias("last"), F.col("_doc_id"), F.col("text_hash"))
+    members = stored(members.select("class_id", "n", place.alias("place")), "members")
+    first = members.groupBy("class_id").agg(F.min("place").alias("first"))
+    losers = members.join(lookup(first, "first"), "class_id").filter("place <> first")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
+    keys = [same, F.xxhash64("text") == F.col("_text_hash")]
+
+    def named(rows: DataFrame, label: str) -> DataFrame:
+        return lookup(rows.selectExpr("place._doc_id", "place.text_hash as _text_hash"), label)
+
+    kept = docs.join(named(losers, "losers"), keys, "left_anti")
     # Of rows with the same id and text one stays. Only such rows are shuffled.
-    repeated = found.filter("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
-    repeated = lookup(repeated.filter("n > 1").drop("n").toDF("_doc_id", "_text_hash"), "repeated")
+    repeated = named(members.filter("n > 1"), "repeated")
     once = kept.join(repeated, keys, "left_anti")
     return once.unionByName(kept.join(repeated, keys, "left_semi").dropDuplicates(["doc_id", "text"]))
 

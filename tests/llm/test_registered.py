@@ -78,3 +78,23 @@ def test_pipeline_runs_on_odd_rows(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none/documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none/benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+LONG = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_near_duplicates_with_reused_and_null_ids(spark):
+    near = LONG * 4 + " a"
+    other = " ".join(f"word{i}" for i in range(60))
+    rows = [(3, LONG * 4), (3, near), (3, other), (3, other), (5, near + " b")]
+    rows += [(None, "x " + other), (None, "y y z u v w q"), (None, "y y z u v w q"), (7, "y y z u v w q")]
+    rows += [(None, "quite another text of its own"), (None, "quite another text of its own")]
+    rows += [(None, "..."), (None, "..."), (8, "..."), (8, "..."), (9, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    got = [(r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF).collect()]
+    assert sum(i == 3 and t != other for i, t in got) == 1
+    assert (5, near + " b") not in got
+    want = [(3, other), (7, "y y z u v w q"), (None, "quite another text of its own")]
+    want += [(None, "..."), (None, "..."), (8, "..."), (9, None), (None, None)]
+    assert sorted((x for x in got if x[0] != 3 or x[1] == other), key=repr) == sorted(want, key=repr)
