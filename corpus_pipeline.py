@@ -24,8 +24,13 @@ LEAST_SHARE = 1 / 3
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter or without a main language; lang becomes what was found."""
+    """Drop documents without a letter or without a main language; lang becomes what was found.
+
+    If nothing could be learned, as all languages are null, every document with a letter stays as it is.
+    """
     model = langid.learn(docs.select("lang", "text"))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = langid.predict(docs, model).filter(
         (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
     )

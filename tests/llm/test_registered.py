@@ -98,3 +98,13 @@ def test_near_duplicates_with_reused_and_null_ids(spark):
     want = [(3, other), (7, "y y z u v w q"), (None, "quite another text of its own")]
     want += [(None, "..."), (None, "..."), (8, "..."), (9, None), (None, None)]
     assert sorted((x for x in got if x[0] != 3 or x[1] == other), key=repr) == sorted(want, key=repr)
+
+
+def test_language_stage_without_languages(spark):
+    rows = [(1, "a text", None), (2, "дом", None), (3, "1 2 3", None), (4, "", None), (5, None, None), (6, "7", "en")]
+    stage = dict(corpus_pipeline.STAGES)["language ID"]
+    for some in (rows[:5], rows):
+        docs = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in some], SCHEMA)
+        assert sorted(map(tuple, stage(spark, docs, SF).collect())) == [
+            (1, "a text", None, "s", 1), (2, "дом", None, "s", 1)
+        ]
