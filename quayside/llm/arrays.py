@@ -185,3 +185,15 @@ class Bits:
 def signed(hashes: np.ndarray) -> np.ndarray:
     """As Spark's long."""
     return hashes.view(np.int64)
+
+
+def spaced(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words with one space after each: the bytes, and start and end of the words in them."""
+    length = words.end - words.start
+    start = np.cumsum(length + 1) - (length + 1)
+    out = np.full(int(length.sum()) + len(length), 32, dtype=np.uint8)
+    if len(length):
+        shift = np.repeat(words.start - start, length)
+        place = np.arange(int(length.sum())) + np.repeat(np.arange(len(length)), length)
+        out[place] = words.bytes[place + shift]
+    return out, start, start + length

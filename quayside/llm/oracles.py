@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quayside.llm import chat, decontaminate, repeats, secret_scan
+from quayside.llm import chat, collocations, decontaminate, divergence, repeats, secret_scan
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (
@@ -164,3 +164,81 @@ select doc_id, {", ".join(f"coalesce(n_{k}, 0)::bigint as n_{k}" for k in secret
     sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
 from docs left join listed using (rid)
 """
+
+_SHARE = "1 + (1000000000::hugeint * ({0} + 1)) // ({1} + {2})"
+
+DIVERGENCE = f"""
+with docs as (
+    select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{divergence.TERM}') as w
+    from documents),
+places as (select rid, lang, source, unnest(w) as term from docs),
+kept as (
+    select lang, term from places group by lang, term
+    having count(distinct rid) >= {divergence.LEAST_DOCUMENTS}),
+counts as (select lang, source, term, count(*) as n from places join kept using (lang, term) group by all),
+sizes as (select lang, count(*) as v from kept group by lang),
+groups as (
+    select g.lang, g.source, coalesce(v, 0) as v,
+        coalesce((select sum(n) from counts c where c.lang = g.lang and c.source = g.source), 0) as total
+    from (select distinct lang, source from docs) g left join sizes using (lang)),
+grid as (
+    select g.lang, g.source, term, coalesce(n, 0) as n, {_SHARE.format("coalesce(n, 0)", "total", "v")} as p
+    from groups g join kept using (lang) left join counts using (lang, source, term)),
+pairs as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+    from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+    group by all),
+all_pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source),
+expected as (
+    select lang, term, {_SHARE.format("sum(n)", "max(total)", "max(v)")} as q
+    from counts join (select lang, sum(total) as total, max(v) as v from groups group by lang) using (lang)
+    group by lang, term),
+terms as (
+    select lang, source, 'term' as part, term as item, (p - q) * (p - q) // q as value
+    from grid join expected using (lang, term) where n > 0 and p > q),
+ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+    from (select * from all_pairs union all select * from terms))
+select lang, source, part, item, value::bigint as value, rank::int as rank
+from ranked where part = 'pair' or rank <= {divergence.TERM_RANKS}
+"""
+
+COLLOCATIONS = f"""
+with docs as (
+    select row_number() over () as rid, coalesce(lang, 'und') as lang,
+        translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') as text from documents),
+pieces as (select rid, lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from docs),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+sizes as (select unnest(range(1, {collocations.LONGEST + 1})) as m),
+places as (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from worded join sizes on len(w) >= m),
+counts as (
+    select lang, m, w[i:i + m - 1] as words, count(*) as f from places group by all),
+totals as (select lang, sum(f) as n from counts where m = 1 group by lang),
+candidates as (select * from counts where m > 1 and f >= {collocations.SUPPORT}),
+cuts as (select lang, m, words, f, unnest(range(1, m)) as k from candidates),
+rated as (
+    select c.lang, c.m, c.words, c.f as a, k, l.f as l, r.f as r,
+        ({collocations.SCORE_UNIT}::hugeint * c.f) // (l.f + r.f) as score
+    from cuts c join counts l on l.lang = c.lang and l.words = c.words[1:k]
+    join counts r on r.lang = c.lang and r.words = c.words[k + 1:]),
+lowest as (
+    select lang, m, words, a, min(row(score, k, l, r)) as cut from rated group by all),
+longer as (
+    select lang, f, words, m, unnest(range(2, m)) as part from candidates where m > 2),
+inside as (
+    select lang, f, words[i:i + part - 1] as words
+    from (select *, unnest(range(1, m - part + 2)) as i from longer)),
+around as (select lang, words, max(f) as f from inside group by all),
+named as (
+    select c.lang, array_to_string(c.words, ' ') as phrase, a, cut[1] as score, cut[3] as l, cut[4] as r
+    from lowest c left join around on around.lang = c.lang and around.words = c.words
+    where around.f is null or 100 * around.f < {collocations.ABSORBED_PERCENT} * a),
+ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from named)
+select lang, rank::int as rank, phrase, a, l, r, n::bigint as n, score::bigint as score
+from ranked join totals using (lang) where rank <= {collocations.REPORTED}
+"""

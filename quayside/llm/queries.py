@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from quayside.llm import (
     chat,
+    collocations,
     decontaminate,
+    divergence,
     jaccard,
     langid,
     neighbours,
@@ -19,6 +21,7 @@ from quayside.llm import (
     repeats,
     secret_scan,
     sharding,
+    simhash,
 )
 from quayside.llm.common import fold_number
 
@@ -142,6 +145,18 @@ def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_perspective_rotation": op2_perspective_rotation,
@@ -153,6 +168,9 @@ QUERIES = {
     "op8_suffix_array_pieces": op8_suffix_array_pieces,
     "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_secret_scan": op10_secret_scan,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_collocations": op12_collocations,
+    "op13_simhash": op13_simhash,
 }
 
 # Learning, sampling and merges are tested against brute force instead.
@@ -161,4 +179,6 @@ ORACLES = {
     "op2_perspective_rotation": oracles.PERSPECTIVES,
     "op5_substring_dedup": oracles.REPEATS,
     "op10_secret_scan": oracles.SECRETS,
+    "op11_source_divergence": oracles.DIVERGENCE,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
