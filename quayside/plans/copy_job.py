@@ -1,15 +1,20 @@
 """Bulk copy of objects by manifest.
 
-Three stages, each ending in a table below the work folder, so that a lost executor never
-causes finished work to be planned or copied again:
+Stages that each end in a table below the work folder, so that a lost executor never causes finished
+work to be planned or copied again:
 
-1. ``plan``: validation, routing, endpoints, names, and the length of every source object;
-2. ``chunks``: the bytes, copied in ranges by tasks of about equal size;
-3. ``status``: one row per request.
+1. ``plan``: validation, routing, endpoints, names, length and time of change of every source object;
+2. ``uploads``: an upload is opened for every object that goes to an object store in parts;
+3. ``ledger``: the bytes, copied in pieces by tasks of about equal size, a row for each piece;
+4. ``status``: objects that came in pieces get their name, or are dropped; one row per request.
 
-Large objects are cut into ranges where the target is a mounted file system, so one object
-keeps many tasks busy; object stores only take whole objects, which are streamed block by
-block. No task ever holds more than one block of an object in memory.
+Large objects are cut into pieces, so one object keeps many tasks busy: ranges of a hidden file on
+mounted file systems, parts of an upload on stores with the S3 interface. Until all of them are there the
+target stays as it was. Other stores take whole objects. No task ever holds more than one block of an object in memory.
+
+A run that was broken off, its driver lost, is carried on by calling the copy again with its work folder.
+The tasks' rows enter the ledger as each task ends. Pieces that it holds are not copied again
+if source, length and time of change are the same and what was written is still there.
 
 Of several requests for one target the last one in their order counts. If it fails while it is
 copied, the others follow, the latest first, until one succeeds.
@@ -19,10 +24,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.addresses import write_failure
@@ -35,6 +41,7 @@ from quayside.operators.requests import (
 )
 from quayside.session import ship_package
 from quayside.settings import TransferSettings
+from quayside.sources.s3_requests import LEAST_PART_BYTES, MOST_PART_BYTES, MOST_PARTS
 
 CHUNK_BYTES = 500 * 1024 * 1024
 TASK_BYTES = 2 * 1024 * 1024 * 1024
@@ -52,53 +59,104 @@ _PLAN_COLUMNS = [
 ]
 _MEASURED = (
     ", ".join(f"{name} STRING" for name in _PLAN_COLUMNS)
-    + ", sequence LONG, managed BOOLEAN, length LONG, store_error STRING"
+    + ", sequence LONG, managed BOOLEAN, length LONG, modified LONG, target_length LONG, store_error STRING"
+)
+# What a piece is known by, and what became of it.
+_PIECE = (
+    "request_id STRING, source_uri STRING, target_uri STRING, length LONG, modified LONG, "
+    "upload STRING, chunks LONG, chunk LONG, offset LONG, size LONG"
 )
-_COPIED = "request_id STRING, chunk LONG, bytes LONG, digest STRING, ranges STRING, store_error STRING"
+_COPIED = f"{_PIECE}, bytes LONG, digest STRING, ranges STRING, tag STRING, store_error STRING, attempt STRING"
+_PIECE_NAMES = [field.split()[0] for field in _PIECE.split(", ")]
+_WORK = [*_PIECE_NAMES, "source_endpoint", "target_endpoint", "target_alias", "by_store", "upload_error"]
 _FINISHED = (
     "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, range_sha256 STRING, store_error STRING"
 )
 
 
-def _measurer(credentials_root: str | None):
+def _measurer(credentials_root: str | None, with_target: bool):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Look up the length of every source object; one request per row."""
+        """Look up the length of every source object, and of targets if a run is carried on."""
         from quayside.sources.store_io import Store
 
         store = Store(credentials_root)
         for batch in batches:
-            found = [_length(store, row) for row in batch.to_pylist()]
+            found = [_measured(store, row, with_target) for row in batch.to_pylist()]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array([length for length, _ in found], pa.int64()),
-                    pa.array([error for _, error in found], pa.string()),
-                ],
-                names=[*batch.schema.names, "length", "store_error"],
+                [*batch.columns, *(pa.array([r[i] for r in found], kind) for i, kind in enumerate(kinds))],
+                names=[*batch.schema.names, "length", "modified", "target_length", "store_error"],
             )
 
     return measure
 
 
-def _length(store, row: dict) -> tuple[int | None, str | None]:
+def _measured(store, row: dict, with_target: bool) -> tuple[int | None, int | None, int | None, str | None]:
     from quayside.sources.store_io import FAILURES, check_address
 
     if row["plan_error"] is not None:
-        return None, None
+        return None, None, None, None
     try:
         check_address(row["source_bucket"], row["source_object"])
         check_address(row["target_bucket"], row["target_object"])
-        length = store.length(row["source_uri"], row["source_endpoint"])
-        target = (row["target_uri"], row["target_object"], row["target_endpoint"], row["target_alias"])
-        if length is None:
-            return None, NO_SOURCE
+        source = store.measure(row["source_uri"], row["source_endpoint"])
+        place = (row["target_endpoint"], row["target_alias"])
+        target = (row["target_uri"], row["target_object"], *place)
+        if source is None:
+            return None, None, None, NO_SOURCE
         if row["managed"]:
             store.create_bucket(*target)
         else:
             store.require_bucket(*target)
-        return length, None
+        there = store.measure(row["target_uri"], *place) if with_target else None
+        return *source, there[0] if there else None, None
     except FAILURES as failure:
-        return None, str(failure)
+        return None, None, None, str(failure)
+
+
+def _opener(credentials_root: str | None, attempt: str):
+    def open_uploads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Open an upload for each target."""
+        from quayside.sources.store_io import FAILURES, Store
+
+        store = Store(credentials_root)
+        for batch in batches:
+            uploads, errors = [], []
+            for row in batch.to_pylist():
+                upload, error = None, None
+                try:
+                    client, bucket, key = store.client(
+                        row["target_uri"], row["target_endpoint"], row["target_alias"]
+                    )
+                    upload = client.start_upload(bucket, key)
+                except FAILURES as failure:
+                    error = str(failure)
+                uploads.append(upload)
+                errors.append(error)
+            known = [batch.column(name) for name in _UPLOAD_KEY]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *known,
+                    pa.array(uploads, pa.string()),
+                    pa.array(errors, pa.string()),
+                    pa.array([attempt] * batch.num_rows, pa.string()),
+                ],
+                names=[*_UPLOAD_KEY, "upload", "upload_error", "attempt"],
+            )
+
+    return open_uploads
+
+
+_UPLOAD_KEY = ["request_id", "source_uri", "target_uri", "length", "modified"]
+_OPENED = (
+    "request_id STRING, source_uri STRING, target_uri STRING, length LONG, modified LONG, "
+    "upload STRING, upload_error STRING, attempt STRING"
+)
+
+
+def _mark(run: str, row: dict) -> str:
+    """What tells the collected ranges of a request from those of others for the same target."""
+    return f"{run} {row['request_id']}"
 
 
 def _hidden_path(target_uri: str, run: str) -> str:
@@ -110,77 +168,94 @@ def _hidden_path(target_uri: str, run: str) -> str:
     return os.path.join(folder, collecting_name(hashlib.sha256(f"{base} {run}".encode()).hexdigest()))
 
 
-def _copied(store, row: dict, run: str, chunk_bytes: int) -> dict:
-    """Copy one range, or a whole object if it is the only one."""
-    from quayside.sources.store_io import FAILURES
+def _copied(store, row: dict, run: str, chunk_bytes: int, attempt: str) -> dict:
+    """Copy one piece, or a whole object if it is the only one."""
+    from quayside.sources.store_io import FAILURES, Digests
+
+    result, target = row | {"attempt": attempt}, row["target_uri"]
+    if row["upload_error"] is not None:
+        return result | {"store_error": row["upload_error"]}
+
+    def blocks():
+        return store.blocks(row["source_uri"], row["offset"], row["size"], row["source_endpoint"])
 
-    result = {"request_id": row["request_id"], "chunk": row["chunk"]}
-    blocks = store.blocks(row["source_uri"], row["offset"], row["size"], row["source_endpoint"])
-    target, endpoint = row["target_uri"], row["target_endpoint"]
     try:
-        if row["chunks"] == 1:
-            done = store.write(target, blocks, endpoint, chunk_bytes, row["size"], row["target_alias"])
+        if row["upload"] is not None:
+            client, bucket, key = store.client(target, row["target_endpoint"], row["target_alias"])
+            part = (bucket, key, row["upload"], row["chunk"] + 1)
+            if row["by_store"]:
+                source = row["source_uri"].partition("://")[2].split("/", 1)
+                result["tag"] = client.copy_part(*part, tuple(source), row["offset"], row["size"])
+                return result | {"bytes": row["size"]}
+            digests = []
+
+            def digested():
+                digests.append(Digests(chunk_bytes))
+                for block in blocks():
+                    digests[-1].update(block)
+                    yield block
+
+            result["tag"] = client.put_part(*part, row["size"], digested)
+            result |= {"bytes": digests[-1].length, "ranges": digests[-1].ranges()}
+        elif row["chunks"] == 1:
+            done = store.write(target, blocks(), row["target_endpoint"], chunk_bytes, row["target_alias"])
             result |= {"bytes": done.length, "digest": done.whole(), "ranges": done.ranges()}
         else:
-            done = store.write_range(_hidden_path(target, run), row["offset"], blocks)
+            done = store.write_range(_hidden_path(target, _mark(run, row)), row["offset"], blocks())
             result |= {"bytes": done.length, "ranges": done.whole()}
     except FAILURES as failure:
         result["store_error"] = str(failure)
     return result
 
 
-def _copier(run: str, chunk_bytes: int, credentials_root: str | None):
+def _copier(run: str, chunk_bytes: int, credentials_root: str | None, attempt: str):
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from quayside.sources.store_io import Store
 
         store = Store(credentials_root)
         for batch in batches:
-            yield _batch([_copied(store, row, run, chunk_bytes) for row in batch.to_pylist()], _COPIED)
-
-    return copy
-
-
-def _substitute(run: str, chunk_bytes: int, credentials_root: str | None):
-    """For rows sorted by target: copy until one request for the target succeeds."""
-
-    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from quayside.sources.store_io import Store
-
-        store, served = Store(credentials_root), None
-        for batch in batches:
-            done = []
-            for row in batch.to_pylist():
-                if row["target_uri"] != served:
-                    done.append(_copied(store, row, run, chunk_bytes))
-                    if "store_error" not in done[-1]:
-                        served = row["target_uri"]
-            yield _batch(done, _COPIED)
+            rows = batch.to_pylist()
+            yield _batch([_copied(store, row, run, chunk_bytes, attempt) for row in rows], _COPIED)
 
     return copy
 
 
-def _finisher(run: str):
+def _finisher(run: str, credentials_root: str | None = None):
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Give objects that were copied in ranges their name; safe to run twice."""
-        from quayside.sources.store_io import FAILURES
+        """Give objects that were copied in pieces their name; safe to run twice."""
+        from quayside.sources.store_io import FAILURES, Store
 
+        store = Store(credentials_root)
         for batch in batches:
             done = []
             for row in batch.to_pylist():
-                target = row.pop("target_uri")
                 try:
-                    if row["store_error"] is None:
-                        _publish(target, run, row["bytes"])
+                    if row["upload"] is not None:
+                        _end_upload(store, row)
+                    elif row["store_error"] is None:
+                        _publish(row["target_uri"], _mark(run, row), row["bytes"])
                     else:
-                        _discard(target, run)
+                        _discard(row["target_uri"], _mark(run, row))
                 except FAILURES as failure:
-                    row["store_error"] = str(failure)
+                    row["store_error"] = row["store_error"] or str(failure)
                 done.append(row)
             yield _batch(done, _FINISHED)
 
     return finish
 
 
+def _end_upload(store, row: dict) -> None:
+    client, bucket, key = store.client(row["target_uri"], row["target_endpoint"], row["target_alias"])
+    if row["store_error"] is not None:
+        client.abort_upload(bucket, key, row["upload"])
+        return
+    try:
+        client.complete_upload(bucket, key, row["upload"], row["tags"], row["bytes"])
+    except OSError:
+        client.abort_upload(bucket, key, row["upload"])
+        raise
+
+
 def _publish(target_uri: str, run: str, length: int) -> None:
     from quayside.sources.store_io import local_path
 
@@ -271,40 +346,86 @@ def _last_requests(ready: DataFrame) -> DataFrame:
 
 
 def _substitutes(ready: DataFrame, copied: DataFrame) -> DataFrame:
-    """Requests that were not carried out for targets whose last request failed."""
-    tried = copied.select("request_id").distinct()
+    """Requests that were not carried out for targets of which all requests so far have failed."""
+    tried = copied.groupBy("request_id").agg(F.max(F.col("store_error").isNotNull()).alias("failed"))
     failed = (
-        ready.join(copied.where("store_error IS NOT NULL").select("request_id").distinct(), "request_id")
+        ready.join(tried, "request_id")
+        .groupBy("target_uri")
+        .agg(F.min("failed").alias("failed"))
+        .where("failed")
         .select("target_uri")
-        .distinct()
     )
     return ready.join(failed, "target_uri", "left_semi").join(tried, "request_id", "left_anti")
 
 
-def _chunk_count(chunk_bytes: int) -> Column:
-    """Number of ranges of an object; only targets on mounted file systems take ranges."""
-    local = F.col("target_uri").startswith("file:") | F.col("target_uri").startswith("/")
-    pieces = F.ceil(F.col("length") / F.lit(chunk_bytes)).cast("long")
-    return F.when(local, F.greatest(pieces, F.lit(1))).otherwise(F.lit(1)).cast("long")
+def _same_store(settings: TransferSettings) -> Column:
+    """Whether the store itself copies a request's object."""
+    s3 = [F.col(f"{side}_uri").rlike("^s3[an]?://") for side in ("source", "target")]
+    same = F.col("source_endpoint").eqNullSafe(F.col("target_endpoint"))
+    alone = F.lit(settings.credentials_root is None) | F.col("target_alias").isNull()
+    return F.lit(settings.copy_by_store) & s3[0] & s3[1] & same & alone & (F.col("length") > 0)
+
 
+def _with_pieces(ready: DataFrame, chunk_bytes: int, settings: TransferSettings) -> DataFrame:
+    """Bytes and number of the pieces of each object, and whether they go to an upload.
 
-def _cut(ready: DataFrame, chunk_bytes: int) -> DataFrame:
-    """One row per range."""
-    cut = ready.withColumn("chunks", _chunk_count(chunk_bytes)).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    A part of an upload is as many whole ranges as make it long enough, and the parts few enough.
+    """
+    target = F.col("target_uri")
+    local = target.startswith("file:") | target.startswith("/")
+    least = F.greatest(F.lit(LEAST_PART_BYTES).cast("double"), F.col("length") / MOST_PARTS)
+    part = (F.ceil(least / chunk_bytes) * chunk_bytes).cast("long")
+    piece = F.when(local, F.lit(chunk_bytes).cast("long")).when(target.rlike("^s3[an]?://"), part)
+    chunks = F.greatest(F.ceil(F.col("length") / F.col("piece")).cast("long"), F.lit(1).cast("long"))
+    by_store = _same_store(settings)
+    return (
+        ready.withColumn("piece", F.coalesce(piece, F.greatest("length", F.lit(1).cast("long"))))
+        .withColumns({"chunks": chunks, "by_store": by_store})
+        .withColumn("in_upload", ~local & ((F.col("chunks") > 1) | F.col("by_store")))
     )
-    offset = F.col("chunk") * F.lit(chunk_bytes)
-    whole = F.col("chunks") == 1
-    return cut.withColumns(
-        {
-            "offset": F.when(whole, F.lit(0)).otherwise(offset).cast("long"),
-            "size": F.when(whole, F.col("length")).otherwise(
-                F.least(F.lit(chunk_bytes), F.col("length") - offset)
-            ),
-        }
+
+
+def _cut(pieced: DataFrame) -> DataFrame:
+    """One row per piece."""
+    cut = pieced.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    offset = F.col("chunk") * F.col("piece")
+    cut = cut.where("upload_error IS NULL OR chunk = 0")
+    return cut.withColumns({"offset": offset, "size": F.least("piece", F.col("length") - offset)})
+
+
+def _opened(uploads: DataFrame, work_dir: str, credentials_root: str | None) -> DataFrame:
+    """The upload of each object that needs one; those of a run that is carried on are used again."""
+    spark, path = uploads.sparkSession, f"{work_dir}/uploads"
+    spark.createDataFrame([], _OPENED).write.mode("append").parquet(path)
+    spark.createDataFrame([], "upload STRING").write.mode("append").parquet(f"{work_dir}/closed")
+    closed = spark.read.schema("upload STRING").parquet(f"{work_dir}/closed")
+
+    def known() -> DataFrame:
+        rows = spark.read.schema(_OPENED).parquet(path).join(closed, "upload", "left_anti")
+        # A request has one upload; should a lost driver have left two, the same one is taken every time.
+        return rows.where("upload IS NOT NULL").groupBy(*_UPLOAD_KEY).agg(F.min("upload").alias("upload"))
+
+    def same(rows: DataFrame, others: DataFrame) -> list[Column]:
+        return [rows[c].eqNullSafe(others[c]) for c in _UPLOAD_KEY]
+
+    mark, usable = uuid.uuid4().hex, known()
+    new = uploads.join(usable, same(uploads, usable), "left_anti")
+    new.select(*_UPLOAD_KEY, "target_endpoint", "target_alias").repartition(
+        spark.sparkContext.defaultParallelism, "request_id"
+    ).mapInArrow(_opener(credentials_root, mark), _OPENED).write.mode("append").parquet(path)
+    failed = spark.read.schema(_OPENED).parquet(path).where((F.col("attempt") == mark) & F.col("upload").isNull())
+    return known().select("request_id", "upload").join(
+        failed.select("request_id", "upload_error"), "request_id", "full"
     )
 
 
+def _close_uploads(status: DataFrame, work_dir: str) -> None:
+    """Note the uploads that failed and were aborted, so that no later run uses them."""
+    opened = status.sparkSession.read.schema(_OPENED).parquet(f"{work_dir}/uploads").where("upload IS NOT NULL")
+    failed = status.where("status = 'error'").select("request_id")
+    opened.join(failed, "request_id", "left_semi").select("upload").write.mode("append").parquet(f"{work_dir}/closed")
+
+
 def _task_count(ready_bytes: int, ready_chunks: int, parallelism: int) -> int:
     by_bytes = -(-ready_bytes // TASK_BYTES)
     by_chunks = -(-ready_chunks // TASK_CHUNKS)
@@ -314,7 +435,8 @@ def _task_count(ready_bytes: int, ready_chunks: int, parallelism: int) -> int:
 def _range_checksum() -> Column:
     """Hash of the joined hashes of the ranges, which are the same for every kind of target."""
     ordered = F.array_sort(F.collect_list(F.struct("chunk", "ranges")))
-    return F.sha2(F.array_join(F.transform(ordered, lambda part: part["ranges"]), ""), 256)
+    known = F.count("ranges") == F.count(F.lit(1))
+    return F.when(known, F.sha2(F.array_join(F.transform(ordered, lambda part: part["ranges"]), ""), 256))
 
 
 def copy_objects(
@@ -330,15 +452,20 @@ def copy_objects(
     arbitrary, but the same in every run. A column ``managed`` tells which requests create their
     bucket; for others it must be there. Requests whose id is null or used twice are errors.
 
-    The result is read from ``<work_dir>/status``: ``request_id, source_uri, target_uri,
+    The work folder stands for the run: with that of an earlier one, only what it did not finish is
+    copied. The result is read from ``<work_dir>/status``: ``request_id, source_uri, target_uri,
     status, bytes, range_sha256, sha256, chunks, error`` with status ``ok``, ``error`` or
     ``superseded``. ``range_sha256`` is the hash of the joined hashes of the object's ranges of
-    ``chunk_bytes``, for every object and target; ``sha256`` is the hash of the content where it was
-    copied in one piece, else null.
+    ``chunk_bytes``, for every object and target, null if the store copied it; ``sha256`` is the hash
+    of the content where it was copied in one piece, else null.
     """
+    if chunk_bytes > MOST_PART_BYTES:
+        raise ValueError(f"ranges have {MOST_PART_BYTES} bytes at most")
     spark = manifest.sparkSession
     ship_package(spark)
     run = os.path.basename(work_dir.rstrip("/"))
+    attempt = uuid.uuid4().hex
+    earlier = _earlier(spark, work_dir)
 
     planned = plan_copies(manifest, registry, settings)
     # Looking up lengths waits on the store, so it is spread out whatever its size in bytes.
@@ -346,38 +473,48 @@ def copy_objects(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
     measured = planned.repartition(spread, "request_id").mapInArrow(
-        _measurer(settings.credentials_root), _MEASURED
+        _measurer(settings.credentials_root, earlier is not None), _MEASURED
     )
     measured.write.mode("overwrite").parquet(f"{work_dir}/plan")
     plan = spark.read.parquet(f"{work_dir}/plan")
     ready = plan.where(_is_ready())
 
-    load = ready.withColumn("chunks", _chunk_count(chunk_bytes)).agg(
+    load = _with_pieces(ready, chunk_bytes, settings).agg(
         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
         F.coalesce(F.sum("chunks"), F.lit(0)).alias("chunks"),
         F.coalesce(F.max("chunks"), F.lit(0)).alias("most_chunks"),
+        F.count_if("in_upload").alias("uploads"),
     ).first()
     tasks = _task_count(load["bytes"], load["chunks"], spark.sparkContext.defaultParallelism)
-    work = [
-        "request_id", "source_uri", "source_endpoint", "target_uri", "target_endpoint",
-        "target_alias", "chunks", "chunk", "offset", "size",
-    ]
-    copied = _cut(_last_requests(ready), chunk_bytes).repartition(tasks, "request_id", "chunk")
-    copied.select(*work).mapInArrow(_copier(run, chunk_bytes, settings.credentials_root), _COPIED).write.mode(
-        "overwrite"
-    ).parquet(f"{work_dir}/chunks/last")
-    copied = spark.read.parquet(f"{work_dir}/chunks/last")
-    if not copied.where("store_error IS NOT NULL").isEmpty():
-        whole = {"chunks": F.lit(1), "chunk": F.lit(0), "offset": F.lit(0), "size": F.col("length")}
-        others = _substitutes(ready, copied).withColumns({k: v.cast("long") for k, v in whole.items()})
-        ordered = others.repartition(spread, "target_uri").sortWithinPartitions(
-            "target_uri", _order().desc()
-        )
-        ordered.select(*work).mapInArrow(_substitute(run, chunk_bytes, settings.credentials_root), _COPIED).write.mode(
-            "overwrite"
-        ).parquet(f"{work_dir}/chunks/substitutes")
-        copied = copied.unionByName(spark.read.parquet(f"{work_dir}/chunks/substitutes"))
 
+    chosen, held = _last_requests(ready), None
+    while True:
+        pieced = _with_pieces(chosen, chunk_bytes, settings)
+        if load["uploads"]:
+            opened = _opened(pieced.where("in_upload"), work_dir, settings.credentials_root)
+            pieced = pieced.join(opened.select("request_id", "upload", "upload_error"), "request_id", "left")
+        else:
+            nothing = F.lit(None).cast("string")
+            pieced = pieced.withColumns({"upload": nothing, "upload_error": nothing})
+        todo = _cut(pieced)
+        if earlier is not None:
+            ours = _held(todo, earlier)
+            held = ours if held is None else held.unionByName(ours)
+            todo = todo.join(ours.select("request_id", "chunk"), ["request_id", "chunk"], "left_anti")
+        todo.select(*_WORK).repartition(tasks, "request_id", "chunk").mapInArrow(
+            _copier(run, chunk_bytes, settings.credentials_root, attempt), _COPIED
+        ).write.mode("append").options(**_AT_ONCE).parquet(f"{work_dir}/ledger")
+        copied = spark.read.schema(_COPIED).parquet(f"{work_dir}/ledger").where(F.col("attempt") == attempt)
+        if held is not None:
+            copied = copied.unionByName(held)
+        if copied.where("store_error IS NOT NULL").isEmpty():
+            break
+        # A round for each request of a target that fails while it is copied, the latest one first.
+        chosen = _last_requests(_substitutes(ready, copied))
+        if chosen.isEmpty():
+            break
+
+    tags = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "tag"))), lambda part: part["tag"])
     results = (
         copied.groupBy("request_id")
         .agg(
@@ -387,30 +524,85 @@ def copy_objects(
             _range_checksum().alias("range_sha256"),
             F.min(F.when(F.col("store_error").isNotNull(), F.struct("chunk", "store_error")))
             .alias("failure"),
+            F.max("upload").alias("upload"),
+            # An upload has a bounded number of parts.
+            F.when(F.max("upload").isNotNull(), tags).alias("tags"),
         )
         .withColumn("store_error", F.col("failure.store_error"))
         .drop("failure")
     )
-    if load["most_chunks"] > 1:
-        results = _finish_ranges(results, plan, run)
+    if load["most_chunks"] > 1 or load["uploads"]:
+        results = _finish_ranges(results, plan, run, settings.credentials_root)
     # One row per request on both sides.
     known = plan.withColumnRenamed("store_error", "plan_store_error").join(
-        results, "request_id", "left"
+        results.drop("upload", "tags"), "request_id", "left"
     )
     _with_status(known).write.mode("overwrite").parquet(f"{work_dir}/status")
-    return spark.read.parquet(f"{work_dir}/status")
+    status = spark.read.parquet(f"{work_dir}/status")
+    if load["uploads"]:
+        _close_uploads(status, work_dir)
+    return status
+
+
+# Rows of a task are in the table once the task has ended, whatever becomes of its job.
+_AT_ONCE = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
-def _finish_ranges(results: DataFrame, plan: DataFrame, run: str) -> DataFrame:
-    """Give the objects that were copied in ranges their names, or drop what is incomplete."""
-    in_ranges = F.col("chunks") > 1
+def _earlier(spark: SparkSession, work_dir: str) -> DataFrame | None:
+    """The pieces that earlier runs with this work folder copied, null if there are none."""
+    path = f"{work_dir}/ledger"
+    spark.createDataFrame([], _COPIED).write.mode("append").parquet(path)
+    ledger = spark.read.schema(_COPIED).parquet(path).where("store_error IS NULL")
+    return None if ledger.isEmpty() else ledger
+
+
+def _held(pieces: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Rows of earlier runs for pieces that need not be copied again.
+
+    Whole objects must be there with their length; collected ranges and parts are looked at when they get their name.
+    """
+    whole = (F.col("chunks") == 1) & F.col("upload").isNull()
+    there = ~whole | F.col("target_length").eqNullSafe(F.col("length"))
+    pieces = pieces.where(there & F.col("upload_error").isNull()).select(*_PIECE_NAMES)
+    same = [earlier[n].eqNullSafe(pieces[n]) for n in _PIECE_NAMES]
+    return earlier.join(pieces, same, "left_semi").dropDuplicates(["request_id", "chunk"])
+
+
+def _finish_ranges(
+    results: DataFrame, plan: DataFrame, run: str, credentials_root: str | None = None
+) -> DataFrame:
+    """Give the objects that were copied in pieces their names, or drop what is incomplete."""
+    in_pieces = (F.col("chunks") > 1) | F.col("upload").isNotNull()
+    place = ["target_uri", "target_endpoint", "target_alias"]
     finished = (
-        results.where(in_ranges)
-        .join(plan.select("request_id", "target_uri"), "request_id")
-        .select("request_id", "target_uri", "chunks", "bytes", "sha256", "range_sha256", "store_error")
-        .mapInArrow(_finisher(run), _FINISHED)
+        results.where(in_pieces)
+        .join(plan.select("request_id", *place), "request_id")
+        .select(*results.columns, *place)
+        .mapInArrow(_finisher(run, credentials_root), _FINISHED)
     )
-    return results.where(~in_ranges).unionByName(finished)
+    return results.where(~in_pieces).select(*finished.columns).unionByName(finished)
+
+
+def drop_uploads(spark: SparkSession, work_dir: str, settings: TransferSettings) -> int:
+    """Abort all open uploads of a run that is not to be carried on; gives their number."""
+    ship_package(spark)
+    opened = spark.read.schema(_OPENED).parquet(f"{work_dir}/uploads").where("upload IS NOT NULL")
+    plan = spark.read.parquet(f"{work_dir}/plan").select("request_id", "target_endpoint", "target_alias")
+    rows = opened.select("request_id", "target_uri", "upload").join(plan, "request_id")
+
+    def abort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quayside.sources.store_io import Store
+
+        store = Store(settings.credentials_root)
+        for batch in batches:
+            for row in batch.to_pylist():
+                client, bucket, key = store.client(
+                    row["target_uri"], row["target_endpoint"], row["target_alias"]
+                )
+                client.abort_upload(bucket, key, row["upload"])
+            yield batch.select(["request_id"])
+
+    return rows.mapInArrow(abort, "request_id STRING").count()
 
 
 def _with_status(known: DataFrame) -> DataFrame:

@@ -19,6 +19,10 @@ class TransferSettings:
     credential alias that holds the files ``access_key`` and ``secret_key``. Targets of requests whose
     alias has a token are opened with them; without this folder, and for sources, the
     environment of the executors counts.
+
+    With ``copy_by_store``, objects whose source and target are in one store with the S3 interface, both
+    under the credential of the environment, are copied by the store. Their bytes pass no task, so
+    they have no checksum.
     """
 
     store_type: str
@@ -27,6 +31,7 @@ class TransferSettings:
     source_root: str = "s3a://"
     target_root: str = "s3a://"
     credentials_root: str | None = None
+    copy_by_store: bool = False
 
 
 @dataclass(frozen=True)

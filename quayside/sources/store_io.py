@@ -3,8 +3,8 @@
 Stores are reached through Arrow file systems. On a mounted file system objects appear by
 renaming a hidden file. On object stores they are written under a key of their own, copied to the
 target by the store when they are whole, and deleted there; a write that fails never touches the
-target. Objects beyond the length that stores copy in one request are written to the target
-directly. A task that runs twice leaves the same object.
+target. Uploads of one object by many tasks, copies inside a store and listings by pages are requests
+of ``s3_requests``. A task that runs twice leaves the same object.
 """
 
 from __future__ import annotations
@@ -17,11 +17,12 @@ import uuid
 import pyarrow as pa
 from pyarrow import fs
 
+from quayside.sources.s3_requests import DEFAULT_REGION, Credential, S3Client
+
 BLOCK = 8 * 1024 * 1024
 # File systems whose URIs name a host, and which rename files.
 ON_HOST = ("hdfs://", "viewfs://")
-# Object stores copy objects up to this length in one request.
-COPY_BYTES = 5 * 1024 * 1024 * 1024
+S3_SCHEMES = ("s3a://", "s3n://", "s3://")
 # Files and keys of objects that are not complete yet.
 COLLECTING, COLLECTING_END = ".quayside-", ".part"
 
@@ -38,6 +39,10 @@ def is_local(uri: str) -> bool:
     return uri.startswith(("/", "file:"))
 
 
+def is_s3(uri: str) -> bool:
+    return uri.startswith(S3_SCHEMES)
+
+
 def read_credential(root: str, alias: str) -> dict[str, str]:
     """The key pair of an alias from a folder that is mounted on this machine."""
     if not alias or "/" in alias or "\0" in alias or alias in (".", ".."):
@@ -58,7 +63,7 @@ def open_store(
     """File system and path of an object. Without a credential the worker's environment counts."""
     if is_local(uri):
         return fs.LocalFileSystem(), local_path(uri)
-    if uri.startswith(("s3a://", "s3n://", "s3://")):
+    if uri.startswith(S3_SCHEMES):
         options = dict(credential or {})
         if endpoint:
             options["endpoint_override"] = endpoint
@@ -127,6 +132,7 @@ class Store:
     def __init__(self, credentials_root: str | None = None) -> None:
         self._credentials_root = credentials_root
         self._systems: dict[tuple[str, str | None, str | None], fs.FileSystem] = {}
+        self._clients: dict[tuple[str | None, str | None], S3Client] = {}
         self._buckets: dict[tuple[str, str | None, str | None], bool] = {}
 
     def locate(
@@ -148,11 +154,35 @@ class Store:
             return system, local_path(uri)
         return system, "/" + rest.partition("/")[2] if on_host else rest
 
+    def client(
+        self, uri: str, endpoint: str | None = None, alias: str | None = None
+    ) -> tuple[S3Client, str, str]:
+        """Requests to the store of an object, its bucket and its key."""
+        alias = alias if self._credentials_root else None
+        if (endpoint, alias) not in self._clients:
+            credential = Credential.of_environment() if alias is None else None
+            if credential is None:
+                pair = read_credential(self._credentials_root, alias)
+                region = os.environ.get("AWS_REGION") or os.environ.get("AWS_DEFAULT_REGION")
+                credential = Credential(pair["access_key"], pair["secret_key"], region=region or DEFAULT_REGION)
+            self._clients[endpoint, alias] = S3Client(endpoint, credential)
+        bucket, _, key = uri.partition("://")[2].partition("/")
+        return self._clients[endpoint, alias], bucket, key
+
+    def measure(
+        self, uri: str, endpoint: str | None = None, alias: str | None = None
+    ) -> tuple[int, int | None] | None:
+        """Length and time of change (in microseconds) of an object, null when there is none."""
+        system, path = self.locate(uri, endpoint, alias)
+        info = system.get_file_info(path)
+        if info.type != fs.FileType.File:
+            return None
+        return info.size, info.mtime_ns // 1000 if info.mtime_ns is not None else None
+
     def length(self, uri: str, endpoint: str | None = None) -> int | None:
         """Length of an object, null when there is none."""
-        system, path = self.locate(uri, endpoint)
-        info = system.get_file_info(path)
-        return info.size if info.type == fs.FileType.File else None
+        found = self.measure(uri, endpoint)
+        return found[0] if found else None
 
     def entries(self, uri: str, endpoint: str | None = None):
         """Children of a folder: ``name, modification time in seconds, length, is_folder``.
@@ -199,7 +229,6 @@ class Store:
         blocks,
         endpoint: str | None = None,
         range_bytes: int | None = None,
-        expected: int = 0,
         alias: str | None = None,
     ) -> Digests:
         """Write an object from an iterable of byte blocks; gives its length and hashes."""
@@ -209,8 +238,7 @@ class Store:
         folder = os.path.dirname(path)
         if renames:
             system.create_dir(folder, recursive=True)
-        direct = not renames and expected > COPY_BYTES
-        target = path if direct else f"{folder}/{collecting_name(uuid.uuid4().hex)}"
+        target = f"{folder}/{collecting_name(uuid.uuid4().hex)}"
         try:
             with system.open_output_stream(target) as out:
                 for block in blocks:
@@ -218,7 +246,7 @@ class Store:
                     digests.update(block)
         except Exception:
             # Closing the stream has left what was written so far.
-            if not direct and system.get_file_info(target).type == fs.FileType.File:
+            if system.get_file_info(target).type == fs.FileType.File:
                 system.delete_file(target)
             raise
         if is_local(uri):
@@ -227,7 +255,7 @@ class Store:
             if system.get_file_info(path).type != fs.FileType.NotFound:
                 system.delete_file(path)
             system.move(target, path)
-        elif not direct:
+        else:
             system.copy_file(target, path)
             system.delete_file(target)
         return digests

@@ -33,7 +33,7 @@ def losing_first_result(stage, name):
 measure, copier, finisher = copy_job._measurer, copy_job._copier, copy_job._finisher
 copy_job._measurer = lambda *a: losing_first_result(measure(*a), "measure")
 copy_job._copier = lambda *a: losing_first_result(copier(*a), "copy")
-copy_job._finisher = lambda run: losing_first_result(finisher(run), "finish")
+copy_job._finisher = lambda *a: losing_first_result(finisher(*a), "finish")
 
 
 def address(**properties):

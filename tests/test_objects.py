@@ -356,11 +356,13 @@ def test_failed_range_drops_the_collected_ranges(spark, store):
     """One of several ranges fails: the request is an error and no part of it stays."""
     tmp_path, contents, settings = store
     target = f"file://{tmp_path}/dst/out/k"
-    hidden = copy_job._hidden_path(target, "work")
+    hidden = copy_job._hidden_path(target, "work r")
     with open(hidden, "wb") as out:
         out.write(b"123")
     schema = "request_id STRING, chunks LONG, bytes LONG, sha256 STRING, range_sha256 STRING, store_error STRING"
-    results = spark.createDataFrame([("r", 2, 3, None, "x", "broken")], schema)
-    plan = spark.createDataFrame([("r", target)], "request_id STRING, target_uri STRING")
+    schema += ", upload STRING, tags ARRAY<STRING>"
+    results = spark.createDataFrame([("r", 2, 3, None, "x", "broken", None, None)], schema)
+    schema = "request_id STRING, target_uri STRING, target_endpoint STRING, target_alias STRING"
+    plan = spark.createDataFrame([("r", target, None, None)], schema)
     assert copy_job._finish_ranges(results, plan, "work").first()["store_error"] == "broken"
     assert not os.path.exists(hidden) and not os.path.exists(tmp_path / "dst" / "out" / "k")
