@@ -68,3 +68,15 @@ def lookup(rows: DataFrame, label: str, most: int = BROADCAST_ROWS) -> DataFrame
     """The rows as a table, to be broadcast in joins if their number is within a bound."""
     rows = stored(rows, label)
     return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Names for work columns that no given column has, whatever its case."""
+    known = {name.lower() for name in taken}
+    found = []
+    for name in wanted:
+        while name.lower() in known:
+            name = f"_{name}"
+        known.add(name.lower())
+        found.append(name)
+    return found

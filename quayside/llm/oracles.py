@@ -107,7 +107,9 @@ def _unguarded(pattern: str) -> str:
 
 
 _W = secret_scan.WINDOW
-_ALLOWED = secret_scan.ALLOWED.rsplit("|", 1)[0]
+_UUID = _quoted(secret_scan.UUID)
+_SEGMENT = f"""regexp_matches(x, {_UUID}) or len(list_filter(
+    string_split_regex(x, '[_-]'), lambda y: not regexp_matches(y, {_quoted(secret_scan.PATH_WORD)}))) = 0"""
 _LIMIT = " ".join(
     f"when regexp_matches(match, '{pattern}') then {least}" for _, pattern, least in secret_scan.CLASSES[:-1]
 )
@@ -128,21 +130,22 @@ candidates as (
     select rid, start, match, case {_LIMIT} else {secret_scan.CLASSES[-1][2]} end as least
     from found
     where kind = 'candidate' and regexp_matches(match, '[0-9]') and regexp_matches(match, '[A-Za-z]')
-        and not regexp_matches(match, {_quoted(_ALLOWED)})
-        and len(list_filter(list_distinct(string_split(match, '')), lambda x: contains(match, repeat(x, 8)))) = 0),
+        and not regexp_matches(match, {_UUID})
+        and not (contains(match, '/')
+            and len(list_filter(string_split(match, '/'), lambda x: not ({_SEGMENT}))) = 0)),
 slid as (
     select rid, start as begin, least, unnest(range(1, length(match) - {_W - 2})) as i, match
     from candidates),
 parts as (select *, substr(match, i, {_W}) as part from slid),
 rated as (
-    select *, length(regexp_replace(part, '[^0-9]', '', 'g')) as digits,
-        log2({_W}) - list_sum(list_transform(list_distinct(string_split(part, '')),
+    select *, log2({_W}) - list_sum(list_transform(list_distinct(string_split(part, '')),
             lambda x: ({_W} - length(replace(part, x, ''))) * log2({_W} - length(replace(part, x, ''))))) / {_W} as bits
     from parts),
 high as (
     select *, lag(i) over (partition by rid, begin order by i) as last from rated
-    where bits >= least - 1e-9
-        and digits between {secret_scan.LEAST_DIGITS} and {_W - secret_scan.LEAST_DIGITS}),
+    where bits >= least - 1e-9 and not regexp_matches(part, '(?i){secret_scan.EXAMPLES}')
+        and len(list_filter(list_distinct(string_split(part, '')),
+            lambda x: contains(part, repeat(x, {secret_scan.RUN})))) = 0),
 islands as (
     select *, count(*) filter (last is null or i - 1 > last - 1 + {_W})
         over (partition by rid, begin order by i) as island from high),

@@ -7,16 +7,16 @@ with them the sum of c * log2(c). The Shannon entropy of the window is log2(w) m
 over w. Each character class (hex, alphanumeric, base64) has its own limit. Windows beyond it
 are merged; spans that lie inside a base span are left out.
 
-The queries and ``redact`` clear by windows: a window that holds an example value is not high, and of
-whole candidates only UUIDs and paths made of words and UUIDs are cleared. The SQL, and ``scan``
-without ``by_window``, clear a whole candidate where any part of it is on the allow-list, and so find less.
-They also ask for two digits in each window; by windows a digit and a letter anywhere in the
-candidate are enough. ``redact`` removes the whole candidate that holds a high window.
+A window that holds an example value is not high. Of whole candidates, UUIDs, paths made of words and
+UUIDs, and strings without a digit or without a letter are cleared. ``redact`` removes the whole candidate that
+holds a high window.
 
 Positions are code points. Places come from the lengths of matches and of the text between them;
 they are added up in blocks, so that many matches in one text don't cost their square.
 
-Nulls and empty texts have no spans. Rows are independent of each other.
+Nulls and empty texts have no spans. Rows are independent of each other, so repeated ones have the same spans.
+A candidate is read once from end to end whatever its length, and so is a text of one long candidate. Spans
+that start together are listed in the order of their kinds.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.common import free_names
+
 # Fixed values of the contract.
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -39,17 +41,11 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 # Class of a candidate, by the first pattern that fits, and least entropy of a window in bits.
 CLASSES = (("hex", "^[0-9a-fA-F]+$", 3.0), ("alnum", "^[0-9A-Za-z]+$", 3.6), ("base64", "", 3.8))
-# A window must also mix digits with letters, as words of prose and plain numbers do not (not by_window).
-LEAST_DIGITS = 2
-ALLOWED = (
-    "(?i)example|sample|dummy|placeholder|changeme|test|0123456789|abcdefgh"
-    "|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
-    "|^/?([a-z_-]+/)+|(.)\\2{7,}"
-)
-# Example values, which clear the windows that hold them; not for SQL, which clears by ALLOWED.
-EXAMPLES = r"(?i:example|sample|dummy|placeholder|changeme|test|0123456789|abcdefgh)|(.)\1{7,}"
-# Parts of a path that is cleared: UUIDs, words of one case with a short number, short numbers.
-UUID = "(?i)(?<![^/])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![^/])"
+# Example values, which clear the windows that hold them, as words in either case or as a run of one character.
+EXAMPLES = "example|sample|dummy|placeholder|changeme|test|0123456789|abcdefgh"
+RUN = 8
+# Segments of a path that is cleared: UUIDs, or words of one case with a short number.
+UUID = "^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 PATH_WORD = "^(?:[A-Z]?[a-z]{1,20}|[A-Z]{1,20})?[0-9]{0,4}$"
 BLOCK = 500
 
@@ -151,59 +147,56 @@ def _weight(count: Column) -> Column:
 
 def _harmless(candidate: Column) -> Column:
     """Whether all of a candidate is a UUID or a path of words and UUIDs."""
-    # Split first: a repeated group over all of a long candidate would exhaust the stack of the matcher.
-    rest = F.regexp_replace(candidate, UUID, "")
-    words = F.forall(F.split(rest, "[/_-]+"), lambda word: word.rlike(PATH_WORD))
-    return (candidate.contains("/") | (rest == "")) & words
 
+    def plain(segment: Column) -> Column:
+        words = F.forall(F.split(segment, "[_-]"), lambda word: word.rlike(PATH_WORD))
+        return segment.rlike(UUID) | words
 
-def entropy_spans(candidate: Column, window: int = WINDOW, by_window: bool = False) -> Column:
-    """Merged windows of high entropy in one candidate as array<struct<start, end>>."""
-    if by_window:
-        return bound(located(candidate, EXAMPLES), lambda m: _entropy_spans(candidate, window, m))
-    return _entropy_spans(candidate, window, None)
+    path = candidate.contains("/") & F.forall(F.split(candidate, "/"), plain)
+    return candidate.rlike(UUID) | path
 
 
-def _entropy_spans(candidate: Column, window: int, examples: Column | None) -> Column:
+def entropy_spans(candidate: Column, window: int = WINDOW) -> Column:
+    """Merged windows of high entropy in one candidate as array<struct<start, end>>."""
     limit = F.lit(CLASSES[-1][2])
     for _, pattern, least in reversed(CLASSES[:-1]):
         limit = F.when(candidate.rlike(pattern), F.lit(least)).otherwise(limit)
     span = "struct<start:int,end:int>"
 
-    def step(s: Column, enters: Column) -> Column:
+    def step(s: Column, character: Column) -> Column:
         # The character that leaves goes first; the counts it changes are those the next one sees.
-        leaves = F.when(s["at"] >= window, F.element_at(s["recent"], 1)).otherwise(F.lit(0))
-        return bound(leaves, lambda leaves: _slide(s, enters, leaves, window, limit, examples))
+        first = F.when(s["at"] >= window, F.substring(s["recent"], 1, 1)).otherwise(F.lit(""))
+        codes = F.struct(_code(character).alias("enters"), _code(first).alias("leaves"))
+        return bound(codes, lambda c: _slide(s, character, c["enters"], c["leaves"], window, limit))
 
     start = F.struct(
         F.lit(0).alias("at"),
-        F.array().cast("array<int>").alias("recent"),
+        F.lit("").alias("recent"),
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
         F.lit(0.0).alias("total"),
-        F.lit(0).alias("digits"),
-        F.lit(0).alias("passed"),
-        F.lit(-1).alias("barred"),
         F.lit(None).cast(span).alias("open"),
         F.array().cast(f"array<{span}>").alias("done"),
     )
     found = F.aggregate(
-        F.transform(F.split(candidate, ""), lambda c: F.position(c, F.lit(ALPHABET))),
+        F.split(candidate, ""),
         start,
         step,
         lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))),
     )
-    allowed = candidate.rlike(ALLOWED) if examples is None else _harmless(candidate)
-    plain = allowed | ~candidate.rlike("[0-9]") | ~candidate.rlike("[A-Za-z]")
+    plain = ~candidate.rlike("[0-9]") | ~candidate.rlike("[A-Za-z]") | _harmless(candidate)
     return F.when(plain, F.array().cast(f"array<{span}>")).otherwise(found)
 
 
-def _slide(
-    s: Column, enters: Column, leaves: Column, window: int, limit: Column, examples: Column | None
-) -> Column:
+def _code(character: Column) -> Column:
+    """Place in the alphabet from 1, and 0 for no character."""
+    return F.when(character == "", 0).otherwise(F.position(character, F.lit(ALPHABET)))
+
+
+def _slide(s: Column, character: Column, enters: Column, leaves: Column, window: int, limit: Column) -> Column:
     """The state of the window one character further on."""
     at = s["at"] + 1
     full = leaves > 0
-    recent = F.concat(F.when(full, F.slice(s["recent"], 2, window)).otherwise(s["recent"]), F.array(enters))
+    recent = F.concat(F.when(full, F.substring(s["recent"], 2, window)).otherwise(s["recent"]), character)
     before = F.when(full, F.element_at(s["counts"], F.greatest(leaves, F.lit(1)))).otherwise(F.lit(0))
     count = F.element_at(s["counts"], enters) - F.when(leaves == enters, 1).otherwise(0)
     total = (
@@ -218,69 +211,53 @@ def _slide(
             lambda c, k: F.when(k == leaves - 1, c - 1).when(k == enters - 1, c + 1).otherwise(c),
         )
     )
-    digits = (
-        s["digits"]
-        + F.when(enters <= 10, 1).otherwise(0)
-        - F.when((leaves >= 1) & (leaves <= 10), 1).otherwise(0)
-    )
-
-    # Examples that ended up to here, and where the last of them starts.
-    passed, barred = s["passed"], s["barred"]
-    if examples is not None:
-        next_ = F.get(examples, passed)
-        ends = F.coalesce(next_["end"] == at, F.lit(False))
-        passed, barred = passed + F.when(ends, 1).otherwise(0), F.when(ends, next_["start"]).otherwise(barred)
 
     def moved(now: Column) -> Column:
-        entropy = F.log2(F.lit(float(window))) - now["total"] / window
-        high = (at >= window) & (entropy >= limit)
-        if examples is None:
-            high &= now["digits"].between(LEAST_DIGITS, window - LEAST_DIGITS)
-        else:
-            high &= now["barred"] < at - window
         joins = s["open"].isNotNull() & (at - window <= s["open"]["end"])
         begin = F.when(joins, s["open"]["start"]).otherwise(at - window)
         return F.struct(
             at.alias("at"),
-            recent.alias("recent"),
+            now["recent"].alias("recent"),
             counts.alias("counts"),
             now["total"].alias("total"),
-            now["digits"].alias("digits"),
-            now["passed"].alias("passed"),
-            now["barred"].alias("barred"),
-            F.when(high, F.struct(begin.alias("start"), at.alias("end"))).otherwise(s["open"]).alias("open"),
-            F.when(high & s["open"].isNotNull() & ~joins, F.concat(s["done"], F.array(s["open"])))
+            F.when(now["high"], F.struct(begin.alias("start"), at.alias("end"))).otherwise(s["open"]).alias("open"),
+            F.when(now["high"] & s["open"].isNotNull() & ~joins, F.concat(s["done"], F.array(s["open"])))
             .otherwise(s["done"])
             .alias("done"),
         )
 
-    now = (total.alias("total"), digits.alias("digits"), passed.alias("passed"), barred.alias("barred"))
-    return bound(F.struct(*now), moved)
+    def judged(now: Column) -> Column:
+        entropy = F.log2(F.lit(float(window))) - now["total"] / window
+        example = now["recent"].rlike(f"(?i:{EXAMPLES})|(.)\\1{{{RUN - 1}}}")
+        high = F.when((at >= window) & (entropy >= limit), ~example).otherwise(F.lit(False))
+        return bound(F.struct(now["recent"].alias("recent"), now["total"].alias("total"), high.alias("high")), moved)
+
+    return bound(F.struct(recent.alias("recent"), total.alias("total")), judged)
 
 
-def scan(docs: DataFrame, window: int = WINDOW, by_window: bool = False) -> DataFrame:
+def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All columns of the documents, and base and spans: array<struct<start, order, kind, end>>.
 
     base holds the spans of the known kinds, spans these and those of high entropy, both sorted by
-    start and kind. Columns of these names are replaced. by_window finds more, see above.
+    start and kind. Columns of these names are replaced.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return _scan(docs, text, window, lambda c: entropy_spans(c, window, by_window))
+    return _scan(docs.drop("base", "spans"), text, window, lambda c: entropy_spans(c, window), "base", "spans")
 
 
 def _whole(candidate: Column) -> Column:
     """All of a candidate that holds a window of high entropy, as array<struct<start, end>>."""
     span = F.struct(F.lit(0).alias("start"), F.char_length(candidate).alias("end"))
-    return F.transform(F.slice(entropy_spans(candidate, WINDOW, by_window=True), 1, 1), lambda _: span)
+    return F.transform(F.slice(entropy_spans(candidate, WINDOW), 1, 1), lambda _: span)
 
 
-def _scan(docs: DataFrame, text: Column, window: int, of_candidate) -> DataFrame:
-    found = docs.drop("base", "spans").withColumn("base", base_spans(text))
-    # As a column of its own, so that it is computed once.
-    found = found.withColumn("_seen", located(text, CANDIDATE % window))
+def _scan(docs: DataFrame, text: Column, window: int, of_candidate, base: str, spans: str) -> DataFrame:
+    (seen,) = free_names([*docs.columns, base, spans], "seen")
+    # Both as columns of their own, so that they are computed once.
+    found = docs.withColumns({base: base_spans(text), seen: located(text, CANDIDATE % window)})
     high = F.flatten(
         F.transform(
-            F.col("_seen"),
+            F.col(seen),
             lambda c: F.transform(
                 of_candidate(c["match"]),
                 lambda s: _span(c["start"] + s["start"], len(KINDS), "entropy", c["start"] + s["end"]),
@@ -289,9 +266,9 @@ def _scan(docs: DataFrame, text: Column, window: int, of_candidate) -> DataFrame
     )
     added = F.filter(
         high,
-        lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
+        lambda s: ~F.exists(F.col(base), lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])),
     )
-    return found.withColumn("spans", F.array_sort(F.concat("base", added))).drop("_seen")
+    return found.withColumn(spans, F.array_sort(F.concat(base, added))).drop(seen)
 
 
 def listed(spans: Column) -> Column:
@@ -304,10 +281,11 @@ def listed(spans: Column) -> Column:
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The documents with each found span (merged where they overlap) replaced by the mark.
 
-    Of a candidate with a window of high entropy no character stays.
+    Of a candidate with a window of high entropy no character stays. No column but text changes.
     """
+    base, spans, gaps = free_names(docs.columns, "base", "spans", "gaps")
     merged = F.aggregate(
-        F.col("spans"),
+        F.col(spans),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps")),
         lambda s, x: F.struct(
             F.greatest(s["at"], x["end"]).alias("at"),
@@ -321,13 +299,13 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     )
     text = F.col("text")
     pieces = F.transform(
-        F.col("_merged.gaps"), lambda g: F.substring(text, g["start"] + 1, g["end"] - g["start"])
+        F.col(gaps)["gaps"], lambda g: F.substring(text, g["start"] + 1, g["end"] - g["start"])
     )
-    rest = F.substring(text, F.col("_merged.at") + 1, F.char_length(text))
+    rest = F.substring(text, F.col(gaps)["at"] + 1, F.char_length(text))
     clean = F.concat(F.array_join(pieces, mark), F.lit(mark), rest)
     return (
-        _scan(docs, F.coalesce(F.col("text").cast("string"), F.lit("")), WINDOW, _whole)
-        .withColumn("_merged", F.when(F.size("spans") > 0, merged))
-        .withColumn("text", F.when(F.col("_merged").isNull(), text).otherwise(clean))
-        .drop("base", "spans", "_merged")
+        _scan(docs, F.coalesce(F.col("text").cast("string"), F.lit("")), WINDOW, _whole, base, spans)
+        .withColumn(gaps, F.when(F.size(spans) > 0, merged))
+        .withColumn("text", F.when(F.col(gaps).isNull(), text).otherwise(clean))
+        .drop(base, spans, gaps)
     )

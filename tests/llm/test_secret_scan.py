@@ -6,10 +6,20 @@ import re
 import string
 from collections import Counter
 
+import duckdb
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from quayside.llm import oracles
 from quayside.llm import secret_scan as S
 
 ASSIGN = re.compile(S.ASSIGN)
-ALLOWED = re.compile(S.ALLOWED)
+EXAMPLE = re.compile(rf"(?i:{S.EXAMPLES})|(.)\1{{{S.RUN - 1}}}")
+
+
+def harmless(one):
+    plain = lambda seg: re.match(S.UUID, seg) or all(re.match(S.PATH_WORD, w) for w in re.split("[_-]", seg))
+    return re.match(S.UUID, one) or ("/" in one and all(map(plain, one.split("/"))))
 
 
 def base(text):
@@ -23,15 +33,14 @@ def high(text, window=S.WINDOW):
     spans = []
     for m in re.finditer(S.CANDIDATE % window, text):
         one = m[0]
-        if ALLOWED.search(one) or not re.search("[0-9]", one) or not re.search("[A-Za-z]", one):
+        if harmless(one) or not re.search("[0-9]", one) or not re.search("[A-Za-z]", one):
             continue
         least = next(bits for _, pattern, bits in S.CLASSES if re.search(pattern, one))
         own = []
         for i in range(len(one) - window + 1):
             part = one[i : i + window]
             bits = -sum(n / window * math.log2(n / window) for n in Counter(part).values())
-            digits = sum(c.isdigit() for c in part)
-            if bits >= least - 1e-12 and S.LEAST_DIGITS <= digits <= window - S.LEAST_DIGITS:
+            if bits >= least - 1e-12 and not EXAMPLE.search(part):
                 if own and i <= own[-1][1]:
                     own[-1][1] = i + window
                 else:
@@ -114,7 +123,7 @@ PLANTED = [
 
 def test_allow_list_clears_windows_only(documents):
     docs = [(i, f"say {text} now") for i, (_, text, _) in enumerate(PLANTED)]
-    got = {r.doc_id: r for r in S.scan(documents(docs), by_window=True).collect()}
+    got = {r.doc_id: r for r in S.scan(documents(docs)).collect()}
     for i, (name, text, secret) in enumerate(PLANTED):
         spans = [(x.start, x.end) for x in got[i].spans if x.kind == "entropy"]
         assert bool(spans) == secret, name
@@ -125,22 +134,30 @@ def test_allow_list_clears_windows_only(documents):
         assert (gone[i] == docs[i][1]) != secret and (not secret or KEY[9:20] not in gone[i]), name
 
 
-def test_by_window_equals_brute_force(documents, monkeypatch):
-    """Texts with nothing of the allow-list have the spans of all windows beyond the limits."""
-    docs = [(i, t) for i, t in enumerate(texts()) if t and not ALLOWED.search(t) and "/" not in t]
-    got = {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=True).collect()}
-    monkeypatch.setattr(S, "LEAST_DIGITS", 0)
-    assert len(docs) > 50
-    for doc, text in docs:
-        known = base(text)
-        more = [(a, 3, "entropy", b) for a, b in high(text) if not any(x[0] <= a and b <= x[3] for x in known)]
-        assert [tuple(x) for x in got[doc]] == sorted(known + more)
+def test_sql_finds_the_planted_keys(documents):
+    """The SQL of the query gives the same rows on keys behind paths, beside examples and with a single digit."""
+    docs = [(i, f"say {text} now") for i, (_, text, _) in enumerate(PLANTED)]
+    docs += [(100 + i, text) for i, text in enumerate(texts())]
+    docs += [(500 + i, f"({key})") for i, key in enumerate(FEW_DIGITS)]
+    docs += [(600, "testest" + KEY), (601, "x" * 30 + KEY), (602, KEY + "tESt" * 9 + KEY), (603, "a1/" * 40)]
+    found = S.scan(documents(docs)).select(
+        "doc_id", *(F.expr(f"size(filter(base, x -> x.kind = '{k}')) as n_{k}") for k in S.KINDS),
+        S.listed(F.col("spans")).alias("spans"),
+    )
+    connection = duckdb.connect()
+    table = pa.table({"doc_id": [i for i, _ in docs], "text": pa.array([t for _, t in docs], pa.string())})
+    connection.register("documents", table)
+    want = connection.execute(oracles.SECRETS).fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted((r[0], *r[1:4], r[5]) for r in want)
+
+
+FEW_DIGITS = ["aQwErTyUiOpLkJhGf7Dz", "MnBvCxZlKjHgFdSaPoIuYtReWq48QmXw", "48QmXwMnBvCxZlKjHgFdSaPoIuYtReWq+"]
 
 
 def test_few_digits_in_a_window(documents):
-    keys = ["aQwErTyUiOpLkJhGf7Dz", "MnBvCxZlKjHgFdSaPoIuYtReWq48QmXw", "48QmXwMnBvCxZlKjHgFdSaPoIuYtReWq+"]
+    keys = FEW_DIGITS
     docs = [(i, f"({key})") for i, key in enumerate(keys)]
-    got = {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=True).collect()}
+    got = {r.doc_id: r.spans for r in S.scan(documents(docs)).collect()}
     assert all([(x.start, x.end) for x in got[i]] == [(1, 1 + len(k))] for i, k in enumerate(keys))
     assert {r.text for r in S.redact(documents(docs, extra=False)).collect()} == {"([secret])"}
 
@@ -153,5 +170,5 @@ def test_redact_leaves_nothing_of_a_token(documents):
 
 def test_long_paths(documents):
     docs = [(1, "ab1/" * 20_000), (2, "ab-" * 20_000 + KEY), (3, "test1" * 4_000)]
-    got = {r.doc_id: r.spans for r in S.scan(documents(docs), by_window=True).collect()}
+    got = {r.doc_id: r.spans for r in S.scan(documents(docs)).collect()}
     assert got[1] == [] and len(got[2]) == 1 and got[3] == []
