@@ -3,12 +3,13 @@
 A chunk is what stands between white space, a term a run of letters in it. Texts repeat their
 chunks far more often than they bring new ones, so terms are cut out of distinct chunks only:
 
-1. Chunks are counted in each document, then by language, source and chunk: occurrences, documents,
-   and the least and greatest name (a hash of the row's content) of these documents.
+1. Chunks are counted in each document, then added up by cell (language and source) and chunk: occurrences
+   and documents.
 2. Every distinct chunk is tokenized once, wherever it occurs.
-3. Terms are joined back to the counted chunks and added up. A term is kept if at least ``least``
-   documents of the language have it, in whatever chunks. The documents of a chunk are known by name
-   if they are two at most, and more of them decide alone, so no list of documents is needed.
+3. Terms are joined back to the counted chunks and added up by cell. A term is kept if at least ``least``
+   documents of the language have it, in whatever chunks. Per cell these documents are no fewer than those of
+   the term's most frequent chunk, and no more than those of all its chunks. Only if the sums of these bounds do
+   not decide, the documents with the chunks in question are looked up and counted, copies included.
 
 Divergence of group p from group q is the sum of floor((p - q)^2 / q) over the kept terms, of
 probabilities in billionths with one added to every count. Most terms are missing in most sources, where
@@ -24,13 +25,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm import arrays
-from quayside.llm.common import prepare, stored
+from quayside.llm.common import bits_for, hash_bits, prepare, stored
 
 #: Documents of the language that a kept term needs, and the ranks of terms that are reported.
 LEAST_DOCUMENTS = 3
@@ -40,63 +42,147 @@ BILLION = 1_000_000_000
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-CHUNK_SCHEMA = "lang string, source string, chunk string, n long, docs long, low long, high long"
+CHUNK_SCHEMA = "cell long, chunk string, n long, docs long"
+#: Bytes of the longest chunk that is joined as it is.
+LONGEST_KEY = 64
+#: Rows of counted chunks that a task adds up before it hands them on.
+HELD_ROWS = 1_500_000
+
+
+def _added(parts: list[pa.Table]) -> pa.Table:
+    rows = pa.concat_tables(parts).group_by(["cell", "chunk"], use_threads=False)
+    found = rows.aggregate([("n", "sum"), ("docs", "sum")])
+    return found.rename_columns(["cell", "chunk", "n", "docs"])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks counted in each document, then added up by group within a slice of texts."""
+    """Chunks counted in each document, then added up by cell within a task."""
+    held, rows = [], 0
     for batch, _ in arrays.slices(batches, "text"):
         cut = pc.split_pattern_regex(batch.column("text"), r"[\x20\x09-\x0D]+")
         words = pa.table({"row": pc.list_parent_indices(cut), "chunk": pc.list_flatten(cut)})
         words = words.filter(pc.greater(pc.binary_length(words["chunk"]), 0))
         each = words.group_by(["row", "chunk"], use_threads=False).aggregate([([], "count_all")])
-        of_row = {c: batch.column(c).take(each["row"].combine_chunks()) for c in ("lang", "source", "name")}
-        each = pa.table(of_row | {"chunk": each["chunk"], "n": each["count_all"]})
-        groups = each.group_by(["lang", "source", "chunk"], use_threads=False).aggregate(
-            [("n", "sum"), ([], "count_all"), ("name", "min"), ("name", "max")]
-        )
-        yield from groups.rename_columns(["lang", "source", "chunk", "n", "docs", "low", "high"]).to_batches()
-
-
-def count_chunks(docs: DataFrame) -> DataFrame:
-    """Occurrences and documents of each chunk by language and source, with the names of up to two documents."""
-    prepare(docs.sparkSession)
+        cell = batch.column("cell").take(each["row"].combine_chunks())
+        one = pa.array(np.ones(len(each), dtype=np.int64))
+        held.append(pa.table({"cell": cell, "chunk": each["chunk"], "n": each["count_all"], "docs": one}))
+        rows += len(each)
+        if rows > 2 * HELD_ROWS:
+            held = [_added(held)]
+            rows = len(held[0])
+            if rows > HELD_ROWS:
+                yield from held[0].to_batches(max_chunksize=65536)
+                held, rows = [], 0
+    if held:
+        yield from _added(held).to_batches(max_chunksize=65536)
+
+
+def with_cells(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts with the number of their cell, and the cells (cell, lang, source) that occur."""
     filled = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    named = docs.select(*filled).withColumn("name", F.xxhash64("lang", "source", "text"))
-    return (
-        named.mapInArrow(_chunks, CHUNK_SCHEMA)
-        .groupBy("lang", "source", "chunk")
-        .agg(
-            F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")
-        )
+    docs = docs.select(*filled)
+    for seed in range(100):
+        cell = F.xxhash64("lang", "source", F.lit(seed)).alias("cell")
+        cells = stored(docs.select(cell, "lang", "source").distinct(), "cells")
+        # Numbers are hashes; another one is taken if any two cells should ever share theirs.
+        if cells.groupBy("cell").count().filter("count > 1").isEmpty():
+            return docs.select(cell, "text"), cells
+    raise ValueError("no numbers for the cells")
+
+
+def count_chunks(texts: DataFrame) -> DataFrame:
+    """Occurrences and documents of each chunk by cell."""
+    prepare(texts.sparkSession)
+    counted = texts.mapInArrow(_chunks, CHUNK_SCHEMA).groupBy("cell", "chunk")
+    return counted.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).withColumn("key", _key())
+
+
+def _key() -> Column:
+    """What a chunk is joined by: itself, or a hash, so that a chunk of many terms is not repeated for each of them."""
+    return F.when(F.octet_length("chunk") <= LONGEST_KEY, F.col("chunk")).otherwise(
+        F.concat(F.lit(" "), F.sha2(F.encode("chunk", "UTF-8"), 256))
     )
 
 
 def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """The terms of each distinct chunk, a row for each occurrence in it."""
+    """The terms of each distinct chunk, a row (key, term) for each occurrence in it."""
     lower = F.translate("chunk", _UPPER, _LOWER)
-    return chunks.select("chunk").distinct().select("chunk", F.explode(F.regexp_extract_all(lower, F.lit(TERM), 0)).alias("term"))
+    terms = F.explode(F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).alias("term")
+    return chunks.select("key", "chunk").distinct().select("key", terms)
+
+
+def count_terms(chunks: DataFrame, terms: DataFrame) -> DataFrame:
+    """Occurrences of each term by cell, and bounds of the number of documents that have it."""
+    each = chunks.drop("chunk").join(terms, "key").groupBy("cell", "term")
+    # A chunk that has a term twice counts twice in the upper bound, which stays one.
+    return each.agg(F.sum("n").alias("n"), F.max("docs").alias("lower"), F.sum("docs").alias("upper"))
+
+
+def kept_terms(
+    counts: DataFrame,
+    cells: DataFrame,
+    texts: DataFrame,
+    chunks: DataFrame,
+    terms: DataFrame,
+    least: int = LEAST_DOCUMENTS,
+) -> DataFrame:
+    """(lang, term) of terms in at least ``least`` documents of the language."""
+    bounds = (
+        counts.join(cells.select("cell", "lang"), "cell")
+        .groupBy("lang", "term")
+        .agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper"))
+        .filter(F.col("upper") >= least)
+    )
+    bounds = stored(bounds.select("lang", "term", (F.col("lower") >= least).alias("sure")), "term-bounds")
+    open_ = bounds.filter("not sure").select("lang", "term")
+    sure = bounds.filter("sure").select("lang", "term")
+    asked = stored(terms.join(open_.select("term").distinct(), "term", "left_semi").distinct(), "open-chunks")
+    if asked.isEmpty():
+        return sure
+    open_chunks = chunks.select("key", "chunk").join(asked, "key", "left_semi").select("chunk").distinct()
+    hashes = open_chunks.mapInArrow(_hashes, "hash long")
+    bits = bits_for(asked.count())
+    shared = texts.sparkSession.sparkContext.broadcast(hash_bits(hashes, "hash", bits))
+    name = F.xxhash64("cell", "text").alias("name")
+    found = texts.select("cell", name, "text").mapInArrow(_named(shared, bits), "cell long, name long, chunk string")
+    # Rows of equal content share a name; each counts.
+    documents = (
+        found.groupBy("cell", "name", "chunk")
+        .agg(F.count("*").alias("copies"))
+        .withColumn("key", _key())
+        .join(asked, "key")
+        .join(cells.select("cell", "lang"), "cell")
+        .groupBy("lang", "term", "cell", "name")
+        .agg(F.max("copies").alias("copies"))
+        .groupBy("lang", "term")
+        .agg(F.sum("copies").alias("documents"))
+        .filter(F.col("documents") >= least)
+    )
+    return sure.unionByName(open_.join(documents, ["lang", "term"], "left_semi"))
 
 
-def kept_terms(found: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """(lang, term) of terms in at least ``least`` (1 to 3) documents of the language.
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, texts in arrays.slices(batches, "chunk"):
+        found = arrays.span_hashes(texts.bytes, texts.at[:-1], texts.at[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(found))], ["hash"])
 
-    found: chunks with their terms. Documents equal in content share a name, and a chunk of
-    two equal documents has both; so the greatest number under each name is added up.
-    """
-    alone = (F.col("docs") > 2) | (F.col("low") == F.col("high"))
-    low = F.struct(F.col("low").alias("name"), F.when(alone, F.least("docs", F.lit(3))).otherwise(1).alias("n"))
-    high = F.struct(F.col("high").alias("name"), F.lit(1).cast("long").alias("n"))
-    names = F.when(alone, F.array(low)).otherwise(F.array(low, high))
-    return (
-        found.select("lang", "term", F.inline(names))
-        .groupBy("lang", "term", "name")
-        .agg(F.max("n").alias("n"))
-        .groupBy("lang", "term")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= least)
-        .select("lang", "term")
-    )
+
+def _named(shared, n_bits: int):
+    """Which documents have which of the chunks that are asked for, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = arrays.Bits(shared.value, n_bits)
+        for batch, texts in arrays.slices(batches, "text"):
+            words = arrays.Words(texts, arrays.VISIBLE, lower=False)
+            places = np.flatnonzero(bits.has(words.hash))
+            rows = np.searchsorted(words.first, places, side="right") - 1
+            known = pa.table({"row": rows, "chunk": pa.array([words.text(i) for i in places], pa.string())})
+            known = known.group_by(["row", "chunk"], use_threads=False).aggregate([])
+            row = known["row"].combine_chunks()
+            named = {c: batch.column(c).take(row) for c in ("cell", "name")}
+            yield from pa.table(named | {"chunk": known["chunk"]}).to_batches()
+
+    return run
 
 
 def _billionths(count: str, total: str, terms: str) -> Column:
@@ -109,15 +195,12 @@ def _diverging(p: str, q: str) -> str:
     return f"(({p} - {q}) * ({p} - {q}) div {q})"
 
 
-def _groups(docs: DataFrame, counts: DataFrame, kept: DataFrame) -> DataFrame:
-    """Every (lang, source) that occurs: total of kept terms, own terms, terms of the language, p of a missing term."""
-    filled = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
+def _groups(cells: DataFrame, counts: DataFrame, kept: DataFrame) -> DataFrame:
+    """Every cell: total of kept terms, own terms, terms of the language, p of a missing term."""
+    sums = counts.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     terms = kept.groupBy("lang").agg(F.count("*").alias("terms"))
     return (
-        docs.select(*filled)
-        .distinct()
-        .join(sums, ["lang", "source"], "left")
+        cells.join(sums, "cell", "left")
         .join(terms, "lang", "left")
         .fillna(0, ["total", "own", "terms"])
         .withColumn("missing", F.when(F.col("terms") > 0, _billionths("0L", "total", "terms")))
@@ -175,15 +258,15 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = TERM_RANKS
     Part ``pair``: the divergence of the source from each other source of its language. Part
     ``term``: the terms that are more probable in the source than in its language, up to ``ranks``.
     """
-    chunks = stored(count_chunks(docs), "chunks")
-    found = stored(chunks.join(chunk_terms(chunks), "chunk").drop("chunk"), "chunk-terms")
-    kept = stored(kept_terms(found, least), "kept-terms")
-    counts = stored(
-        found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi"),
-        "term-counts",
-    )
-    groups = stored(_groups(docs, counts, kept), "groups")
-    rated = counts.join(groups, ["lang", "source"]).select(
+    texts, cells = with_cells(docs)
+    chunks = stored(count_chunks(texts), "chunks")
+    terms = stored(chunk_terms(chunks), "chunk-terms")
+    every = stored(count_terms(chunks, terms), "term-counts")
+    kept = stored(kept_terms(every, cells, texts, chunks, terms, least), "kept-terms")
+    counts = every.join(cells, "cell").join(kept, ["lang", "term"], "left_semi").drop("lower", "upper")
+    counts = stored(counts, "kept-counts")
+    groups = stored(_groups(cells, counts, kept), "groups")
+    rated = counts.join(groups.select("cell", "missing", "total", "terms"), "cell").select(
         "lang", "source", "term", "missing", _billionths("n", "total", "terms").alias("p")
     )
     rated = stored(rated, "rated-terms")
@@ -197,7 +280,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = TERM_RANKS
         .join(languages, "lang")
         .select("lang", "term", _billionths("n", "total", "terms").alias("q"))
     )
-    terms = (
+    apart = (
         rated.join(expected, ["lang", "term"])
         .filter("p > q")
         .selectExpr("lang", "source", "term as item", f"{_diverging('p', 'q')} as value")
@@ -207,5 +290,5 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = TERM_RANKS
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return (
         pairs.withColumn("part", F.lit("pair")).select(columns)
-        .unionByName(terms.withColumn("part", F.lit("term")).select(columns))
+        .unionByName(apart.withColumn("part", F.lit("term")).select(columns))
     )

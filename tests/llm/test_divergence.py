@@ -79,9 +79,11 @@ def test_documents_of_a_term_over_chunks(spark):
         (["w,", "w,", "(w)", "x"], True),
     ]
     for case, kept in cases:
-        chunks = divergence.count_chunks(frame(spark, [(t, "en", f"s{i % 2}") for i, t in enumerate(case)]))
-        found = chunks.join(divergence.chunk_terms(chunks), "chunk")
-        assert ("w" in {r.term for r in divergence.kept_terms(found).collect()}) == kept, case
+        texts, cells = divergence.with_cells(frame(spark, [(t, "en", f"s{i % 2}") for i, t in enumerate(case)]))
+        chunks = divergence.count_chunks(texts)
+        terms = divergence.chunk_terms(chunks)
+        found = divergence.kept_terms(divergence.count_terms(chunks, terms), cells, texts, chunks, terms)
+        assert ("w" in {r.term for r in found.collect()}) == kept, case
 
 
 def test_no_rows_and_no_terms(spark):
