@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from quayside.llm import divergence
@@ -80,9 +81,8 @@ def test_documents_of_a_term_over_chunks(spark):
     ]
     for case, kept in cases:
         texts, cells = divergence.with_cells(frame(spark, [(t, "en", f"s{i % 2}") for i, t in enumerate(case)]))
-        chunks = divergence.count_chunks(texts)
-        terms = divergence.chunk_terms(chunks)
-        found = divergence.kept_terms(divergence.count_terms(chunks, terms), cells, texts, chunks, terms)
+        chunks = divergence.count_chunks(texts).cache()
+        found = divergence.kept_terms(divergence.count_terms(chunks, cells), cells, texts)
         assert ("w" in {r.term for r in found.collect()}) == kept, case
 
 
@@ -97,6 +97,22 @@ def test_shares_beyond_64_bits(spark):
     row = spark.range(1).selectExpr(f"{big}L as n", f"{big + 7}L as total", "5L as terms")
     got = row.select(divergence._billionths("n", "total", "terms")).first()[0]
     assert got == 1 + 10**9 * (big + 1) // (big + 12)
+    count, all_ = np.array([big, 0, 7]), np.array([big + 12, 3, 8])
+    assert divergence._shares(count, all_).tolist() == [1 + 10**9 * (int(c) + 1) // int(a) for c, a in zip(count, all_)]
+
+
+@pytest.mark.parametrize("square, pairs", [(1500, 500_000), (0, 7)])
+def test_many_sources(spark, square, pairs, monkeypatch):
+    """Sums of pairs in squares and in keys, all at once and in small steps, give the same."""
+    draw = random.Random(4)
+    made = [
+        (" ".join(draw.choice("abcdefghij") for _ in range(draw.randrange(12))), "en", f"s{draw.randrange(30)}")
+        for _ in range(200)
+    ]
+    known = [(names, n) for names, n in (("SQUARE", square), ("PAIRS_AT_ONCE", pairs))]
+    for name, n in known:
+        monkeypatch.setattr(divergence, name, n)
+    assert sorted(map(tuple, divergence.audit(frame(spark, made)).collect())) == plain(made)
 
 
 def test_very_long_text_and_chunk(spark):
