@@ -33,6 +33,7 @@ from quayside.sources.objects import (
     write_objects,
 )
 from quayside.streaming import log_stream as LS
+from quayside.streaming.growing_files import read_growing_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,13 +111,37 @@ def _written_pages(spark: SparkSession, sf_dir: str) -> str:
 
 @query("""
 SELECT 'pages' AS bucket, 'page-' || page_id || '.html' AS name,
-       CAST(octet_length(encode(html)) AS BIGINT) AS length, sha256(html) AS sha256
+       CAST(octet_length(encode(html)) AS BIGINT) AS length, sha256(html) AS sha256,
+       CAST(NULL AS VARCHAR) AS error
 FROM pages
+UNION ALL
+SELECT CASE WHEN page_id % 20 = 5 THEN 'gone' ELSE 'pages' END,
+       CASE page_id % 20 WHEN 3 THEN 'null-' WHEN 5 THEN 'page-' ELSE 'twice-' END || page_id || '.html', NULL, NULL,
+       CASE page_id % 20 WHEN 3 THEN 'part null-' || page_id || '.html has no bytes'
+            WHEN 5 THEN 'the bucket does not exist' ELSE 'the name is used for several parts' END
+FROM pages, (VALUES (0), (1)) AS copies(c)
+WHERE page_id % 20 IN (3, 5, 7) AND (c = 0 OR page_id % 20 = 7)
 """)
 def q_object_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _written_pages(spark, sf_dir)
-    return with_object_name(scan_objects(spark, root), root).select(
-        "bucket", "name", "length", F.sha2("content", 256).alias("sha256")
+    """Pages are written and read again; parts that can't be written are rows with an error."""
+    pages, root = _table(spark, sf_dir, "pages"), scratch_dir(spark, "objects")
+    variant = F.col("page_id") % 20
+    write_objects(_page_parts(pages.where(variant < 10)), root, create_buckets=True)
+    kind = F.when(variant == 3, "null-%d.html").when(variant == 5, "page-%d.html").otherwise("twice-%d.html")
+    bad = pages.where(variant.isin(3, 5, 7)).select(
+        F.when(variant == 5, "gone").otherwise("pages").alias("bucket"),
+        F.replace(kind, F.lit("%d"), _text("page_id")).alias("name"),
+        F.when(variant != 3, F.encode("html", "UTF-8")).alias("content"),
+        variant.alias("variant"),
+    )
+    twice = bad.where("variant = 7")
+    more = _page_parts(pages.where(variant >= 10)).unionByName(bad.unionByName(twice).drop("variant"))
+    refused = write_objects(more, root).where("error IS NOT NULL")
+    found = with_object_name(scan_objects(spark, root), root)
+    columns = ["bucket", "name", "length", "sha256", "error"]
+    return (
+        found.withColumn("sha256", F.sha2("content", 256)).select(columns)
+        .unionByName(refused.withColumn("sha256", F.lit(None).cast("string")).select(columns))
     )
 
 
@@ -127,7 +152,8 @@ FROM pages
 """)
 def q_object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _written_pages(spark, sf_dir)
-    listed = with_object_name(list_objects(spark, root, "*.html"), root)
+    # Shares of few files, so that the folder of all pages is listed by several tasks.
+    listed = with_object_name(list_objects(spark, root, "*.html", task_files=200), root)
     return listed.select("name", "length")
 
 
@@ -214,10 +240,12 @@ SELECT 'transfer-' || page_id AS request_id,
        CASE WHEN error IS NULL THEN CAST(octet_length(encode(html)) AS BIGINT) END AS bytes,
        CASE WHEN error IS NULL THEN sha256(html) END AS sha256,
        error,
-       true AS complete
-FROM (SELECT *, CASE page_id % 5 WHEN 1 THEN 'no such agreement'
-                                 WHEN 2 THEN 'agreement is for another asset'
-                                 WHEN 4 THEN 'Bucket:PAGES exists' END AS error
+       page_id % 10 NOT IN (5, 6) AS complete
+FROM (SELECT *, CASE WHEN page_id % 10 = 5 THEN 'Error writing the received/' || page_id
+                          || '.html object on the absent bucket: the bucket does not exist'
+                     WHEN page_id % 5 = 1 THEN 'no such agreement'
+                     WHEN page_id % 5 = 2 THEN 'agreement is for another asset'
+                     WHEN page_id % 5 = 4 THEN 'Bucket:PAGES exists' END AS error
       FROM pages)
 """)
 def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +267,7 @@ def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
             '{"type":"%s","bucketName":"%s","keyName":"Customer#%09d"},"managedResources":%s}',
             page, F.when(variant == 1, -1).otherwise(page), page,
             F.lit(SETTINGS.store_type), F.when(variant == 3, F.format_string("New-%d", page % 100))
-            .when(variant == 4, "PAGES").otherwise("pages"), page,
+            .when(variant == 4, "PAGES").when((page % 10).isin(5, 6), "Absent").otherwise("pages"), page,
             F.when(variant >= 3, "true").otherwise("false"),
         ).alias("value")
     ).write.text(f"{documents}/transfers")
@@ -256,7 +284,6 @@ def q_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
         _registry(spark, sf_dir),
         _settings_below(root),
         scratch_dir(spark, "transfer"),
-        inventory=pages.select(F.lit("Pages").alias("bucket")).distinct(),
     )
     return status.select("request_id", "status", "bytes", "sha256", "error", "complete")
 
@@ -540,12 +567,23 @@ def q_json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
+WITH written AS (
+  SELECT *, '{"@id":"request-' || c_custkey || '","@type":"TransferRequestDto","connectorId":"consumer",'
+      || '"protocol":"message-http","contractId":"contract-' || c_custkey || '","protocol":"message-http",'
+      || '"assetId":"' || c_name || '","dataDestination":{"type":"' || c_mktsegment || '","storage":'
+      || CASE WHEN c_custkey % 4 = 0 THEN 'null' ELSE '"store-' || c_nationkey || '"' END
+      || ',"bucketName":"' || lower(c_mktsegment) || '-bucket","keyName":"' || c_name || '","secretKey":"***"}' AS document
+  FROM customer)
 SELECT 'request-' || c_custkey AS request_id, 'contract-' || c_custkey AS contract_id,
        c_name AS asset_id, 'message-http' AS protocol, c_mktsegment AS dst_type,
        lower(c_mktsegment) || '-bucket' AS dst_bucket,
        CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'store-' || c_nationkey END AS dst_storage,
-       c_name AS dst_key, c_custkey % 2 = 0 AS managed_resources
-FROM customer
+       c_name AS dst_key, c_custkey % 2 = 0 AS managed_resources, NULL AS broken
+FROM written WHERE c_custkey % 50 NOT IN (7, 9)
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       CASE c_custkey % 50 WHEN 7 THEN left(document, 60) ELSE document END
+FROM written WHERE c_custkey % 50 IN (7, 9)
 """)
 def q_metadata_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The documents repeat the key "protocol"; the later entry counts.
@@ -566,11 +604,15 @@ def q_metadata_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name"),
         (F.col("c_custkey") % 2 == 0).cast("string"),
     )
+    # Some documents are cut off, at different places.
+    kept = F.when(F.col("c_custkey") % 50 == 7, 60).when(F.col("c_custkey") % 50 == 9, F.instr("value", ',"managed') - 1)
+    documents = _table(spark, sf_dir, "customer").select("c_custkey", document.alias("value"))
     path = scratch_dir(spark, "transfers")
-    _table(spark, sf_dir, "customer").select(document.alias("value")).write.text(path)
+    documents.select(F.left("value", F.coalesce(kept, F.length("value"))).alias("value")).write.text(path)
     target = F.col("dst")
     return D.read_transfers(spark, path).select(
-        "request_id",
+        # Broken documents have ids made from their text.
+        F.when(F.col("broken").isNull(), F.col("request_id")).alias("request_id"),
         "contract_id",
         "asset_id",
         "protocol",
@@ -579,6 +621,7 @@ def q_metadata_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         A.property_of(target, S.STORAGE).alias("dst_storage"),
         target["keyName"].alias("dst_key"),
         "managed_resources",
+        "broken",
     )
 
 
@@ -1001,6 +1044,7 @@ SELECT event_type AS container,
 FROM parsed
 """)
 def q_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds; in the second one every file has grown, from wherever in a line the first one found it."""
     root = scratch_dir(spark, "log-stream")
     files = _as_files(_event_lines(_table(spark, sf_dir, "events")), "event_type")
     suffix = F.when(F.col("event_type") == "error", ".stderr.log").otherwise(".stdout.log")
@@ -1009,14 +1053,21 @@ def q_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("events-"), _text("file_no"), suffix).alias("name"),
         "content",
     )
-    write_objects(landed, f"{root}/landing", create_buckets=True)
-    events = LS.log_events(
-        f"{_below_scheme(root)}/landing",
-        DEPLOYMENT,
-        stdout=LS.read_lines(spark, f"{root}/landing/*", LS.STDOUT_FILES),
-        stderr=LS.read_lines(spark, f"{root}/landing/*", LS.STDERR_FILES),
-    )
-    LS.start_store(events, f"{root}/store", f"{root}/checkpoint", files_per_date=2).awaitTermination()
+
+    def run() -> None:
+        events = LS.log_events(
+            f"{_below_scheme(root)}/landing",
+            DEPLOYMENT,
+            stdout=read_growing_lines(spark, f"{root}/landing", LS.STDOUT_FILES),
+            stderr=read_growing_lines(spark, f"{root}/landing", LS.STDERR_FILES),
+        )
+        LS.start_store(events, f"{root}/store", f"{root}/checkpoint", files_per_date=2).awaitTermination()
+
+    part = F.expr("substring(content, 1, cast(length(content) * 0.6 as int))")
+    write_objects(landed.withColumn("content", part), f"{root}/landing", create_buckets=True)
+    run()
+    write_objects(landed, f"{root}/landing")
+    run()
     return _stored(spark, f"{root}/store").select(
         "container", "file", "logger", "level", _naive("event_ts"), "message",
         "namespace", "cluster", "role", "roleGroup",
@@ -1093,6 +1144,55 @@ def q_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, f"{root}/store").select("pod", "container", "message", "file", "level")
 
 
+@query("""
+SELECT event_type AS container, 'Java Logging: ' || event_type || ' ' || event_id AS message, 'INFO' AS level
+FROM events
+UNION ALL
+SELECT 'twins', 'Java Logging: click ' || event_id, 'INFO' FROM events, (VALUES (0), (1)) WHERE event_type = 'click'
+""")
+def q_rotated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of a rotation by numbers: files get the next numbers while their last lines are still unread.
+
+    The newest file of a container is ``service.0``, and in the first round it is not complete. Container ``twins`` has
+    every file of another one twice; files of equal content are files of their own.
+    """
+    root = scratch_dir(spark, "rotated")
+    lines = _table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.concat_ws(" ", "event_type", _text("event_id")).alias("message")
+    )
+    files = _as_files(lines, "event_type")
+    newest = files.agg(F.max("file_no")).first()[0] or 0
+
+    def landed(last: int) -> DataFrame:
+        there = files.where(F.col("file_no") <= last)
+        growing = F.expr("substring(content, 1, cast(length(content) * 0.7 as int))")
+        content = F.when((F.col("file_no") == last) & (F.lit(last) < newest), growing).otherwise(F.col("content"))
+        own = there.select(
+            F.col("event_type").alias("bucket"),
+            F.format_string("service.%d.logger", F.lit(last) - F.col("file_no")).alias("name"),
+            content.alias("content"),
+        )
+        both = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("twin")
+        twins = there.where("event_type = 'click'").select("file_no", "content", both)
+        return own.unionByName(
+            twins.select(
+                F.lit("twins").alias("bucket"),
+                F.format_string("%s.%d.logger", "twin", F.lit(last) - F.col("file_no")).alias("name"),
+                "content",
+            )
+        )
+
+    def run() -> None:
+        lines = read_growing_lines(spark, f"{root}/landing", LS.JAVA_FILES)
+        events = LS.log_events(f"{_below_scheme(root)}/landing", DEPLOYMENT, java=lines)
+        LS.start_store(events, f"{root}/store", f"{root}/checkpoint", files_per_date=2).awaitTermination()
+
+    for last in (newest // 2, newest):
+        write_objects(landed(last), f"{root}/landing", create_buckets=True)
+        run()
+    return _stored(spark, f"{root}/store").select("container", "message", "level")
+
+
 @query(f"""
 WITH {_SQL_LINES},
 found AS (

@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Filters on the names and lengths of objects are applied before objects are opened.
+    "spark.sql.python.filterPushdown.enabled": "true",
     # The memory of seen files outgrows the heap of an executor, so it is kept on disk.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -92,3 +94,23 @@ def ship_package(spark: SparkSession) -> None:
                     out.write(path, os.path.relpath(path, parent))
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
+
+
+def register_source(spark: SparkSession, source: type) -> None:
+    """Register a Python data source of this package.
+
+    The process on the driver that plans a stream does not get what is shipped to executors, so the
+    source is registered with the path of this package.
+    """
+    ship_package(spark)
+    parent = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment, key = spark.sparkContext.environment, "PYTHONPATH"
+    before = environment.get(key)
+    environment[key] = os.pathsep.join(filter(None, [parent, before]))
+    try:
+        spark.dataSource.register(source)
+    finally:
+        if before is None:
+            del environment[key]
+        else:
+            environment[key] = before

@@ -1,6 +1,8 @@
 """Scans of metadata documents (one JSON document per line) and of delimited assets.
 
-Schemas are given, never inferred, and prefixed keys are renamed while reading.
+Schemas are given, never inferred, and prefixed keys are renamed while reading. A document that is no
+JSON or has other types is a row with its text in ``broken``, without the values of secrets; the other columns
+are null as far as nothing could be read.
 """
 
 from __future__ import annotations
@@ -12,9 +14,19 @@ from pyspark.sql import types as T
 from quayside import schemas as S
 
 
+BROKEN = "broken"
+# A secret with its value, up to the end of the text if its quotes are broken.
+_SECRET = r"""(?i)("?(?:%s)"?\s*[:=]\s*)(?:"(?:[^"\\]|\\.)*"|"?[^,}\s]*"?)""" % "|".join(S.SECRET_PROPERTIES)
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    # The typed reader accepts documents that repeat a key.
-    return spark.read.schema(schema).json(path)
+    # Parsed here and not by the file reader, which applies filters while it parses and then loses documents that
+    # break after the fields it has looked at. The typed parser accepts documents that repeat a key.
+    whole = T.StructType([*schema, T.StructField(BROKEN, T.StringType())])
+    document = F.from_json("value", whole, {"columnNameOfCorruptRecord": BROKEN})
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    documents = lines.select(document.alias("document")).select("document.*")
+    return documents.withColumn(BROKEN, F.regexp_replace(BROKEN, _SECRET, '$1"***"'))
 
 
 def _without_secrets(properties: Column) -> Column:
@@ -34,6 +46,7 @@ def read_assets(spark: SparkSession, path: str) -> DataFrame:
             F.try_element_at(properties, F.lit("keyName")).alias("keyName"),
             _without_secrets(properties).alias("properties"),
         ).alias("src"),
+        BROKEN,
     )
 
 
@@ -44,6 +57,7 @@ def read_policies(spark: SparkSession, path: str) -> DataFrame:
         F.col("policy.`odrl:permission`").alias("permission"),
         F.col("policy.`odrl:prohibition`").alias("prohibition"),
         F.col("policy.`odrl:obligation`").alias("obligation"),
+        BROKEN,
     )
 
 
@@ -53,6 +67,7 @@ def read_contract_definitions(spark: SparkSession, path: str) -> DataFrame:
         F.col("accessPolicyId").alias("access_policy_id"),
         F.col("contractPolicyId").alias("contract_policy_id"),
         F.col("assetsSelector").alias("assets_selector"),
+        BROKEN,
     )
 
 
@@ -65,6 +80,7 @@ def read_negotiations(spark: SparkSession, path: str) -> DataFrame:
         "protocol",
         F.col("offer.offerId").alias("offer_id"),
         F.col("offer.assetId").alias("asset_id"),
+        BROKEN,
     )
 
 
@@ -110,6 +126,7 @@ def read_transfers(spark: SparkSession, path: str) -> DataFrame:
             ).alias("properties"),
         ).alias("dst"),
         F.col("managedResources").alias("managed_resources"),
+        BROKEN,
     )
 
 

@@ -114,6 +114,10 @@ class Digests:
         return "".join([*self._ranges, self._range.hexdigest()])
 
 
+def _times(status: os.stat_result) -> tuple[float, int]:
+    return status.st_mtime, status.st_size
+
+
 def check_address(bucket: str | None, name: str | None) -> None:
     """Refuse buckets and names that lead out of their root or bucket, or that files can't have."""
     if not bucket or "/" in bucket or "\0" in bucket or bucket in (".", ".."):
@@ -184,25 +188,39 @@ class Store:
         found = self.measure(uri, endpoint)
         return found[0] if found else None
 
-    def entries(self, uri: str, endpoint: str | None = None):
-        """Children of a folder: ``name, modification time in seconds, length, is_folder``.
+    def entries(self, uri: str, endpoint: str | None = None, collecting: bool = False):
+        """Children of a folder as (name, whether it is a folder, a function that measures it).
 
-        Files that a write is still collecting are left out.
+        Files that a write is still collecting are left out, or, if asked for, given alone. A measure is the time of change in seconds and
+        the length; on mounted file systems it costs a call for each file, in stores it is known.
         """
         system, path = self.locate(uri, endpoint)
         if is_local(uri):
-            # Only mounted file systems hold hidden files of writes.
             with os.scandir(path) as found:
                 for entry in found:
-                    status = entry.stat(follow_symlinks=False)
                     folder = entry.is_dir(follow_symlinks=False)
-                    if folder or not is_collecting(entry.name):
-                        yield entry.name, status.st_mtime, status.st_size, folder
+                    if folder or is_collecting(entry.name) == collecting:
+                        yield entry.name, folder, lambda entry=entry: _times(entry.stat(follow_symlinks=False))
             return
         for info in system.get_file_info(fs.FileSelector(path)):
-            folder = info.type == fs.FileType.Directory
-            seconds = info.mtime.timestamp() if info.mtime else None
-            yield info.base_name, seconds, info.size, folder
+            if info.type != fs.FileType.Directory and is_collecting(info.base_name) != collecting:
+                continue
+            measure = (info.mtime.timestamp() if info.mtime else None, info.size)
+            yield info.base_name, info.type == fs.FileType.Directory, lambda measure=measure: measure
+
+    def stat(self, uri: str, endpoint: str | None = None) -> tuple[float | None, int] | None:
+        """Time of change in seconds and length of a listed file, null if it is gone."""
+        if is_local(uri):
+            try:
+                return _times(os.lstat(local_path(uri)))
+            except FileNotFoundError:
+                return None
+        found = self.measure(uri, endpoint)
+        return found and (None if found[1] is None else found[1] / 1e6, found[0])
+
+    def has_bucket(self, bucket_uri: str, endpoint: str | None = None, alias: str | None = None) -> bool:
+        system, path = self.locate(bucket_uri, endpoint, alias)
+        return system.get_file_info(path).type == fs.FileType.Directory
 
     def require_bucket(
         self, uri: str, name: str, endpoint: str | None = None, alias: str | None = None
@@ -210,8 +228,7 @@ class Store:
         bucket_uri = uri[: len(uri) - len(name) - 1]
         key = (bucket_uri, endpoint, alias)
         if key not in self._buckets:
-            system, path = self.locate(bucket_uri, endpoint, alias)
-            self._buckets[key] = system.get_file_info(path).type == fs.FileType.Directory
+            self._buckets[key] = self.has_bucket(bucket_uri, endpoint, alias)
         if not self._buckets[key]:
             raise StoreError("the bucket does not exist")
 
@@ -220,44 +237,86 @@ class Store:
     ) -> None:
         """Create the bucket of an object if it is not there; safe to run twice."""
         bucket_uri = uri[: len(uri) - len(name) - 1]
-        system, path = self.locate(bucket_uri, endpoint, alias)
-        system.create_dir(path, recursive=is_local(uri) or uri.startswith(ON_HOST))
+        key = (bucket_uri, endpoint, alias)
+        if not self._buckets.get(key):
+            system, path = self.locate(bucket_uri, endpoint, alias)
+            system.create_dir(path, recursive=is_local(uri) or uri.startswith(ON_HOST))
+            self._buckets[key] = True
 
-    def write(
+    def _staged(
+        self, uri: str, mark: str, endpoint: str | None, alias: str | None
+    ) -> tuple[fs.FileSystem, str, str]:
+        """File system, target, and what collects the bytes of the target until it is whole."""
+        system, path = self.locate(uri, endpoint, alias)
+        return system, path, f"{os.path.dirname(path)}/{collecting_name(mark)}"
+
+    def stage(
         self,
         uri: str,
+        mark: str,
         blocks,
         endpoint: str | None = None,
         range_bytes: int | None = None,
         alias: str | None = None,
     ) -> Digests:
-        """Write an object from an iterable of byte blocks; gives its length and hashes."""
-        system, path = self.locate(uri, endpoint, alias)
+        """Write an object from an iterable of byte blocks beside its target; gives its length and hashes."""
+        system, path, staged = self._staged(uri, mark, endpoint, alias)
         digests = Digests(range_bytes)
-        renames = is_local(uri) or uri.startswith(ON_HOST)
-        folder = os.path.dirname(path)
-        if renames:
-            system.create_dir(folder, recursive=True)
-        target = f"{folder}/{collecting_name(uuid.uuid4().hex)}"
+        if is_local(uri) or uri.startswith(ON_HOST):
+            system.create_dir(os.path.dirname(path), recursive=True)
         try:
-            with system.open_output_stream(target) as out:
+            with system.open_output_stream(staged) as out:
                 for block in blocks:
                     out.write(block)
                     digests.update(block)
         except Exception:
             # Closing the stream has left what was written so far.
-            if system.get_file_info(target).type == fs.FileType.File:
-                system.delete_file(target)
+            self.discard(uri, mark, endpoint, alias)
             raise
+        return digests
+
+    def publish(
+        self, uri: str, mark: str, endpoint: str | None = None, length: int | None = None, alias: str | None = None
+    ) -> None:
+        """Give a staged object its name. With its length this may run again."""
+        system, path, staged = self._staged(uri, mark, endpoint, alias)
+        if length is not None and system.get_file_info(staged).type != fs.FileType.File:
+            there = system.get_file_info(path)
+            if there.type != fs.FileType.File or there.size != length:
+                raise StoreError("the collected object is gone")
+            return
         if is_local(uri):
-            os.replace(target, path)
-        elif renames:
+            os.replace(staged, path)
+        elif uri.startswith(ON_HOST):
             if system.get_file_info(path).type != fs.FileType.NotFound:
                 system.delete_file(path)
-            system.move(target, path)
+            system.move(staged, path)
         else:
-            system.copy_file(target, path)
-            system.delete_file(target)
+            system.copy_file(staged, path)
+            system.delete_file(staged)
+
+    def remove(self, uri: str, endpoint: str | None = None) -> None:
+        system, path = self.locate(uri, endpoint)
+        if system.get_file_info(path).type == fs.FileType.File:
+            system.delete_file(path)
+
+    def discard(self, uri: str, mark: str, endpoint: str | None = None, alias: str | None = None) -> None:
+        system, _, staged = self._staged(uri, mark, endpoint, alias)
+        if system.get_file_info(staged).type == fs.FileType.File:
+            system.delete_file(staged)
+
+    def write(
+        self,
+        uri: str,
+        blocks,
+        endpoint: str | None = None,
+        range_bytes: int | None = None,
+        alias: str | None = None,
+    ) -> Digests:
+        """Write an object from an iterable of byte blocks; gives its length and hashes."""
+        mark = uuid.uuid4().hex
+        digests = self.stage(uri, mark, blocks, endpoint, range_bytes, alias)
+        self.publish(uri, mark, endpoint, alias=alias)
         return digests
 
     def blocks(self, uri: str, offset: int, length: int, endpoint: str | None = None):

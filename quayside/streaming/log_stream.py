@@ -5,6 +5,8 @@ Batch and stream share every transformation; only the readers and the sink diffe
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ JAVA_FILES = "*.logger"
 COPY_SALTS = 64
 
 
+_starting = threading.Lock()
+
 # The file source ignores files that are this much older than the newest it has seen.
 MAX_FILE_AGE = "36500d"
 
@@ -236,11 +240,14 @@ def start_store(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    # A stream keeps the settings of its session as they are when it starts.
-    settings, key = events.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = settings.get(key)
-    settings.set(key, state_partitions or before)
-    try:
+    if not state_partitions:
         return writer.start()
-    finally:
-        settings.set(key, before)
+    # A stream keeps the settings of its session as they are when it starts, so one starts at a time.
+    settings, key = events.sparkSession.conf, "spark.sql.shuffle.partitions"
+    with _starting:
+        before = settings.get(key)
+        settings.set(key, state_partitions)
+        try:
+            return writer.start()
+        finally:
+            settings.set(key, before)

@@ -36,9 +36,9 @@ def test_assets_take_inner_type_and_drop_secrets(spark, tmp_path):
 def test_policies_definitions_negotiations(spark, tmp_path):
     rules = {"odrl:permission": [], "odrl:prohibition": [], "odrl:obligation": []}
     path = write(tmp_path, {"@id": "p", "policy": {"@type": "set", **rules}})
-    assert tuple(D.read_policies(spark, path).first()) == ("p", "set", [], [], [])
+    assert tuple(D.read_policies(spark, path).first()) == ("p", "set", [], [], [], None)
     path = write(tmp_path, {"id": "1", "accessPolicyId": "p", "contractPolicyId": "q", "assetsSelector": []})
-    assert tuple(D.read_contract_definitions(spark, path).first()) == ("1", "p", "q", [])
+    assert tuple(D.read_contract_definitions(spark, path).first()) == ("1", "p", "q", [], None)
     path = write(
         tmp_path,
         {
@@ -46,7 +46,7 @@ def test_policies_definitions_negotiations(spark, tmp_path):
             "protocol": "m", "offer": {"offerId": "o", "assetId": "a", "policy": {"@id": "o", **rules}},
         },
     )
-    assert tuple(D.read_negotiations(spark, path).first()) == ("c", "u", "x", "y", "m", "o", "a")
+    assert tuple(D.read_negotiations(spark, path).first()) == ("c", "u", "x", "y", "m", "o", "a", None)
 
 
 def test_transfer_with_repeated_key(spark, tmp_path):
@@ -87,3 +87,25 @@ def test_transfers_without_an_id_get_one(spark, tmp_path):
     assert None not in found and len(set(found)) == 4 and "own" in found
     again = [r["request_id"] for r in D.read_transfers(spark, str(tmp_path / "transfers.json")).collect()]
     assert sorted(found) == sorted(again)
+
+
+def test_broken_documents_keep_their_text_without_secrets(spark, tmp_path):
+    path = write(
+        tmp_path,
+        '{"@id":"t1","contractId":"c","dataDestination":{"type":"t","secretKey":"s3cr\\"et", "accessKey" : "ab',
+        "no json",
+        '{"@id":"t3","contractId":["c"],"managedResources":"x"}',
+        '{"@id":"t4","contractId":"c","dataDestination":{"secretKey":"s3cret"}}',
+        '{"secretKey: s3cret, "x":1',
+    )
+    found = {r["broken"]: r for r in D.read_transfers(spark, path).collect()}
+    assert len(found) == 5 and found[None]["request_id"] == "t4"
+    assert "no json" in found and not any("s3cr" in text or "et\"" in text for text in found if text)
+    first = next(text for text in found if text and "t1" in text)
+    assert first == (
+        '{"@id":"t1","contractId":"c","dataDestination":{"type":"t","secretKey":"***", "accessKey" : "***"'
+    )
+    assert all(r["request_id"] for r in found.values())
+    (tmp_path / "a.json").write_text('{"asset":{"@id":"a"},"dataAddress":\n{"asset":{"@id":"b"}}')
+    assets = {r["asset_id"]: r["broken"] for r in D.read_assets(spark, str(tmp_path / "a.json")).collect()}
+    assert assets == {None: '{"asset":{"@id":"a"},"dataAddress":', "b": None}

@@ -14,7 +14,9 @@ from quayside.plans.copy_job import copy_objects
 from quayside.schemas import MANIFEST
 from quayside.settings import TransferSettings
 from quayside.sources.objects import (
+    discard_staged,
     fetch_objects,
+    inventory_objects,
     list_objects,
     scan_objects,
     with_object_name,
@@ -80,19 +82,126 @@ def test_listing_finds_everything(spark, tmp_path, rows):
     seconds = listed.select(F.unix_seconds(F.min("modificationTime"))).first()[0]
     assert abs(seconds - os.path.getmtime(tmp_path / "store" / "a" / "x.html")) < 60
     assert list_objects(spark, root, "*.html").count() == 3
+    # Shares of a few entries leave folders and files to the tasks of further rounds.
+    work = f"file://{tmp_path}/rounds"
+    small = with_object_name(list_objects(spark, root, work_dir=work, task_files=2), root)
+    assert rows(small.select(F.concat_ws("/", "bucket", "name"), "length")) == rows(found)
+    assert rows(small.select("modificationTime")) == rows(listed.select("modificationTime"))
+    kinds = spark.read.parquet(f"{work}/round-0", f"{work}/round-1").where("todo IS NOT NULL").select("todo")
+    assert {r.todo for r in kinds.collect()} == {"folder", "file"}
     assert list_objects(spark, f"{root}/bare").count() == 0
     everything = with_object_name(listed, root).select("bucket", "name")
     assert fetch_objects(everything, root).where("error IS NULL").count() == len(names)
 
 
-@pytest.mark.parametrize("part", [("b", "n", b"x"), ("b", "../n", b"x"), ("b", "n", None), ("b", None, b"x")])
-def test_writer_reports_what_it_cannot_write(spark, tmp_path, part):
-    bucket, name, content = part
-    if name != "n" or content is None:
-        os.makedirs(tmp_path / "b")  # so that only the name or the content is wrong
-    table = spark.createDataFrame([(bucket, name, content)], "bucket STRING, name STRING, content BINARY")
-    with pytest.raises(Exception, match="bucket does not exist|leaves its bucket|no bytes|no name"):
-        write_objects(table, f"file://{tmp_path}")
+def test_inventory_table_as_listing(spark, tmp_path, rows):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "x.html").write_bytes(b"12345")
+    report = spark.createDataFrame(
+        [("b", "x.html", 5, datetime(2024, 1, 1)), ("b", "x.tmp", 7, None), ("b", "folder/", 0, None)],
+        "bucket STRING, key STRING, size LONG, last_modified TIMESTAMP",
+    )
+    root = f"file://{tmp_path}"
+    listed = inventory_objects(report, root, "*.html")
+    assert rows(listed.select("path", "length")) == [(f"{root}/b/x.html", 5)]
+    found = scan_objects(spark, root, listed=listed).collect()
+    assert [(r.offset, bytes(r.content), r.error) for r in found] == [(0, b"12345", None)]
+
+
+def test_filters_keep_objects_closed(spark, tmp_path):
+    """Objects that a filter on name or length leaves out can't be read, and need not be."""
+    (tmp_path / "b").mkdir()
+    for n in range(20):
+        (tmp_path / "b" / f"o{n}.{'html' if n < 3 else 'bin'}").write_bytes(b"x" * n)
+    found = scan_objects(spark, f"file://{tmp_path}", range_bytes=4)
+    assert found.where("error IS NOT NULL").isEmpty()
+    for n in range(3, 20):
+        os.remove(tmp_path / "b" / f"o{n}.bin")
+    assert found.where("error IS NOT NULL").count() == sum(-(-n // 4) for n in range(3, 20))
+    kept = found.where("path LIKE '%.html'")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "StringEndsWith" in plan or "EndsWith(path" not in plan
+    assert sorted((r.length, r.offset, r.error) for r in kept.collect()) == [(0, 0, None), (1, 0, None), (2, 0, None)]
+    few = found.where("length < 3 AND path LIKE '%/b/o%' AND offset = 0 AND error IS NULL")
+    assert sorted(r.length for r in few.collect()) == [0, 1, 2]
+    assert found.where("length IN (1, 2) OR length = 0").count() == 3
+
+
+def test_small_objects_share_batches(tmp_path):
+    """Contents come in order and in batches by bytes, whatever the number of objects."""
+    from quayside.sources import objects
+
+    rows = []
+    for n in range(300):
+        (tmp_path / str(n)).write_bytes(bytes([n % 256]) * n)
+        rows.append({"uri": f"file://{tmp_path}/{n}", "path": str(n), "length": n, "offset": 0, "error": None})
+    rows[7] |= {"error": "no"}
+    rows[9] |= {"uri": f"file://{tmp_path}/gone"}
+    found = objects._contents(Store(), rows, 1 << 20, None)
+    kinds = [objects.pa.string(), objects.pa.binary(), objects.pa.string()]
+    batches = list(objects._packed(found, ["path", "content", "error"], kinds))
+    assert len(batches) == 1
+    for n, row in enumerate(batches[0].to_pylist()):
+        assert row["path"] == str(n)
+        assert (row["error"] is None) == (n not in (7, 9))
+        assert row["content"] == (bytes([n % 256]) * n if n not in (7, 9) else None)
+
+
+def test_writer_answers_every_part(spark, tmp_path, rows):
+    """What can't be written is a row with an error, and nothing of it stays."""
+    os.makedirs(tmp_path / "b")
+    (tmp_path / "b" / "old").write_bytes(b"old")
+    parts = [
+        ("b", "n", b"x"), ("b", "old", b"new"), ("gone", "n", b"x"), ("b", "../n", b"x"), ("b", "none", None),
+        ("b", None, b"x"), (None, "n", b"x"), ("b", "twice", b"1"), ("b", "twice", b"2"), ("b", "same", b"1"),
+        ("b", "same", b"1"), ("b", "deep/k", b""),
+    ]
+    table = spark.createDataFrame(parts, "bucket STRING, name STRING, content BINARY")
+    status = write_objects(table, f"file://{tmp_path}")
+    repeated = "the name is used for several parts"
+    assert rows(status) == sorted(
+        [
+            ("b", "n", 1, None), ("b", "old", 3, None), ("b", "deep/k", 0, None),
+            ("gone", "n", None, "the bucket does not exist"), ("b", "../n", None, "the object name leaves its bucket"),
+            ("b", "none", None, "part none has no bytes"), ("b", None, None, "the object has no name"),
+            (None, "n", None, "the bucket name is not valid"), ("b", "twice", None, repeated),
+            ("b", "twice", None, repeated), ("b", "same", None, repeated), ("b", "same", None, repeated),
+        ],
+        key=repr,
+    )
+    assert sorted(os.listdir(tmp_path / "b")) == ["deep", "n", "old"]
+    assert os.listdir(tmp_path / "b" / "deep") == ["k"] and (tmp_path / "b" / "old").read_bytes() == b"new"
+
+
+def test_failed_write_changes_no_object(spark, tmp_path):
+    """The job that collects the parts fails: targets stay as they were, and what it left can be removed."""
+    os.makedirs(tmp_path / "b")
+    (tmp_path / "b" / "k0").write_bytes(b"old")
+    good = spark.range(0, 40, 1, 4).selectExpr("concat('k', id) as name", "id", "spark_partition_id() as p")
+    broken = "if(p = 3, cast(raise_error('the source broke') as binary), encode(concat('new', id), 'UTF-8'))"
+    parts = good.selectExpr("'b' as bucket", "name", f"{broken} as content").repartition(4, "name")
+    slow = good.selectExpr("'b' as bucket", "name", f"{broken} as content")
+    for table in (parts, slow):
+        work = f"file://{tmp_path}/work-{table is parts}"
+        with pytest.raises(Exception, match="the source broke"):
+            write_objects(table, f"file://{tmp_path}", work_dir=work)
+        assert (tmp_path / "b" / "k0").read_bytes() == b"old"
+        names = [n for n in os.listdir(tmp_path / "b") if not n.startswith(".quayside-")]
+        assert names == ["k0"] and list_objects(spark, f"file://{tmp_path}/b").count() == 1
+        discard_staged(spark, f"file://{tmp_path}", work)
+    assert os.listdir(tmp_path / "b") == ["k0"]
+
+
+def test_publish_of_a_part_may_run_again(tmp_path):
+    store, uri = Store(), f"file://{tmp_path}/b/k"
+    store.stage(uri, "m", [b"abc"])
+    assert not os.path.exists(tmp_path / "b" / "k")
+    for _ in range(2):
+        store.publish(uri, "m", length=3)
+    assert os.listdir(tmp_path / "b") == ["k"]
+    with pytest.raises(StoreError):
+        store.publish(uri, "m", length=4)
+    store.discard(uri, "m")
 
 
 def address(kind="ObjectStore", key="key", **properties):

@@ -61,3 +61,38 @@ def test_demo_transfer(spark, tmp_path):
         "t3": ("error", None, "no such asset"),
     }
     assert (tmp_path / "store" / "target-bucket" / "device-copy.csv").read_bytes() == content
+
+
+def test_audit_asks_the_store(spark, tmp_path):
+    """Buckets that are not there, that a run creates, and that others hold; a run may be carried on."""
+    os.makedirs(tmp_path / "src")
+    os.makedirs(tmp_path / "held")
+    (tmp_path / "src" / "o").write_bytes(b"1")
+
+    def address(bucket, **more):
+        return {"type": "T", "keyName": "k", "properties": {"bucketName": bucket, **more}}
+
+    rows = [("a", "held", False), ("b", "gone", False), ("c", "New", True), ("d", "Held", True), ("e", "..", False)]
+    requests = spark.createDataFrame(
+        [(i, f"c{i}", "asset", address(b), m, None) for i, b, m in rows]
+        + [("f", "none", "asset", address("held"), False, None), ("g", "x", None, address("gone"), True, None)]
+        + [("h", None, None, None, None, "{broken")],
+        "request_id STRING, contract_id STRING, asset_id STRING, dst STRUCT<type STRING, keyName STRING, "
+        "properties MAP<STRING, STRING>>, managed_resources BOOLEAN, broken STRING",
+    )
+    agreements = spark.createDataFrame([(f"c{i}", "asset") for i, _, _ in rows], "contract_id STRING, agreed_asset STRING")
+    assets = spark.createDataFrame(
+        [("asset", address("src", blobName="o"))],
+        "asset_id STRING, src STRUCT<type STRING, keyName STRING, properties MAP<STRING, STRING>>",
+    )
+    registry = spark.createDataFrame([], "key_name STRING, has_token BOOLEAN, expires_at TIMESTAMP")
+    settings = TransferSettings("T", "d", "c", f"file://{tmp_path}", f"file://{tmp_path}")
+    for _ in range(2):
+        status = run_transfers(requests, agreements, assets, registry, settings, f"file://{tmp_path}/work")
+        found = {r["request_id"]: (r["status"], r["complete"]) for r in status.collect()}
+        assert found == {
+            "a": ("ok", True), "b": ("error", False), "c": ("ok", True), "d": ("error", True),
+            "e": ("error", False), "f": ("error", True), "g": ("error", False), "h": ("error", False),
+        }
+    errors = {r["request_id"]: r["error"] for r in status.collect()}
+    assert errors["d"] == "Bucket:Held exists" and errors["h"] == "the document is broken"

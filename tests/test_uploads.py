@@ -321,3 +321,46 @@ def copy_job_schema():
     from quayside.schemas import MANIFEST
 
     return MANIFEST
+
+
+@pytest.mark.parametrize("pages", [1, 3])
+def test_flat_bucket_is_listed_by_many_tasks(pages, monkeypatch):
+    """Ranges of keys are listed a page at a time; all keys are found, each once."""
+    from quayside.sources import objects
+
+    monkeypatch.setattr(S, "PAGE_KEYS", 50)
+    names = [f"logs/2024/{i * 7919 % 100_000:05d}.log" for i in range(1500)] + ["logs/2024/é", "logs/2024/\x01", "logs/a"]
+    names += [f"logs/2024/日{i}" for i in range(120)] + ["other/x", "logs/2024/", "logs/2024/.quayside-1.part", "logs/2024/~"]
+    names += ["logs/2024/00000.log" + "x" * i for i in range(120)]
+    made = Answers({f"b/{n}": (b"" if n.endswith("/") else b"12", "") for n in names})
+    client = S.S3Client(None, PAIR, made)
+    client_page = client.page
+    client.page = lambda *a: client_page(*a, most=50)
+    store = Store()
+    store._clients[None, None] = client
+    work, found, shares = [("s3a://b/logs/", "keys", None)], [], []
+    while work:
+        row = work.pop()
+        rows = list(objects._found(store, [row], None, 10, pages))
+        own = [r for r in rows if r[3] is None]
+        shares.append(len(own))
+        found += own
+        work += [(r[0], r[3], r[4]) for r in rows if r[3] is not None]
+    want = [n for n in names if n.startswith("logs/") and not n.endswith(("/", ".part"))]
+    assert sorted(r[0] for r in found) == sorted({f"s3a://b/{n}" for n in want})
+    assert max(shares) <= 50 * pages and sum(n > 0 for n in shares) > 10 / pages
+    assert {r[1:3] for r in found} == {(1704164645.0, 2)}
+
+
+def test_divided_ranges_do_not_overlap():
+    from quayside.sources.objects import LAST, divided
+
+    keys = sorted({f"{a}{b}{c}" for a in "/a~é" for b in " 0z\x7f" for c in ("", "x", "日")})
+    for prefix, first, last in (("", keys[0], keys[9]), ("a", "a0", "a0x"), ("a", "a0x", "a0x"), ("", "é0", "éz")):
+        ranges = divided(prefix, first, last)
+        for key in keys:
+            inside = [
+                (p, a) for p, a in ranges
+                if key.startswith(p) and (a is None or (key > a and not (a.endswith(LAST) and key.startswith(a[:-1]))))
+            ]
+            assert len(inside) == (key.startswith(prefix) and key > last), (key, ranges)
