@@ -9,8 +9,8 @@ candidates: for a containment of 1 the necessary prefix of the ordered shingles
 3. Documents give the places of prefix shingles, with the words around. An equi join with the
    windows follows; length and position bounds and the comparison of all words decide.
 
-Both passes over documents send only what passes a table of hash bits of fixed size, so no
-broadcast grows with the benchmark or with the documents.
+Both passes over documents send only what passes a table of hash bits. Its size follows the number of
+shingles up to 2**28 bits, so no broadcast grows further with the benchmark, or with the documents at all.
 
 Nulls, empty and repeated rows: a null text has no words. Items without id or words are left out.
 Repeated documents give one row each. An empty benchmark finds nothing.
@@ -26,11 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import arrays
-from quayside.llm.common import hash_bits, prepare, stored
+from quayside.llm.common import bits_for, hash_bits, prepare, stored
 
 WINDOW = 10
 SHINGLE = 3
-BITS = 24
 
 
 def _items(size: int, shingle: int):
@@ -142,12 +141,13 @@ def _places(sizes: list[int], flags, n_bits: int, reach: int):
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, bits: int = BITS
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, bits: int | None = None
 ) -> DataFrame:
     """Which words of documents stand in an occurrence of a window of an item.
 
     Returns a row per document: doc_id, text_hash (xxhash64 of the text), n_words, n_hit, items (ids as
-    sorted strings) and spans (start and end of the hits in words, merged).
+    sorted strings) and spans (start and end of the hits in words, merged). ``bits`` of the hashes are looked up in
+    tables, by default as many as the benchmark needs.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -163,6 +163,7 @@ def decontaminate(
     sizes = sorted(
         row[0] for row in parts.select(F.least("size", F.lit(shingle))).distinct().collect()
     )
+    bits = bits or bits_for(parts.count())
     flags = spark.sparkContext.broadcast(hash_bits(parts, "shingle", bits))
     rarity = (
         docs.select("text")
