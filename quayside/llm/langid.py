@@ -7,7 +7,8 @@ The set of languages is the one with the best penalised likelihood, searched fro
 with the greatest shares: a further language must gain PENALTY for each word of the text, and half
 the logarithm of their number.
 
-The model has 2**16 numbers for each language. Nulls, empty and repeated rows: rows without a
+The model has 2**16 numbers for each language, of which there may be MOST_LANGUAGES; a column with more values
+is refused, as it can't hold languages. Texts are worked on in slices that shrink as languages grow. Nulls, empty and repeated rows: rows without a
 language or text teach nothing; a text that is null or has no letter is ``und`` with score 0,
 as is every text if nothing was learned. Of equal shares the first language in order counts.
 """
@@ -31,6 +32,9 @@ PENALTY = 0.02
 STEPS = 30
 CLOSE = 1e-3
 UNKNOWN = "und"
+MOST_LANGUAGES = 500
+#: Bytes of text that are worked on at once, for up to 8 languages; fewer for more.
+SLICE_BYTES, SLICE_LANGUAGES = 2 << 20, 8
 
 #: Lower-case letters and every byte of characters beyond ASCII.
 LETTER = arrays.byte_class("abcdefghijklmnopqrstuvwxyz")
@@ -68,7 +72,7 @@ class Grams:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
-    for batch, texts in arrays.slices(batches, "text"):
+    for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
         names, own = np.unique(np.array(batch.column("lang").to_pylist(), dtype=object), return_inverse=True)
         grams = Grams(texts)
         cell = own[grams.text_of_grams()] * BUCKETS + grams.bucket
@@ -93,10 +97,14 @@ class Model:
 def learn(labelled: DataFrame) -> Model:
     """Count the trigrams of all texts (columns lang and text) by language."""
     prepare(labelled.sparkSession)
+    rows = labelled.filter("lang is not null and text is not null").select(
+        F.col("lang").cast("string"), F.col("text").cast("string")
+    )
+    many = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
+    if many > MOST_LANGUAGES:
+        raise ValueError(f"the column lang has more than {MOST_LANGUAGES} values")
     found = (
-        labelled.filter("lang is not null and text is not null")
-        .select(F.col("lang").cast("string"), F.col("text").cast("string"))
-        .mapInArrow(_counts, "lang string, bucket long, n long")
+        rows.mapInArrow(_counts, "lang string, bucket long, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .toArrow()
@@ -177,7 +185,8 @@ def infer(grams: Grams, model: Model) -> tuple[np.ndarray, np.ndarray]:
 def _predictions(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = model.value.languages
-        for batch, texts in arrays.slices(batches, "text"):
+        limit = SLICE_BYTES * SLICE_LANGUAGES // max(SLICE_LANGUAGES, len(languages))
+        for batch, texts in arrays.slices(batches, "text", limit):
             shares, size = infer(Grams(texts), model.value)
             known = (size > 0) & bool(languages)
             for row in np.flatnonzero(known):

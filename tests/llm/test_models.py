@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +55,31 @@ def test_nothing_learned(spark, documents):
     assert langid.predict(documents([]), empty).count() == 0
 
 
+def test_many_languages(spark, documents, monkeypatch):
+    """Two hundred languages take no more memory at once than a few; a column of other values is refused."""
+    draw = random.Random(6)
+    letters = [chr(c) for c in range(0x400, 0x460)]
+    rows = []
+    for n in range(200):
+        own = draw.sample(letters, 6)
+        rows += [(f"l{n:03d}", " ".join("".join(draw.choices(own, k=5)) for _ in range(40))) for _ in range(2)]
+    model = langid.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model.languages) == 200
+    found = langid.predict(documents([(i, text) for i, (_, text) in enumerate(rows)]), model).collect()
+    assert sum(r.lang_pred == rows[r.doc_id][0] for r in found) > 390
+    long = " ".join(text for _, text in rows[:2]) * 40
+    texts = [long] * 30
+    tracemalloc.start()
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    shared = type("Shared", (), {"value": model})
+    list(langid._predictions(shared)([batch]))
+    assert tracemalloc.get_traced_memory()[1] < 600 << 20
+    tracemalloc.stop()
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 199)
+    with pytest.raises(ValueError, match="more than 199"):
+        langid.learn(spark.createDataFrame(rows, "lang string, text string"))
+
+
 def test_language_accuracy_on_held_out_texts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     found = langid.predict(docs, langid.learn(docs.filter(fold_number() != 1)))
