@@ -6,9 +6,9 @@ tokens that two sets share with a probability of their Jaccard similarity.
 
 1. Split: a node of the tree samples signature places by a hash of its path; its sets go to one
    child for each sampled place and value. Buckets of one set end, buckets up to a bound are
-   searched, larger ones are split again, down to a greatest depth.
-2. Search: all signatures of a bucket are compared, those of buckets that stay large in pairs of
-   blocks. A task gives the links of its sets to the least one of their local component, so no
+   searched, larger ones are split again, as long as there are any whose sets are not alike. More levels cost a
+   pair at the threshold no recall beyond a limit that the number of runs takes into account.
+2. Search: all signatures of a bucket are compared. A task gives the links of its sets to the least one of their local component, so no
    more rows than it has sets. Large buckets whose sets are alike would not be divided by more
    tokens; they are linked as a whole, and all their pairs are left to the verification.
 3. Runs: as many trees as bring a pair at the threshold to the target recall.
@@ -37,9 +37,8 @@ from quayside.llm.graph import components
 SHINGLE = 5
 THRESHOLD = 0.8
 PLACES = 64
-#: Sampled places for each node of a tree, and the depth at which large buckets are searched.
+#: Sampled places for each node of a tree.
 BRANCHES = 2.0
-DEPTH = 4
 RECALL = 0.9999
 #: Sets of a bucket that are compared at once; larger buckets are searched in blocks of this size.
 BUCKET = 400
@@ -56,11 +55,17 @@ U64 = arrays.U64
 SHINGLES_SCHEMA = "doc_id long, text_hash long, low long, high long, shingles long, signature binary"
 
 
-def runs_needed(threshold: float, recall: float, branches: float = BRANCHES, depth: int = DEPTH) -> int:
-    """Trees after which a pair at the threshold has met with the probability asked for."""
-    meets = 1.0
-    for _ in range(depth):
-        meets = 1.0 - math.exp(-branches * threshold * meets)
+def runs_needed(threshold: float, recall: float, branches: float = BRANCHES) -> int:
+    """Trees, however deep, after which a pair at the threshold has met with the probability asked for.
+
+    A pair stays together in some child with 1 - exp(-branches * threshold * m), m being the same for a
+    level less. That falls to a limit above 0 if branches * threshold is more than 1.
+    """
+    if branches * threshold <= 1.0:
+        raise ValueError("deep trees need more branches for that threshold")
+    meets, last = 1.0, 2.0
+    while last - meets > 1e-9:
+        meets, last = 1.0 - math.exp(-branches * threshold * meets), meets
     return max(1, math.ceil(math.log(1.0 - recall) / math.log(1.0 - meets)))
 
 
@@ -204,13 +209,13 @@ def _dense(large: DataFrame, places: int) -> DataFrame:
 
 
 def _buckets(
-    sets: DataFrame, branches: float, runs: int, places: int, depth: int, bucket: int
+    sets: DataFrame, branches: float, runs: int, places: int, bucket: int
 ) -> tuple[DataFrame, DataFrame]:
     """Rows (bucket, node, members) of the buckets to be searched, and links (u, v) of dense ones."""
     children = _children(branches, runs, places)
     rows = sets.select("node", "signature").mapInArrow(children, "bucket long, node long")
     leaves = links = None
-    for level in range(1, depth + 1):
+    while True:
         rows = stored(rows, "paths")
         shared = stored(
             rows.groupBy("bucket")
@@ -232,12 +237,10 @@ def _buckets(
         stars = large.join(dense, "bucket").select(F.col("node").alias("u"), F.col("least").alias("v"))
         links = stars if links is None else links.unionByName(stars)
         ends = counted.filter(F.col("members") <= bucket).drop("least")
-        sparse = large.join(dense, "bucket", "left_anti")
-        if level == depth:
-            ends = ends.unionByName(sparse.select("bucket", "node", "members"))
         leaves = ends if leaves is None else leaves.unionByName(ends)
+        # Sets of which fewer than half agree in a place are divided by each further level.
+        sparse = large.join(dense, "bucket", "left_anti")
         rows = sparse.mapInArrow(children, "bucket long, node long")
-    return leaves, links
 
 
 def _blocked(rows: DataFrame, group: str, key: str, bucket: int) -> DataFrame:
@@ -430,7 +433,9 @@ def _links(threshold: float):
 
 
 def _by_part(rows: DataFrame) -> DataFrame:
-    return rows.repartition("part").sortWithinPartitions("part")
+    # With a number of its own, as comparing takes much longer than the bytes of a partition tell.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "part").sortWithinPartitions("part")
 
 
 def near_duplicates(
@@ -440,7 +445,6 @@ def near_duplicates(
     recall: float = RECALL,
     places: int = PLACES,
     branches: float = BRANCHES,
-    depth: int = DEPTH,
     bucket: int = BUCKET,
 ) -> DataFrame:
     """Classes of documents whose shingle sets have a Jaccard similarity at the threshold or above.
@@ -465,8 +469,8 @@ def near_duplicates(
         ),
         "sets",
     ).withColumn("node", F.col("low"))
-    runs = runs_needed(threshold, recall, branches, depth)
-    leaves, links = _buckets(sets, branches, runs, places, depth, bucket)
+    runs = runs_needed(threshold, recall, branches)
+    leaves, links = _buckets(sets, branches, runs, places, bucket)
     searched = _blocked(leaves, "bucket", "node", bucket).drop("bucket")
     edges = _by_part(searched.join(sets.select("node", "signature"), "node")).mapInArrow(
         _alike(threshold - SLACK), "u long, v long"

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from quayside.llm import jaccard as J
 from quayside.llm.graph import components
@@ -92,6 +94,27 @@ def test_empty_table(documents):
 
 def test_runs_reach_the_recall():
     assert J.runs_needed(0.8, 0.9999) > J.runs_needed(0.8, 0.99) >= 1
+    with pytest.raises(ValueError):
+        J.runs_needed(0.4, 0.99)
+
+
+def test_large_buckets_are_split_until_they_are_small(documents, spark, monkeypatch):
+    """Sets that share a third of their shingles with all others fall apart in deep trees; no bucket is searched in blocks."""
+    draw = random.Random(12)
+    common = [f"c{i}" for i in range(60)]
+    docs = [(i, " ".join(common + [f"w{draw.randrange(10**6)}" for _ in range(60)])) for i in range(400)]
+    docs += [(1000 + i, docs[i][1] + " end") for i in range(0, 400, 9)]
+    sizes = []
+    blocked = J._blocked
+
+    def seen(rows, group, key, bucket):
+        if group == "bucket":
+            sizes.append(rows.groupBy("bucket").count().agg({"count": "max"}).first()[0])
+        return blocked(rows, group, key, bucket)
+
+    monkeypatch.setattr(J, "_blocked", seen)
+    assert found(documents(docs), bucket=12) == brute(docs)
+    assert sizes[0] <= 12
 
 
 def test_intersections():
@@ -114,3 +137,23 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {r.node: r.root for r in got} == classes(edges, nodes) and len(got) == len(nodes)
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_all_pairs_of_the_given_documents(spark):
+    """On 1,000 given documents every pair at the threshold is found, with the right classes and numbers of links.
+
+    Pairs are counted by the shingles they share, so all of them are known.
+    """
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    sets = [shingles(text) for _, text in docs]
+    holders = {}
+    for i, own in enumerate(sets):
+        for shingle in own:
+            holders.setdefault(shingle, []).append(i)
+    both = Counter(pair for own in holders.values() for pair in combinations(own, 2))
+    links = [(a, b) for (a, b), n in both.items() if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    count = Counter(x for link in links for x in link)
+    group = classes([(docs[a][0], docs[b][0]) for a, b in links], [i for i, _ in docs])
+    want = sorted(((i, group[i], count[x]) for x, (i, _) in enumerate(docs)), key=repr)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert len(links) > 50 and found(frame) == want

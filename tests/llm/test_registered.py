@@ -108,3 +108,30 @@ def test_language_stage_without_languages(spark):
         assert sorted(map(tuple, stage(spark, docs, SF).collect())) == [
             (1, "a text", None, "s", 1), (2, "дом", None, "s", 1)
         ]
+
+
+CLASHING = ["base", "spans", "gaps", "seen", "_doc_id", "_text_hash", "id", "hash", "maybe", "own", "row", "score"]
+CLASHING += ["lang_pred", "mixture", "decoded", "text_hash", "class_id", "n_hit", "shingles", "place", "a.b", "Row"]
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_stages_keep_columns_of_any_name(spark, monkeypatch, broadcast):
+    """With the names that stages use themselves, and with joins that are too large to be broadcast."""
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", broadcast)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    more = docs.selectExpr("*", *(f"concat('{n}', doc_id) as `{n}`" for n in CLASHING if n != "Row"))
+    for name, stage in corpus_pipeline.STAGES:
+        want = stage(spark, docs, SF)
+        got = stage(spark, more, SF)
+        assert got.columns[: len(more.columns)] == more.columns, name
+        assert sorted(map(tuple, got.select(want.columns).collect()), key=repr) == sorted(
+            map(tuple, want.collect()), key=repr
+        ), name
+        for row in got.select("doc_id", *(f"`{n}`" for n in CLASHING if n != "Row")).collect():
+            assert list(row[1:]) == [f"{n}{row.doc_id}" for n in CLASHING if n != "Row"], name
+
+
+def test_last_stage_replaces_its_own_columns(spark):
+    docs = spark.createDataFrame([(1, "a text", "x", "y")], "doc_id long, text string, ids string, n_pieces string")
+    row = dict(corpus_pipeline.STAGES)["SentencePiece encoding and decoding"](spark, docs, SF).first()
+    assert row.n_pieces == len(row.ids) > 0 and row.round_trip and len(row) == 5
