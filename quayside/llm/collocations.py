@@ -45,7 +45,7 @@ SCORE_UNIT = 2_000_000
 BREAK = arrays.byte_class(".,;:!?\x0a\x0b\x0c\x0d")
 IN_WORD = ~(BREAK | arrays.byte_class(" \t"))
 #: Texts of a slice are counted together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 class Phrases:
@@ -78,7 +78,7 @@ class Phrases:
 
 
 MINED_SCHEMA = "lang_key long, shard int, phrase long, n long"
-COUNTED_SCHEMA = "lang string, size int, phrase string, n long"
+COUNTED_SCHEMA = "lang_key long, phrase string, n long"
 
 
 def _mined(size: int, shared, n_bits: int):
@@ -136,12 +136,11 @@ def _counted(shared, n_bits: list[int]):
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("lang").take(pa.array(found.row[at])),
-                        pa.array(np.full(len(at), size, dtype=np.int32)),
+                        batch.column("lang_key").take(pa.array(found.row[at])),
                         pa.array(phrases, pa.binary()).cast(pa.string()),
                         pa.array(np.diff(np.append(first, len(key)))),
                     ],
-                    ["lang", "size", "phrase", "n"],
+                    ["lang_key", "phrase", "n"],
                 )
 
     return run
@@ -184,13 +183,16 @@ def frequent_phrases(
         shared = spark.sparkContext.broadcast(tables[-1][0])
     known = spark.sparkContext.broadcast([words for words, _ in tables])
     counts = (
-        docs.select("lang", "lang_key", "text")
+        docs.select("lang_key", "text")
         .mapInArrow(_counted(known, [bits for _, bits in tables]), COUNTED_SCHEMA)
-        .groupBy("lang", "size", "phrase")
+        .groupBy("lang_key", "phrase")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= support)
     )
-    return counts, needed
+    # Words have no space, so the spaces of a phrase tell their number.
+    size = (F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1).alias("size")
+    names = docs.select("lang_key", "lang").distinct()
+    return counts.join(names, "lang_key").select("lang", size, "phrase", "n"), needed
 
 
 def _local_support(words: DataFrame, support: int) -> DataFrame:
