@@ -99,6 +99,40 @@ def slices(
             yield piece, Texts(piece.column(column))
 
 
+def parts(texts: Texts, limit: int, at: np.ndarray) -> Iterator[tuple[Texts, np.ndarray]]:
+    """The texts in parts of about ``limit`` bytes, and which text each piece of a part is of.
+
+    Longer texts are cut before bytes of the class ``at``, at places that depend on the text alone; a stretch without
+    such a byte stays whole.
+    """
+    begin, owner = [], []
+    for row in range(len(texts)):
+        place, end = int(texts.at[row]), int(texts.at[row + 1])
+        begin.append(place)
+        owner.append(row)
+        while end - place > limit:
+            # The last place within the limit, else the next one beyond.
+            window = np.flatnonzero(at[texts.bytes[place + 1 : place + limit]])
+            step = int(window[-1]) + 1 if len(window) else 0
+            ahead = place + limit
+            while not step and ahead < end:
+                window = np.flatnonzero(at[texts.bytes[ahead : min(ahead + limit, end)]])
+                step = ahead - place + int(window[0]) if len(window) else 0
+                ahead += limit
+            if not step:
+                break
+            place += step
+            begin.append(place)
+            owner.append(row)
+    bounds, owner = np.array([*begin, int(texts.at[-1])], dtype=np.int64), np.array(owner, dtype=np.int64)
+    group = (np.cumsum(np.diff(bounds)) - np.diff(bounds)) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(owner)]
+    for a, b in zip(cuts, cuts[1:]):
+        part = Texts.__new__(Texts)
+        part.bytes, part.at = texts.bytes[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+        yield part, owner[a:b]
+
+
 class Words:
     """Words of texts: where they stand, a hash of each, and which text has which."""
 

@@ -9,7 +9,8 @@ id; each has at most 2**16 different features). The balance of the classes is pu
 afterwards from the counts of all labels.
 
 As the layer is linear, a feature's vector times the layer is one number, so scoring a text looks
-up and averages numbers; whole texts are scored.
+up and averages numbers; whole texts are scored. Texts of more than SLICE_BYTES are worked on in pieces, cut at white
+space at places that depend on the text alone; a pair of words across a cut is no feature.
 
 Nulls, empty and repeated rows: a text without words gets the score of the classes' balance. Rows with
 contradictory labels, null labels or null ids teach nothing. Without both classes, the score is
@@ -40,6 +41,7 @@ SEED = 7
 SPACE = 32
 #: Features take about a hundred bytes of memory for each byte of text.
 SLICE_BYTES = 1 << 20
+WHITE = ~arrays.VISIBLE
 
 U64 = arrays.U64
 
@@ -84,9 +86,15 @@ class Features:
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets and shares of features per text."""
     for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
-        found = Features(texts)
-        cell = np.concatenate([owner * BUCKETS + bucket for owner, bucket in found.kinds])
-        cell, n = np.unique(cell, return_counts=True)
+        cells, counts = [], []
+        for part, of in arrays.parts(texts, SLICE_BYTES, WHITE):
+            found = Features(part)
+            cell = np.concatenate([of[owner] * BUCKETS + bucket for owner, bucket in found.kinds])
+            cell, n = np.unique(cell, return_counts=True)
+            cells.append(cell)
+            counts.append(n)
+        cell, place = np.unique(np.concatenate(cells), return_inverse=True)
+        n = np.bincount(place, np.concatenate(counts), minlength=len(cell)).astype(np.int64)
         ends = np.searchsorted(cell, np.arange(len(texts) + 1) * BUCKETS)
         parts = [slice(a, b) for a, b in zip(ends, ends[1:])]
         yield pa.RecordBatch.from_arrays(
@@ -193,9 +201,10 @@ def _scores(model):
         weights = model.value.weights.astype(np.float64)
         for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
             total, n = np.zeros(len(texts)), np.zeros(len(texts))
-            for owner, bucket in Features(texts).kinds:
-                total += np.bincount(owner, weights[bucket], minlength=len(texts))
-                n += np.bincount(owner, minlength=len(texts))
+            for part, of in arrays.parts(texts, SLICE_BYTES, WHITE):
+                for owner, bucket in Features(part).kinds:
+                    total += np.bincount(of[owner], weights[bucket], minlength=len(texts))
+                    n += np.bincount(of[owner], minlength=len(texts))
             logit = model.value.prior + total / np.maximum(n, 1)
             score = 1.0 / (1.0 + np.exp(-logit.clip(-500, 500)))
             yield pa.RecordBatch.from_arrays(

@@ -4,11 +4,12 @@ import random
 import tracemalloc
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.llm import langid, quality
+from quayside.llm import arrays, langid, quality
 from quayside.llm.common import fold_number
 
 SF = "/root/testdata/sf0.01"
@@ -106,3 +107,42 @@ def test_quality_edges(spark, documents):
     none = quality.learn(docs, labels.filter("label > 5"))
     assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
     assert quality.score(documents([]), none).count() == 0
+
+
+def test_parts_of_long_texts():
+    draw = random.Random(3)
+    rows = ["", "a b", "x" * 50, "ab " * 30, "é " * 9 + "y" * 40 + " z" * 20, None, "end"]
+    rows += ["".join(draw.choice("ab \n") for _ in range(draw.randrange(80))) for _ in range(60)]
+    texts = arrays.Texts(pa.array(rows, pa.string()))
+    white = ~arrays.VISIBLE
+    found = [(part, of) for part, of in arrays.parts(texts, 16, white)]
+    joined = {}
+    for part, of in found:
+        for i, row in enumerate(of):
+            piece = part.raw(i)
+            assert len(piece) <= 16 or not any(white[b] for b in piece[1:16])
+            joined[row] = joined.get(row, b"") + piece
+    assert [joined[i].decode() for i in range(len(rows))] == [t or "" for t in rows]
+
+
+def test_quality_of_a_very_long_text(spark):
+    """Twenty megabytes are scored in pieces, with the memory of a piece."""
+    draw = random.Random(9)
+    weights = np.random.default_rng(2).standard_normal(quality.BUCKETS)
+    shared = type("Shared", (), {"value": quality.Model(weights, 0.0)})
+    words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 9))) for _ in range(5000)]
+    long = " ".join(draw.choices(words, k=3_300_000))
+    assert len(long) > 18 << 20
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([long, long[: 1 << 19], None, ""])})
+    tracemalloc.start()
+    (first, *_), = [list(b.column("score").to_pylist() for b in quality._scores(shared)([batch]))]
+    assert tracemalloc.get_traced_memory()[1] < 700 << 20
+    tracemalloc.stop()
+    # The average over the whole text, but for the pairs at cuts.
+    texts = arrays.Texts(pa.array([long[: 3 << 20]]))
+    total = n = 0
+    for owner, bucket in quality.Features(texts).kinds:
+        total, n = total + weights[bucket].sum(), n + len(bucket)
+    logit = np.log(first[0] / (1 - first[0])) if 0 < first[0] < 1 else None
+    cut = [s for b in quality._scores(shared)([pa.RecordBatch.from_pydict({"text": pa.array([long[: 3 << 20]])})]) for s in b.column("score").to_pylist()]
+    assert abs(np.log(cut[0] / (1 - cut[0])) - total / n) < 1e-4 and logit is not None
