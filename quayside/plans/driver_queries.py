@@ -20,6 +20,7 @@ from quayside.operators import metadata as M
 from quayside.operators import outcomes as O
 from quayside.operators import provisioning as P
 from quayside.operators import requests as R
+from quayside.operators.log_index import index_files, search_words
 from quayside.plans.copy_job import copy_objects
 from quayside.plans.transfer import run_transfers
 from quayside.session import configure, scratch_dir
@@ -543,6 +544,35 @@ def q_log_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("timestamp", _naive("timestamp"))
 
 
+@query("""
+SELECT ts AS timestamp, 'pod-' || user_id AS pod, event_type AS container, 'ROOT' AS logger,
+       'INFO' AS level, event_type || ' ' || props AS message
+FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-03 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00'
+  AND event_type = 'purchase' AND list_contains(regexp_extract_all(lower(props), '[0-9a-z_]+'), '42')
+""")
+def q_log_word_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of two words in a stored log, found through the index; the files of the last dates are not indexed."""
+    root = scratch_dir(spark, "log-index")
+    events = _table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        _id("pod-", "user_id").alias("pod"),
+        F.col("event_type").alias("container"),
+        F.lit(L.ROOT_LOGGER).alias("logger"),
+        F.lit(L.STDOUT_LEVEL).alias("level"),
+        F.concat_ws(" ", "event_type", "props").alias("message"),
+        F.to_date("ts").alias("log_date"),
+    )
+    early = F.col("log_date") < F.lit("2024-01-15").cast("date")
+    events.where(early).write.partitionBy("log_date").parquet(f"{root}/store")
+    index_files(spark, f"{root}/store", f"{root}/index")
+    events.where(~early).write.partitionBy("log_date").mode("append").parquet(f"{root}/store")
+    found = search_words(
+        spark, f"{root}/store", f"{root}/index", "42 Purchase", "2024-01-03 06:00:00", "2024-01-20 18:30:00"
+    )
+    return found.withColumn("timestamp", _naive("timestamp"))
+
+
 # ---------------------------------------------------------------- metadata
 
 
