@@ -54,9 +54,9 @@ class Phrases:
     def __init__(self, texts: arrays.Texts, group: np.ndarray):
         self.words = words = arrays.Words(texts, IN_WORD, lower=True)
         count = len(words)
-        breaks = np.concatenate([[0], np.cumsum(BREAK[texts.bytes])])
+        breaks = np.flatnonzero(BREAK[texts.bytes])
         ends = np.ones(count, dtype=bool)
-        ends[:-1] = breaks[words.end[:-1]] != breaks[words.start[1:]]
+        ends[:-1] = np.searchsorted(breaks, words.end[:-1]) != np.searchsorted(breaks, words.start[1:])
         ends[words.first[1:][np.diff(words.first) > 0] - 1] = True
         stop = np.flatnonzero(ends)
         self.left = stop[np.searchsorted(stop, np.arange(count))] + 1 - np.arange(count)
