@@ -403,16 +403,57 @@ def _tools(vocabulary) -> tuple[Encoder, Decoder]:
     return _ready[id(vocabulary)]
 
 
+def pieces_of(text: str, limit: int, v: Vocabulary) -> list[str]:
+    """A long text cut at single spaces that no piece of the vocabulary spans, the space left out.
+
+    Encoding puts a space before each, so their ids follow each other as those of the text do. A stretch
+    without such a space stays whole.
+    """
+    mark = v.codes[ord(MARK)]
+
+    def ends(at: int) -> bool:
+        last = text[at - 1]
+        return last != " " and at + 1 < len(text) and not v.spanned[v.codes[ord(last)], mark]
+
+    out, begin = [], 0
+    while len(text) - begin > limit:
+        at = text.rfind(" ", begin + 1, begin + limit)
+        while at > 0 and not ends(at):
+            at = text.rfind(" ", begin + 1, at)
+        if at < 0:
+            at = text.find(" ", begin + limit)
+            while at > 0 and not ends(at):
+                at = text.find(" ", at + 1)
+        if at < 0:
+            break
+        out.append(text[begin:at])
+        begin = at + 1
+    return [*out, text[begin:]]
+
+
+def _each(encoder: Encoder, decoder: Decoder, texts: list[str], and_decode: bool):
+    """Ids, where each text's begin, and the decoded texts; of a single long text piece by piece."""
+    if len(texts) > 1 or len(texts[0]) <= SLICE_BYTES:
+        ids, bounds = encoder.encode(texts)
+        return ids, bounds, decoder.decode(ids, bounds) if and_decode else None
+    found, back = [], []
+    for piece in pieces_of(texts[0], SLICE_BYTES, encoder.v):
+        ids, bounds = encoder.encode([piece])
+        found.append(ids)
+        back += decoder.decode(ids, bounds) if and_decode else []
+    ids = np.concatenate(found)
+    return ids, np.array([0, len(ids)]), [" ".join(back)] if and_decode else None
+
+
 def _encoded(vocabulary, and_decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _tools(vocabulary.value)
         for batch, _ in arrays.slices(batches, "text", SLICE_BYTES):
             texts = batch.column("text")
             none = texts.is_null()
-            ids, bounds = encoder.encode(texts.fill_null("").to_pylist())
+            ids, bounds, back = _each(encoder, decoder, texts.fill_null("").to_pylist(), and_decode)
             added = {"ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids), mask=none)}
             if and_decode:
-                back = decoder.decode(ids, bounds)
                 added["decoded"] = pa.array(back, pa.string(), mask=none.to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in batch.schema.names), *added.values()],

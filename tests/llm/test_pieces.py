@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import os
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -66,3 +68,35 @@ def test_rows(documents, vocabulary, library):
     both = P.encode(documents(docs), vocabulary, and_decode=True).collect()
     assert sorted(map(repr, both)) == sorted(map(repr, rows))
     assert P.decode(P.encode(documents([]), vocabulary), vocabulary).count() == 0
+
+
+def test_long_texts_are_cut_where_no_piece_spans(vocabulary, library):
+    """Pieces of a text have the ids that the text has, and joined they are the text again."""
+    draw = random.Random(11)
+    encoder, decoder = P.Encoder(vocabulary), P.Decoder(vocabulary)
+    alphabet = "ab cdethe inon éñ漢  \n\t.,1  "
+    made = ["".join(draw.choice(alphabet) for _ in range(draw.randint(30, 400))) for _ in range(300)]
+    made += [" " * 80, "x" * 80, "a " * 60, "word  " * 30, "a" * 50 + " " * 50 + "b" * 50, "end " * 20]
+    for text in made:
+        parts = P.pieces_of(text, 16, vocabulary)
+        assert " ".join(parts) == text
+        ids = [i for part in parts for i in encoder.encode([part])[0].tolist()]
+        assert ids == library.encode(text)
+    assert max(len(part) for part in P.pieces_of("some words " * 100, 16, vocabulary)) <= 16
+
+
+def test_very_long_text(vocabulary, library):
+    """Twenty megabytes are encoded with the memory of a piece and of the ids."""
+    draw = random.Random(4)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 9))) for _ in range(5000)]
+    text = " ".join(draw.choices(words, k=3_400_000))
+    assert len(text) > 18 << 20
+    shared = type("Shared", (), {"value": vocabulary})
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([text, "short", None])})
+    P._tools(vocabulary)
+    tracemalloc.start()
+    rows = [row for b in P._encoded(shared, True)([batch]) for row in b.to_pylist()]
+    assert tracemalloc.get_traced_memory()[1] < 600 << 20
+    tracemalloc.stop()
+    assert rows[0]["decoded"] == text and rows[0]["ids"][:20_000] == library.encode(text[:200_000])[:20_000]
+    assert rows[1]["decoded"] == "short" and rows[2]["ids"] is None and rows[2]["decoded"] is None
