@@ -133,14 +133,14 @@ def label(events: DataFrame, deployment: Deployment) -> DataFrame:
 
 
 def label_by(
-    events: DataFrame, deployments: DataFrame, on: str, salted: bool = False
+    events: DataFrame, deployments: DataFrame, on: str, salted: bool = False, hot: list | None = None
 ) -> DataFrame:
     """Add the labels of many deployments, found by the key of the source.
 
-    ``salted`` spreads the events of each key; see ``lookup_join``.
+    ``salted`` spreads the events of hot keys, of streams those in ``hot``; see ``lookup_join``.
     """
     labels = deployments.select(on, "namespace", "cluster", "role", "roleGroup")
-    return lookup_join(events, labels, on, salted=salted)
+    return lookup_join(events, labels, on, salted=salted, hot=hot)
 
 
 def as_log_events(events: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ it pays where one key would keep a single task busy for long.
 Let K be the number of shuffle partitions. A key is hot when it holds more than 1/K of the
 rows, so there are fewer than K hot keys. A hot key gets four salts per 1/K of the rows, so its
 rows fall into pieces of a quarter of an average partition, and a lookup table with unique keys
-grows by at most 5 K rows. A stream cannot be measured: each of its keys gets as many salts as
-there are shuffle partitions.
+grows by at most 5 K rows. A stream cannot be measured: its hot keys are given, and each of them gets as many
+salts as there are shuffle partitions. Only their lookup rows are repeated.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SALTS_PER_PARTITION = 4
 # Bounds of Spark's sketch: keys that it returns, and items that it follows.
@@ -85,16 +86,23 @@ def salted_join(
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
 
-def _evenly_salted_join(
-    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
+def _spread_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, hot: Sequence
 ) -> DataFrame:
-    """Join of a stream, whose hot keys are not known beforehand: every key is spread."""
-    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Join of a stream, whose hot keys are named: rows of these are spread over all partitions."""
+    spark = rows.sparkSession
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    named = [key if isinstance(key, tuple) else (key,) for key in hot]
+    kinds = [lookup.schema[key] for key in on]
+    hashes = [row[0] for row in spark.createDataFrame(named, T.StructType(kinds)).select(_key_hash(on)).collect()]
+    is_hot = _key_hash(on).isin(hashes)
     plain = [F.col(f"`{name}`") for name, kind in rows.dtypes if "map<" not in kind]
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))
-    left = rows.withColumn(_SALT, F.pmod(F.xxhash64(*plain), F.lit(spread).cast("long")))
-    right = lookup.withColumn(_SALT, F.explode(salts))
-    return left.join(right, [*on, _SALT], how).drop(_SALT)
+    first = F.lit(0).cast("long")
+    left = rows.withColumn(
+        _SALT, F.when(is_hot, F.pmod(F.xxhash64(*plain), F.lit(spread).cast("long"))).otherwise(first)
+    )
+    every = F.when(is_hot, F.sequence(first, F.lit(spread - 1).cast("long"))).otherwise(F.array(first))
+    return left.join(lookup.withColumn(_SALT, F.explode(every)), [*on, _SALT], how).drop(_SALT)
 
 
 def lookup_join(
@@ -103,15 +111,17 @@ def lookup_join(
     on: str | Sequence[str],
     how: str = "left",
     salted: bool = False,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` on equally named columns.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``hot`` are the hot keys of a stream (tuples
+    for several columns); without them a stream is joined plainly.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not salted:
         return rows.join(lookup, keys, how)
     if rows.isStreaming:
-        return _evenly_salted_join(rows, lookup, keys, how)
+        return _spread_join(rows, lookup, keys, how, hot) if hot else rows.join(lookup, keys, how)
     salts = hot_keys(rows, keys)
     return salted_join(rows, lookup, keys, how, salts) if salts else rows.join(lookup, keys, how)

@@ -151,8 +151,8 @@ def test_copies_in_one_batch(spark, tmp_path):
     assert LS.file_lines(batch).count() == 2
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_stream_is_labelled_from_a_large_table(spark, tmp_path, rows, salted):
+@pytest.mark.parametrize("salted, hot", [(False, None), (True, None), (True, ["hot", "unknown"])])
+def test_stream_is_labelled_from_a_large_table(spark, tmp_path, rows, salted, hot):
     """Without broadcasts, while a third of the lines come from one source."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     root = str(tmp_path / "logs")
@@ -166,7 +166,7 @@ def test_stream_is_labelled_from_a_large_table(spark, tmp_path, rows, salted):
 
     def labelled(streaming):
         lines = LS.read_lines(spark, f"{root}/*", LS.STDOUT_FILES, streaming)
-        return L.label_by(L.split_path(lines, root), deployments, "container", salted=salted)
+        return L.label_by(L.split_path(lines, root), deployments, "container", salted=salted, hot=hot)
 
     try:
         query = (
