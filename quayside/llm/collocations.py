@@ -44,7 +44,7 @@ SCORE_UNIT = 2_000_000
 #: Characters that end a piece, and all that end a word.
 BREAK = arrays.byte_class(".,;:!?\x0a\x0b\x0c\x0d")
 IN_WORD = ~(BREAK | arrays.byte_class(" \t"))
-#: Texts of a slice are counted together.
+#: Texts of a slice are counted together. No phrase goes beyond a piece, so longer texts are cut between pieces.
 SLICE_BYTES = 4 << 20
 
 
@@ -77,6 +77,14 @@ class Phrases:
         return start
 
 
+def _parts(batches: Iterator[pa.RecordBatch], *columns: str):
+    """Texts of a slice, long ones cut where pieces end, and the values of columns for each."""
+    for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
+        values = [batch.column(c).to_numpy() for c in columns]
+        for part, of in arrays.parts(texts, SLICE_BYTES, BREAK):
+            yield part, *(own[of] for own in values)
+
+
 MINED_SCHEMA = "lang_key long, shard int, phrase long, n long"
 COUNTED_SCHEMA = "lang_key long, phrase string, n long"
 
@@ -86,8 +94,7 @@ def _mined(size: int, shared, n_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shorter = arrays.Bits(shared.value, n_bits) if shared is not None else None
-        for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
-            group, shard = (batch.column(c).to_numpy() for c in ("lang_key", "shard"))
+        for texts, group, shard in _parts(batches, "lang_key", "shard"):
             found = Phrases(texts, group)
             start = found.likely(size, shorter)
             key, of_shard = found.keys(start, size), shard[found.row[start]]
@@ -114,8 +121,8 @@ def _counted(shared, n_bits: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [arrays.Bits(words, bits) for words, bits in zip(shared.value, n_bits)]
-        for batch, texts in arrays.slices(batches, "text", SLICE_BYTES):
-            found = Phrases(texts, batch.column("lang_key").to_numpy())
+        for texts, group in _parts(batches, "lang_key"):
+            found = Phrases(texts, group)
             second = arrays.Runs(found.words.hash, seed=1)
             data, begin, end = arrays.spaced(found.words)
             view = memoryview(data.tobytes())
@@ -136,7 +143,7 @@ def _counted(shared, n_bits: list[int]):
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("lang_key").take(pa.array(found.row[at])),
+                        pa.array(group[found.row[at]]),
                         pa.array(phrases, pa.binary()).cast(pa.string()),
                         pa.array(np.diff(np.append(first, len(key)))),
                     ],

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from quayside.llm import collocations
@@ -97,3 +98,23 @@ def test_exact_beyond_64_bits(spark):
     )
     row = collocations._rated(counts).first()
     assert row.score == 2_000_000 * 9 * 10**15 // (18 * 10**15 + 6)
+
+
+def test_long_texts_are_cut_between_pieces(monkeypatch):
+    """Counts of a text do not depend on the bytes that are worked on at once."""
+    draw = random.Random(8)
+    texts = ["".join(draw.choice(["ab ", "c ", "de", ". ", ", ", "é ", "\n"]) for _ in range(400)) for _ in range(5)]
+    texts += [None, "", "no end of a piece " * 9]
+    batch = pa.RecordBatch.from_pydict(
+        {"text": pa.array(texts, pa.string()), "lang_key": list(range(8)), "shard": pa.array([0, 1] * 4, pa.int32())}
+    )
+    found = []
+    for limit in (1 << 20, 40):
+        monkeypatch.setattr(collocations, "SLICE_BYTES", limit)
+        for size in (1, 3):
+            counts = Counter()
+            for out in collocations._mined(size, None, 0)([batch]):
+                for row in out.to_pylist():
+                    counts[row["lang_key"], row["shard"], row["phrase"]] += row["n"]
+            found.append(counts)
+    assert found[0] == found[2] and found[1] == found[3] and len(found[1]) > 50
