@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.session import scratch_dir, ship_package
 
@@ -70,6 +71,11 @@ def lookup(rows: DataFrame, label: str, most: int = BROADCAST_ROWS) -> DataFrame
     return F.broadcast(rows) if rows.count() <= most else rows
 
 
+def schema_with(rows: DataFrame, added: str) -> T.StructType:
+    """The schema of the rows and further fields (as DDL), whatever the names in it."""
+    return T.StructType([*rows.schema, *T._parse_datatype_string(added)])
+
+
 def free_names(taken: list[str], *wanted: str) -> list[str]:
     """Names for work columns that no given column has, whatever its case."""
     known = {name.lower() for name in taken}

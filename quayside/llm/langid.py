@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import arrays
-from quayside.llm.common import prepare
+from quayside.llm.common import prepare, schema_with
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -227,6 +227,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.drop(*ADDED).withColumn("text", F.col("text").cast("string"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    schema += ", lang_pred string, score double, mixture array<struct<lang:string,share:double>>"
+    schema = schema_with(docs, "lang_pred string, score double, mixture array<struct<lang:string,share:double>>")
     return docs.mapInArrow(_predictions(spark.sparkContext.broadcast(model)), schema)

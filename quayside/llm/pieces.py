@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import arrays
-from quayside.llm.common import prepare
+from quayside.llm.common import prepare, schema_with
 
 MARK = "▁"
 #: Characters of a code that a 64-bit key holds: 16 bits each.
@@ -487,10 +487,6 @@ def _decoded(vocabulary):
     return run
 
 
-def _schema(docs: DataFrame, added: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), added])
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, and_decode: bool = False) -> DataFrame:
     """The columns of docs (with a text) and ids, the pieces of the text. An ids column is replaced.
 
@@ -501,7 +497,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, and_decode: bool = False) ->
     added = "ids array<int>" + ", decoded string" * and_decode
     docs = docs.drop("ids", *["decoded"] * and_decode).withColumn("text", F.col("text").cast("string"))
     return docs.mapInArrow(
-        _encoded(spark.sparkContext.broadcast(vocabulary), and_decode), _schema(docs, added)
+        _encoded(spark.sparkContext.broadcast(vocabulary), and_decode), schema_with(docs, added)
     )
 
 
@@ -511,5 +507,5 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     prepare(spark)
     encoded = encoded.drop("decoded")
     return encoded.mapInArrow(
-        _decoded(spark.sparkContext.broadcast(vocabulary)), _schema(encoded, "decoded string")
+        _decoded(spark.sparkContext.broadcast(vocabulary)), schema_with(encoded, "decoded string")
     )

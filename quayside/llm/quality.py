@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import arrays
-from quayside.llm.common import prepare
+from quayside.llm.common import prepare, schema_with
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -220,5 +220,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.drop("score").withColumn("text", F.col("text").cast("string"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_scores(spark.sparkContext.broadcast(model)), schema + ", score double")
+    return docs.mapInArrow(_scores(spark.sparkContext.broadcast(model)), schema_with(docs, "score double"))
