@@ -6,6 +6,7 @@ or stand for long sequences; where two equal hashes would decide alone, 128 bits
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,8 +15,8 @@ import pyarrow as pa
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-BLOCK = 1 << 20
-SLICE_BYTES = 4 << 20
+BLOCK = 1 << 18
+SLICE_BYTES = 2 << 20
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -31,10 +32,19 @@ def powers(base: int, count: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64."""
     known = _tables.get(base)
     if known is None or len(known) < count:
-        known = _tables[base] = _powers(base, max(count, BLOCK + 1))
+        known = _tables[base] = _powers(base, max(count, 1 << 16))
     return known[:count]
 
 
+def give_back() -> None:
+    """Return memory that is free to the system, as workers wait for their next task beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers."""
     values = values ^ (values >> U64(30))
@@ -97,6 +107,7 @@ def slices(
         for begin, end in zip(cuts, cuts[1:]):
             piece = batch.slice(begin, end - begin)
             yield piece, Texts(piece.column(column))
+    give_back()
 
 
 def parts(texts: Texts, limit: int, at: np.ndarray) -> Iterator[tuple[Texts, np.ndarray]]:

@@ -45,7 +45,7 @@ SCORE_UNIT = 2_000_000
 BREAK = arrays.byte_class(".,;:!?\x0a\x0b\x0c\x0d")
 IN_WORD = ~(BREAK | arrays.byte_class(" \t"))
 #: Texts of a slice are counted together. No phrase goes beyond a piece, so longer texts are cut between pieces.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 class Phrases:

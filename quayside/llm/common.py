@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from quayside.session import scratch_dir, ship_package
 
 # Texts may be long, so batches that go to Python are bounded by bytes, not only by rows.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:

@@ -35,8 +35,8 @@ def brute(docs, items, size=10):
     return sorted(rows, key=repr)
 
 
-def found(docs, items):
-    result = decontaminate(docs, items).select("doc_id", "n_words", "n_hit", "items").collect()
+def found(docs, items, **options):
+    result = decontaminate(docs, items, **options).select("doc_id", "n_words", "n_hit", "items").collect()
     return sorted(((r[0], r[1], r[2], list(r[3])) for r in result), key=repr)
 
 
@@ -60,6 +60,14 @@ def test_equals_brute_force(spark, documents, case):
     assert found(documents(docs), frame) == brute(docs, items)
 
 
+def test_full_table_of_bits_changes_no_result(spark, documents, case):
+    """With a table that every shingle passes, the joins decide alone."""
+    docs, items = case
+    docs = docs[:60] + docs[-6:-1]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert found(documents(docs), frame, bits=6) == brute(docs, items)
+
+
 def test_empty_tables(spark, documents, case):
     docs, items = case
     none = spark.createDataFrame([], "item_id long, text string")
