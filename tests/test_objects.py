@@ -90,6 +90,7 @@ def test_listing_finds_everything(spark, tmp_path, rows):
     kinds = spark.read.parquet(f"{work}/round-0", f"{work}/round-1").where("todo IS NOT NULL").select("todo")
     assert {r.todo for r in kinds.collect()} == {"folder", "file"}
     assert list_objects(spark, f"{root}/bare").count() == 0
+    assert scan_objects(spark, f"{root}/bare").count() == 0
     everything = with_object_name(listed, root).select("bucket", "name")
     assert fetch_objects(everything, root).where("error IS NULL").count() == len(names)
 
