@@ -549,7 +549,7 @@ SELECT ts AS timestamp, 'pod-' || user_id AS pod, event_type AS container, 'ROOT
        'INFO' AS level, event_type || ' ' || props AS message
 FROM events
 WHERE ts BETWEEN TIMESTAMP '2024-01-03 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00'
-  AND event_type = 'purchase' AND list_contains(regexp_extract_all(lower(props), '[0-9a-z_]+'), '42')
+  AND event_type = 'purchase' AND list_contains(regexp_extract_all(lower(props), '[0-9a-z_]+'), 'k')
 """)
 def q_log_word_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of two words in a stored log, found through the index; the files of the last dates are not indexed."""
@@ -568,7 +568,7 @@ def q_log_word_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index_files(spark, f"{root}/store", f"{root}/index")
     events.where(~early).write.partitionBy("log_date").mode("append").parquet(f"{root}/store")
     found = search_words(
-        spark, f"{root}/store", f"{root}/index", "42 Purchase", "2024-01-03 06:00:00", "2024-01-20 18:30:00"
+        spark, f"{root}/store", f"{root}/index", "K Purchase", "2024-01-03 06:00:00", "2024-01-20 18:30:00"
     )
     return found.withColumn("timestamp", _naive("timestamp"))
 

@@ -56,8 +56,8 @@ def test_joins_without_broadcast_and_with_many_hot_keys(spark, database, name, m
         return found[-1]
 
     monkeypatch.setattr(lookups, "hot_keys", hot_keys)
-    monkeypatch.setattr(lookups.lookup_join, "__defaults__", ("left", True))
-    monkeypatch.setattr(logs.label_by, "__defaults__", (True,))
+    monkeypatch.setattr(lookups.lookup_join, "__defaults__", ("left", True, None))
+    monkeypatch.setattr(logs.label_by, "__defaults__", (True, None))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         matches_sql(spark, database, name)
