@@ -54,5 +54,17 @@ def test_local_session_without_the_setting(monkeypatch, tmp_path):
     assert one != two and one.startswith(f"file://{tmp_path}/own/") and two.startswith(f"file://{tmp_path}/own/")
 
 
+def test_executors_of_a_local_cluster_share_the_disk(monkeypatch, tmp_path):
+    """All processes of a local cluster run on this machine, so a folder without a scheme is a shared one."""
+    named = Settings({"spark.master": "local-cluster[3,2,3000]", CHECKPOINT_DIR: "/shared/ck"}, "file:///")
+    assert scratch_dir(named, "x").startswith("file:///shared/ck/quayside/x-")
+    monkeypatch.setattr(session, "_local_scratch", [])
+    (tmp_path / "own").mkdir()
+    (tmp_path / "link").symlink_to(tmp_path / "own")
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path / "link"))
+    spark = Settings({"spark.master": "local-cluster[3,2,3000]"}, "file:///")
+    assert scratch_dir(spark, "a").startswith(f"file://{tmp_path}/own/")
+
+
 def test_the_session_of_the_tests_knows_its_file_system(spark):
     assert session.default_file_system(spark).startswith("file:")
