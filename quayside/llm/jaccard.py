@@ -47,6 +47,10 @@ SLACK = 0.2
 #: Signature places that are looked at to see whether the sets of a large bucket are alike, and the
 #: share of pairs that then agree.
 PROBES = 8
+#: Counts that stand for the values of a place, which are put into them by a hash.
+BINS = 16
+#: Buckets whose counts a task holds before it hands them on.
+COUNTED = 10_000
 #: Links that a task holds before it hands them on.
 HELD = 500_000
 DENSE = 0.5
@@ -169,40 +173,51 @@ def _children(branches: float, runs: int, places: int):
 
 
 def _probes(places: int):
-    """Values of a few signature places of the sets of each bucket."""
+    """How often the values of a few signature places occur in each bucket, by their hash: a row for each bucket of a task."""
+
+    def told(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int64()), pa.array([n.tobytes() for n in held.values()], pa.binary())],
+            ["bucket", "counts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = np.linspace(0, places - 1, min(PROBES, places)).astype(np.int64)
+        cells = len(chosen) * BINS
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            signature = _matrix(batch.column("signature"))
-            bucket = batch.column("bucket").to_numpy()
-            for place in chosen:
-                cells = np.rec.fromarrays([bucket, signature[:, place].astype(np.int64)], names="bucket,value")
-                found, n = np.unique(cells, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.ascontiguousarray(found["bucket"])),
-                        pa.array(np.full(len(found), place)),
-                        pa.array(np.ascontiguousarray(found["value"])),
-                        pa.array(n),
-                    ],
-                    ["bucket", "place", "value", "n"],
-                )
+            for begin in range(0, batch.num_rows, 2000):
+                part = batch.slice(begin, 2000)
+                value = _matrix(part.column("signature"))[:, chosen].astype(U64) << U64(8) | chosen.astype(U64)
+                cell = (arrays.mixed(value) % U64(BINS)).astype(np.int64) + BINS * np.arange(len(chosen))
+                found, own = np.unique(part.column("bucket").to_numpy(), return_inverse=True)
+                counts = np.bincount((own[:, None] * cells + cell).ravel(), minlength=len(found) * cells)
+                for bucket, n in zip(found.tolist(), counts.reshape(-1, cells)):
+                    held[bucket] = held[bucket] + n if bucket in held else n.copy()
+                if len(held) > COUNTED:
+                    yield told(held)
+                    held = {}
+        if held:
+            yield told(held)
 
     return run
 
 
+def _alike_share(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The share of the pairs of sets of a bucket that agree in a place, from the counts of all tasks."""
+    counts = sum(np.frombuffer(n, dtype=np.int64) for n in table.column("counts").to_pylist()).reshape(-1, BINS)
+    same = ((counts / counts[0].sum()) ** 2).sum(axis=1).mean()
+    # Values that differ share a count by chance.
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "alike": [(same - 1 / BINS) / (1 - 1 / BINS)]})
+
+
 def _dense(large: DataFrame, places: int) -> DataFrame:
     """Buckets whose sets are alike: two of them agree in at least half of their signatures."""
     return (
         large.select("bucket", "signature")
-        .mapInArrow(_probes(places), "bucket long, place long, value long, n long")
-        .groupBy("bucket", "place", "value")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("bucket", "place")
-        .agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("agreeing"))
+        .mapInArrow(_probes(places), "bucket long, counts binary")
         .groupBy("bucket")
-        .agg(F.avg(F.col("agreeing") / (F.col("all") * F.col("all"))).alias("alike"))
+        .applyInArrow(_alike_share, "bucket long, alike double")
         .filter(F.col("alike") >= DENSE)
         .select("bucket")
     )

@@ -117,6 +117,22 @@ def test_large_buckets_are_split_until_they_are_small(documents, spark, monkeypa
     assert sizes[0] <= 12
 
 
+def test_alike_buckets_are_known_by_few_rows(spark):
+    """What is told of a large bucket doesn't grow with its sets: a row for each task, whatever the values are."""
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 1 << 32, 64)
+    agreeing = {1: 0.9, 2: 0.3, 3: 0.0, 4: 0.8}
+    rows = []
+    for bucket, share in agreeing.items():
+        for _ in range(1500):
+            own = np.where(draw.random(64) < share, base, draw.integers(0, 1 << 32, 64)).astype(np.uint32)
+            rows.append((bucket, own.tobytes()))
+    large = spark.createDataFrame(rows, "bucket long, signature binary").repartition(6)
+    told = [batch for batch in J._probes(64)(iter(large.toArrow().to_batches(1000)))]
+    assert sum(batch.num_rows for batch in told) == len(agreeing)
+    assert sorted(r.bucket for r in J._dense(large, 64).collect()) == [1, 4]
+
+
 def test_intersections():
     draw = np.random.default_rng(3)
     sets = [np.unique(draw.integers(0, 50, n)).astype(np.uint64) for n in (1, 20, 40, 40, 3)]
