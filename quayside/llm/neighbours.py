@@ -14,7 +14,10 @@ candidates get their exact cosine in double precision.
   over blocks, each with the entries of the slice.
 - Where the candidates of all trees, repeated ones counted, would be as many as a tree has entries, a query ascends to
   the root instead. There all trees hold the same entries, so it visits the first tree only and rates
-  each entry once. All queries do so where that is less work than handing the entries to the other trees.
+  each entry once.
+- Where few queries ask, handing the entries to the other trees would be most of the work. They are then handed to the
+  first tree only, and the strings of all trees tell there which of them are candidates of a query. Both ways
+  rate the same candidates, so results don't depend on the choice.
 - How many candidates are enough is measured: a bounded sample of queries is compared with
   all vectors, and the number is the one that finds TARGET of their true neighbours. On vectors
   without structure that may be a large share of all of them.
@@ -315,16 +318,16 @@ def _levels(entries: DataFrame, queries: DataFrame, forest, enough: int) -> Data
     )
 
 
-def _visits(forest):
-    """The slices that hold strings with the first ``level`` bits of a query."""
+def _visits(forest, one_tree: bool):
+    """The slices that hold strings with the first ``level`` bits of a query, or all slices of the first tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = forest.value
         for batch in batches:
             strings = _strings(_vectors(batch.column("vector"), f.dimension), f.planes)
             level = batch.column("level").to_numpy()
-            for tree in range(f.trees):
-                low, high = _range(strings[:, tree], level)
+            for tree in range(1 if one_tree else f.trees):
+                low, high = _range(strings[:, tree], 0 if one_tree else level)
                 if tree:
                     # At the root every tree has the same entries.
                     rows = np.flatnonzero(level > 0)
@@ -392,25 +395,28 @@ class Rated:
     """Vectors made ready for many queries."""
 
     def __init__(self, vectors: np.ndarray, nodes: np.ndarray):
-        self.vectors, self.nodes = vectors, nodes
+        self.vectors, self.nodes, self.places = vectors, nodes, np.arange(len(nodes))
         scaled = _scaled(vectors)
         self.units = scaled / _norms(scaled)[:, None]
 
-    def best(self, query: np.ndarray, begin: int, end: int, keep: int) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes and cosines of the nearest from begin to end, ties to smaller nodes."""
+    def best(self, query: np.ndarray, within: slice | np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes and cosines of the nearest of some, ties to smaller nodes."""
         # Quick scores may be off by rounding: what is near the last one kept is scored again.
-        quick = self.units[begin:end] @ _scaled(query[None, :])[0]
+        quick, some = self.units[within] @ _scaled(query[None, :])[0], self.places[within]
         if len(quick) > keep:
             least = np.partition(quick, len(quick) - keep)[len(quick) - keep]
-            some = begin + np.flatnonzero(quick >= least - 1e-9 * np.abs(quick).max())
-        else:
-            some = np.arange(begin, end)
+            some = some[quick >= least - 1e-9 * np.abs(quick).max()]
         scores = cosines(query, self.vectors[some])
         order = np.lexsort((self.nodes[some], -scores))[:keep]
         return self.nodes[some][order], scores[order]
 
 
-def _rated(forest, keep: int):
+def _rated(forest, keep: int, one_tree: bool):
+    """The best candidates of each query among the entries of a slice.
+
+    Slices of one tree alone hold the candidates of all trees: what shares ``level`` bits in any of them.
+    """
+
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         f = forest.value
         strings = table.column("string").to_numpy().view(U64)
@@ -421,13 +427,22 @@ def _rated(forest, keep: int):
         entries, questions = np.flatnonzero(~asks), np.flatnonzero(asks)
         entries = entries[np.argsort(strings[entries], kind="stable")]
         ordered, rated = strings[entries], Rated(vectors[entries], node[entries])
-        low, high = _range(strings[questions], table.column("level").take(pa.array(questions)).to_numpy())
+        levels = table.column("level").take(pa.array(questions)).to_numpy()
+        low, high = _range(strings[questions], levels)
         begin, end = np.searchsorted(ordered, low), np.searchsorted(ordered, high, side="right")
+        if one_tree and len(levels) and levels.max() > 0:
+            leads = np.ascontiguousarray(_strings(rated.vectors, f.planes).T)
+            asked = _strings(vectors[questions], f.planes)
+            rest = _range(asked, levels[:, None])[1] ^ _range(asked, levels[:, None])[0]
         query, found, score = [], [], []
-        for i, a, b in zip(questions, begin, end):
-            if a == b:
+        for place, (i, a, b) in enumerate(zip(questions, begin, end)):
+            some = slice(a, b)
+            if one_tree and levels[place] > 0:
+                near = (leads ^ asked[place][:, None]) <= rest[place][:, None]
+                some = np.flatnonzero(near.any(axis=0))
+            near, cosine = rated.best(vectors[i], some, keep)
+            if not len(near):
                 continue
-            near, cosine = rated.best(vectors[i], a, b, keep)
             query.append(np.full(len(near), node[i]))
             found.append(near)
             score.append(cosine)
@@ -450,7 +465,7 @@ def _all_rated(questions, keep: int, dimension: int):
         for batch in batches:
             rated = Rated(_vectors(batch.column("vector"), dimension), batch.column("node").to_numpy())
             for name, vector in zip(names, vectors):
-                near, cosine = rated.best(vector, 0, batch.num_rows, keep)
+                near, cosine = rated.best(vector, slice(None), keep)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(near), name)), pa.array(near), pa.array(cosine)],
                     ["query", "node", "score"],
@@ -575,14 +590,14 @@ def nearest(
             "levels",
         )
         work = deepest.agg(F.count("*").alias("asked"), F.sum("held").alias("held"), F.max("level").alias("level")).first()
-        at_root = not work.level or work.asked * row.n <= work.held + (trees - 1) * row.n * HANDED
-        used = 1 if at_root else trees
-        deepest = deepest.select("node", F.lit(0).alias("level") if at_root else F.col("level"))
+        # The way that is less work; both have the same candidates.
+        one_tree = not work.level or work.asked * row.n <= work.held + (trees - 1) * row.n * HANDED
+        used = 1 if one_tree else trees
         places = "tree int, part int, node long, string long, vector binary"
         visits = (
             asked.select("node", "vector")
-            .join(deepest, "node")
-            .mapInArrow(_visits(forest), places + ", level int")
+            .join(deepest.select("node", "level"), "node")
+            .mapInArrow(_visits(forest, one_tree), places + ", level int")
         )
         blocks = _blocks(forest.value, visits)
         spread = spark.sparkContext.broadcast(blocks)
@@ -593,7 +608,7 @@ def nearest(
             kept.withColumn("level", F.lit(None).cast("int"))
             .unionByName(visits.mapInArrow(_blocked(spread), places + ", level int, block int"))
             .groupBy("tree", "part", "block")
-            .applyInArrow(_rated(forest, keep), "query long, node long, score double")
+            .applyInArrow(_rated(forest, keep, one_tree), "query long, node long, score double")
         )
         best = _top(rated, keep).select("query", "node", "score")
         found = best if found is None else found.unionByName(best)

@@ -164,3 +164,20 @@ def test_root_is_visited_in_one_tree(spark, monkeypatch):
         for r in sorted(rows, key=lambda r: r.rank):
             got.setdefault(r.query_id, []).append(r.vec_id)
         assert got == want and trees[-1] == 1
+
+
+@pytest.mark.parametrize("part", [20_000, 100])
+def test_the_way_of_work_changes_no_result(spark, monkeypatch, part):
+    """With so few candidates that neighbours are missed, few queries get the same rows by one tree as by all."""
+    draw = np.random.default_rng(9)
+    vectors = near_copies(0.3) | {i: draw.standard_normal(16).astype(np.float32) for i in range(1800, 2400)}
+    monkeypatch.setattr(neighbours, "LEAST", 20)
+    found = []
+    for handed in (0, 1 << 40):
+        monkeypatch.setattr(neighbours, "HANDED", handed)
+        rows = nearest(frame(spark, vectors.items()), F.col("vec_id") % 50 == 0, part=part, target=0.1)
+        found.append(sorted(map(tuple, rows.collect())))
+    exact = brute(vectors, [i for i in vectors if i % 50 == 0])
+    got = {(q, i) for q, _, i, _ in found[0]}
+    assert got != {(q, i) for q, own in exact.items() for i in own}
+    assert found[0] == found[1]
